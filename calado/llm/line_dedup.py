@@ -42,12 +42,9 @@ def drop_shared_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5) -
         F.posexplode(F.transform(lines, line_key)).alias("_pos", "_key"),
     ).where(F.char_length("_key") >= min_chars)
     seen = materialise(long.select("_id", "_th", "_pos", _digest(F.col("_key")).alias("_d")).select("_id", "_th", "_pos", "_d.*"), "lines")
-    shared = (
-        seen.groupBy("h1", "h2")
-        .agg(F.countDistinct("_id").alias("_n"), F.max("_id").alias("_keeper"))
-        .where(F.col("_n") >= min_docs)
-        .drop("_n")
-    )
+    counted = seen.groupBy("h1", "h2").agg(F.countDistinct("_id").alias("_n"), F.max("_id").alias("_keeper"))
+    # Written, so that the join below has shuffles of its own on both sides and a common line's rows can be split.
+    shared = materialise(counted.where(F.col("_n") >= min_docs).drop("_n"), "shared")
     gone = (
         seen.join(shared, ["h1", "h2"])
         .where(~F.col("_id").eqNullSafe(F.col("_keeper")))
