@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -13,18 +14,22 @@ from pyspark.sql import functions as F
 
 from calado.llm._shared import materialise
 
-#: Letters whose lower case is one letter, then ASCII signs without the apostrophe: such a chunk splits between the two.
-_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
+# Latin-1 letters in lower case, and the table that lowers the others. No Latin-1 text changes under NFC.
+_LETTERS = rb"a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff"
+_LOWER = bytes(b + 32 if 65 <= b <= 90 or 0xC0 <= b <= 0xDE and b != 0xD7 else b for b in range(256))
+#: Runs of letters and runs of other signs are tokens' outer bounds, but for an apostrophe, which may go with letters after it.
+_RUNS = re.compile(rb"[%b]+|[^\s%b]+" % (_LETTERS, _LETTERS))
+_RUNS_QUOTED = re.compile(rb"[^\s']*'\S*|[%b]+|[^\s%b]+" % (_LETTERS, _LETTERS))
 #: Entries that a task's caches hold at most; they are emptied beyond that.
-_CACHE = 400_000
+_CACHE = 800_000
 
 
 class _Encoder:
     """Token ids of whole texts as little-endian unsigned 32-bit bytes.
 
-    Tokens never cross ASCII white space here, so a text's ids are those of its chunks between white space, and
-    chunks come back often. New chunks are encoded by the library; of a plain word and the signs after it, the lower-case
-    word and the signs are kept apart, as the vocabulary's own rule for pieces parts them.
+    Tokens never cross ASCII white space here, so a text's ids are those of its pieces, and pieces come back often: each is
+    encoded by the library once. Pieces of Latin-1 texts are runs of lower-case letters and runs of signs; those of other texts,
+    and of texts with the marks of special tokens, are all that stands between white space.
     """
 
     def __init__(self, path: str) -> None:
@@ -33,46 +38,53 @@ class _Encoder:
 
         self.whole = Tokenizer.from_file(path)
         self.word = Tokenizer.from_file(path)
-        # A lower-case word in Latin letters, or a run of signs, is one piece and already normalised.
+        # A run of lower-case letters is one piece of the vocabulary's own rule, and already normalised.
         self.word.normalizer = None
         self.word.pre_tokenizer = ByteLevel(add_prefix_space=False, use_regex=False)
+        self.runs: dict[bytes, bytes] = {}
         self.chunks: dict[bytes, bytes] = {}
-        self.words: dict[str, bytes] = {"": b""}
+
+    def _split(self, text: str) -> tuple[dict, list[bytes]]:
+        if "<|" not in text:
+            try:
+                raw = text.encode("latin-1").translate(_LOWER)
+                return self.runs, (_RUNS_QUOTED if b"'" in raw else _RUNS).findall(raw)
+            except UnicodeEncodeError:
+                pass
+        return self.chunks, text.encode().split()
 
     @staticmethod
-    def _pack(encoding) -> bytes:
-        return np.array(encoding.ids, "<u4").tobytes()
-
-    def _learn(self, new: set[bytes]) -> None:
-        plain, odd, words = [], [], set()
-        for chunk in new:
-            text = chunk.decode()
-            if m := _PLAIN.fullmatch(text):
-                parts = (m[1].lower(), m[2])
-                plain.append((chunk, parts))
-                words.update(parts)
-            else:
-                odd.append((chunk, text))
-        if len(self.words) > _CACHE:
-            self.words = {"": b""}
-        if unknown := [w for w in words if w not in self.words]:
-            for w, e in zip(unknown, self.word.encode_batch_fast(unknown, add_special_tokens=False), strict=True):
-                self.words[w] = self._pack(e)
-        for chunk, (word, signs) in plain:
-            self.chunks[chunk] = self.words[word] + self.words[signs]
-        for (chunk, _), e in zip(odd, self.whole.encode_batch_fast([t for _, t in odd], add_special_tokens=False), strict=True):
-            self.chunks[chunk] = self._pack(e)
+    def _learn(known: dict[bytes, bytes], pieces: list[bytes], texts: list[str], library) -> None:
+        for piece, e in zip(pieces, library.encode_batch_fast(texts, add_special_tokens=False), strict=True):
+            known[piece] = array("I", e.ids).tobytes()
 
     def ids(self, texts: list[str | None]) -> Iterator[bytes]:
-        for text in texts:
-            chunks = text.encode().split() if text else []
-            try:
-                yield b"".join(map(self.chunks.__getitem__, chunks))
-            except KeyError:
-                if len(self.chunks) > _CACHE:
-                    self.chunks = {}
-                self._learn(set(chunks).difference(self.chunks))
-                yield b"".join(map(self.chunks.__getitem__, chunks))
+        for batch in _batches(texts):
+            split = [self._split(t or "") for t in batch]
+            for known, encoding in ((self.runs, "latin-1"), (self.chunks, "utf-8")):
+                if len(known) > _CACHE:
+                    known.clear()
+                new = set().union(*(p for k, p in split if k is known)).difference(known)
+                if known is self.runs:
+                    plain = [x for x in new if x.decode("latin-1").isalpha()]
+                    self._learn(known, plain, [x.decode("latin-1") for x in plain], self.word)
+                    new = new.difference(plain)
+                rest = list(new)
+                self._learn(known, rest, [x.decode(encoding) for x in rest], self.whole)
+            for known, pieces in split:
+                yield b"".join(map(known.__getitem__, pieces))
+
+
+def _batches(texts: list[str | None], most: int = 1 << 20) -> Iterator[list[str | None]]:
+    batch, size = [], 0
+    for t in texts:
+        batch.append(t)
+        size += len(t or "")
+        if size > most:
+            yield batch
+            batch, size = [], 0
+    if batch:
+        yield batch
 
 
 _encoders: dict[str, _Encoder] = {}
@@ -164,7 +176,7 @@ def two_fit_plan(counts: dict[int, int], limit: int) -> list[tuple[int, int, int
     return plan
 
 
-def pack(pieces: DataFrame, limit: int = 2048, ranked_together: int = 4096) -> DataFrame:
+def pack(pieces: DataFrame, limit: int = 2048, ranked_together: int = 512) -> DataFrame:
     """Add ``sequence_id`` and ``offset`` to rows with ``length`` (1 to ``limit``) by best-two-fit.
 
     Only the histogram of lengths, at most ``limit`` numbers, goes to the driver. Pieces of one length are
