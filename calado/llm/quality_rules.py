@@ -17,8 +17,11 @@ BLANK_CHARS = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
 _UPPER = re.compile(r"[A-Z]")
 _LOWER = re.compile(r"[a-z]")
+_LETTERS = re.compile(r"[^\W\d_]+")
+#: A word that is one sign, or ends in two or more.
+_ODD_END = re.compile(r"(?:[^\w\s]{2,}|(?<!\S)[^\w\s])(?!\S)")
 
-_FEATURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_distinct", "n_upper", "n_lower", "n_ended"]
+_FEATURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_distinct", "n_upper", "n_lower", "n_ended", "n_letters", "n_odd_ends"]
 
 
 def _repeated_words(ids: np.ndarray, width: int) -> int:
@@ -59,6 +62,8 @@ def _measure(text: str, width: int) -> tuple[int, ...]:
         len(_UPPER.findall(text)),
         len(_LOWER.findall(text)),
         sum(x.rstrip(BLANK_CHARS)[-1] in ".!?…:;\"'”’)" for x in lines),
+        sum(map(len, _LETTERS.findall(text))),
+        len(_ODD_END.findall(text)),
     )
 
 
@@ -75,48 +80,52 @@ def measure(docs: DataFrame, width: int = 5) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(count, schema)
 
 
-def _vote(good: Column, bad: Column) -> Column:
-    """1 for quality, -1 against, 0 to abstain."""
-    return F.when(bad, -1).when(good, 1).otherwise(0)
+def _vote(bad: Column, good: Column | None = None) -> Column:
+    """-1 against quality, 1 for it, 0 to abstain."""
+    vote = F.when(bad, -1)
+    return (vote if good is None else vote.when(good, 1)).otherwise(0)
 
 
 def rules() -> dict[str, Column]:
-    """The rules over the columns of ``measure``; each abstains where its measure says little."""
+    """The rules over the columns of ``measure``. Most only ever object: that a fault is absent says little. One speaks for
+    texts that look like prose in all ways at once."""
     words, lines = F.greatest(F.col("n_words"), F.lit(1)), F.greatest(F.col("n_lines"), F.lit(1))
     cased = F.col("n_upper") + F.col("n_lower")
+    prose = (F.col("n_words") >= 10) & (F.col("n_odd_ends") <= 0.02 * words) & (F.col("n_upper") <= 0.2 * cased) & (F.col("n_ended") >= 0.5 * lines)
+    prose = prose & (F.col("n_dup_lines") <= 0.1 * lines) & (F.col("n_repeat_words") <= 0.05 * words)
     return {
-        "symbols": _vote(F.col("n_symbols") <= 0.02 * words, F.col("n_symbols") > 0.15 * words),
-        "capitals": _vote((cased > 0) & (F.col("n_upper") <= 0.2 * cased), F.col("n_upper") > 0.5 * cased),
-        "repeats": _vote(F.col("n_repeat_words") <= 0.02 * words, F.col("n_repeat_words") > 0.2 * words),
-        "lines": _vote((F.col("n_lines") > 2) & (F.col("n_dup_lines") == 0), F.col("n_dup_lines") > 0.3 * lines),
-        "endings": _vote(F.col("n_ended") >= 0.6 * lines, (F.col("n_lines") > 0) & (F.col("n_ended") < 0.2 * lines)),
-        "word_length": _vote(F.col("word_chars").between(3 * words, 9 * words), ~F.col("word_chars").between(2 * words, 14 * words)),
-        "variety": _vote((F.col("n_words") >= 30) & (F.col("n_distinct") > 0.35 * words), (F.col("n_words") >= 30) & (F.col("n_distinct") < 0.15 * words)),
-        "length": _vote(F.col("n_words") >= 30, F.col("n_words") < 5),
+        "symbols": _vote(F.col("n_symbols") > 0.15 * words),
+        "capitals": _vote(F.col("n_upper") > 0.5 * cased),
+        "repeats": _vote(F.col("n_repeat_words") > 0.15 * words),
+        "lines": _vote(F.col("n_dup_lines") > 0.5 * lines),
+        "odd_ends": _vote(F.col("n_odd_ends") > 0.2 * words),
+        "letters": _vote(F.col("n_letters") < 0.85 * F.col("word_chars")),
+        "word_length": _vote(~F.col("word_chars").between(2 * words, 14 * words)),
+        "variety": _vote((F.col("n_words") >= 30) & (F.col("n_distinct") < 0.2 * words)),
+        "prose": _vote(F.col("n_words") < 5, prose),
     }
 
 
-def fit_votes(patterns: np.ndarray, counts: np.ndarray, rounds: int = 200, pseudo: float = 10.0) -> tuple[float, np.ndarray]:
-    """(log prior odds, log odds of each rule's vote for and against) by expectation-maximisation.
+def fit_votes(patterns: np.ndarray, counts: np.ndarray, rounds: int = 500, pseudo: float = 20.0, start: float = 0.9, share: float = 0.8) -> tuple[float, np.ndarray]:
+    """(log prior odds, log odds of each rule's accuracy) by expectation-maximisation.
 
-    ``patterns`` are distinct rows of votes (1, -1, 0) and ``counts`` how many documents cast each. A rule has an
-    accuracy in either class, as the share of its votes that agree; abstaining says nothing. It starts at 0.8 and has
-    ``pseudo`` such votes as its prior, so that no class can turn over or vanish.
+    ``patterns`` are distinct rows of votes (1, -1, 0) and ``counts`` how many documents cast each. A rule's accuracy is
+    how often its votes, where it votes, agree with the quality they estimate; abstaining says nothing. Accuracies begin at
+    ``start`` and quality at ``share``, which also weigh as ``pseudo`` votes and documents; no rule falls below a coin.
     """
-    n_rules = patterns.shape[1]
-    good, bad = patterns > 0, patterns < 0
-    right_good, right_bad, prior = np.full(n_rules, 0.8), np.full(n_rules, 0.8), 0.7
+    cast, voted = patterns.astype(float), patterns != 0
+    accuracy, prior = np.full(patterns.shape[1], start), share
     for _ in range(rounds):
-        odds = np.log(prior / (1 - prior)) + good @ np.log(right_good / (1 - right_bad)) + bad @ np.log((1 - right_good) / right_bad)
-        p = 1 / (1 + np.exp(-odds))
-        mine, other = counts * p, counts * (1 - p)
-        was = np.concatenate([right_good, right_bad, [prior]])
-        right_good = np.clip((mine @ good + 0.8 * pseudo) / (mine @ (good | bad) + pseudo), 0.5, 0.999)
-        right_bad = np.clip((other @ bad + 0.8 * pseudo) / (other @ (good | bad) + pseudo), 0.2, 0.999)
-        prior = float(np.clip((mine.sum() + 7) / (counts.sum() + 10), 0.05, 0.99))
-        if np.abs(np.concatenate([right_good, right_bad, [prior]]) - was).max() < 1e-9:
+        odds = np.log(prior / (1 - prior)) + cast @ np.log(accuracy / (1 - accuracy))
+        p = 1 / (1 + np.exp(-np.clip(odds, -500, 500)))
+        agree = np.where(patterns > 0, p[:, None], 1 - p[:, None]) * voted * counts[:, None]
+        new = np.clip((agree.sum(axis=0) + start * pseudo) / ((voted * counts[:, None]).sum(axis=0) + pseudo), 0.5, 0.999)
+        new_prior = float(np.clip((counts @ p + share * pseudo) / (counts.sum() + pseudo), 0.05, 0.99))
+        change = max(np.abs(new - accuracy).max(), abs(new_prior - prior))
+        accuracy, prior = new, new_prior
+        if change < 1e-9:
             break
-    return float(np.log(prior / (1 - prior))), np.stack([np.log(right_good / (1 - right_bad)), np.log((1 - right_good) / right_bad)], axis=1)
+    return float(np.log(prior / (1 - prior))), np.log(accuracy / (1 - accuracy))
 
 
 def judge_quality(docs: DataFrame, width: int = 5, threshold: float = 0.5) -> DataFrame:
@@ -124,7 +133,7 @@ def judge_quality(docs: DataFrame, width: int = 5, threshold: float = 0.5) -> Da
 
     ``base_failed``: under 10 words, or over 20 % of words in repeated windows. ``quality`` is the posterior probability
     from all rules' votes; ``kept`` if it is ``threshold`` or more and the base did not fail. Only the table of
-    distinct vote patterns, at most 3 to the number of rules rows, goes to the driver. Null and empty texts fail the base.
+    distinct vote patterns, at most 3 to the power of the number of rules, goes to the driver. Null and empty texts fail the base.
     Repeated rows count each; an empty table gives an empty table.
     """
     cast = rules()
@@ -134,8 +143,8 @@ def judge_quality(docs: DataFrame, width: int = 5, threshold: float = 0.5) -> Da
     patterns = np.array([r[:-1] for r in table], int).reshape(-1, len(votes))
     prior, weights = fit_votes(patterns, np.array([r[-1] for r in table], float))
     odds = F.lit(prior)
-    for name, (yes, no) in zip(votes, weights, strict=True):
-        odds = odds + F.when(F.col(name) > 0, float(yes)).when(F.col(name) < 0, float(no)).otherwise(0.0)
+    for name, weight in zip(votes, weights, strict=True):
+        odds = odds + F.col(name) * float(weight)
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
     quality = 1 / (1 + F.exp(-odds))
     return seen.select("doc_id", *_FEATURES[:5], failed.alias("base_failed"), quality.alias("quality"), (~failed & (quality >= threshold)).alias("kept"))
