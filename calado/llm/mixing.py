@@ -132,7 +132,7 @@ def mix_sources(
     # The run of blocks taken once more, as words on the line; what runs past the last block goes on at the first.
     runs = [(F.col("_first") * b, F.least(last, F.col("_n")) * b), (F.lit(0).cast("long"), (last - F.col("_n")) * b)]
     parts = [F.struct((F.greatest(x, start) - start).alias("start"), (F.least(y, F.col("_end")) - start).alias("end")) for x, y in runs]
-    whole = F.array_repeat(F.struct(F.lit(0).cast("long").alias("start"), F.col("size").alias("end")), F.floor(F.col("_q") / F.col("_n")).cast("int"))
+    whole = F.array_repeat(F.struct(F.lit(0).cast("long").alias("start"), F.col("size").alias("end")), F.floor(F.col("_q") / F.greatest(F.col("_n"), F.lit(1))).cast("int"))
     spans = F.filter(F.concat(whole, F.array(*parts)), lambda x: x["end"] > x["start"])
     laid = laid.withColumn("spans", F.when(F.col("size") > 0, spans).otherwise(F.slice(spans, 1, 0)))
     taken = F.aggregate("spans", F.lit(0).cast("long"), lambda sum_, x: sum_ + x["end"] - x["start"])
