@@ -142,8 +142,8 @@ def _positions(texts: list[str | None], vocabulary: Vocabulary) -> tuple[np.ndar
     return np.concatenate(parts), np.concatenate(at) if at else np.empty(0, np.int64), np.array([len(x) for x in ids], np.int64)
 
 
-def train(docs: DataFrame, vocabulary: Vocabulary, dim: int = 16, masked: int = 5, rate: float = 0.1, seed: int = 7) -> dict[str, np.ndarray]:
-    """A network trained on every text: each task, from one start, masks one in ``masked`` positions of its texts.
+def train(docs: DataFrame, vocabulary: Vocabulary, dim: int = 16, masked: int = 5, rate: float = 0.1, seed: int = 7, batch_size: int = 2048, passes: int = 1) -> dict[str, np.ndarray]:
+    """A network trained on every text: each task, from one start, masks one in ``masked`` positions of its texts, ``passes`` times.
 
     Each task sends its weights, times its masked positions; Spark adds them in two steps by block of weights, and the sums'
     averages are the network. The driver gets one network, whatever the input.
@@ -160,13 +160,14 @@ def train(docs: DataFrame, vocabulary: Vocabulary, dim: int = 16, masked: int =
         for batch in batches:
             texts = batch.column(0).to_pylist()
             for part in _chunks(texts):
-                ids, at, _ = _positions(part, vocabulary)
-                at = at[rng.random(len(at)) < 1 / masked]
-                rng.shuffle(at)
-                for i in range(0, len(at), 2048):
-                    chosen = at[i : i + 2048]
-                    train_step(net, squares, context(ids, chosen), ids[chosen], rate)
-                n += len(at)
+                ids, words, _ = _positions(part, vocabulary)
+                for _ in range(passes):
+                    at = words[rng.random(len(words)) < 1 / masked]
+                    rng.shuffle(at)
+                    for i in range(0, len(at), batch_size):
+                        chosen = at[i : i + batch_size]
+                        train_step(net, squares, context(ids, chosen), ids[chosen], rate)
+                    n += len(at)
         if n:
             flat = np.concatenate([net[k].ravel() for k in shapes]).astype(np.float64) * n
             parts = [flat[i : i + block] for i in range(0, len(flat), block)]
