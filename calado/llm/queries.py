@@ -88,7 +88,66 @@ FROM marked GROUP BY doc_id
 """
 
 
+def _scatter(x: str, seed: int) -> str:
+    """``mixing._scatter`` in SQL."""
+    m, a = mixing.PRIME, mixing.STEP
+    start = f"((coalesce({x}, -1) % {m} + {m}) % {m})"
+    once = f"(({start} * {a} + {seed}) % {m})"
+    return f"((({once} + ({once} >> 15)) * {a}) % {m})"
+
+
+_SEED, _BLOCK, _SHARD = 20240601, 16, 1 << 18
+_BEFORE, _AFTER = "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING", "ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING"
+
+_OP9 = f"""
+WITH sized AS (
+  SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS BIGINT) AS size FROM documents
+), src AS (
+  SELECT *, [5.0::DOUBLE, 2.0, 1.0][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS w, 2.0::DOUBLE * source_size AS cap
+  FROM (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM sized GROUP BY source)
+), levels AS (
+  SELECT *, (1.5::DOUBLE * sum(source_size) OVER () - coalesce(sum(cap) OVER (ORDER BY cap / w, source NULLS LAST {_BEFORE}), 0))
+    / sum(w) OVER (ORDER BY cap / w, source NULLS LAST {_AFTER}) AS level FROM src
+), targets AS (
+  SELECT source, source_size, least(cap, coalesce(max(CASE WHEN level <= cap / w THEN level END) OVER (), 'inf'::DOUBLE) * w) AS target FROM levels
+), seats AS (
+  SELECT *, CAST(round(sum(target) OVER () / {_BLOCK}) AS BIGINT) AS seats, sum(target) OVER () AS whole, count(*) OVER () AS n FROM targets
+), blocks AS (
+  SELECT source, count(*) AS blocks FROM (
+    SELECT source, seats, row_number() OVER (ORDER BY target / (2 * k - 1) DESC, source NULLS LAST) AS i
+    FROM (SELECT *, unnest(range(1, CAST(seats * target / whole AS BIGINT) + n + 2)) AS k FROM seats WHERE target > 0)
+  ) WHERE i <= seats GROUP BY source
+), wide AS (
+  SELECT t.*, coalesce(b.blocks, 0) AS blocks, greatest(CAST(ceil(source_size / {_SHARD}) AS BIGINT), 1) AS shards
+  FROM targets t LEFT JOIN blocks b ON t.source IS NOT DISTINCT FROM b.source
+), dealt AS (
+  SELECT d.*, w.source_size, w.target, w.blocks, {_scatter('doc_id', _SEED)} % w.shards AS shard, {_scatter('doc_id', _SEED + 1)} AS place
+  FROM sized d JOIN wide w ON d.source IS NOT DISTINCT FROM w.source
+), parts AS (
+  SELECT source, shard, sum(size) AS words, first(blocks) AS seats FROM dealt GROUP BY source, shard
+), tried AS (
+  SELECT *, sum(words) OVER (PARTITION BY source) AS whole, count(*) OVER (PARTITION BY source) AS n FROM parts
+), quotas AS (
+  SELECT source, shard, count(*) AS quota FROM (
+    SELECT source, shard, seats, row_number() OVER (PARTITION BY source ORDER BY words / (2 * k - 1) DESC, shard) AS i
+    FROM (SELECT *, unnest(range(1, CAST(seats * words / whole AS BIGINT) + n + 2)) AS k FROM tried WHERE words > 0)
+  ) WHERE i <= seats GROUP BY source, shard
+), runs AS (
+  SELECT p.source, p.shard, CAST(ceil(words / {_BLOCK}) AS BIGINT) AS n, least(coalesce(quota, 0), 2 * CAST(ceil(words / {_BLOCK}) AS BIGINT)) AS quota
+  FROM parts p LEFT JOIN quotas q ON p.source IS NOT DISTINCT FROM q.source AND p.shard = q.shard
+), spans AS (
+  SELECT *, CASE WHEN n > 0 THEN {_scatter('shard', _SEED + 2)} % n ELSE 0 END AS first_, CASE WHEN n > 0 THEN quota % n ELSE 0 END AS more FROM runs
+), laid AS (
+  SELECT *, sum(size) OVER (PARTITION BY source, shard ORDER BY place, doc_id, size ROWS UNBOUNDED PRECEDING) AS end_ FROM dealt
+)
+SELECT l.doc_id, l.size, l.source_size, l.target, CAST(CASE WHEN l.size = 0 THEN 0 ELSE l.size * (quota // n)
+  + greatest(0, least(least(first_ + more, n) * {_BLOCK}, end_) - greatest(first_ * {_BLOCK}, end_ - l.size))
+  + greatest(0, least((first_ + more - n) * {_BLOCK}, end_) - (end_ - l.size)) END AS BIGINT) AS taken
+FROM laid l JOIN spans s ON l.source IS NOT DISTINCT FROM s.source AND l.shard = s.shard
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     from corpus_pipeline import ORACLE_SQL
 
-    return {"op10_line_dedup": _OP10} | ({"pipeline": ORACLE_SQL} if ORACLE_SQL else {})
+    return {"op9_source_mixing": _OP9, "op10_line_dedup": _OP10} | ({"pipeline": ORACLE_SQL} if ORACLE_SQL else {})
