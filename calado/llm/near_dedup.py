@@ -140,6 +140,20 @@ def connected(edges: DataFrame, a: str, b: str) -> DataFrame:
         state = now
 
 
+def _alike(pairs: DataFrame, registers: DataFrame, least: float) -> DataFrame:
+    """The rows (a, b) of ``pairs`` whose registers agree in a share of at least ``least``."""
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, y = (np.frombuffer(b"".join(batch.column(k).to_pylist()), "<u2").reshape(batch.num_rows, -1) for k in (2, 3))
+            yield batch.select([0, 1]).filter(pa.array((x == y).mean(axis=1) >= least, pa.bool_()))
+
+    ra = registers.select(F.col("_id").alias("a"), F.col("_registers").alias("_ra"))
+    rb = registers.select(F.col("_id").alias("b"), F.col("_registers").alias("_rb"))
+    kind = pairs.schema["a"].dataType.simpleString()
+    return pairs.join(ra, "a").join(rb, "b").select("a", "b", "_ra", "_rb").mapInArrow(check, f"a {kind}, b {kind}")
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, width: int, similarity: float) -> DataFrame:
     """The rows (a, b) of ``pairs`` whose texts are similar enough."""
 
@@ -156,8 +170,49 @@ def _verified(pairs: DataFrame, texts: DataFrame, width: int, similarity: float)
     return pairs.join(ta, "a").join(tb, "b").select("a", "b", "_ta", "_tb").mapInArrow(check, f"a {kind}, b {kind}")
 
 
+def links_of_block(sets: list, root: np.ndarray, left: np.ndarray, right: np.ndarray, similarity: float, columns: int = 4096) -> tuple[np.ndarray, np.ndarray]:
+    """Places (i, j) of similar sets, i from ``left`` and j from ``right``, one pair for each two different roots.
+
+    Common elements are counted for all pairs at once, as products of 0/1 matrices of ``columns`` elements at a time.
+    Sets without repeats are decided by those counts. With repeats, a pair's similarity is at most the share of either
+    one's weight that is common; pairs where both shares reach the bound are computed.
+    """
+    n = len(sets)
+    size = np.array([len(c) for c, _ in sets])
+    plain = np.array([w.max(initial=1) == 1 for _, w in sets])
+    owner = np.repeat(np.arange(n), size)
+    share = np.concatenate([w / max(w.sum(), 1) for _, w in sets])
+    _, code = np.unique(np.concatenate([c for c, _ in sets]), return_inverse=True)
+    often = np.bincount(code)[code] > 1
+    owner, share, code = owner[often], share[often], code[often]
+    order = np.argsort(code, kind="stable")
+    owner, share = owner[order], share[order]
+    code = np.cumsum(np.diff(code[order], prepend=code[order][:1]) > 0) if len(order) else code
+    common, held = np.zeros((n, n), np.float32), np.zeros((n, n), np.float32)
+    repeats = not plain.all()
+    for at in range(0, int(code[-1]) + 1 if len(code) else 0, columns):
+        a, b = np.searchsorted(code, (at, at + columns))
+        ones = np.zeros((n, min(columns, int(code[-1]) + 1 - at)), np.float32)
+        ones[owner[a:b], code[a:b] - at] = 1
+        common += ones @ ones.T
+        if repeats:
+            weights = np.zeros_like(ones)
+            weights[owner[a:b], code[a:b] - at] = share[a:b]
+            held += weights @ ones.T
+    jaccard = common / np.maximum(size[:, None] + size[None, :] - common, 1)
+    good = plain[:, None] & plain[None, :] & (jaccard >= similarity - 1e-6)
+    if repeats:
+        good |= ~(plain[:, None] & plain[None, :]) & (np.minimum(held, held.T) >= similarity - 1e-4)
+    good &= left[:, None] & right[None, :] & (root[:, None] != root[None, :])
+    i, j = np.nonzero(good)
+    exact = np.array([(plain[x] and plain[y]) or probability_jaccard(sets[x], sets[y]) >= similarity for x, y in zip(i, j, strict=True)], bool)
+    i, j = i[exact], j[exact]
+    _, first = np.unique(np.stack([np.minimum(root[i], root[j]), np.maximum(root[i], root[j])]), axis=1, return_index=True)
+    return i[first], j[first]
+
+
 def near_duplicates(
-    docs: DataFrame, width: int = 5, similarity: float = 0.8, bands: int = 25, rows: int = 5, slack: float = 0.16, block: int = 512
+    docs: DataFrame, width: int = 5, similarity: float = 0.8, bands: int = 25, rows: int = 5, slack: float = 0.16, block: int = 256
 ) -> DataFrame:
     """Rows (doc_id, class_id): class_id is the least doc_id of the document's class.
 
@@ -169,68 +224,50 @@ def near_duplicates(
     Every pair of different texts that shares one of ``bands`` bands of ``rows`` registers is either connected already or
     compared. At similarity 0.8 a pair misses all of 25 bands of 5 with probability 5e-5.
     1. Bands with one text go. Each text's density is the sum of its bands' sizes; each band's densest text leads it.
-    2. Texts are verified against their densest leader, then against their other bands' leaders where still apart.
-    3. In bands with texts of several components, texts of different components are compared by registers, block by
-       block; pairs within ``slack`` of the similarity are verified.
+    2. Texts are verified against the leaders of their bands, if their registers agree to within ``slack`` of the similarity.
+    3. In bands with texts of several components, texts of different components are compared exactly, ``block`` by block.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
     signed = materialise(signatures(docs, width, bands, rows), "signatures")
-    first = signed.groupBy(F.col("_digest").alias("_of")).agg(F.min("_id").alias("_rep"))
-    reps = materialise(signed.join(first, (F.col("_digest") == F.col("_of")) & (F.col("_id") == F.col("_rep"))).select("_rep", "_bands").dropDuplicates(["_rep"]), "reps")
+    first = materialise(signed.groupBy(F.col("_digest").alias("_of")).agg(F.min("_id").alias("_rep")), "first")
+    reps = signed.join(first, (F.col("_digest") == F.col("_of")) & (F.col("_id") == F.col("_rep"))).select("_rep", "_bands").dropDuplicates(["_rep"])
+    reps = materialise(reps, "reps")
 
     banded = reps.select("_rep", F.explode("_bands").alias("_key"))
     sizes = banded.groupBy("_key").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
     banded = materialise(banded.join(sizes, "_key"), "banded")
     density = banded.groupBy("_rep").agg(F.sum("_n").alias("_density"))
     weighed = materialise(banded.join(density, "_rep").select("_key", "_rep", "_density"), "weighed")
-    leaders = weighed.groupBy("_key").agg(F.max(F.struct("_density", (-F.col("_rep")).alias("_minus"))).alias("_lead"))
-    stars = weighed.join(leaders, "_key").select(F.col("_rep").alias("a"), (-F.col("_lead._minus")).cast(kind).alias("b"), F.col("_lead._density").alias("_d")).where("a <> b")
-    stars = materialise(stars.groupBy("a", "b").agg(F.max("_d").alias("_d")), "stars")
+    leaders = materialise(weighed.groupBy("_key").agg(F.max(F.struct("_density", (-F.col("_rep")).alias("_minus"))).alias("_lead")), "leaders")
+    stars = weighed.join(leaders, "_key").select(F.col("_rep").alias("a"), (-F.col("_lead._minus")).cast(kind).alias("b")).where("a <> b").distinct()
 
-    members = weighed.select(F.col("_rep").alias("_m")).distinct()
-    texts = materialise(docs.select(F.col("doc_id").alias("_id"), F.col("text").alias("_text")).join(members, F.col("_id") == F.col("_m"), "left_semi").dropDuplicates(["_id"]), "texts")
+    members = weighed.select(F.col("_rep").alias("_id")).distinct()
+    registers = materialise(signed.select("_id", "_registers").join(members, "_id", "left_semi").dropDuplicates(["_id"]), "registers")
+    texts = materialise(docs.select(F.col("doc_id").alias("_id"), F.col("text").alias("_text")).join(members, "_id", "left_semi").dropDuplicates(["_id"]), "texts")
 
-    best = stars.groupBy("a").agg(F.max(F.struct("_d", (-F.col("b")).alias("_minus"))).alias("_x")).select("a", (-F.col("_x._minus")).cast(kind).alias("b"))
-    links = materialise(_verified(best, texts, width, similarity), "links")
+    close = materialise(_alike(stars, registers, similarity - slack), "close")
+    links = materialise(_verified(close, texts, width, similarity), "links")
     roots = connected(links, "a", "b")
 
     def rooted(df: DataFrame, column: str, name: str) -> DataFrame:
         met = df.join(roots.select(F.col("node").alias("_node"), F.col("root").alias("_root")), F.col(column) == F.col("_node"), "left")
         return met.withColumn(name, F.coalesce("_root", column)).drop("_node", "_root")
 
-    apart = rooted(rooted(stars.join(best, ["a", "b"], "left_anti"), "a", "_ra"), "b", "_rb").where("_ra <> _rb").select("a", "b")
-    links = links.union(materialise(_verified(apart, texts, width, similarity), "links"))
-    roots = connected(links, "a", "b")
-
     here = materialise(rooted(weighed.select("_key", "_rep"), "_rep", "_root_id"), "rooted")
-    mixed = here.groupBy("_key").agg(F.count(F.lit(1)).alias("_n"), F.min("_root_id").alias("_lo"), F.max("_root_id").alias("_hi")).where("_lo < _hi").select("_key", "_n")
-    left = here.join(mixed, "_key")
-    regs = signed.select(F.col("_id").alias("_r"), "_registers").dropDuplicates(["_r"])
-    left = left.join(regs, F.col("_rep") == F.col("_r")).drop("_r")
+    mixed = here.groupBy("_key").agg(F.count(F.lit(1)).alias("_n"), F.min("_root_id").alias("_low"), F.max("_root_id").alias("_high")).where("_low < _high").select("_key", "_n")
     n = F.ceil(F.col("_n") / block).cast("int")
-    mine = F.pmod(F.xxhash64("_rep"), n).cast("int")
-    left = left.withColumn("_mine", mine).withColumn("_other", F.explode(F.sequence(F.lit(0), n - 1)))
-    left = left.select("_key", "_rep", "_root_id", "_registers", "_mine", F.least("_mine", "_other").alias("_lo"), F.greatest("_mine", "_other").alias("_hi"))
-    least = similarity - slack
+    left = here.join(materialise(mixed, "mixed"), "_key").withColumn("_mine", F.pmod(F.xxhash64("_rep"), n).cast("int"))
+    left = left.withColumn("_other", F.explode(F.sequence(F.lit(0), n - 1))).join(texts, F.col("_rep") == F.col("_id"))
+    left = left.select("_key", "_rep", "_root_id", "_text", "_mine", F.least("_mine", "_other").alias("_lo"), F.greatest("_mine", "_other").alias("_hi"))
 
     def compare(group: pd.DataFrame) -> pd.DataFrame:
-        registers = np.frombuffer(b"".join(group["_registers"]), "<u2").reshape(len(group), -1)
         ids, root, mine = group["_rep"].to_numpy(), group["_root_id"].to_numpy(), group["_mine"].to_numpy()
-        lo, hi = int(group["_lo"].iat[0]), int(group["_hi"].iat[0])
-        out_a, out_b = [], []
-        for i in np.flatnonzero(mine == lo):
-            others = (mine == hi) & (root != root[i]) & ((ids > ids[i]) if lo == hi else True)
-            j = np.flatnonzero(others)
-            j = j[(registers[j] == registers[i]).mean(axis=1) >= least]
-            out_a.append(np.full(len(j), ids[i]))
-            out_b.append(ids[j])
-        a, b = (np.concatenate(x) if x else np.empty(0, ids.dtype) for x in (out_a, out_b))
-        return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
-
-    close = left.groupBy("_key", "_lo", "_hi").applyInPandas(compare, f"a {kind}, b {kind}").distinct()
-    close = close.join(stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), ["a", "b"], "left_anti")
-    links = links.union(materialise(_verified(close, texts, width, similarity), "links"))
-    roots = connected(links, "a", "b")
+        i, j = links_of_block([shingles(t, width) for t in group["_text"]], root, mine == group["_lo"].iat[0], mine == group["_hi"].iat[0], similarity)
+        return pd.DataFrame({"a": ids[i], "b": ids[j]})
+
+    more = materialise(left.groupBy("_key", "_lo", "_hi").applyInPandas(compare, f"a {kind}, b {kind}"), "more")
+    if more.limit(1).count():
+        roots = connected(links.union(more), "a", "b")
 
-    classes = rooted(first, "_rep", "_class").select("_of", "_class")
+    classes = materialise(rooted(first, "_rep", "_class").select("_of", "_class"), "classes")
     return signed.join(classes, F.col("_digest") == F.col("_of")).select(F.col("_id").alias("doc_id"), F.col("_class").alias("class_id"))
