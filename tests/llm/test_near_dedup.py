@@ -3,7 +3,7 @@ import random
 import numpy as np
 import pytest
 
-from calado.llm.near_dedup import connected, near_duplicates, prob_min_hash, probability_jaccard, shingles
+from calado.llm.near_dedup import connected, links_of_block, near_duplicates, prob_min_hash, probability_jaccard, shingles
 
 
 def exact(a, b):
@@ -93,7 +93,7 @@ def test_hot_group_of_near_copies(spark):
             copy[rnd.randrange(200)] = rnd.choice(words)
         rows.append((i, " ".join(copy)))
     got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), block=32)
-    assert sorted(tuple(r) for r in got.collect()) == brute(rows)
+    assert sorted([tuple(r) for r in got.collect()], key=str) == brute(rows)
 
 
 def test_empty_table(spark):
@@ -123,3 +123,14 @@ def test_small_table(spark):
     got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
     assert sorted([tuple(r) for r in got.collect()], key=str) == brute(rows)
     assert np.unique([r[0] for r in rows]).size == len(rows)
+
+
+@pytest.mark.parametrize("columns", [3, 64, 4096])
+def test_links_of_block(columns):
+    sets = [shingles(t) for t in texts(5, 40)]
+    n = len(sets)
+    root = np.arange(n)
+    left, right = np.arange(n) % 3 == 0, np.arange(n) % 3 > 0
+    i, j = links_of_block(sets, root, left, right, 0.8, columns)
+    want = {(x, y) for x in range(n) for y in range(n) if left[x] and right[y] and exact(sets[x], sets[y]) >= 0.8}
+    assert set(zip(i.tolist(), j.tolist(), strict=True)) == want
