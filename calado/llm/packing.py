@@ -20,6 +20,7 @@ _LOWER = bytes(b + 32 if 65 <= b <= 90 or 0xC0 <= b <= 0xDE and b != 0xD7 else b
 #: Runs of letters and runs of other signs are tokens' outer bounds, but for an apostrophe, which may go with letters after it.
 _RUNS = re.compile(rb"[%b]+|[^\s%b]+" % (_LETTERS, _LETTERS))
 _RUNS_QUOTED = re.compile(rb"[^\s']*'\S*|[%b]+|[^\s%b]+" % (_LETTERS, _LETTERS))
+_WORD = re.compile(rb"[%b]+" % _LETTERS)
 #: Entries that a task's caches hold at most; they are emptied beyond that.
 _CACHE = 800_000
 
@@ -34,13 +35,15 @@ class _Encoder:
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
-        from tokenizers.pre_tokenizers import ByteLevel
+        from tokenizers.pre_tokenizers import ByteLevel, Sequence, WhitespaceSplit
 
         self.whole = Tokenizer.from_file(path)
-        self.word = Tokenizer.from_file(path)
+        self.words = Tokenizer.from_file(path)
         # A run of lower-case letters is one piece of the vocabulary's own rule, and already normalised.
-        self.word.normalizer = None
-        self.word.pre_tokenizer = ByteLevel(add_prefix_space=False, use_regex=False)
+        self.words.normalizer = None
+        self.words.pre_tokenizer = Sequence([WhitespaceSplit(), ByteLevel(add_prefix_space=False, use_regex=False)])
+        self.ends = np.zeros(self.words.get_vocab_size(), bool)  # tokens that end a piece
+        self.ends[[i for token, i in self.words.get_vocab().items() if token.endswith("</w>")]] = True
         self.runs: dict[bytes, bytes] = {}
         self.chunks: dict[bytes, bytes] = {}
 
@@ -53,11 +56,23 @@ class _Encoder:
                 pass
         return self.chunks, text.encode().split()
 
-    @staticmethod
-    def _learn(known: dict[bytes, bytes], pieces: list[bytes], texts: list[str], library) -> None:
-        for piece, e in zip(pieces, library.encode_batch_fast(texts, add_special_tokens=False), strict=True):
+    def _learn(self, known: dict[bytes, bytes], pieces: list[bytes], encoding: str) -> None:
+        texts = [x.decode(encoding) for x in pieces]
+        for piece, e in zip(pieces, self.whole.encode_batch_fast(texts, add_special_tokens=False), strict=True):
             known[piece] = array("I", e.ids).tobytes()
 
+    def _learn_words(self, words: list[bytes], together: int = 256) -> None:
+        """Words of letters are encoded many to a text; each ends with a token that ends a piece."""
+        groups = [words[i : i + together] for i in range(0, len(words), together)]
+        found = self.words.encode_batch_fast([b" ".join(g).decode("latin-1") for g in groups], add_special_tokens=False)
+        for group, e in zip(groups, found, strict=True):
+            ids = np.array(e.ids, "<u4")
+            raw, ends = ids.tobytes(), ((np.flatnonzero(self.ends[ids]) + 1) * 4).tolist()
+            for word, a, b in zip(group, [0, *ends], ends, strict=False):
+                self.runs[word] = raw[a:b]
+            if len(ends) != len(group):
+                raise ValueError("a word has no ending token, or several")
+
     def ids(self, texts: list[str | None]) -> Iterator[bytes]:
         for batch in _batches(texts):
             split = [self._split(t or "") for t in batch]
@@ -66,11 +81,10 @@ class _Encoder:
                     known.clear()
                 new = set().union(*(p for k, p in split if k is known)).difference(known)
                 if known is self.runs:
-                    plain = [x for x in new if x.decode("latin-1").isalpha()]
-                    self._learn(known, plain, [x.decode("latin-1") for x in plain], self.word)
+                    plain = [x for x in new if _WORD.fullmatch(x)]
+                    self._learn_words(plain)
                     new = new.difference(plain)
-                rest = list(new)
-                self._learn(known, rest, [x.decode(encoding) for x in rest], self.whole)
+                self._learn(known, list(new), encoding)
             for known, pieces in split:
                 yield b"".join(map(known.__getitem__, pieces))
 
