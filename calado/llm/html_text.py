@@ -18,9 +18,9 @@ BOILERPLATE = frozenset("nav footer aside form head menu dialog".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 # Words in class or id, and roles, that mark what is no article.
 MARKS = frozenset(
-    "ad ads adbox adv advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments commentlist consent cookie cookies disclaimer "
-    "disqus footer gdpr header login masthead menu modal nav navbar navigation newsletter notice notices pager pagination popup promo promoted promotion related "
-    "recommended reply replies respond responses search share sharing sidebar signup site-header skip social sponsor sponsored subscribe tags toolbar topbar widget".split()
+    "ad ads adbox adsbygoogle adv advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments commentlist consent cookie cookies disclaimer "
+    "disqus footer gdpr header login masthead menu modal nav navbar navigation newsletter notice notices outbrain pager pagination popup promo promoted promotion related "
+    "recommended reply replies respond responses search share sharing sidebar signup site-header skip social sponsor sponsored subscribe taboola tags toolbar topbar widget".split()
 )
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar form".split())
 
@@ -30,46 +30,43 @@ _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|\d+")
 
 
 class _Node:
-    __slots__ = ("tag", "parent", "children", "parts", "dropped", "chars", "tags", "link_chars", "link_tags", "density", "total")
+    __slots__ = ("tag", "parent", "children", "parts", "mark", "dropped", "chars", "tags", "link_chars", "link_tags", "density", "total")
 
-    def __init__(self, tag: str, parent: _Node | None, dropped: bool) -> None:
-        self.tag, self.parent, self.dropped = tag, parent, dropped
+    def __init__(self, tag: str, parent: _Node | None, mark: str = "") -> None:
+        self.tag, self.parent, self.mark, self.dropped = tag, parent, mark, False
         self.children: list[_Node] = []
         self.parts: list[_Node | str] = []  # in page order
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.total = 0.0
 
 
-def _marked(tag: str, attributes: str, parent: _Node) -> bool:
-    """Whether this element, by its name, class, id or role, is no article text."""
-    if tag in BOILERPLATE:
-        return True
+def _mark(tag: str, attributes: str, parent: _Node) -> str:
+    """``tag`` or ``name`` if this element, by its tag or by class, id, role or style, is no article text; else empty."""
+    if tag in BOILERPLATE or tag in RAW:
+        return "tag"
+    inside = False
+    up = parent
+    while up is not None and not inside:
+        inside, up = up.tag in ("article", "main"), up.parent
+    if tag == "header" and not inside:
+        return "tag"
     found = {m[1].lower(): html.unescape(m[2] or m[3] or m[4] or "") for m in _ATTRIBUTE.finditer(attributes)} if attributes.strip() else {}
-    if tag == "header":
-        up = parent
-        while up is not None:
-            if up.tag in ("article", "main"):
-                return False
-            up = up.parent
-        return True
-    if not found:
-        return False
+    if not found or tag in ("body", "html", "main"):
+        return ""
     if "hidden" in found or found.get("aria-hidden") == "true" or found.get("role", "").lower() in ROLES:
-        return True
+        return "name"
     if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", found.get("style", "")):
-        return True
-    if tag in ("body", "html", "article", "main"):
-        return False
-    for name in re.split(r"\s+", f"{found.get('class', '')} {found.get('id', '')}"):
-        parts = [x.lower() for x in _PART.findall(name)]
-        if name.lower() in MARKS or not MARKS.isdisjoint(parts):
-            return True
-    return False
+        return "name"
+    for name in f"{found.get('class', '')} {found.get('id', '')}".split():
+        parts = {name.lower(), *(x.lower() for x in _PART.findall(name))} & MARKS
+        if parts - ({"header", "masthead"} if inside or tag == "article" else set()):
+            return "name"
+    return ""
 
 
 def _parse(page: str) -> _Node:
     """A tree of elements and text. End tags that match nothing are left out; open elements end with their parent."""
-    root = here = _Node("html", None, False)
+    root = here = _Node("html", None)
     at = 0
 
     def add(text: str) -> None:
@@ -99,7 +96,7 @@ def _parse(page: str) -> _Node:
             continue
         if tag in ("html", "body"):
             if tag == "body" and here.tag != "body":
-                here = body = _Node("body", root, False)
+                here = body = _Node("body", root)
                 root.children.append(body)
                 root.parts.append(body)
             continue
@@ -123,7 +120,7 @@ def _parse(page: str) -> _Node:
                 close("dd", frozenset(("dl",)))
             elif tag == "option":
                 close("option", frozenset(("select",)))
-        node = _Node(tag, here, here.dropped or tag in RAW or _marked(tag, m[4] or "", here))
+        node = _Node(tag, here, _mark(tag, m[4] or "", here))
         here.children.append(node)
         here.parts.append(node)
         if tag in RAW:
@@ -144,6 +141,18 @@ def _order(root: _Node) -> list[_Node]:
     return out
 
 
+def _drop(nodes: list[_Node]) -> None:
+    """Drop what is marked, with all in it; but a name on a wrapper around an article or main says nothing of that."""
+    held = set()
+    for n in nodes:
+        if n.tag in ("article", "main") and not n.mark:
+            while n is not None and n not in held:
+                held.add(n)
+                n = n.parent
+    for n in nodes:  # parents before their children
+        n.dropped = bool(n.parent and n.parent.dropped or n.mark == "tag" or n.mark and n not in held)
+
+
 def _weigh(nodes: list[_Node], body: _Node) -> None:
     """Counts of every node, its composite density, and the sum of its children's densities. Dropped nodes weigh nothing."""
     for n in reversed(nodes):  # children before their parent
@@ -201,6 +210,7 @@ def main_text(page: str | None) -> str:
     root = _parse(page)
     nodes = _order(root)
     body = next((n for n in nodes if n.tag == "body"), root)
+    _drop(nodes)
     _weigh(nodes, body)
     live = [n for n in nodes if not n.dropped and n.chars and n.tag not in INLINE]
     if not live:
