@@ -59,7 +59,8 @@ def strip_grid(sites: DataFrame, along: list[float], across: list[float]) -> Dat
 
 def band_tiles(segs: DataFrame, group: str, half: float, width: float) -> DataFrame:
     """Tiles (group, tx, ty) within ``half`` of a line, by the distance of each segment to the tile's box."""
-    rows = segs.withColumn("tx", _cells(F.least("ax", "bx") - half, F.greatest("ax", "bx") + half, width)).withColumn("ty", _cells(F.least("ay", "by") - half, F.greatest("ay", "by") + half, width))
+    span = lambda a, b: F.explode(F.sequence(F.ceil((F.least(a, b) - half) / width) - 1, F.floor((F.greatest(a, b) + half) / width)))
+    rows = segs.withColumn("tx", span("ax", "bx")).withColumn("ty", span("ay", "by"))
     x0, y0 = F.col("tx") * width, F.col("ty") * width
     x1, y1 = x0 + width, y0 + width
     ends = lambda x, y: F.hypot(F.greatest(x0 - x, F.lit(0.0), x - x1), F.greatest(y0 - y, F.lit(0.0), y - y1))
@@ -159,7 +160,8 @@ def edge_spans(edges: DataFrame, polygons: DataFrame, width: float, carry: str =
                 for s, t in _inside(*ends, _ring(ring)):
                     out.append((k, kept, float(np.hypot(ends[2] - ends[0], ends[3] - ends[1])), s, t))
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*out, strict=True)], ["edge_id", carry, "length", "start", "end"])
+                kinds = [b.schema.field(0).type, b.schema.field(6).type, *[pa.float64()] * 3]
+                yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*out, strict=True), kinds, strict=True)], ["edge_id", carry, "length", "start", "end"])
 
     return pairs.select("edge_id", "ax", "ay", "bx", "by", F.col("ring").cast(RING), F.col(carry).alias("_kept")).mapInArrow(cut, schema)
 
