@@ -28,13 +28,21 @@ def language_dictionaries(labelled: DataFrame, dict_bytes: int = 1 << 16, sample
     """(language, raw-content dictionary), the languages with most rows first.
 
     ``labelled`` has doc_id, text and lang. The bounds of the sample are these parameters: for each language the whole texts of
-    the first ``sample_docs`` documents in the order of a hash of their id, of those with at most ``longest`` characters,
-    as far as ``dict_bytes`` goes. Rows with null text or lang are left out.
+    at most ``sample_docs`` documents in the order of a hash of their id, of those with at most ``longest`` characters,
+    as far as ``dict_bytes`` goes. Rows with null text or lang are left out. A threshold on that hash, by each language's
+    number of rows, thins the rows where they are read, so that what is ranked does not grow with the input.
     """
-    fits = labelled.where(F.col("lang").isNotNull() & (F.char_length("text") <= longest)).select(F.col("lang"), "doc_id", "text")
-    counts = {r["lang"]: r["n"] for r in labelled.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text"))
-    sample = fits.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= sample_docs)
+    rows = labelled.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", "doc_id", "text", (F.char_length("text") <= longest).alias("_fits"))
+    found = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.count_if("_fits").alias("fits")).collect()
+    counts = {r["lang"]: r["n"] for r in found}
+    if not counts:
+        return []
+    scale = 1 << 30
+    limit = F.create_map(*[F.lit(x) for r in found for x in (r["lang"], min(scale, 2 * sample_docs * scale // max(r["fits"], 1)))])
+    place = F.xxhash64("doc_id", F.lit(1))
+    thinned = rows.where(F.col("_fits") & (F.pmod(place, F.lit(scale)) < limit[F.col("lang")]))
+    order = Window.partitionBy("lang").orderBy(place, "doc_id", F.xxhash64("text"))
+    sample = thinned.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= sample_docs)
     texts: dict[str, list[str]] = {}
     for r in sample.orderBy("lang", "_rank").toLocalIterator():
         texts.setdefault(r["lang"], []).append(_plain(r["text"]))
