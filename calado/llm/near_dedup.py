@@ -243,7 +243,9 @@ def near_duplicates(
 
     members = weighed.select(F.col("_rep").alias("_id")).distinct()
     registers = materialise(signed.select("_id", "_registers").join(members, "_id", "left_semi").dropDuplicates(["_id"]), "registers")
-    texts = materialise(docs.select(F.col("doc_id").alias("_id"), F.col("text").alias("_text")).join(members, "_id", "left_semi").dropDuplicates(["_id"]), "texts")
+    # Candidates are a share of all documents, so this join is a shuffle at every size.
+    texts = docs.select(F.col("doc_id").alias("_id"), F.col("text").alias("_text")).join(members.hint("shuffle_hash"), "_id", "left_semi")
+    texts = materialise(texts.dropDuplicates(["_id"]), "texts")
 
     close = materialise(_alike(stars, registers, similarity - slack), "close")
     links = materialise(_verified(close, texts, width, similarity), "links")
