@@ -169,7 +169,7 @@ def train(docs: DataFrame, vocabulary: Vocabulary, dim: int = 16, masked: int =
                         train_step(net, squares, context(ids, chosen), ids[chosen], rate)
                     n += len(at)
         if n:
-            flat = np.concatenate([net[k].ravel() for k in shapes]).astype(np.float64) * n
+            flat = np.concatenate([net[k].ravel() for k in shapes]) * np.float32(n)
             parts = [flat[i : i + block] for i in range(0, len(flat), block)]
             yield pa.RecordBatch.from_arrays([pa.array(range(len(parts)), pa.int32()), pa.array([n] * len(parts), pa.int64()), pa.array([x.tobytes() for x in parts], pa.binary())], ["block", "n", "sums"])
 
@@ -177,7 +177,7 @@ def train(docs: DataFrame, vocabulary: Vocabulary, dim: int = 16, masked: int =
         sums: dict[int, list] = {}
         for batch in batches:
             for b, n, raw in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-                x = np.frombuffer(raw)
+                x = np.frombuffer(raw, np.float32)
                 old = sums.get(b)
                 sums[b] = [old[0] + n, old[1] + x] if old else [n, x]
         if sums:
@@ -189,7 +189,7 @@ def train(docs: DataFrame, vocabulary: Vocabulary, dim: int = 16, masked: int =
     rows = parts.repartition(8, "block").mapInArrow(add, kind).orderBy("block").collect()
     if not rows:
         return start
-    flat = np.concatenate([np.frombuffer(r["sums"]) / r["n"] for r in rows])
+    flat = np.concatenate([np.frombuffer(r["sums"], np.float32) / r["n"] for r in rows])
     net, at = {}, 0
     for k, shape in shapes.items():
         n = int(np.prod(shape))
