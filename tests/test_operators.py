@@ -201,3 +201,42 @@ def test_empty_tables(spark):
     profile = spark.createDataFrame([], "g int, s double, x double, y double, z double")
     assert windows.resample(profile, ["g"], 5.0).collect() == [] and windows.smooth(profile, ["g"], "s", "z", 1.0).collect() == []
     assert windows.minimax_grade(profile, ["g"], 0.1, 0.05, F.lit(False)).collect() == []
+
+
+def test_quintic_by_differences(spark):
+    p0, p1, t0, t1 = (1.0, 2.0), (40.0, 30.0), (20.0, 5.0), (3.0, 25.0)
+    lit = lambda p: tuple(F.lit(v) for v in p)
+    x, y, k = G.quintic(lit(p0), lit(p1), lit(t0), lit(t1), F.col("t"))
+    step = 1e-3
+    rows = spark.range(1001).select((F.col("id") * step).alias("t")).select("t", x.alias("x"), y.alias("y"), k.alias("k")).orderBy("t").collect()
+    xs, ys = np.array([r["x"] for r in rows]), np.array([r["y"] for r in rows])
+    assert (xs[0], ys[0]) == p0 and (xs[-1], ys[-1]) == pytest.approx(p1)
+    dx, dy = np.gradient(xs, step), np.gradient(ys, step)
+    bend = (dx * np.gradient(dy, step) - dy * np.gradient(dx, step)) / (dx**2 + dy**2) ** 1.5
+    assert np.allclose(bend[5:-5], [r["k"] for r in rows][5:-5], atol=1e-4) and abs(rows[0]["k"]) < 1e-9 and abs(rows[-1]["k"]) < 1e-9
+    assert ((xs[1] - xs[0]) / step, (ys[1] - ys[0]) / step) == pytest.approx(t0, rel=1e-3)
+
+
+def test_country_lengths_add_up(spark):
+    corner = lambda x, y: {"x": float(x), "y": float(y)}
+    box = lambda a, b: [corner(a, -99), corner(b, -99), corner(b, 99), corner(a, 99)]
+    countries = spark.createDataFrame([("west", 1, box(-99, 5)), ("east", 2, box(5, 99))], "country string, polygon_id int, ring array<struct<x:double,y:double>>")
+    edges = spark.createDataFrame([("a", "e1", 0.0, 0.0, 10.0, 0.0), ("a", "e2", 10.0, 0.0, 10.0, 8.0), ("b", "e3", 1.0, 1.0, 4.0, 5.0)], "line string, edge_id string, ax double, ay double, bx double, by double")
+    got = {(r["line"], r["country"]): r["length_in"] for r in spatial.country_split(edges, "line", countries, 50.0).collect()}
+    assert got == {("a", "west"): pytest.approx(5.0), ("a", "east"): pytest.approx(13.0), ("b", "west"): pytest.approx(5.0)}
+
+
+def test_alternatives_hold_their_limits(spark):
+    cells = spark.createDataFrame([(x, y, float((x * 7 + y * 3) % 5), 1.0) for x in range(5) for y in range(4)], "x long, y long, z double, relief double")
+    edges = graph.checkpointed(graph.lattice(cells, "distance"))
+    queries = spark.createDataFrame([("q", "0,0", "4,3")], "q string, start string, end string")
+    rows = {r["variant"]: r for r in graph.alternatives(edges, queries, 3, max_jaccard=0.8).collect()}
+    first = rows[0]
+    assert first["cost"] == pytest.approx(3 * math.sqrt(2) + 1) and first["nodes"][0] == "0,0" and first["nodes"][-1] == "4,3"
+    known = {tuple(sorted((r["a"], r["b"]))) for r in edges.collect()}
+    for v, r in rows.items():
+        assert all(tuple(sorted(p)) in known for p in zip(r["nodes"], r["nodes"][1:], strict=False))
+        for w, other in rows.items():
+            if w < v:
+                a, b = set(r["nodes"]), set(other["nodes"])
+                assert len(a & b) / len(a | b) <= 0.8 and r["cost"] <= 1.48 * first["cost"]
