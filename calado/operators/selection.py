@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from functools import reduce
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -44,23 +43,39 @@ def top_n(df: DataFrame, part: list[str], order: list[Column], n: int) -> DataFr
     return df.withColumn("rank", F.row_number().over(Window.partitionBy(*part).orderBy(*order))).where(F.col("rank") <= n)
 
 
-def greedy_disjoint(df: DataFrame, part: str, order: list[str], ids: str, candidates: int = 200, picks: int = 4) -> DataFrame:
-    """Per part up to ``picks`` rows in order, none with an id of its array that an earlier one has.
+def greedy_disjoint(df: DataFrame, part: str, order: list[str], ids: str, picks: int = 4) -> DataFrame:
+    """Per part up to ``picks`` rows in order, none with an id of its array that an earlier one has; ``rank`` is the place among all rows of the part.
 
-    Spark ranks and keeps the first ``candidates`` of each part, the bound of a group in Python.
+    Each round takes the least row of every part that is after its last pick and holds no id taken there, over all rows; ties go by the
+    other columns. Null ids clash with none. Only picks are joined, once for each of a part's salts, as one part may hold most rows.
     """
-    few = top_n(df, [part], [F.col(c) for c in order], candidates)
-
-    def choose(group: pd.DataFrame) -> pd.DataFrame:
-        taken: set = set()
-        keep = []
-        for row in group.sort_values("rank").itertuples():
-            if len(keep) < picks and taken.isdisjoint(getattr(row, ids)):
-                taken.update(getattr(row, ids))
-                keep.append(row.Index)
-        return group.loc[keep]
-
-    return few.groupBy(part).applyInPandas(choose, few.schema)
+    salts = 16
+    columns = [*order, *[c for c in df.columns if c not in order]]
+    rows = checkpointed(df.select(F.col(part).alias("_part"), F.struct(*columns, F.monotonically_increasing_id().alias("_id")).alias("_row"), F.array_compact(F.coalesce(ids, F.array().cast(df.schema[ids].dataType))).alias("_ids")))
+    rows = rows.withColumn("_salt", F.pmod("_row._id", F.lit(salts)).cast("int"))
+
+    def dealt(picked: DataFrame) -> DataFrame:
+        return picked.select("*", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_s")).withColumnRenamed("_part", "_p")
+
+    at_part = F.col("_part").eqNullSafe(F.col("_p")) & (F.col("_salt") == F.col("_s"))
+    picked, free = None, rows
+    for step in range(picks):
+        least = free.groupBy("_part", "_salt").agg(F.min(F.struct("_row", "_ids")).alias("_m")).groupBy("_part").agg(F.min("_m").alias("_m"))
+        new = checkpointed(least.select("_part", "_m._row", "_m._ids", F.lit(step).alias("_step")))
+        if not new.limit(1).count():
+            break
+        picked = new if picked is None else picked.unionByName(new)
+        taken = picked.groupBy("_part").agg(F.max("_row").alias("_last"), F.array_distinct(F.flatten(F.collect_list("_ids"))).alias("_taken"))
+        free = rows.join(dealt(taken), at_part).where((F.col("_row") > F.col("_last")) & ~F.arrays_overlap("_ids", "_taken")).select(*rows.columns)
+    if picked is None:
+        return df.limit(0).withColumn("rank", F.lit(0))
+    ends = picked.groupBy("_part").agg(F.array_sort(F.collect_list("_row")).alias("_ends"))
+    # The first pick that a row is not after; rows up to it, summed over the picks before, give its place.
+    placed = rows.join(dealt(ends), at_part).select("_part", "_salt", F.size(F.filter("_ends", lambda e: e < F.col("_row"))).alias("_step"))
+    counts = placed.groupBy("_part", "_salt", "_step").agg(F.count(F.lit(1)).alias("_n")).groupBy("_part", "_step").agg(F.sum("_n").alias("_n"))
+    ranks = counts.withColumn("rank", F.sum("_n").over(Window.partitionBy("_part").orderBy("_step")).cast("int")).select(F.col("_part").alias("_p"), F.col("_step").alias("_s"), "rank")
+    met = picked.join(ranks, F.col("_part").eqNullSafe(F.col("_p")) & (F.col("_step") == F.col("_s")))
+    return met.select(*[F.col(f"_row.{c}").alias(c) for c in df.columns], "rank")
 
 
 def greedy_cover(items: DataFrame, item: str, unit: str, n: int) -> DataFrame:

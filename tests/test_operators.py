@@ -109,6 +109,28 @@ def test_greedy(spark):
     assert [tuple(r) for r in selection.greedy_cover(items, "item", "unit", 3).orderBy("step").collect()] == [(1, "b", 6), (2, "a", 3), (3, "c", 1)]
 
 
+def test_greedy_disjoint_by_brute_force(spark):
+    """Parts with over 200 clashing rows first, ties, repeated rows, null and empty ids, a null part."""
+    rnd = random.Random(8)
+    rows = [("hot", i // 2, [0, 1000 + i]) for i in range(500)] + [("hot", 600 + i, [i // 90, 7]) for i in range(300)] + [("hot", 2000, [500, 501]), ("hot", 2001, [501, 502]), ("hot", 2002, [502])]
+    rows += [(rnd.choice(["a", "b", None]), rnd.randint(0, 40), [rnd.randint(0, 5) for _ in range(rnd.randint(1, 3))]) for _ in range(120)]
+    rows += [("free", 1, []), ("free", 1, []), ("free", 2, None), ("free", 3, [None]), ("free", 4, [1]), ("one", 1, [3]), ("one", 2, [3])]
+    rnd.shuffle(rows)
+    schema = "part string, k int, tiles array<int>"
+    got = sorted(((r["part"] or "", r["k"], r["rank"]) for r in selection.greedy_disjoint(spark.createDataFrame(rows, schema).repartition(7), "part", ["k"], "tiles", picks=4).collect()))
+    low = lambda r: (r[1], r[2] is not None, [(x is not None, x or 0) for x in r[2] or []])
+    want = []
+    for part in {r[0] for r in rows}:
+        taken, n = set(), 0
+        for rank, r in enumerate(sorted((r for r in rows if r[0] == part), key=low), 1):
+            ids = {x for x in r[2] or [] if x is not None}
+            if n < 4 and not ids & taken:
+                taken, n = taken | ids, n + 1
+                want.append((part or "", r[1], rank))
+    assert got == sorted(want) and sum(r[0] == "hot" for r in got) == 4
+    assert not selection.greedy_disjoint(spark.createDataFrame([], schema), "part", ["k"], "tiles").collect()
+
+
 def test_chunks_cover_once(spark):
     members = spark.createDataFrame([(1, list(range(13)), list(range(7))), (2, [1], [2])], "request int, dim_a array<int>, dim_b array<int>")
     rows = selection.plan_chunks(members, 10, "dim_a").collect()
