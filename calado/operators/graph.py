@@ -37,13 +37,14 @@ def shortest_paths(edges: DataFrame, queries: DataFrame, rounds: int = 10_000) -
     """(q, node, cost, path) of the cheapest path from each query's start to every node it reaches.
 
     All queries are relaxed together: the nodes whose cost fell send it along their edges, and the least offer wins, ties
-    by the path's names. It stops when no cost falls. Costs are not negative; nodes that edges do not name are never crossed.
+    by the path's names. It stops when no cost falls; where one still would after ``rounds`` rounds, that is an error.
+    Costs are not negative; nodes that edges do not name are never crossed.
     Rows hold their path, which is as long as the route, so that no second pass has to trace it back.
     """
     steps = edges.select("a", "b", F.col("cost").alias("_step"))
     zero = queries.select("q", F.col("start").alias("node"), F.lit(0.0).alias("cost"), F.array("start").alias("path"))
     best = frontier = checkpointed(zero)
-    for _ in range(rounds):
+    for done in range(rounds + 1):
         sent = frontier.join(steps, F.col("node") == F.col("a")).select("q", F.col("b").alias("node"), (F.col("cost") + F.col("_step")).alias("offer"), F.concat("path", F.array("b")).alias("via"))
         least = sent.groupBy("q", "node").agg(F.min(F.struct("offer", "via")).alias("_m")).select("q", "node", "_m.offer", "_m.via")
         better = F.col("offer").isNotNull() & (F.col("cost").isNull() | (F.col("offer") < F.col("cost") - 1e-12))
@@ -51,8 +52,9 @@ def shortest_paths(edges: DataFrame, queries: DataFrame, rounds: int = 10_000) -
         now = checkpointed(met.select("q", "node", F.when(better, F.col("offer")).otherwise(F.col("cost")).alias("cost"), F.when(better, F.col("via")).otherwise(F.col("path")).alias("path"), better.alias("_new")))
         best, frontier = now.drop("_new"), now.where("_new").drop("_new")
         if not frontier.limit(1).count():
-            break
-    return best
+            return best
+        if done == rounds:
+            raise ValueError(f"costs still fall after {rounds} rounds")
 
 
 def alternatives(edges: DataFrame, queries: DataFrame, k: int, penalty: float = 3.0, max_jaccard: float = 0.68, max_length: float = 1.48) -> DataFrame:

@@ -11,7 +11,8 @@ from calado.plans.join import SITES, ZONES, diamonds
 from calado.plans.sequence import PROFILE, RECTS
 
 # Orders of a customer as a line: points in order of key.
-LINE = "SELECT o_custkey % 20 AS line, o_orderkey AS seq, CAST((o_orderkey * 13) % 500 AS DOUBLE) AS x, CAST((o_orderkey * 29) % 400 AS DOUBLE) AS y FROM {orders} WHERE o_orderkey % 15 = 0"
+LINES = "SELECT o_custkey % 20 AS line, o_orderkey AS seq, CAST((o_orderkey * 13) % 500 AS DOUBLE) AS x, CAST((o_orderkey * 29) % 400 AS DOUBLE) AS y FROM {orders}"
+LINE = LINES + " WHERE o_orderkey % 15 = 0"
 _SEG = "seg AS (SELECT line, seq, x AS ax, y AS ay, lead(x) OVER w AS bx, lead(y) OVER w AS by_ FROM lines WINDOW w AS (PARTITION BY line ORDER BY seq)), segs AS (SELECT *, sqrt(power(bx - ax, 2) + power(by_ - ay, 2)) AS length, coalesce(sum(sqrt(power(bx - ax, 2) + power(by_ - ay, 2))) OVER (PARTITION BY line ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS s0 FROM seg WHERE bx IS NOT NULL)"
 
 
@@ -44,7 +45,7 @@ def _(t, sites):
 
 @query("G04_band_tiles")
 def _(t):
-    return S.band_tiles(S.segments(t.sql(LINE), ["line"], "seq"), "line", 15.0, 50.0)
+    return S.band_tiles(S.segments(t.sql(LINES), ["line"], "seq"), "line", 15.0, 50.0)
 
 
 @query("G05_clip_area")
@@ -56,7 +57,7 @@ def _(t):
 
 @query("G06_overlap_length")
 def _(t):
-    segs = S.segments(t.sql(LINE), ["line"], "seq").select(F.col("line"), F.concat_ws("-", F.col("line"), F.round("s0", 3)).alias("edge_id"), "ax", "ay", "bx", "by")
+    segs = S.segments(t.sql(LINES), ["line"], "seq").select(F.col("line"), F.concat_ws("-", F.col("line"), F.round("s0", 3)).alias("edge_id"), "ax", "ay", "bx", "by")
     inside = S.edge_exposure(segs.drop("line"), diamonds(t.sql(ZONES)), 50.0)
     return inside.join(segs.select("edge_id", "line"), "edge_id").groupBy("line").agg(F.sum("inside").alias("inside"))
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from calado.functions import geometry as G
 from calado.functions import text as X
 from calado.operators import gates, graph, joins, selection, spatial, windows
+from calado.plans import registry
 from calado.sources import payloads, sinks
 
 
@@ -161,6 +162,51 @@ def test_shortest_paths_by_brute_force(spark):
         assert sum(costs[p, q] for p, q in zip(r["path"], r["path"][1:], strict=False)) == r["cost"] and r["path"][-1] == r["node"]
 
 
+def test_shortest_paths_fail_where_rounds_run_out(spark):
+    edges = spark.createDataFrame([(str(i), str(i + 1), 1.0) for i in range(4)], "a string, b string, cost double")
+    start = spark.createDataFrame([("q", "0")], "q string, start string")
+    assert graph.shortest_paths(edges, start, rounds=4).count() == 5
+    with pytest.raises(ValueError, match="still fall after 3 rounds"):
+        graph.shortest_paths(edges, start, rounds=3)
+
+
+def test_line_queries_read_all_orders(spark, tmp_path):
+    """G04 and G06 by brute force over lines of orders whose keys are no multiples of 15."""
+    orders = [(k, k % 2) for k in (1, 4, 7, 11, 13, 22, 34, 38)]
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long").write.parquet(str(tmp_path / "orders.parquet"))
+    spark.createDataFrame([(i,) for i in range(200)], "s_suppkey long").write.parquet(str(tmp_path / "supplier.parquet"))
+    segs = []
+    for line in (0, 1):
+        points = [((k * 13) % 500, (k * 29) % 400) for k, c in orders if c == line]
+        segs += [(line, *a, *b) for a, b in zip(points, points[1:], strict=False)]
+    want = {}
+    for line, ax, ay, bx, by in segs:
+        for tx in range(-1, 11):
+            for ty in range(-1, 9):
+                def gap(t):
+                    x, y = ax + t * (bx - ax), ay + t * (by - ay)  # noqa: B023
+                    return math.hypot(max(tx * 50 - x, 0, x - tx * 50 - 50), max(ty * 50 - y, 0, y - ty * 50 - 50))  # noqa: B023
+
+                low, high = 0.0, 1.0
+                for _ in range(60):  # the gap is convex along the segment
+                    a, b = low + (high - low) / 3, high - (high - low) / 3
+                    low, high = (low, b) if gap(a) <= gap(b) else (a, high)
+                want[line, tx, ty] = min(want.get((line, tx, ty), math.inf), gap((low + high) / 2), gap(0), gap(1))
+    queries = registry.queries()
+    got = {tuple(r) for r in queries["G04_band_tiles"](spark, str(tmp_path)).collect()}
+    assert {k for k, d in want.items() if d < 15 - 1e-6} <= got <= {k for k, d in want.items() if d < 15 + 1e-6} and len(got) > 20
+    zones = [((s * 211) % 1009, (s * 307) % 1013, 10 + s % 40) for s in range(200)]
+    inside = dict.fromkeys((0, 1), 0.0)
+    for line, ax, ay, bx, by in segs:
+        t = (np.arange(100_000) + 0.5) / 100_000
+        x, y, held = ax + t * (bx - ax), ay + t * (by - ay), np.zeros(100_000, bool)
+        for zx, zy, r in zones:
+            held |= np.abs(x - zx) + np.abs(y - zy) <= r
+        inside[line] += held.mean() * math.hypot(bx - ax, by - ay)
+    got = {r["line"]: r["inside"] for r in queries["G06_overlap_length"](spark, str(tmp_path)).collect()}
+    assert got == {k: pytest.approx(v, rel=1e-3) for k, v in inside.items()} and all(inside.values())
+
+
 def test_exposure_and_clip(spark):
     square = [{"x": 0.0, "y": 0.0}, {"x": 10.0, "y": 0.0}, {"x": 10.0, "y": 10.0}, {"x": 0.0, "y": 10.0}]
     wide = [{"x": x["x"] * 1.5, "y": x["y"]} for x in square]
