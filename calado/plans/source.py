@@ -111,7 +111,7 @@ def _(t):
 @query("S09_walk_rows", "SELECT DISTINCT event_id AS doc, '/data/0/inner' AS pointer, '{\"value\":' || CAST(json_extract(props, '$.k') AS INTEGER) || '}' AS \"row\" FROM events")
 def _(t):
     body = F.concat(F.lit('{"meta":{"a":1},"data":[{"inner":{"value":'), F.get_json_object("props", "$.k"), F.lit("}}]}"))
-    return S.walk_rows(t("events").select(F.col("event_id").alias("doc"), body.alias("body")), depth=3)
+    return S.walk_rows(t("events").select(F.col("event_id").alias("doc"), body.alias("body")))
 
 
 @query("S10_json_path", "SELECT event_id, CASE WHEN event_id % 3 = 0 THEN 3 WHEN event_id % 3 = 1 THEN 1 END AS records, event_id % 3 = 0 AS enough FROM events")

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from calado.functions.text import fold
+from calado.operators.storage import checkpointed
 
 
 def validate_specs(specs: DataFrame) -> DataFrame:
@@ -113,17 +114,18 @@ def zip_variables(table: DataFrame) -> tuple[DataFrame, DataFrame]:
     return rows, qa
 
 
-def walk_rows(docs: DataFrame, depth: int = 4) -> DataFrame:
+def walk_rows(docs: DataFrame) -> DataFrame:
     """Objects of nested JSON that hold a value key, with their pointer; equal (pointer, content) once.
 
-    Each level is one step over keys of objects and places of lists; ``depth`` is the bound.
+    Each level is one step over keys of objects and places of lists, until a level is empty.
     """
     here = docs.select("doc", F.lit("").alias("pointer"), F.parse_json("body").alias("node"))
     found = []
-    for _ in range(depth):
-        step = _children(here)
-        found.append(step)
-        here = step.select("doc", "pointer", "node")
+    while True:
+        here = checkpointed(_children(here))
+        found.append(here)
+        if not here.limit(1).count():
+            break
     rows = reduce(lambda a, b: a.unionByName(b), found)
     text = F.to_json("node")
     is_row = F.schema_of_variant("node").startswith("OBJECT") & F.coalesce(F.try_variant_get("node", "$.value", "string"), F.try_variant_get("node", "$.valor", "string")).isNotNull()
@@ -176,13 +178,26 @@ def html_tables(pages: DataFrame, key: str = "page_id", headers: list[str] | Non
     return body.withColumn("_n", F.count(F.lit(1)).over(w)).where(F.col("_n") >= min_rows).select(key, "table_no", "row_no", "cells")
 
 
+def _absolute(href: Column, base: Column) -> Column:
+    """An address resolved against its page's, as by RFC 3986; null for schemes other than http and https."""
+    root = F.regexp_extract(base, r"^(https?://[^/?#]+)", 1)
+    scheme = F.coalesce(F.nullif(F.regexp_extract(base, r"^(https?:)//", 1), F.lit("")), F.lit("https:"))
+    page = F.regexp_extract(base, r"^(https?://[^?#]+)", 1)
+    folder = F.coalesce(F.nullif(F.regexp_extract(page, r"^(https?://[^/]+/(?:.*/)?)", 1), F.lit("")), F.concat(root, F.lit("/")))
+    joined = F.when(href.startswith("/"), F.concat(root, href)).when(href.startswith("?"), F.concat(page, href)).when(href.startswith("#"), F.concat(F.regexp_extract(base, r"^([^#]*)", 1), href)).otherwise(F.concat(folder, href))
+    path = F.regexp_extract(joined, r"^https?://[^/?#]+/([^?#]*)", 1)
+    parts = F.split(F.regexp_replace(path, r"(^|/)(\.\.?)$", "$1$2/"), "/")
+    kept = F.aggregate(parts, F.array().cast("array<string>"), lambda done, c: F.when(c == "..", F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(0)))).when(c == ".", done).otherwise(F.concat(done, F.array(c))))
+    plain = F.concat(root, F.lit("/"), F.array_join(kept, "/"), F.regexp_extract(joined, r"^[^?#]*(.*)$", 1))
+    local = F.when(root != "", F.when(path.rlike(r"(^|/)\.\.?(/|$)"), plain).otherwise(joined)).when((root == "") & href.startswith("/"), href)
+    return F.when(href.rlike(r"(?i)^https?://"), href).when(href.startswith("//"), F.concat(scheme, href)).when((href != "") & ~href.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*:"), local)
+
+
 def links(pages: DataFrame, key: str = "page_id", base: str = "url", pattern: str | None = None, most: int | None = None) -> DataFrame:
     """(key, href, label, position): absolute links, the first of each address, those that match, at most ``most`` a page."""
     found = pages.select(key, base, F.posexplode(F.regexp_extract_all(_no_scripts(F.col("html")), F.lit(r"(?is)(<a\b[^>]*>.*?</a\s*>)"), 1)).alias("position", "_a"))
     href = F.regexp_extract("_a", r"(?is)^<a\b[^>]*?\bhref\s*=\s*[\"']?([^\"'\s>]+)", 1)
-    root = F.regexp_extract(base, r"^(https?://[^/?#]+)", 1)
-    full = F.when(href.rlike(r"^https?://"), href).when(href.startswith("//"), F.concat(F.lit("https:"), href)).when(href.startswith("/"), F.concat(root, href))
-    rows = found.select(key, full.alias("href"), _cell_text(F.col("_a")).alias("label"), "position").where("href IS NOT NULL")
+    rows = found.select(key, _absolute(href, F.col(base)).alias("href"), _cell_text(F.col("_a")).alias("label"), "position").where("href IS NOT NULL")
     if pattern:
         rows = rows.where(F.col("href").rlike(pattern))
     first = rows.groupBy(key, "href").agg(F.min(F.struct("position", "label")).alias("_m")).select(key, "href", "_m.label", "_m.position")

@@ -207,6 +207,25 @@ def test_line_queries_read_all_orders(spark, tmp_path):
     assert got == {k: pytest.approx(v, rel=1e-3) for k, v in inside.items()} and all(inside.values())
 
 
+def test_links_resolve_like_urljoin(spark):
+    from urllib.parse import urljoin
+
+    hrefs = ["page.html", "../x", "?p=2", "/a/b", "//other.org/z", "https://z.org/q", "./y/./z?u=../v", "../../../up", "..", "sub/", "/a/../c", "mailto:a@b.c"]
+    bases = ["http://h.org/d/e/f.html?x=/1#y", "https://h.org", "https://h.org/d/"]
+    html = "".join(f'<a href="{h}">t</a>' for h in hrefs)
+    got = payloads.links(spark.createDataFrame([(i, b, html) for i, b in enumerate(bases)], "page_id int, url string, html string")).collect()
+    for i, base in enumerate(bases):
+        assert {r["href"] for r in got if r["page_id"] == i} == {urljoin(base, h) for h in hrefs[:-1]}
+
+
+def test_walk_rows_reads_every_level(spark):
+    deep = '{"value":1}'
+    for _ in range(9):
+        deep = '{"a":[' + deep + "]}"
+    got = payloads.walk_rows(spark.createDataFrame([(1, deep), (2, '{"b":{"value":2}}')], "doc int, body string")).collect()
+    assert {(r["doc"], r["pointer"], r["row"]) for r in got} == {(1, "/a/0" * 9, '{"value":1}'), (2, "/b", '{"value":2}')}
+
+
 def test_exposure_and_clip(spark):
     square = [{"x": 0.0, "y": 0.0}, {"x": 10.0, "y": 0.0}, {"x": 10.0, "y": 10.0}, {"x": 0.0, "y": 10.0}]
     wide = [{"x": x["x"] * 1.5, "y": x["y"]} for x in square]
