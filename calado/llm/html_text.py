@@ -12,124 +12,172 @@ from pyspark.sql import DataFrame
 
 # Names of HTML elements by how they are treated.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template textarea title iframe svg math canvas object select button".split())
-INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
-BOILERPLATE = frozenset("nav footer aside form head menu dialog".split())
+RAW = frozenset("script style textarea title iframe xmp noembed noframes".split())
+INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label map mark math mi mn mo q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
+BOILERPLATE = frozenset("nav footer aside head menu dialog noscript template svg select datalist button label legend option optgroup".split())
+#: Elements whose end tag is often left out at the end of a page; they end with what holds them.
+LAST = frozenset(("head", "footer"))
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 # Words in class or id, and roles, that mark what is no article.
 MARKS = frozenset(
     "ad ads adbox adsbygoogle adv advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments commentlist consent cookie cookies disclaimer "
     "disqus footer gdpr header login masthead menu modal nav navbar navigation newsletter notice notices outbrain pager pagination popup promo promoted promotion related "
-    "recommended reply replies respond responses search share sharing sidebar signup site-header skip social sponsor sponsored subscribe taboola tags toolbar topbar widget".split()
+    "recommended reply replies respond responses search share sharing sidebar signup skip social sponsor sponsored subscribe taboola tags toolbar topbar widget widgets".split()
 )
+#: Nouns after a mark that only say what holds it (``comment-list``), and words before one that say what the page has (``has-sidebar``).
+HOLDERS = frozenset("area articles bar block body bottom box buttons center col column container group holder icons inner items left links list outer panel placeholder posts region right row section slot stories text top unit wrap wrapper zone".split())
+STATES = frozenset("has no is with without hide show before after below above".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar form".split())
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[(.*?)(?:\]\]>|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|$)|'[^']*(?:'|$))*)(?:>|$)", re.S)
 _ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
-_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|\d+")
+_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
+_MARKUP = re.compile(r"</?[a-zA-Z]")
+_ARTICLES = ("article", "main")
 
 
 class _Node:
-    __slots__ = ("tag", "parent", "children", "parts", "mark", "dropped", "chars", "tags", "link_chars", "link_tags", "density", "total")
+    __slots__ = ("tag", "parent", "children", "parts", "mark", "inside", "dropped", "chars", "tags", "link_chars", "link_tags", "density", "total")
 
-    def __init__(self, tag: str, parent: _Node | None, mark: str = "") -> None:
-        self.tag, self.parent, self.mark, self.dropped = tag, parent, mark, False
+    def __init__(self, tag: str, parent: _Node | None) -> None:
+        self.tag, self.parent, self.mark, self.dropped = tag, parent, "", False
+        self.inside = parent is not None and (parent.inside or parent.tag in _ARTICLES)  # an article or main holds it
         self.children: list[_Node] = []
         self.parts: list[_Node | str] = []  # in page order
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.total = 0.0
 
 
-def _mark(tag: str, attributes: str, parent: _Node) -> str:
-    """``tag`` or ``name`` if this element, by its tag or by class, id, role or style, is no article text; else empty."""
-    if tag in BOILERPLATE or tag in RAW:
-        return "tag"
-    inside = False
-    up = parent
-    while up is not None and not inside:
-        inside, up = up.tag in ("article", "main"), up.parent
-    if tag == "header" and not inside:
+def _marked_name(name: str, spared: frozenset[str]) -> bool:
+    """If a class or id is a mark as a whole: its last word, but for words that only say what holds it."""
+    if name.lower() in MARKS:
+        return name.lower() not in spared
+    words = [x.lower() for x in _PART.findall(name)]
+    if not words or words[0] in STATES:
+        return False
+    while len(words) > 1 and words[-1] in HOLDERS:
+        words.pop()
+    return words[-1] in MARKS and words[-1] not in spared
+
+
+def _mark(node: _Node, attributes: str) -> str:
+    """``tag``, ``form`` or ``name`` if this element, by its tag or by class, id, role or style, is no article text; else empty."""
+    tag = node.tag
+    if tag in BOILERPLATE or tag == "header" and not node.inside:
         return "tag"
+    kind = "form" if tag == "form" else ""
     found = {m[1].lower(): html.unescape(m[2] or m[3] or m[4] or "") for m in _ATTRIBUTE.finditer(attributes)} if attributes.strip() else {}
     if not found or tag in ("body", "html", "main"):
-        return ""
+        return kind
     if "hidden" in found or found.get("aria-hidden") == "true" or found.get("role", "").lower() in ROLES:
         return "name"
     if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", found.get("style", "")):
         return "name"
-    for name in f"{found.get('class', '')} {found.get('id', '')}".split():
-        parts = {name.lower(), *(x.lower() for x in _PART.findall(name))} & MARKS
-        if parts - ({"header", "masthead"} if inside or tag == "article" else set()):
-            return "name"
-    return ""
+    spared = frozenset(("header", "masthead")) if node.inside or tag == "article" else frozenset()
+    if any(_marked_name(x, spared) for x in f"{found.get('class', '')} {found.get('id', '')}".split()):
+        return "name"
+    return kind
 
 
-def _parse(page: str) -> _Node:
-    """A tree of elements and text. End tags that match nothing are left out; open elements end with their parent."""
-    root = here = _Node("html", None)
-    at = 0
+class _Tree:
+    """Elements and text of a page. End tags that match nothing are left out; open elements end with their parent.
+
+    Open elements are a stack; for every tag the places of its open elements are kept, so that nothing is searched and the
+    work is in proportion to the page, however deep it nests.
+    """
+
+    def __init__(self) -> None:
+        self.root = _Node("html", None)
+        self.open = [self.root]
+        self.places: dict[str, list[int]] = {"html": [0]}
+        self.blocks = [0]  # places of open elements that are not inline
 
-    def add(text: str) -> None:
+    def add(self, text: str) -> None:
         if text:
-            here.parts.append(html.unescape(text))
+            self.open[-1].parts.append(html.unescape(text))
 
-    def close(tag: str, until: frozenset[str]) -> None:
-        nonlocal here
-        up = here
-        while up is not root and up.tag not in until:
-            if up.tag == tag:
-                here = up.parent
-                return
-            up = up.parent
+    def push(self, node: _Node) -> None:
+        self.places.setdefault(node.tag, []).append(len(self.open))
+        if node.tag not in INLINE:
+            self.blocks.append(len(self.open))
+        self.open.append(node)
 
+    def _pop_to(self, place: int) -> None:
+        while len(self.open) > place:
+            self.places[self.open.pop().tag].pop()
+        while self.blocks[-1] >= place:
+            self.blocks.pop()
+
+    def end(self, tag: str, *bounds: str) -> None:
+        """Close the last open ``tag``, if no open element of ``bounds`` stands in it."""
+        last = self.places.get(tag)
+        if last and last[-1] > max((self.places[b][-1] for b in bounds if self.places.get(b)), default=0):
+            self._pop_to(last[-1])
+
+    def end_paragraph(self) -> None:
+        """A block ends an open paragraph or heading and what is open in it."""
+        while self.open[self.blocks[-1]].tag in HEADINGS or self.open[self.blocks[-1]].tag == "p":
+            self._pop_to(self.blocks[-1])
+
+
+# Start tags that end an open element of these tags, up to the nearest element of the bounds.
+_ENDED = {"li": (("li",), ("ul", "ol", "menu")), "td": (("td", "th"), ("tr", "table")), "th": (("td", "th"), ("tr", "table")), "tr": (("tr",), ("table",)), "dt": (("dt", "dd"), ("dl",)), "dd": (("dt", "dd"), ("dl",)), "option": (("option",), ("select",))}
+
+
+def _parse(page: str) -> _Node:
+    tree = _Tree()
+    at, lower = 0, ""
+    closers: dict[str, int] = {}
     while m := _TOKEN.search(page, at):
-        add(page[at : m.start()])
+        tree.add(page[at : m.start()])
         at = m.end()
         if m[1] is not None:
-            here.parts.append(m[1])
+            tree.open[-1].parts.append(m[1])
         if m[3] is None:
             continue
         tag = m[3].lower()
         if m[2]:
             if tag not in VOID and tag not in ("html", "body"):
-                close(tag, frozenset(("table",)) if tag in ("p", "li", "td", "tr") else frozenset())
+                tree.end(tag, *(("table",) if tag in ("p", "li", "td", "tr") else ()))
             continue
         if tag in ("html", "body"):
-            if tag == "body" and here.tag != "body":
-                here = body = _Node("body", root)
-                root.children.append(body)
-                root.parts.append(body)
+            if tag == "body" and not tree.places.get("body"):
+                tree._pop_to(1)
+                body = _Node("body", tree.root)
+                tree.root.children.append(body)
+                tree.root.parts.append(body)
+                tree.push(body)
             continue
-        if tag not in INLINE and tag not in VOID:
-            while here.tag in INLINE or here.tag in ("p", *HEADINGS):  # a block ends an open paragraph and what is open in it
-                inside = here
-                while inside.tag in INLINE and inside.parent is not None:
-                    inside = inside.parent
-                if inside.tag not in ("p", *HEADINGS):
-                    break
-                here = inside.parent
-            if tag == "li":
-                close("li", frozenset(("ul", "ol", "menu")))
-            elif tag in ("td", "th"):
-                close("td", frozenset(("tr", "table")))
-                close("th", frozenset(("tr", "table")))
-            elif tag == "tr":
-                close("tr", frozenset(("table",)))
-            elif tag in ("dt", "dd"):
-                close("dt", frozenset(("dl",)))
-                close("dd", frozenset(("dl",)))
-            elif tag == "option":
-                close("option", frozenset(("select",)))
-        node = _Node(tag, here, _mark(tag, m[4] or "", here))
+        if tag not in INLINE and tag not in VOID and tag not in RAW:
+            tree.end_paragraph()
+            for ended in _ENDED.get(tag, ((), ()))[0]:
+                tree.end(ended, *_ENDED[tag][1])
+        here = tree.open[-1]
+        node = _Node(tag, here)
+        attributes = m[4] or ""
+        node.mark = _mark(node, attributes)
         here.children.append(node)
         here.parts.append(node)
-        if tag in RAW:
-            end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
-            at = end.end() if end else len(page)
-        elif tag not in VOID and not (m[4] or "").rstrip().endswith("/"):
-            here = node
-    add(page[at:])
-    return root
+        alone = attributes.rstrip().endswith("/")
+        if tag in RAW or tag in BOILERPLATE:
+            # Elements without article text: one that is never ended holds nothing beyond the next tag.
+            lower = lower or page.lower()
+            if closers.get(tag, 0) < at and closers.get(tag) != -1:
+                closers[tag] = lower.find(f"</{tag}", at)
+            ends = closers[tag]
+            if tag in RAW:
+                node.mark = "tag"
+                if ends >= 0:
+                    at = page.find(">", ends) + 1 or len(page)
+            if ends < 0 and not alone and tag not in LAST:
+                following = _MARKUP.search(page, at)
+                at = following.start() if following else len(page)
+            if tag in RAW or ends < 0 and tag not in LAST:
+                continue
+        if tag not in VOID and not alone:
+            tree.push(node)
+    tree.add(page[at:])
+    return tree.root
 
 
 def _order(root: _Node) -> list[_Node]:
@@ -141,16 +189,31 @@ def _order(root: _Node) -> list[_Node]:
     return out
 
 
-def _drop(nodes: list[_Node]) -> None:
-    """Drop what is marked, with all in it; but a name on a wrapper around an article or main says nothing of that."""
+def _drop(nodes: list[_Node], names: bool) -> None:
+    """Drop what is marked, with all in it. A name or form around an article or main says nothing of that, nor does a form
+    around most of the page. Without ``names`` only tags count."""
     held = set()
     for n in nodes:
-        if n.tag in ("article", "main") and not n.mark:
+        if n.tag in _ARTICLES and not n.mark:
             while n is not None and n not in held:
                 held.add(n)
                 n = n.parent
+    kept: dict[_Node, int] = {}  # characters that neither tag nor name drops
     for n in nodes:  # parents before their children
-        n.dropped = bool(n.parent and n.parent.dropped or n.mark == "tag" or n.mark and n not in held)
+        n.dropped = bool(n.parent and n.parent.dropped or n.mark == "tag" or names and n.mark == "name" and n not in held)
+    for n in reversed(nodes):
+        kept[n] = 0 if n.dropped else sum(len(x) - x.count(" ") for x in n.parts if isinstance(x, str)) + sum(kept[c] for c in n.children)
+    for n in nodes:
+        n.dropped = n.dropped or bool(n.parent and n.parent.dropped) or (n.mark == "form" and n not in held and 2 * kept[n] <= kept[nodes[0]])
+
+
+def composite_density(chars: int, tags: int, link_chars: int, link_tags: int, page_share: float) -> float:
+    """Characters per tag of a node, adjusted by its links; ``page_share`` is the share of link characters in body."""
+    if not chars:
+        return 0.0
+    tags, links, link_tags = max(tags, 1), max(link_chars, 1), max(link_tags, 1)
+    base = math.log(chars / max(chars - links, 1) * links + page_share * chars + math.e)
+    return chars / tags * math.log(chars / links * tags / link_tags + 1) / math.log(base + 1)
 
 
 def _weigh(nodes: list[_Node], body: _Node) -> None:
@@ -159,6 +222,7 @@ def _weigh(nodes: list[_Node], body: _Node) -> None:
         if n.dropped:
             continue
         n.chars = sum(len("".join(x.split())) for x in n.parts if isinstance(x, str))
+        n.tags = n.link_chars = n.link_tags = 0
         for c in n.children:
             if not c.dropped:
                 n.chars += c.chars
@@ -169,16 +233,22 @@ def _weigh(nodes: list[_Node], body: _Node) -> None:
             n.link_chars = n.chars
     share = body.link_chars / max(body.chars, 1)
     for n in nodes:
+        n.density = 0.0 if n.dropped else composite_density(n.chars, n.tags, n.link_chars, n.link_tags, share)
+        n.total = 0.0
+    worded = set()  # nodes with text of their own, in inline elements too
+    for n in reversed(nodes):
         if n.dropped or not n.chars:
             continue
-        tags, link_chars, link_tags = max(n.tags, 1), max(n.link_chars, 1), max(n.link_tags, 1)
-        plain = max(n.chars - n.link_chars, 1)
-        base = math.log(n.chars / plain * n.link_chars + share * n.chars + math.e)
-        n.density = n.chars / tags * math.log(n.chars / link_chars * tags / link_tags + 1) / math.log(base + 1)
-    for n in nodes:
-        n.total = sum(c.density for c in n.children)
-        if any(isinstance(x, str) and x.strip() for x in n.parts):
-            n.total += n.density  # its own text counts like a child's
+        for c in n.children:
+            n.total += c.total if c.tag in INLINE else c.density
+        if any(c in worded for c in n.children if c.tag in INLINE) or any(isinstance(x, str) and x.strip() for x in n.parts):
+            worded.add(n)
+            if n.tag not in INLINE:
+                n.total += n.density  # its own text counts like a child's
+
+
+def _linked(n: _Node) -> bool:
+    return 2 * n.link_chars > n.chars
 
 
 def _read(node: _Node, least: float, out: list[str]) -> None:
@@ -190,61 +260,65 @@ def _read(node: _Node, least: float, out: list[str]) -> None:
             out.append(" ")
         elif isinstance(x, str):
             out.append(x)
-        elif x.dropped or (x is not node and x.tag not in INLINE and x.density < least and 2 * x.link_chars > x.chars):
+        elif x.dropped or (x is not node and x.tag not in INLINE and x.density < least and _linked(x)):
             out.append("" if x.tag in INLINE else " ")
         else:
             block = x.tag not in INLINE
             stack.extend([None] * block + list(reversed(x.parts)) + [None] * block)
 
 
+def _choose(nodes: list[_Node], body: _Node) -> tuple[list[_Node], float]:
+    """(subtrees with the article in page order, least density on the path to body).
+
+    The subtree with the largest sum of its children's densities is chosen. On its way up to body, every level's threshold is
+    the least density on the path below that level; a sibling subtree belongs to the article as well if it is not mostly links and
+    reaches the threshold, or half of it with at least a quarter of the chosen sum, or is a heading before it in the same wrapper,
+    or stands in the same article or main element at half of the threshold.
+    """
+    live = [n for n in nodes if not n.dropped and n.chars and n.tag not in INLINE]
+    if not live:
+        return [], 0.0
+    best = max(live, key=lambda n: n.total)
+    left, right = [], []
+    below, here = best.density, best
+    while here is not body and here.parent is not None:
+        up, after = here.parent, False
+        before: list[_Node] = []
+        for c in up.children:
+            if c is here:
+                after = True
+            elif not c.dropped and c.chars and c.tag not in INLINE and not _linked(c):
+                near = c.density >= below or c.density >= below / 2 and (4 * c.total >= best.total or up.inside or up.tag in _ARTICLES)
+                if near or not after and c.tag in HEADINGS and up is not body:
+                    (right if after else before).append(c)
+        left = before + left
+        below, here = min(below, up.density), up
+    return [*left, best, *right], below
+
+
 def main_text(page: str | None) -> str:
-    """The article of one page.
+    """The article of one page: subtrees chosen by composite text density, without what tags and names mark as no article.
 
-    Every node's density is its characters per tag, adjusted by links; the subtree with the largest sum of its
-    children's densities holds the article. The least density on the path from it up to body is the threshold: the highest
-    sibling subtrees on that path that reach it and have no more links than text belong to the article as well. An
-    article or main element around that subtree, or inside it with most of its text, marks the article's bounds.
+    Names (class, id, role, style) that would leave a page without any text are not followed on it.
     """
     if not page:
         return ""
     root = _parse(page)
     nodes = _order(root)
     body = next((n for n in nodes if n.tag == "body"), root)
-    _drop(nodes)
-    _weigh(nodes, body)
-    live = [n for n in nodes if not n.dropped and n.chars and n.tag not in INLINE]
-    if not live:
-        return ""
-    best = max(live, key=lambda n: n.total)
-    path, up = [best], best.parent
-    while up is not None and path[-1] is not body:
-        path.append(up)
-        up = up.parent
-    least = min(n.density for n in path)
-    bounds = next((n for n in reversed(path) if n.tag in ("article", "main")), None)
-    if bounds is None:
-        inner = [n for n in live if n.tag in ("article", "main")]
-        largest = max(inner, key=lambda n: n.chars, default=None)
-        if largest is not None and 2 * largest.chars > best.chars and any(p is best for p in _path(largest)):
-            bounds = largest
-    chosen = bounds or best
-    if bounds is None:
-        for n in path[1:]:  # siblings that are as dense widen the choice to their parent
-            dense = [c for c in n.children if not c.dropped and c is not chosen and c.tag not in INLINE and c.chars and c.density >= least and 2 * c.link_chars <= c.chars]
-            if n is body or not dense:
-                break
-            chosen = n
+    for names in (True, False):
+        _drop(nodes, names)
+        _weigh(nodes, body)
+        chosen, least = _choose(nodes, body)
+        if chosen:
+            break
     out: list[str] = []
-    _read(chosen, least, out)
+    for n in chosen:
+        _read(n, least, out)
+        out.append(" ")
     return " ".join("".join(out).split())
 
 
-def _path(node: _Node) -> Iterator[_Node]:
-    while node is not None:
-        yield node
-        node = node.parent
-
-
 def extract_text(pages: DataFrame) -> DataFrame:
     """Rows (page_id, url, text, n_chars) with the main text of every whole page.
 

@@ -62,17 +62,111 @@ def test_main_text(around):
     assert html_text.main_text(PAGE % (around % BODY)) == WANT
 
 
-def test_html_given_pages(spark):
-    """All paragraphs of the tables' articles, no menu, advert or footer."""
+def _given(page):
+    """The text of the article element that the tables' pages have."""
     import html
     import re
 
+    inner = re.search(r"<article>(.*)</article>", page, re.S)[1]
+    return " ".join(html.unescape(re.sub(r"</?(?:p|h1|br)>", " ", inner).replace("<b>", "")).split())
+
+
+def test_html_given_pages(spark):
+    """All paragraphs of the tables' articles, no menu, advert or footer; the article element itself says nothing."""
     pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
     got = {r["page_id"]: r for r in html_text.extract_text(pages).collect()}
     for p in pages.collect():
-        inner = re.search(r"<article>(.*)</article>", p["html"], re.S)[1]
-        want = " ".join(html.unescape(re.sub(r"</?(?:p|h1|br)>", " ", inner).replace("<b>", "")).split())
+        want = _given(p["html"])
         assert got[p["page_id"]]["text"] == want and got[p["page_id"]]["n_chars"] == len(want)
+        assert html_text.main_text(p["html"].replace("article>", "div>")) == want
+
+
+def test_html_densities_decide(spark, monkeypatch):
+    """Without any element or name that marks menu, advert, article or footer, densities find most articles; other numbers do not."""
+    import re
+
+    bare = [(re.sub(r"<(/?)(?:nav|footer|article)>", r"<\1div>", p["html"]).replace('<div class="ad">', "<div>"), _given(p["html"])) for p in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").collect()]
+    right = lambda: sum(html_text.main_text(h) == w for h, w in bare) / len(bare)
+    assert right() > 0.88
+    monkeypatch.setattr(html_text, "composite_density", lambda chars, *_: float(chars > 0))
+    assert right() < 0.1
+
+
+def _slow_counts(node):
+    """(characters, tags below, link characters, link tags below) by recursion."""
+    if node.dropped:
+        return 0, 0, 0, 0
+    below = [(c, _slow_counts(c)) for c in node.children if not c.dropped]
+    chars = len("".join("".join(x for x in node.parts if isinstance(x, str)).split())) + sum(n[0] for _, n in below)
+    tags, links, link_tags = (sum(n[k] for _, n in below) for k in (1, 2, 3))
+    return chars, tags + len(below), chars if node.tag == "a" else links, link_tags + sum(c.tag == "a" for c, _ in below)
+
+
+def test_html_densities_by_hand():
+    import math
+
+    rnd = random.Random(5)
+    for _ in range(60):
+        page = "<body>" + "".join(rnd.choice(["<div>", "<p>", "<a href=x>", "<b>", "</div>", "</a>", "</b>", "some words ", "x", "<nav>n</nav>", "<ul><li>i"]) for _ in range(60))
+        root = html_text._parse(page)
+        nodes = html_text._order(root)
+        body = next(n for n in nodes if n.tag == "body")
+        html_text._drop(nodes, True)
+        html_text._weigh(nodes, body)
+        b = _slow_counts(body)
+        for n in nodes:
+            c, t, lc, lt = _slow_counts(n)
+            assert (n.chars, n.tags, n.link_chars, n.link_tags) == (c, t, lc, lt) or n.dropped
+            if not c:
+                assert n.density == 0
+                continue
+            lc1, lt1, t1 = max(lc, 1), max(lt, 1), max(t, 1)
+            base = math.log(c / max(c - lc1, 1) * lc1 + b[2] / max(b[0], 1) * c + math.e)
+            assert n.density == pytest.approx(c / t1 * math.log(c / lc1 * t1 / lt1 + 1) / math.log(base + 1))
+        live = [n for n in nodes if not n.dropped and n.chars and n.tag not in html_text.INLINE]
+        if live:
+            assert max(live, key=lambda n: n.total) in html_text._choose(nodes, body)[0]
+
+
+TWO = "<p>" + "The first paragraph has many words in it, really. " * 4 + "</p><p>" + "The second one goes on and on in the same way. " * 4 + "</p>"
+SAID = " ".join(("The first paragraph has many words in it, really. " * 4 + "The second one goes on and on in the same way. " * 4).split())
+
+
+@pytest.mark.parametrize(
+    "around",
+    [
+        '<div class="post comments-open">%s</div>', '<div class="has-sidebar">%s</div>', '<div class="content share-enabled">%s</div>', '<article class="post comments-open">%s</article>',
+        '<article class="post header-image search-result">%s</article>', "<form>%s</form>", '<div><svg class="i" />%s</div>', "<div><button>Menu%s</div>", "<div><select><option>a%s</div>", "<div><script>var a%s</div>",
+        '<div class="sidebar">%s</div>', "<div><nav><ul><li><a href=x>Home</a></ul>%s</div>", '<div id="main-nav"><a href=x>Home</a></div><div>%s</div><ul class="comment-list"><li>I like this page a lot, it says so many things, thanks to all.</li></ul>',
+    ],
+)
+def test_html_names_and_tags_keep_articles(around):
+    """Class names of states, a form around the page, and elements that never end do not empty a page."""
+    assert html_text.main_text('<html><body><header>Top</header><nav><a href="/">Home</a></nav>' + around % TWO + "<footer>End</footer></body></html>") == SAID
+
+
+def test_html_split_article():
+    """Sections, and an article in two wrappers, stay whole; math stays, an image inside a word is no space."""
+    part = lambda i: "".join(f"<p>Part {i} paragraph {k} has some words of its own that nobody else has, and more.</p>" for k in range(3))
+    menu = "<ul>" + "".join(f'<li><a href="/{i}">Link {i}</a></li>' for i in range(9)) + "</ul>"
+    for page in (f"<section>{part(1)}</section><section>{part(2)}</section><section>{part(3)}</section>", f"<div>{part(1)}</div><div>{menu}</div><div>{part(2)}{part(3)}</div>"):
+        text = html_text.main_text(f"<body><div>{menu}</div><div>{page}</div></body>")
+        assert text.count("Part") == 9 and "Link" not in text
+    assert html_text.main_text("<p>un<img src=x>broken <math><mi>x</mi><mo>=</mo><mn>2</mn></math></p>") == "unbroken x=2"
+
+
+@pytest.mark.parametrize("many", ["<div>{}</div>", "<b>{}</b>", "<th><table>{}", "<td>{}", "<svg>{}", "<button>{}", "<nav>{}</nav>"])
+def test_html_nesting_is_linear(many):
+    import time
+
+    opening, closing = many.split("{}")
+    took = []
+    for n in (5_000, 40_000):
+        page = opening * n + "<div></div>" * n + "</x></p>" * n + "some words" + closing * n
+        began = time.process_time()
+        html_text.main_text(page)
+        took.append(time.process_time() - began)
+    assert took[1] < 24 * took[0] + 0.5
 
 
 def test_html_edges(spark):
