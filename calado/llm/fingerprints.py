@@ -12,12 +12,13 @@ _PLACE_BITS = 24
 
 
 def order_min_hash(text: Column, k: int = 3, picked: int = 2, slots: int = 64) -> Column:
-    """A string of ``slots`` groups of 4 hex digits; a slot without k-mers is ``----``.
+    """A string of ``slots`` groups of 4 hex digits, one for each position of the signature; all ``----`` for text without words.
 
     K-mers of ``k`` words (one shorter k-mer for texts with fewer words) get the number of their occurrence in the text,
-    so that repeats count. A hash of both puts each in one of ``slots`` slots by its top bits. In each slot the ``picked``
-    least are taken, put back in text order, and hashed together: moving text about changes the slot. Null and text
-    without words: all slots are empty. Equal texts have equal fingerprints.
+    so that repeats count. Position j takes the ``picked`` k-mers whose hashes, less j / ``slots`` of the hash space and around its
+    end, are least: every position has a minimum of its own and as many k-mers as the text has, up to ``picked``. They are put
+    back in text order and hashed together, so moving text about changes the position. Null is text without words.
+    Equal texts have equal fingerprints.
     """
     bits = slots.bit_length() - 1
     assert 1 << bits == slots
@@ -47,28 +48,25 @@ def order_min_hash(text: Column, k: int = 3, picked: int = 2, slots: int = 64) -
         return F.when(F.size(F.array_distinct(m)) == n, plain).otherwise(_let(ordered, occurrences))
 
     def tuples(p: Column) -> Column:
-        """p: packed numbers in order, so those of a slot are together."""
-        slot = lambda x: F.shiftrightunsigned(x, 64 - bits)
+        """p: packed numbers in order. A position takes those from its share of the hash space on, around the end."""
+        share = lambda x: F.shiftright(x, 64 - bits) + slots // 2  # noqa: E731  0 to slots - 1, in the order of p
         place = (1 << _PLACE_BITS) - 1
-        at = F.filter(F.transform(p, lambda x, j: F.when((j == 0) | (slot(F.get(p, j - 1)) != slot(x)), j)), lambda j: j.isNotNull())
+        n = F.size(p)
+        at = F.filter(F.transform(p, lambda x, j: F.when((j == 0) | (share(F.get(p, j - 1)) != share(x)), j)), lambda j: j.isNotNull())
 
-        def digest(r: Column, a: Column, j: Column) -> Column:
-            m = F.least(F.coalesce(F.get(r, j + 1), F.size(p)) - a, F.lit(picked))
-            members = F.transform(F.slice(p, a + 1, m), lambda x: F.struct(x.bitwiseAND(F.lit(place)).alias("i"), F.shiftright(x, _PLACE_BITS).alias("v")))
-            ordered = F.sort_array(members)
-            code = F.xxhash64(F.transform(ordered, lambda x: x["v"]))
-            return F.struct(slot(F.get(p, a)).cast("int").alias("slot"), F.substring(F.hex(code.bitwiseAND(F.lit(0xFFFF)) + 0x10000), 2, 4).alias("code"))
+        def digest(a: Column) -> Column:
+            taken = F.transform(F.sequence(a, a + F.least(n, F.lit(picked)) - 1), lambda i: F.get(p, F.pmod(i, n)))
+            members = F.transform(taken, lambda x: F.struct(x.bitwiseAND(F.lit(place)).alias("i"), F.shiftright(x, _PLACE_BITS).alias("v")))
+            code = F.xxhash64(F.transform(F.sort_array(members), lambda x: x["v"]))
+            return F.substring(F.hex(code.bitwiseAND(F.lit(0xFFFF)) + 0x10000), 2, 4)
 
-        found = _let(at, lambda r: F.transform(r, lambda a, j: digest(r, a, j)))
+        def laid(r: Column) -> Column:
+            # Positions after one start's share, up to the next start's, begin there; those after the last begin at the first.
+            upto = lambda a: share(F.get(p, a)).cast("int")
+            codes = F.transform(r, lambda a, j: F.repeat(digest(a), upto(a) - F.when(j == 0, F.lit(-1)).otherwise(upto(F.get(r, j - 1)))))
+            return F.concat(F.array_join(codes, ""), F.repeat(digest(F.lit(0)), slots - 1 - share(F.get(p, n - 1)).cast("int")))
 
-        def laid(f: Column) -> Column:
-            # Slots come in signed order: those with the top bit first. Gaps before, between and after are filled.
-            turned = lambda x: F.pmod(x["slot"] + slots // 2, F.lit(slots))
-            gap = lambda x, j: turned(x) - F.when(j == 0, F.lit(-1)).otherwise(turned(F.get(f, j - 1))) - 1
-            body = F.array_join(F.transform(f, lambda x, j: F.concat(F.repeat(F.lit("----"), gap(x, j)), x["code"])), "")
-            return F.rpad(body, 4 * slots, "-")
-
-        return _let(found, laid)
+        return F.when(n == 0, F.lit("-" * (4 * slots))).otherwise(_let(at, laid))
 
     return _let(hashes, lambda h: _let(with_words(h), lambda m: _let(F.sort_array(number(m)), tuples)))
 
@@ -79,7 +77,7 @@ def _let(value: Column, body) -> Column:
 
 
 def likeness(a: Column, b: Column, slots: int = 64) -> Column:
-    """Share of slots with equal tuples, of those that either fingerprint fills; two empty ones are alike (1), null gives 0."""
+    """Share of positions with equal tuples; two empty fingerprints are alike (1), an empty and another one are not, null gives 0."""
     cut = lambda x: F.regexp_extract_all(x, F.lit("(.{4})"), 1)
     pairs = F.filter(F.arrays_zip(cut(a).alias("a"), cut(b).alias("b")), lambda x: (x["a"] != "----") | (x["b"] != "----"))
     same = _let(pairs, lambda p: F.when(F.size(p) == 0, F.lit(1.0)).otherwise(F.size(F.filter(p, lambda x: x["a"] == x["b"])) / F.size(p)))
@@ -91,43 +89,58 @@ def fingerprint(docs: DataFrame, k: int = 3, picked: int = 2, slots: int = 64) -
     return docs.withColumn("fingerprint", order_min_hash(F.col("text"), k, picked, slots))
 
 
-def id_bounds(docs: DataFrame, rows_each: int = 500, most: int = 4096) -> list[int]:
-    """Ids that part the rows in blocks of about ``rows_each`` rows (larger ones beyond ``most`` blocks), ascending."""
-    n = docs.count()
+def id_bounds(docs: DataFrame, rows_each: int = 500, most: int = 1 << 18) -> list[int | None]:
+    """First ids of blocks that part the rows, ascending: of about ``rows_each`` rows, of more where ``most`` blocks would not do.
+
+    The first block begins with null if any id is null. Every block has rows. Only bounds go to the driver, 8 bytes for each
+    block. A larger block is no more than a longer window: it is sorted with spill.
+    """
+    n, nulls, least = docs.agg(F.count(F.lit(1)), F.count_if(F.col("doc_id").isNull()), F.min("doc_id")).first()
     blocks = max(1, min(most, n // rows_each))
     cuts = [i / blocks for i in range(1, blocks)]
     found = docs.select(F.percentile_approx("doc_id", cuts, 10 * blocks)).first()[0] if cuts else []
-    return sorted(set(found or []))
+    first = None if nulls else least
+    return [first, *sorted(b for b in set(found or []) if first is None or b > first)]
+
+
+def _longs(values: list[int]) -> Column:
+    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>")
+
+
+def block_of(value: Column, bounds: list[int], fan: int = 64) -> Column:
+    """How many of the ascending ``bounds`` are no more than ``value``, found in steps of ``fan`` bounds at a time; null is below all."""
+    if not bounds:
+        return F.lit(0)
+    levels = [bounds]
+    while len(levels[-1]) > fan:
+        levels.append(levels[-1][fan - 1 :: fan])  # the last of each full step
+    found = F.lit(0)
+    for level in reversed(levels):
+        here = F.slice(_longs(level), found * fan + 1, F.lit(fan))
+        found = found * fan + F.size(F.filter(here, lambda b: b <= value))
+    return F.when(value.isNull(), 0).otherwise(found)
 
 
 def edited_fingerprints(docs: DataFrame, k: int = 3, picked: int = 2, slots: int = 64) -> DataFrame:
     """Fingerprints of each text and of the text edited with its successor's start, and their likeness.
 
     Edited: the last floor(n / 2) code points are replaced by the first as many (or all) of the next document by ascending
-    doc_id; after the last comes the first. Returns (doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint,
+    doc_id (an integer); after the last comes the first. Returns (doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint,
     near_edited, near_next). Null text is empty. Null ids come first, repeated ids in the order of their texts.
     One row follows itself. An empty table gives an empty table.
 
     Ids are parted into blocks; each block's first row is sent to the block before it as well, so that successors are
-    found in windows over blocks, never over the whole table.
+    found in windows over blocks, never over the whole table. Rows of one id stay in one block.
     """
     rows = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    bounds = id_bounds(rows.select("doc_id"))
-    block = F.size(F.filter(F.array(*[F.lit(b) for b in bounds]).cast("array<bigint>"), lambda b: b <= F.coalesce(F.col("doc_id"), F.lit(-(1 << 63))))) if bounds else F.lit(0)
-    firsts = rows.select("doc_id", block.alias("b")).groupBy("b").agg(F.min(F.struct(F.col("doc_id").isNotNull().alias("k"), "doc_id")).alias("f")).orderBy("b").collect()
-    order = [r["b"] for r in firsts]
-    before = {order[i]: order[i - 1] for i in range(len(order))}  # the first block comes after the last
-    first_id = {r["b"]: r["f"]["doc_id"] for r in firsts}
-    marked = rows.withColumn("_b", block)
-    if order:
-        as_map = lambda d, kind: F.map_from_arrays(F.array(*[F.lit(x) for x in d]), F.array(*[F.lit(x) for x in d.values()]).cast(f"array<{kind}>"))
-        heads = as_map({b: i for b, i in first_id.items()}, "bigint")
-        prior = as_map(before, "int")
-        # Of the rows with a block's first id only one is its first; the window's order picks it.
-        is_first = F.col("doc_id").eqNullSafe(heads[F.col("_b")])
-        marked = marked.withColumn("_copies", F.when(is_first, F.array(F.struct(F.col("_b").alias("b"), F.lit(0).alias("late")), F.struct(prior[F.col("_b")].alias("b"), F.lit(1).alias("late")))).otherwise(F.array(F.struct(F.col("_b").alias("b"), F.lit(0).alias("late")))))
-    else:
-        marked = marked.withColumn("_copies", F.array(F.struct(F.lit(0).alias("b"), F.lit(0).alias("late"))))
+    heads = id_bounds(rows.select("doc_id"))
+    marked = rows.withColumn("_b", block_of(F.col("doc_id").cast("bigint"), heads[1:]))
+    # Of the rows with a block's first id only one is its first; the window's order picks it. The first block comes after the last.
+    head = F.when(F.col("_b") == 0, F.lit(heads[0]).cast("bigint"))
+    head = head.otherwise(F.get(_longs(heads[1:]), F.col("_b") - 1)) if heads[1:] else head
+    here = F.struct(F.col("_b").alias("b"), F.lit(0).alias("late"))
+    ahead = F.struct(F.pmod(F.col("_b") - 1, F.lit(len(heads))).alias("b"), F.lit(1).alias("late"))
+    marked = marked.withColumn("_copies", F.when(F.col("doc_id").eqNullSafe(head), F.array(here, ahead)).otherwise(F.array(here)))
     spread = fingerprint(marked, k, picked, slots).select("doc_id", "text", "fingerprint", F.inline("_copies"))
     line = Window.partitionBy("b").orderBy("late", F.col("doc_id").asc_nulls_first(), "text")
     met = spread.withColumns({"_next": F.lead("text").over(line), "_next_print": F.lead("fingerprint").over(line)}).where(F.col("late") == 0)

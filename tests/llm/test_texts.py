@@ -208,23 +208,85 @@ def test_edits_and_likeness(spark):
 
 
 def brute_print(text, k=3, picked=2, slots=64):
-    words = (text or "").split()
-    grams = [tuple(words[i : i + k]) for i in range(max(len(words) - k + 1, 1 if words else 0))]
-    seen, out = {}, []
-    for g in grams:
-        seen[g] = seen.get(g, -1) + 1
-        out.append((g, seen[g]))
-    return out
+    """The fingerprint by plain loops, with xxh64 of the same bytes."""
+    import re
+    import struct
+
+    import xxhash
+
+    signed = lambda h: struct.unpack("<q", struct.pack("<Q", h))[0]
+    on = lambda seed, *longs: [seed := xxhash.xxh64_intdigest(struct.pack("<q", x), seed) for x in longs][-1] if longs else seed
+    small = lambda seed, x: xxhash.xxh64_intdigest(struct.pack("<i", x), seed)
+    words = [signed(xxhash.xxh64_intdigest(w.encode(), 42)) for w in re.findall(r"[^\x20\x09-\x0D]+", text or "")]
+    if not words:
+        return "-" * (4 * slots)
+    seen, picks = {}, []
+    for i in range(max(len(words) - k + 1, 1)):
+        gram = words[i : i + k] + [0] * (k - len(words[i : i + k]))
+        code = signed(on(42, *gram))
+        seen[code] = seen.get(code, -1) + 1
+        picks.append((small(on(42, code), seen[code]) >> 24, i + 1))
+    out = []
+    for j in range(slots):
+        start = ((j + slots // 2) % slots) * (1 << 40) // slots
+        near = sorted(picks, key=lambda x: (x[0] - start) % (1 << 40))[:picked]
+        code = 42
+        for v, _ in sorted(near, key=lambda x: x[1]):
+            code = on(code, v - (1 << 40) if v >= 1 << 39 else v)
+        out.append(f"{code & 0xFFFF:04X}")
+    return "".join(out)
+
+
+def brute_likeness(a, b):
+    return 1.0 if a == b else sum(a[i : i + 4] == b[i : i + 4] != "----" for i in range(0, len(a), 4)) / (len(a) // 4)
+
+
+def test_fingerprints_as_by_hand(spark):
+    """Every position of both fingerprints, and both likenesses, equal brute force."""
+    rnd = random.Random(3)
+    words = [f"w{i}é" for i in range(60)]
+    rows = [(i, " ".join(rnd.choice(words) for _ in range(rnd.choice([0, 1, 2, 3, 4, 5, 9, 40, 150])))) for i in range(60)]
+    rows += [(100, "a b c " * 90), (101, None), (102, "x"), (103, "one two\nthree\x0bfour  five")]
+    docs = rows + [(None, "the id is null, the text is not")]
+    got = fingerprints.edited_fingerprints(spark.createDataFrame(docs, DOCS)).collect()
+    order = sorted(docs, key=lambda r: (r[0] is not None, r[0] or 0))
+    by = {r["doc_id"]: r for r in got}
+    for (i, a), (_, b) in zip(order, order[1:] + order[:1], strict=True):
+        a, b = a or "", b or ""
+        half = len(a) // 2
+        plain, edited = brute_print(a), brute_print(a[: len(a) - half] + b[:half])
+        assert by[i]["fingerprint"] == plain and by[i]["edited_fingerprint"] == edited
+        assert by[i]["near_edited"] == pytest.approx(brute_likeness(plain, edited)) and by[i]["near_next"] == pytest.approx(brute_likeness(plain, brute_print(b)))
+
+
+def test_halves_swapped(spark):
+    """Order counts in short texts as in long ones."""
+    rnd = random.Random(4)
+    rows = []
+    for n in (20, 40, 80, 160, 320):
+        for i in range(20):
+            words = [f"w{rnd.randrange(10**6)}" for _ in range(n)]
+            rows += [(n * 1000 + i, 0, " ".join(words)), (n * 1000 + i, 1, " ".join(words[n // 2 :] + words[: n // 2]))]
+    made = fingerprints.fingerprint(spark.createDataFrame(rows, "doc_id long, half int, text string"))
+    pair = made.groupBy("doc_id").agg(F.min(F.struct("half", "fingerprint")).alias("a"), F.max(F.struct("half", "fingerprint")).alias("b"))
+    near = pair.groupBy(F.floor(F.col("doc_id") / 1000).alias("n")).agg(F.avg(fingerprints.likeness(F.col("a.fingerprint"), F.col("b.fingerprint"))).alias("near"))
+    found = {r["n"]: r["near"] for r in near.collect()}
+    assert len(found) == 5 and max(found.values()) <= 0.55, found
+
+
+def test_blocks_of_bounds(spark):
+    bounds = [x * 7 - 300 for x in range(9000)]
+    got = spark.range(-400, 70000, 13).select("id", fingerprints.block_of(F.col("id"), bounds, 8).alias("b")).collect()
+    assert all(r["b"] == sum(x <= r["id"] for x in bounds[max(0, (r["id"] + 300) // 7 - 2) :][:5]) + min(9000, max(0, (r["id"] + 300) // 7 - 2)) for r in got[:800])
 
 
 def test_occurrences_count(spark):
     """A repeated k-mer counts once for each occurrence: fewer repeats are another fingerprint, in the same order another one."""
-    assert len(set(brute_print("a b " * 10))) == len(brute_print("a b " * 10))
     rows = [(1, "a b c d e f " * 3), (2, "a b c d e f " * 40), (3, "a b c d e f " * 40), (4, " ".join(reversed(("a b c d e f " * 40).split())))]
     got = {r["doc_id"]: r["fingerprint"] for r in fingerprints.fingerprint(spark.createDataFrame(rows, DOCS)).collect()}
     assert got[2] == got[3] and len({got[1], got[2], got[4]}) == 3
-    filled = lambda s: sum(s[i : i + 4] != "----" for i in range(0, 256, 4))
-    assert filled(got[2]) > filled(got[1])
+    different = lambda s: len({s[i : i + 4] for i in range(0, 256, 4)})
+    assert different(got[2]) > different(got[1]) and all("-" not in x for x in got.values())
 
 
 def test_order_matters(spark):
