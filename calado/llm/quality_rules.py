@@ -3,25 +3,30 @@
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from calado.llm._shared import materialise
 
-#: Blanks that end a word, and the symbols that count.
+#: Blanks that end a word, the symbols that count, and signs that end a line of prose.
 BLANK_CHARS = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
-_UPPER = re.compile(r"[A-Z]")
-_LOWER = re.compile(r"[a-z]")
-_LETTERS = re.compile(r"[^\W\d_]+")
+ENDS = ".!?…:;\"'”’)।॥。！？؟۔"
 #: A word that is one sign, or ends in two or more.
-_ODD_END = re.compile(r"(?:[^\w\s]{2,}|(?<!\S)[^\w\s])(?!\S)")
+_ODD_END = re.compile(r"(?:[^\w\s]{2,}|(?<!\S)[^\w\s–—&।॥-])(?!\S)")
+_ODD_END_MARKED = regex.compile(r"(?:[^\w\s\p{M}]{2,}|(?<!\S)[^\w\s\p{M}–—&।॥-])(?!\S)")
+_UPPER, _LOWER, _LETTERS = regex.compile(r"\p{Lu}+"), regex.compile(r"\p{Ll}+"), regex.compile(r"[\p{L}\p{M}]+")
+#: Scripts that put no blanks between words.
+_UNSPACED = regex.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}]+")
+_LATIN = {kind: bytes(i for i in range(256) if unicodedata.category(chr(i)) in kinds) for kind, kinds in (("upper", ("Lu",)), ("lower", ("Ll",)), ("letters", ("Lu", "Ll", "Lo")))}
 
-_FEATURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_distinct", "n_upper", "n_lower", "n_ended", "n_letters", "n_odd_ends"]
+_FEATURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_distinct", "n_upper", "n_lower", "n_ended", "n_letters", "n_odd_ends", "n_echoes", "n_unspaced"]
 
 
 def _repeated_words(ids: np.ndarray, width: int) -> int:
@@ -59,14 +64,37 @@ def _measure(text: str, width: int) -> tuple[int, ...]:
         _repeated_words(ids, width) if len(words) > width else 0,
         len(lines),
         len(number),
-        len(_UPPER.findall(text)),
-        len(_LOWER.findall(text)),
-        sum(x.rstrip(BLANK_CHARS)[-1] in ".!?…:;\"'”’)" for x in lines),
-        sum(map(len, _LETTERS.findall(text))),
-        len(_ODD_END.findall(text)),
+        *_cased(text),
+        sum(x.rstrip(BLANK_CHARS)[-1] in ENDS for x in lines),
+        *_signs(text),
+        int((ids[1:] == ids[:-1]).sum()),
+        0 if text.isascii() else sum(map(len, _UNSPACED.findall(text))),
     )
 
 
+def _latin(text: str) -> bytes | None:
+    try:
+        return text.encode("latin-1")
+    except UnicodeEncodeError:
+        return None
+
+
+def _cased(text: str) -> tuple[int, int]:
+    """Upper-case and lower-case letters."""
+    raw = _latin(text)
+    if raw is None:
+        return sum(map(len, _UPPER.findall(text))), sum(map(len, _LOWER.findall(text)))
+    return len(raw) - len(raw.translate(None, _LATIN["upper"])), len(raw) - len(raw.translate(None, _LATIN["lower"]))
+
+
+def _signs(text: str) -> tuple[int, int]:
+    """Letters with the marks that combine with them, and odd word ends."""
+    raw = _latin(text)
+    if raw is None:
+        return sum(map(len, _LETTERS.findall(text))), len(_ODD_END_MARKED.findall(text))
+    return len(raw) - len(raw.translate(None, _LATIN["letters"])), len(_ODD_END.findall(text))
+
+
 def measure(docs: DataFrame, width: int = 5) -> DataFrame:
     """Rows (doc_id, counts of the whole text) that the rules read. Null text has no words and all counts 0."""
     schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, " + ", ".join(f"{c} bigint" for c in _FEATURES)
@@ -80,52 +108,56 @@ def measure(docs: DataFrame, width: int = 5) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(count, schema)
 
 
-def _vote(bad: Column, good: Column | None = None) -> Column:
+def _vote(bad: Column, good: Column) -> Column:
     """-1 against quality, 1 for it, 0 to abstain."""
-    vote = F.when(bad, -1)
-    return (vote if good is None else vote.when(good, 1)).otherwise(0)
+    return F.when(bad, -1).when(good, 1).otherwise(0)
 
 
 def rules() -> dict[str, Column]:
-    """The rules over the columns of ``measure``. Most only ever object: that a fault is absent says little. One speaks for
-    texts that look like prose in all ways at once."""
-    words, lines = F.greatest(F.col("n_words"), F.lit(1)), F.greatest(F.col("n_lines"), F.lit(1))
-    cased = F.col("n_upper") + F.col("n_lower")
-    prose = (F.col("n_words") >= 10) & (F.col("n_odd_ends") <= 0.02 * words) & (F.col("n_upper") <= 0.2 * cased) & (F.col("n_ended") >= 0.5 * lines)
-    prose = prose & (F.col("n_dup_lines") <= 0.1 * lines) & (F.col("n_repeat_words") <= 0.05 * words)
+    """The rules over the columns of ``measure``. Each votes both ways and abstains between its bounds, or where it says nothing:
+    case in scripts without it, word lengths where blanks do not end words, repeats and variety in short texts."""
+    c = F.col
+    words, lines, letters = F.greatest(c("n_words"), F.lit(1)), F.greatest(c("n_lines"), F.lit(1)), c("n_letters")
+    cased, long = c("n_upper") + c("n_lower"), c("n_words") >= 30
+    spaced = 10 * c("n_unspaced") <= 3 * letters
     return {
-        "symbols": _vote(F.col("n_symbols") > 0.15 * words),
-        "capitals": _vote(F.col("n_upper") > 0.5 * cased),
-        "repeats": _vote(F.col("n_repeat_words") > 0.15 * words),
-        "lines": _vote(F.col("n_dup_lines") > 0.5 * lines),
-        "odd_ends": _vote(F.col("n_odd_ends") > 0.2 * words),
-        "letters": _vote(F.col("n_letters") < 0.85 * F.col("word_chars")),
-        "word_length": _vote(~F.col("word_chars").between(2 * words, 14 * words)),
-        "variety": _vote((F.col("n_words") >= 30) & (F.col("n_distinct") < 0.2 * words)),
-        "prose": _vote(F.col("n_words") < 5, prose),
+        "symbols": _vote(c("n_symbols") > 0.15 * words, c("n_symbols") <= 0.02 * words),
+        "capitals": _vote((c("n_upper") > 0.5 * cased) & (2 * cased > letters), (c("n_upper") <= 0.2 * cased) & (2 * cased > letters)),
+        "repeats": _vote(c("n_repeat_words") > 0.15 * words, long & (c("n_repeat_words") <= 0.02 * words)),
+        "lines": _vote(c("n_dup_lines") > 0.3 * lines, (c("n_lines") >= 3) & (c("n_dup_lines") == 0)),
+        "odd_ends": _vote(c("n_odd_ends") > 0.2 * words, c("n_odd_ends") <= 0.02 * words),
+        "letters": _vote(letters < 0.75 * c("word_chars"), letters >= 0.9 * c("word_chars")),
+        "word_length": _vote(spaced & ~c("word_chars").between(2.5 * words, 14 * words), spaced & c("word_chars").between(3.5 * words, 9 * words)),
+        "variety": _vote(long & (c("n_distinct") < 0.2 * words), long & (c("n_distinct") >= 0.35 * words)),
+        "echoes": _vote(c("n_echoes") > 0.1 * words, c("n_echoes") <= 0.01 * words),
+        "ended": _vote(long & (c("n_ended") < 0.1 * lines), c("n_ended") >= 0.5 * lines),
     }
 
 
-def fit_votes(patterns: np.ndarray, counts: np.ndarray, rounds: int = 500, pseudo: float = 20.0, start: float = 0.9, share: float = 0.8) -> tuple[float, np.ndarray]:
-    """(log prior odds, log odds of each rule's accuracy) by expectation-maximisation.
+def fit_votes(
+    patterns: np.ndarray, counts: np.ndarray, rounds: int = 500, pseudo: float = 20.0, good: float = 0.95, bad: float = 0.35, share: float = 0.85
+) -> tuple[float, np.ndarray, np.ndarray]:
+    """(log prior odds, log odds of each rule's vote for, log odds of each rule's vote against) by expectation-maximisation.
 
-    ``patterns`` are distinct rows of votes (1, -1, 0) and ``counts`` how many documents cast each. A rule's accuracy is
-    how often its votes, where it votes, agree with the quality they estimate; abstaining says nothing. Accuracies begin at
-    ``start`` and quality at ``share``, which also weigh as ``pseudo`` votes and documents; no rule falls below a coin.
+    ``patterns`` are distinct rows of votes (1, -1, 0) and ``counts`` how many documents cast each. A rule has two
+    accuracies: the share of its votes for among good texts, and of its votes against among bad ones, of those where it votes;
+    abstaining says nothing. They begin at ``good`` and ``bad`` (most faults spare most rules), the prior at ``share``, which
+    also weigh as ``pseudo`` votes and documents. No rule falls below a coin.
     """
-    cast, voted = patterns.astype(float), patterns != 0
-    accuracy, prior = np.full(patterns.shape[1], start), share
+    up, down = (patterns > 0).astype(float), (patterns < 0).astype(float)
+    a, b, prior = np.full(patterns.shape[1], good), np.full(patterns.shape[1], bad), share
     for _ in range(rounds):
-        odds = np.log(prior / (1 - prior)) + cast @ np.log(accuracy / (1 - accuracy))
+        odds = np.log(prior / (1 - prior)) + up @ np.log(a / (1 - b)) + down @ np.log((1 - a) / b)
         p = 1 / (1 + np.exp(-np.clip(odds, -500, 500)))
-        agree = np.where(patterns > 0, p[:, None], 1 - p[:, None]) * voted * counts[:, None]
-        new = np.clip((agree.sum(axis=0) + start * pseudo) / ((voted * counts[:, None]).sum(axis=0) + pseudo), 0.5, 0.999)
-        new_prior = float(np.clip((counts @ p + share * pseudo) / (counts.sum() + pseudo), 0.05, 0.99))
-        change = max(np.abs(new - accuracy).max(), abs(new_prior - prior))
-        accuracy, prior = new, new_prior
+        yes, no = counts * p, counts * (1 - p)
+        new_a = np.clip((yes @ up + good * pseudo) / (yes @ (up + down) + pseudo), 0.001, 0.999)
+        new_b = np.clip(np.maximum((no @ down + bad * pseudo) / (no @ (up + down) + pseudo), 1 - new_a), 0.001, 0.999)
+        new_prior = float(np.clip((yes.sum() + share * pseudo) / (counts.sum() + pseudo), 0.05, 0.99))
+        change = max(np.abs(new_a - a).max(), np.abs(new_b - b).max(), abs(new_prior - prior))
+        a, b, prior = new_a, new_b, new_prior
         if change < 1e-9:
             break
-    return float(np.log(prior / (1 - prior))), np.log(accuracy / (1 - accuracy))
+    return float(np.log(prior / (1 - prior))), np.log(a / (1 - b)), np.log((1 - a) / b)
 
 
 def judge_quality(docs: DataFrame, width: int = 5, threshold: float = 0.5) -> DataFrame:
@@ -141,10 +173,10 @@ def judge_quality(docs: DataFrame, width: int = 5, threshold: float = 0.5) -> Da
     votes = [f"_{k}" for k in cast]
     table = seen.groupBy(*votes).count().orderBy(*votes).collect()
     patterns = np.array([r[:-1] for r in table], int).reshape(-1, len(votes))
-    prior, weights = fit_votes(patterns, np.array([r[-1] for r in table], float))
+    prior, speaks_for, against = fit_votes(patterns, np.array([r[-1] for r in table], float))
     odds = F.lit(prior)
-    for name, weight in zip(votes, weights, strict=True):
-        odds = odds + F.col(name) * float(weight)
+    for name, yes, no in zip(votes, speaks_for, against, strict=True):
+        odds = odds + F.when(F.col(name) > 0, float(yes)).when(F.col(name) < 0, float(no)).otherwise(0.0)
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
     quality = 1 / (1 + F.exp(-odds))
     return seen.select("doc_id", *_FEATURES[:5], failed.alias("base_failed"), quality.alias("quality"), (~failed & (quality >= threshold)).alias("kept"))

@@ -396,16 +396,83 @@ def test_quality_counts(spark):
 
 def test_votes_find_accuracies():
     rng = np.random.default_rng(3)
-    n, accuracy = 40000, np.array([0.95, 0.9, 0.8, 0.7, 0.9])
+    n, for_good, for_bad = 40000, np.array([0.97, 0.95, 0.9, 0.85, 0.95, 0.9]), np.array([0.7, 0.5, 0.6, 0.8, 0.4, 0.6])
     good = rng.random(n) < 0.75
-    right = rng.random((n, 5)) < accuracy
-    votes = np.where(rng.random((n, 5)) < 0.6, np.where(right == good[:, None], 1, -1), 0)
+    right = rng.random((n, 6)) < np.where(good[:, None], for_good, for_bad)
+    votes = np.where(rng.random((n, 6)) < 0.8, np.where(right == good[:, None], 1, -1), 0)
     patterns, counts = np.unique(votes, axis=0, return_counts=True)
-    prior, weights = quality_rules.fit_votes(patterns, counts.astype(float))
+    prior, yes, no = quality_rules.fit_votes(patterns, counts.astype(float))
     assert 1 / (1 + np.exp(-prior)) == pytest.approx(0.75, abs=0.03)
-    assert np.allclose(weights, np.log(accuracy / (1 - accuracy)), rtol=0.15)
-    odds = prior + votes @ weights
-    assert ((odds > 0) == good).mean() > 0.9
+    assert np.allclose(yes, np.log(for_good / (1 - for_bad)), atol=0.2) and np.allclose(no, np.log((1 - for_good) / for_bad), atol=0.25)
+    odds = prior + (votes > 0) @ yes + (votes < 0) @ no
+    assert ((odds > 0) == good).mean() > ((votes.sum(axis=1) > 0) == good).mean() > 0.9
+
+
+def slow_quality(rows, rounds=500):
+    """Posteriors by expectation-maximisation over documents, rule by rule, in plain loops."""
+    import math
+
+    rules = len(rows[0])
+    a, b, prior = [0.95] * rules, [0.35] * rules, 0.85
+    for _ in range(rounds):
+        p = []
+        for votes in rows:
+            yes, no = math.log(prior), math.log(1 - prior)
+            for r, v in enumerate(votes):
+                if v:
+                    yes += math.log(a[r] if v > 0 else 1 - a[r])
+                    no += math.log(1 - b[r] if v > 0 else b[r])
+            p.append(1 / (1 + math.exp(min(no - yes, 700))))
+        before = a + b + [prior]
+        for r in range(rules):
+            cast = [(q, v[r]) for q, v in zip(p, rows, strict=True) if v[r]]
+            a[r] = (sum(q for q, v in cast if v > 0) + 0.95 * 20) / (sum(q for q, _ in cast) + 20)
+            b[r] = (sum(1 - q for q, v in cast if v < 0) + 0.35 * 20) / (sum(1 - q for q, _ in cast) + 20)
+            a[r] = min(max(a[r], 0.001), 0.999)
+            b[r] = min(max(b[r], 1 - a[r], 0.001), 0.999)
+        prior = min(max((sum(p) + 0.85 * 20) / (len(rows) + 20), 0.05), 0.99)
+        if max(abs(x - y) for x, y in zip(before, a + b + [prior], strict=True)) < 1e-9:
+            break
+    return p
+
+
+def test_quality_as_by_hand(spark):
+    """``quality`` and ``kept`` of the query's operator equal a slow expectation-maximisation over the same votes."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    seen = quality_rules.measure(docs)
+    votes = seen.select("doc_id", "n_words", "n_repeat_words", *[v.alias(k) for k, v in quality_rules.rules().items()]).orderBy("doc_id").collect()
+    want = slow_quality([r[3:] for r in votes])
+    got = {r["doc_id"]: r for r in quality_rules.judge_quality(docs).collect()}
+    for r, p in zip(votes, want, strict=True):
+        found = got[r["doc_id"]]
+        assert found["quality"] == pytest.approx(p, abs=1e-5)
+        assert found["kept"] == (p >= 0.5 and r["n_words"] >= 10 and 100 * r["n_repeat_words"] <= 20 * r["n_words"])
+
+
+def test_quality_weights_decide(spark):
+    """The fitted accuracies change verdicts against rules of equal weight, towards the labels."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet").withColumnRenamed("quality", "label")
+    rules = quality_rules.rules()
+    equal = quality_rules.measure(docs).withColumn("sum", sum(rules.values(), F.lit(0))).select("doc_id", "sum")
+    rows = quality_rules.judge_quality(docs).where("not base_failed").join(equal, "doc_id").join(labels, "doc_id", "left").select("kept", (F.col("sum") > 0).alias("equal"), "label").collect()
+    assert sum(r["kept"] != r["equal"] for r in rows) > 0.01 * len(rows)
+    known = [r for r in rows if r["label"] is not None]
+    assert sum(r["kept"] == bool(r["label"]) for r in known) > sum(r["equal"] == bool(r["label"]) for r in known)
+
+
+def test_quality_other_scripts(spark):
+    """Prose with vowel signs, without case, or without blanks between words is no worse than Latin prose; very long texts are whole."""
+    texts = {
+        1: "यह एक लंबा वाक्य है जिसमें बहुत सारे शब्द हैं और यह किसी भी अच्छे लेख की तरह लिखा गया है। " * 1 + "दूसरा वाक्य भी उतना ही अच्छा है और पढ़ने में आसान लगता है।",
+        2: "இது ஒரு நீண்ட வாக்கியம் மற்றும் இதில் பல சொற்கள் உள்ளன, எனவே இது நல்ல உரை ஆகும். மேலும் ஒரு வாக்கியம் இங்கே எழுதப்பட்டுள்ளது.",
+        3: "นี่คือประโยคยาวที่เขียนเป็นภาษาไทย โดยไม่มีช่องว่างระหว่างคำ และควรถือว่าเป็นข้อความที่ดี เพราะ เขียน อย่าง ดี และ มี ความหมาย ครบถ้วน.",
+        4: "Это длинное предложение, в котором много разных слов, и оно написано так же, как любой хороший текст. Второе предложение тоже хорошее.",
+        5: "A long text. " + " ".join(f"word{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676 % 26)}" for i in range(17_000)) + " end.",
+    }
+    prose = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").where("doc_id >= 0").withColumn("doc_id", F.col("doc_id") + 1000)
+    got = {r["doc_id"]: r for r in quality_rules.judge_quality(prose.union(spark.createDataFrame(list(texts.items()), DOCS))).collect()}
+    assert [i for i in texts if not got[i]["kept"]] == [] and got[5]["n_words"] == 17_004
 
 
 def test_quality_labels(spark):
