@@ -312,26 +312,62 @@ def test_fingerprint_edges(spark):
 
 # -- LM scores
 
-def slow_scores(net, vocabulary, text):
-    ids = [0, 0, *vocabulary.encode(text).tolist(), 0, 0]
-    total = 0.0
-    width = net["word_b"].shape[1]
-    for i in range(2, len(ids) - 2):
-        h = np.tanh(sum(net["embed"][k][ids[i + o]].astype(float) for k, o in enumerate(lm_scoring.OFFSETS)))
-        c, w = divmod(ids[i], width)
+def slow_scores(net, vocabulary, counts, text):
+    """Every word by plain loops: class, id in the class, and a rare word's share of its id's words."""
+    import zlib
+
+    words = (text or "").encode().split()
+    ids = [vocabulary.ids.get(w) or vocabulary.size - vocabulary.rare + zlib.crc32(w[-3:]) % vocabulary.rare for w in words]
+    padded = [0, 0, *ids, 0, 0]
+    totals = {}
+    for w, n in counts.items():
+        if w not in vocabulary.ids:
+            i = vocabulary.size - vocabulary.rare + zlib.crc32(w[-3:]) % vocabulary.rare
+            totals[i] = totals.get(i, 0) + n
+    total, width = 0.0, net["word_b"].shape[1]
+    for i, w in enumerate(words):
+        h = np.tanh(sum(net["embed"][padded[i + 2 + o]].astype(float) * net["place"][k] for k, o in enumerate(lm_scoring.OFFSETS)))
+        c, v = divmod(ids[i], width)
         a, b = h @ net["class_w"] + net["class_b"], h @ net["word_w"][c] + net["word_b"][c]
-        total += a[c] - np.log(np.exp(a).sum()) + b[w] - np.log(np.exp(b).sum())
+        total += a[c] - np.log(np.exp(a).sum()) + b[v] - np.log(np.exp(b).sum())
+        if w not in vocabulary.ids:
+            total += np.log(counts[w] / totals[ids[i]])
     return total
 
 
 def test_scores_as_by_hand(spark):
+    from collections import Counter
+
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
-    vocabulary = lm_scoring.learn_vocabulary(docs, 256)
-    net = lm_scoring.train(docs, vocabulary, dim=8)
-    got = {r["doc_id"]: r for r in lm_scoring.score(docs, vocabulary, net).collect()}
-    for r in docs.limit(12).collect():
+    words = lm_scoring.word_counts(docs)
+    texts = docs.collect()
+    counts = Counter(w for r in texts for w in (r["text"] or "").encode().split())
+    assert {bytes(r["word"]): r["n"] for r in words.collect()} == counts
+    vocabulary = lm_scoring.learn_vocabulary(words, 256, 32)
+    assert 150 < len(vocabulary.ids) <= 223 and min(counts[w] for w in vocabulary.ids) == vocabulary.least > max(n for w, n in counts.items() if w not in vocabulary.ids)
+    assert vocabulary.counts.sum() == sum(counts.values())
+    net = lm_scoring.train(docs, vocabulary, lm_scoring.first_network(docs, vocabulary, dim=8))
+    got = {r["doc_id"]: r for r in lm_scoring.score(docs, vocabulary, net, words).collect()}
+    for r in texts[:12]:
         assert got[r["doc_id"]]["n_tokens"] == len(r["text"].split())
-        assert got[r["doc_id"]]["sum_logprob"] == pytest.approx(slow_scores(net, vocabulary, r["text"]), rel=1e-3)
+        assert got[r["doc_id"]]["sum_logprob"] == pytest.approx(slow_scores(net, vocabulary, counts, r["text"]), rel=1e-3)
+
+
+def test_scores_beat_word_frequencies(spark):
+    """By half a nat a word and more, whatever the number of tasks that rows are dealt to; tasks hardly change the order."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    words = lm_scoring.word_counts(docs)
+    entropy = words.agg(F.sum(F.col("n") * F.ln("n")) / F.sum("n") - F.ln(F.sum("n"))).first()[0]
+    vocabulary = lm_scoring.learn_vocabulary(words)
+    scores = []
+    for tasks in (2, 24):
+        dealt = docs.repartition(tasks, "doc_id")
+        net = lm_scoring.train(dealt, vocabulary, lm_scoring.first_network(dealt, vocabulary))
+        rows = lm_scoring.score(dealt, vocabulary, net, words).collect()
+        assert sum(r["sum_logprob"] for r in rows) / sum(r["n_tokens"] for r in rows) > entropy + 0.5
+        scores.append({r["doc_id"]: r["mean_logprob"] for r in rows})
+    ranks = [np.argsort(np.argsort([s[i] for i in sorted(scores[0])])) for s in scores]
+    assert np.corrcoef(*ranks)[0, 1] > 0.99
 
 
 def test_scores_prefer_the_corpus(spark):
@@ -340,25 +376,39 @@ def test_scores_prefer_the_corpus(spark):
     line = lambda: " ".join(f"the {k} {pairs[k]} is here ." for k in rnd.choices(list(pairs), k=30))
     rows = [(i, line()) for i in range(150)]
     mixed = " ".join(f"the {k} {rnd.choice(list(pairs.values()))} is here ." for k in rnd.choices(list(pairs), k=30))
-    docs = spark.createDataFrame([*rows, (1000, mixed), (1001, None), (1002, ""), (1000, mixed)], DOCS)
-    vocabulary = lm_scoring.learn_vocabulary(docs, 64)
-    got = lm_scoring.score(docs, vocabulary, lm_scoring.train(docs, vocabulary, 8, masked=2, batch_size=256, passes=20)).collect()
+    docs = spark.createDataFrame([*rows, (1000, mixed), (1001, None), (1002, ""), (1000, mixed), (None, line())], DOCS).withColumn("n", F.lit("x")).withColumn("sum_logprob", F.lit(1)).withColumn("rare", F.lit(1))
+    words = lm_scoring.word_counts(docs)
+    vocabulary = lm_scoring.learn_vocabulary(words, 64, 8)
+    start = lm_scoring.first_network(docs, vocabulary, 8, passes=12, batch_size=256)
+    got = lm_scoring.score(docs, vocabulary, lm_scoring.train(docs, vocabulary, start, masked=1, batch_size=256), words).collect()
     mean = {r["doc_id"]: r["mean_logprob"] for r in got}
-    assert len(got) == 154 and mean[1001] is None and mean[1002] is None
+    assert len(got) == 155 and mean[1001] is None and mean[1002] is None and got[0].asDict().keys() == {"doc_id", "n_tokens", "sum_logprob", "mean_logprob"}
     assert min(mean[i] for i in range(150)) > mean[1000]
     assert np.mean([mean[i] for i in range(150)]) > -0.8
-    assert lm_scoring.pseudo_likelihood(spark.createDataFrame([], DOCS), 64, 8).collect() == []
+    assert lm_scoring.pseudo_likelihood(spark.createDataFrame([], DOCS), 64, 8, 8).collect() == []
+
+
+def test_scores_of_rare_words_and_long_texts(spark):
+    """A word that occurs more often is likelier even if no other word of its kind is in the vocabulary; every word of a long text counts."""
+    long = " ".join(f"w{i % 5000}" for i in range(150_000))
+    common = [(10 + i, "common words here and common words there") for i in range(60)]
+    rows = [(1, long), (2, "common words 1zqab here"), (3, "common words 7zqab here"), *[(4, "see 7zqab there")] * 5, *common]
+    got = {r["doc_id"]: r for r in lm_scoring.pseudo_likelihood(spark.createDataFrame(rows, DOCS), 64, 16, 8).collect()}
+    assert got[1]["n_tokens"] == 150_000 and got[2]["mean_logprob"] < got[3]["mean_logprob"] < got[10]["mean_logprob"]
+    assert got[3]["sum_logprob"] - got[2]["sum_logprob"] == pytest.approx(np.log(6), abs=1e-5)
 
 
 def test_gradient_by_differences():
     rng = np.random.default_rng(0)
-    net = {k: v.astype(np.float64) for k, v in lm_scoring.new_network(16, 4, 3, 1).items()}
-    seen, target = rng.integers(0, 16, (4, 20)), rng.integers(0, 16, 20)
+    vocabulary = lm_scoring.Vocabulary({}, 4, 16, 4, 1, rng.integers(1, 50, 16))
+    net = {k: v.astype(np.float64) for k, v in lm_scoring.new_network(vocabulary, 3, 1).items()}
+    ids = np.concatenate([[0, 0], rng.integers(1, 16, 40), [0, 0]])
+    at = np.arange(2, 42)
     before = {k: v.copy() for k, v in net.items()}
-    squares = {k: np.zeros_like(v) for k, v in net.items()}
-    lm_scoring.train_step(net, squares, seen, target, 1e-9)
-    loss = lambda n: -lm_scoring.log_probabilities(n, seen, target).mean()
-    for name, index in (("embed", (1, int(seen[1][0]), 2)), ("class_w", (1, 2)), ("word_w", (int(target[0]) // 4, 1, 2)), ("word_b", (int(target[3]) // 4, 1))):
+    squares = {k: np.zeros_like(v) + 1e-30 for k, v in net.items()}
+    lm_scoring.train_step(net, squares, ids, at, 1e-9)
+    loss = lambda n: -lm_scoring.log_probabilities(n, ids, at).mean()
+    for name, index in (("embed", (int(ids[5]), 2)), ("place", (1, 2)), ("class_w", (1, 2)), ("class_b", (2,)), ("word_w", (int(ids[4]) // 4, 1, 2)), ("word_b", (int(ids[7]) // 4, 1))):
         up, down = ({k: v.copy() for k, v in before.items()} for _ in range(2))
         up[name][index] += 1e-5
         down[name][index] -= 1e-5
