@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import chain, compress
 
 import numpy as np
 import pyarrow as pa
@@ -37,24 +38,19 @@ class Vocabulary:
     rare: int
     least: int
     counts: np.ndarray  # occurrences of each id in the corpus
-    buckets: dict[bytes, int] = field(default_factory=dict)  # of rare words met
-
-    def encode(self, text: str | None) -> tuple[np.ndarray, list[bytes]]:
-        """(ids of all words, the rare words among them in order)."""
-        words = text.encode().split() if text else []
-        known, buckets = self.ids.get, self.buckets
-        if len(buckets) > _RARE_KEPT:
-            buckets.clear()
-        ids, unknown = [], []
-        for w in words:
-            i = known(w)
-            if i is None:
-                unknown.append(w)
-                i = buckets.get(w)
-                if i is None:
-                    buckets[w] = i = self.size - self.rare + zlib.crc32(w[-3:]) % self.rare
-            ids.append(i)
-        return np.array(ids, np.int32), unknown
+    met: dict[bytes, int] = field(default_factory=dict)  # ids of common words and of rare ones met
+
+    def encode(self, words: list[bytes]) -> np.ndarray:
+        if not self.met or len(self.met) > len(self.ids) + _RARE_KEPT:
+            self.met = dict(self.ids)
+        ids = list(map(self.met.get, words))
+        if None in ids:
+            first, rare, met = self.size - self.rare, self.rare, self.met
+            for i, known in enumerate(ids):
+                if known is None:
+                    w = words[i]
+                    ids[i] = met[w] = first + zlib.crc32(w[-3:]) % rare
+        return np.array(ids, np.int32)
 
 
 def word_counts(docs: DataFrame, held: int = 300_000) -> DataFrame:
@@ -198,26 +194,22 @@ def train_step(net: dict, squares: dict, ids: np.ndarray, at: np.ndarray, rate:
     net["embed"][0] = 0
 
 
-def _positions(texts: list[str | None], vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[list[bytes]]]:
-    """(ids with zeros around each text, places of words, words of each text, rare words of each text)."""
+def _positions(texts: list[str | None], vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray, list[list[bytes]]]:
+    """(ids with zeros around each text, places of words, words of each text)."""
     pad = np.zeros(_SIDE, np.int32)
-    ids, unknown = [], []
-    for t in texts:
-        x, y = vocabulary.encode(t)
-        ids.append(x)
-        unknown.append(y)
+    words = [t.encode().split() if t else [] for t in texts]
     parts, at, begin = [pad], [np.empty(0, np.int64)], _SIDE
-    for x in ids:
-        parts += [x, pad]
+    for x in words:
+        parts += [vocabulary.encode(x), pad]
         at.append(np.arange(begin, begin + len(x)))
         begin += len(x) + _SIDE
-    return np.concatenate(parts), np.concatenate(at), np.array([len(x) for x in ids], np.int64), unknown
+    return np.concatenate(parts), np.concatenate(at), words
 
 
 def _learn(net: dict, squares: dict, texts: list[str | None], vocabulary: Vocabulary, rng: np.random.Generator, masked: float, rate: float, batch_size: int) -> int:
     """Train on a share ``1 / masked`` of the words of ``texts``, in random order; returns how many."""
-    ids, words, _, _ = _positions(texts, vocabulary)
-    at = words if masked <= 1 else words[rng.random(len(words)) < 1 / masked]
+    ids, at, _ = _positions(texts, vocabulary)
+    at = at if masked <= 1 else at[rng.random(len(at)) < 1 / masked]
     rng.shuffle(at)
     for i in range(0, len(at), batch_size):
         train_step(net, squares, ids, at[i : i + batch_size], rate)
@@ -343,15 +335,18 @@ def score(docs: DataFrame, vocabulary: Vocabulary, net: dict[str, np.ndarray], w
         for batch in batches:
             n_all, sums, hashes, lengths = [], [], [], []
             for part in _chunks(batch.column(1).to_pylist()):
-                ids, at, n, unknown = _positions(part, vocabulary)
+                ids, at, words = _positions(part, vocabulary)
+                n = np.array([len(x) for x in words], np.int64)
                 logs = [log_probabilities(network, ids, x) - shared[ids[x]] for x in (at[i : i + _BATCH] for i in range(0, len(at), _BATCH))]
                 owner = np.repeat(np.arange(len(n)), n)
                 sums.append(np.bincount(owner, np.concatenate(logs) if logs else np.empty(0), len(n)))
                 n_all.append(n)
-                lengths += map(len, unknown)
-                hashes.append(np.fromiter((xxh64_intdigest(w, 42) for x in unknown for w in x), np.uint64, sum(map(len, unknown))))
+                is_rare = ids[at] >= vocabulary.size - vocabulary.rare
+                lengths.append(np.bincount(owner[is_rare], minlength=len(n)))
+                unknown = compress(chain.from_iterable(words), is_rare.tolist())
+                hashes.append(np.fromiter((xxh64_intdigest(w, 42) for w in unknown), np.uint64, int(is_rare.sum())))
             if n_all:
-                ends = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
+                ends = np.concatenate([[0], np.cumsum(np.concatenate(lengths))])
                 rare = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(hashes).view(np.int64), pa.int64()))
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.concatenate(n_all), pa.int64()), pa.array(np.concatenate(sums), pa.float64()), rare], ["doc_id", "n_tokens", "known", "rare"])
 
