@@ -8,7 +8,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from calado.llm._shared import materialise
@@ -94,18 +94,24 @@ def probability_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, n
     return float((1.0 / total).sum())
 
 
+def row_key(doc_id: str = "doc_id", text: str = "text") -> Column:
+    """A long for a row's id and text: rows that repeat both share it, others differ; nulls count as values."""
+    given = lambda x: F.coalesce(F.concat(F.lit("="), F.col(x).cast("string")), F.lit(""))
+    return F.xxhash64(given(doc_id), given(text))
+
+
 def signatures(docs: DataFrame, width: int, bands: int, rows: int) -> DataFrame:
-    """Rows (_id, _digest, _bands array<bigint>, _registers binary) of every whole text.
+    """Rows (_id, _key, _digest, _bands array<bigint>, _registers binary) of every whole text.
 
     Texts with the same words in the same order have the same digest; texts without words have no bands.
     """
-    schema = f"_id {docs.schema['doc_id'].dataType.simpleString()}, _digest binary, _bands array<bigint>, _registers binary"
+    schema = f"_id {docs.schema['doc_id'].dataType.simpleString()}, _key bigint, _digest binary, _bands array<bigint>, _registers binary"
     scale = _mix(np.arange(1, rows + 1, dtype=_U)) | _U(1)
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             digests, keys, registers = [], [], []
-            for text in batch.column(1).to_pylist():
+            for text in batch.column(2).to_pylist():
                 digests.append(hashlib.blake2b(b" ".join(text.encode().split()) if text else b"", digest_size=16).digest())
                 codes, counts = shingles(text, width)
                 if not len(codes):
@@ -116,10 +122,10 @@ def signatures(docs: DataFrame, width: int, bands: int, rows: int) -> DataFrame:
                 band = _mix((kept.reshape(bands, rows) * scale).sum(axis=1, dtype=_U) + np.arange(bands, dtype=_U))
                 keys.append(band.astype(np.int64))
                 registers.append((kept & _U(0xFFFF)).astype("<u2").tobytes())
-            columns = [batch.column(0), pa.array(digests, pa.binary()), pa.array(keys, pa.list_(pa.int64())), pa.array(registers, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["_id", "_digest", "_bands", "_registers"])
+            columns = [batch.column(0), batch.column(1), pa.array(digests, pa.binary()), pa.array(keys, pa.list_(pa.int64())), pa.array(registers, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["_id", "_key", "_digest", "_bands", "_registers"])
 
-    return docs.select("doc_id", "text").mapInArrow(sign, schema)
+    return docs.select("doc_id", row_key(), "text").mapInArrow(sign, schema)
 
 
 def connected(edges: DataFrame, a: str, b: str) -> DataFrame:
@@ -150,8 +156,7 @@ def _alike(pairs: DataFrame, registers: DataFrame, least: float) -> DataFrame:
 
     ra = registers.select(F.col("_id").alias("a"), F.col("_registers").alias("_ra"))
     rb = registers.select(F.col("_id").alias("b"), F.col("_registers").alias("_rb"))
-    kind = pairs.schema["a"].dataType.simpleString()
-    return pairs.join(ra, "a").join(rb, "b").select("a", "b", "_ra", "_rb").mapInArrow(check, f"a {kind}, b {kind}")
+    return pairs.join(ra, "a").join(rb, "b").select("a", "b", "_ra", "_rb").mapInArrow(check, "a bigint, b bigint")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, width: int, similarity: float) -> DataFrame:
@@ -166,8 +171,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, width: int, similarity: float)
 
     ta = texts.select(F.col("_id").alias("a"), F.col("_text").alias("_ta"))
     tb = texts.select(F.col("_id").alias("b"), F.col("_text").alias("_tb"))
-    kind = pairs.schema["a"].dataType.simpleString()
-    return pairs.join(ta, "a").join(tb, "b").select("a", "b", "_ta", "_tb").mapInArrow(check, f"a {kind}, b {kind}")
+    return pairs.join(ta, "a").join(tb, "b").select("a", "b", "_ta", "_tb").mapInArrow(check, "a bigint, b bigint")
 
 
 def links_of_block(sets: list, root: np.ndarray, left: np.ndarray, right: np.ndarray, similarity: float, columns: int = 4096) -> tuple[np.ndarray, np.ndarray]:
@@ -211,15 +215,17 @@ def links_of_block(sets: list, root: np.ndarray, left: np.ndarray, right: np.nda
     return i[first], j[first]
 
 
-def near_duplicates(
+def near_classes(
     docs: DataFrame, width: int = 5, similarity: float = 0.8, bands: int = 25, rows: int = 5, slack: float = 0.16, block: int = 256
 ) -> DataFrame:
-    """Rows (doc_id, class_id): class_id is the least doc_id of the document's class.
+    """Rows (_id, _key, class_id, keeper), one for each row of ``docs``: its id and ``row_key``, the least doc_id of its class, and the
+    key of a row with that id.
 
     Documents are linked if the probability Jaccard similarity of their windows of ``width`` words, weighted by count, is
     ``similarity`` or more; classes are what links connect. Texts with the same words are one class; texts with fewer
-    than ``width`` words are one window; texts without words, null included, are one class. Repeated rows give repeated
-    rows; rows with a null doc_id get the class of their text, null if no other row has it. An empty table gives an empty one.
+    than ``width`` words are one window; texts without words, null included, are one class. Rows are told apart by id and
+    text, so repeated ids with different texts and null ids have classes like any others; the class_id of a class without an id is null.
+    Repeated rows give repeated rows. An empty table gives an empty one.
 
     Every pair of different texts that shares one of ``bands`` bands of ``rows`` registers is either connected already or
     compared. At similarity 0.8 a pair misses all of 25 bands of 5 with probability 5e-5.
@@ -227,25 +233,28 @@ def near_duplicates(
     2. Texts are verified against the leaders of their bands, if their registers agree to within ``slack`` of the similarity.
     3. In bands with texts of several components, texts of different components are compared exactly, ``block`` by block.
     """
-    kind = docs.schema["doc_id"].dataType.simpleString()
     signed = materialise(signatures(docs, width, bands, rows), "signatures")
-    first = materialise(signed.groupBy(F.col("_digest").alias("_of")).agg(F.min("_id").alias("_rep")), "first")
-    reps = signed.join(first, (F.col("_digest") == F.col("_of")) & (F.col("_id") == F.col("_rep"))).select("_rep", "_bands").dropDuplicates(["_rep"])
-    reps = materialise(reps, "reps")
+    # A different text is a node, whose number is a hash of its digest; its first row has the least id, null last.
+    node = F.xxhash64("_digest")
+    least = F.min(F.struct(F.col("_id").isNull().alias("no"), F.col("_id").alias("id"), F.col("_key").alias("key")))
+    first = materialise(signed.groupBy(F.col("_digest").alias("_of")).agg(least.alias("_first")).withColumn("_rep", F.xxhash64("_of")), "first")
+    reps = signed.join(first.select("_of", "_rep", F.col("_first.key").alias("_row")), (F.col("_digest") == F.col("_of")) & (F.col("_key") == F.col("_row")))
+    reps = materialise(reps.select("_rep", "_bands").dropDuplicates(["_rep"]), "reps")
 
     banded = reps.select("_rep", F.explode("_bands").alias("_key"))
     sizes = banded.groupBy("_key").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
     banded = materialise(banded.join(sizes, "_key"), "banded")
     density = banded.groupBy("_rep").agg(F.sum("_n").alias("_density"))
     weighed = materialise(banded.join(density, "_rep").select("_key", "_rep", "_density"), "weighed")
-    leaders = materialise(weighed.groupBy("_key").agg(F.max(F.struct("_density", (-F.col("_rep")).alias("_minus"))).alias("_lead")), "leaders")
-    stars = weighed.join(leaders, "_key").select(F.col("_rep").alias("a"), (-F.col("_lead._minus")).cast(kind).alias("b")).where("a <> b").distinct()
+    leaders = materialise(weighed.groupBy("_key").agg(F.max(F.struct("_density", "_rep")).alias("_lead")), "leaders")
+    stars = weighed.join(leaders, "_key").select(F.col("_rep").alias("a"), F.col("_lead._rep").alias("b")).where("a <> b").distinct()
 
     members = weighed.select(F.col("_rep").alias("_id")).distinct()
-    registers = materialise(signed.select("_id", "_registers").join(members, "_id", "left_semi").dropDuplicates(["_id"]), "registers")
+    registers = materialise(signed.select(node.alias("_id"), "_registers").join(members, "_id", "left_semi").dropDuplicates(["_id"]), "registers")
     # Candidates are a share of all documents, so this join is a shuffle at every size.
-    texts = docs.select(F.col("doc_id").alias("_id"), F.col("text").alias("_text")).join(members.hint("shuffle_hash"), "_id", "left_semi")
-    texts = materialise(texts.dropDuplicates(["_id"]), "texts")
+    wanted = first.join(members, F.col("_rep") == F.col("_id")).select("_id", F.col("_first.key").alias("_row"))
+    texts = docs.select(row_key().alias("_key"), F.col("text").alias("_text")).join(wanted.hint("shuffle_hash"), F.col("_key") == F.col("_row"))
+    texts = materialise(texts.select("_id", "_text").dropDuplicates(["_id"]), "texts")
 
     close = materialise(_alike(stars, registers, similarity - slack), "close")
     links = materialise(_verified(close, texts, width, similarity), "links")
@@ -267,9 +276,29 @@ def near_duplicates(
         i, j = links_of_block([shingles(t, width) for t in group["_text"]], root, mine == group["_lo"].iat[0], mine == group["_hi"].iat[0], similarity)
         return pd.DataFrame({"a": ids[i], "b": ids[j]})
 
-    more = materialise(left.groupBy("_key", "_lo", "_hi").applyInPandas(compare, f"a {kind}, b {kind}"), "more")
+    more = materialise(left.groupBy("_key", "_lo", "_hi").applyInPandas(compare, "a bigint, b bigint"), "more")
     if more.limit(1).count():
         roots = connected(links.union(more), "a", "b")
 
-    classes = materialise(rooted(first, "_rep", "_class").select("_of", "_class"), "classes")
-    return signed.join(classes, F.col("_digest") == F.col("_of")).select(F.col("_id").alias("doc_id"), F.col("_class").alias("class_id"))
+    # The class's first row: the least of its nodes' first rows.
+    members = roots.union(roots.select("root", "root").distinct())
+    met = first.select("_rep", "_first").join(members, F.col("_rep") == F.col("node"))
+    heads = met.groupBy(F.col("root").alias("_head")).agg(F.min("_first").alias("_least"))
+    classes = rooted(first, "_rep", "_class").join(heads, F.col("_class") == F.col("_head"), "left")
+    classes = materialise(classes.select("_of", F.coalesce("_least", "_first").alias("_least")), "classes")
+    done = signed.join(classes, F.col("_digest") == F.col("_of"))
+    return done.select("_id", "_key", F.col("_least.id").alias("class_id"), F.col("_least.key").alias("keeper"))
+
+
+def near_duplicates(docs: DataFrame, **options) -> DataFrame:
+    """Rows (doc_id, class_id): see ``near_classes`` for what links documents and for its ``options``."""
+    return near_classes(docs, **options).select(F.col("_id").alias("doc_id"), "class_id")
+
+
+def keep_first(docs: DataFrame, **options) -> DataFrame:
+    """``docs`` with one row of each class: the one with the least doc_id, null last; of rows that repeat id and text the first by the other
+    columns. Other columns stay as they are."""
+    kept = near_classes(docs, **options).select(F.col("keeper").alias("_keeper")).distinct()
+    rows = docs.withColumn("_row_key", row_key()).join(kept, F.col("_row_key") == F.col("_keeper"), "left_semi")
+    order = Window.partitionBy("_row_key").orderBy(*[F.to_json(F.struct(F.col(c))) if c not in ("doc_id", "text") else F.lit(0) for c in docs.columns])
+    return rows.withColumn("_nth", F.row_number().over(order)).where("_nth = 1").select(*docs.columns)

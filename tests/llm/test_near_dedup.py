@@ -3,7 +3,7 @@ import random
 import numpy as np
 import pytest
 
-from calado.llm.near_dedup import connected, links_of_block, near_duplicates, prob_min_hash, probability_jaccard, shingles
+from calado.llm.near_dedup import connected, keep_first, links_of_block, near_duplicates, prob_min_hash, probability_jaccard, shingles
 
 
 def exact(a, b):
@@ -134,3 +134,31 @@ def test_links_of_block(columns):
     i, j = links_of_block(sets, root, left, right, 0.8, columns)
     want = {(x, y) for x in range(n) for y in range(n) if left[x] and right[y] and exact(sets[x], sets[y]) >= 0.8}
     assert set(zip(i.tolist(), j.tolist(), strict=True)) == want
+
+
+def test_repeated_ids_null_ids_and_clashing_columns(spark):
+    """Rows are told apart by id and text: repeated ids with other texts keep their own classes, in every run."""
+    base = [f"a{i}" for i in range(60)]
+    near, other, long = base[:30] + ["x"] + base[31:], [f"b{i}" for i in range(60)], " ".join(f"c{i}" for i in range(60_000))
+    rows = [(7, " ".join(base)), (7, " ".join(other)), (9, " ".join(near)), (4, " ".join(other)), (None, " ".join(other)), (None, "all alone here with no copy"), (None, None), (12, long), (13, long + " end"), (12, long)]
+    docs = spark.createDataFrame([(*r, i, "k") for i, r in enumerate(rows)], "doc_id long, text string, class_id long, _key string")
+    for _ in range(2):
+        got = sorted([tuple(r) for r in near_duplicates(docs.repartition(3)).collect()], key=str)
+        want = [(7, 7), (7, 4), (9, 7), (4, 4), (None, 4), (None, None), (None, None), (12, 12), (13, 12), (12, 12)]
+        assert got == sorted(want, key=str)
+        kept = keep_first(docs.repartition(2))
+        assert kept.columns == docs.columns and sorted(r["class_id"] for r in kept.collect()) == [0, 3, 5, 6, 7]
+
+
+def test_recall_on_a_table(spark):
+    """All pairs of the 0.01 table that exact sets call similar are in one class."""
+    rows = [tuple(r) for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").collect()]
+    found = {r["doc_id"]: r["class_id"] for r in near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    sets = [shingles(t) for _, t in rows]
+    met, pairs = {}, set()
+    for i, (codes, _) in enumerate(sets):
+        for c in codes.tolist():
+            pairs.update((j, i) for j in met.setdefault(c, []))
+            met[c].append(i)
+    close = [(i, j) for i, j in pairs if probability_jaccard(sets[i], sets[j]) >= 0.8]
+    assert len(close) > 20 and all(found[rows[i][0]] == found[rows[j][0]] for i, j in close)
