@@ -235,11 +235,10 @@ def near_classes(
     """
     signed = materialise(signatures(docs, width, bands, rows), "signatures")
     # A different text is a node, whose number is a hash of its digest; its first row has the least id, null last.
-    node = F.xxhash64("_digest")
     least = F.min(F.struct(F.col("_id").isNull().alias("no"), F.col("_id").alias("id"), F.col("_key").alias("key")))
     first = materialise(signed.groupBy(F.col("_digest").alias("_of")).agg(least.alias("_first")).withColumn("_rep", F.xxhash64("_of")), "first")
     reps = signed.join(first.select("_of", "_rep", F.col("_first.key").alias("_row")), (F.col("_digest") == F.col("_of")) & (F.col("_key") == F.col("_row")))
-    reps = materialise(reps.select("_rep", "_bands").dropDuplicates(["_rep"]), "reps")
+    reps = materialise(reps.select("_rep", "_bands", "_registers").dropDuplicates(["_rep"]), "reps")
 
     banded = reps.select("_rep", F.explode("_bands").alias("_key"))
     sizes = banded.groupBy("_key").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
@@ -250,7 +249,7 @@ def near_classes(
     stars = weighed.join(leaders, "_key").select(F.col("_rep").alias("a"), F.col("_lead._rep").alias("b")).where("a <> b").distinct()
 
     members = weighed.select(F.col("_rep").alias("_id")).distinct()
-    registers = materialise(signed.select(node.alias("_id"), "_registers").join(members, "_id", "left_semi").dropDuplicates(["_id"]), "registers")
+    registers = materialise(reps.select(F.col("_rep").alias("_id"), "_registers").join(members, "_id", "left_semi"), "registers")
     # Candidates are a share of all documents, so this join is a shuffle at every size.
     wanted = first.join(members, F.col("_rep") == F.col("_id")).select("_id", F.col("_first.key").alias("_row"))
     texts = docs.select(row_key().alias("_key"), F.col("text").alias("_text")).join(wanted.hint("shuffle_hash"), F.col("_key") == F.col("_row"))
