@@ -2,19 +2,30 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Letters with marks and the plain letters they fold to.
-_MARKED = "áàâãäåéèêëíìîïóòôõöúùûüçñýÿ"
-_PLAIN = "aaaaaaeeeeiiiiooooouuuucnyy"
+def _plain_letters() -> dict[str, str]:
+    """Characters of the Latin, Greek, Cyrillic and full-width blocks whose compatibility decomposition, without marks, is one other character."""
+    found = {}
+    for code in [*range(0xA0, 0x530), *range(0x1E00, 0x2000), *range(0x2070, 0x20A0), *range(0x2460, 0x2474), *range(0xFF01, 0xFF5F)]:
+        plain = "".join(c for c in unicodedata.normalize("NFKD", chr(code).lower()) if not unicodedata.combining(c))
+        if len(plain) == 1 and plain != chr(code):
+            found[chr(code)] = plain
+    return found
+
+
+_PLAIN_LETTERS = _plain_letters()
+_MARKED, _PLAIN = "".join(_PLAIN_LETTERS), "".join(_PLAIN_LETTERS.values())
 # What stands for a missing value in producer tables.
 MARKERS = ["", "-", "--", ":", "..", "...", "x", "n/a", "na", "nd", "s", "c", "*"]
 
 
 def fold(text: Column) -> Column:
-    """Lower case without accents."""
-    return F.translate(F.lower(text), _MARKED, _PLAIN)
+    """Lower case without accents (F01): composed and combining marks go, full-width and other compatibility forms become plain."""
+    return F.regexp_replace(F.translate(F.lower(text), _MARKED, _PLAIN), r"[\u0300-\u036f]", "")
 
 
 def norm_label(text: Column) -> Column:
@@ -104,3 +115,9 @@ def first_label(values: Column, names: list[str], codes: list[str]) -> Column:
 def scalarish(value: Column) -> Column:
     """Numbers, texts and booleans as text; objects and arrays as compact JSON."""
     return value.cast("string")
+
+
+def match_member(code: Column, allowed: Column, part: Column) -> Column:
+    """A returned code that is among the array ``allowed``; else the only allowed label that holds ``part``; else ``filter_ignored``."""
+    near = F.filter(allowed, lambda x: F.contains(x, part))
+    return F.when(F.array_contains(allowed, code), code).when(F.size(near) == 1, F.get(near, F.lit(0))).otherwise("filter_ignored")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from calado.operators.joins import within_distance
+
 
 def fingerprint(assets: DataFrame, group: list[str]) -> DataFrame:
     """Per group ``fingerprint``, SHA-256 of the native assets (name, sha256, bytes) in canonical JSON by name."""
@@ -28,6 +30,26 @@ def quality_report(index: DataFrame, specs: DataFrame, receipts: DataFrame, stat
     return out.withColumn("status", F.when(F.col("violations") == 0, "PASS").otherwise("FAIL"))
 
 
+def catchment(zones: DataFrame, points: DataFrame, zone: list[str], key: str, weight: str, radius: float) -> DataFrame:
+    """Per zone (columns ``zone``; x, y of its centres) the features within ``radius`` of any centre: ``features``, the sum of
+    weights ``people``, and ``unknown`` weights. A feature counts once in a zone of several centres; without place it counts nowhere."""
+    near = within_distance(zones.select(*zone, "x", "y"), points.select(key, "x", "y", weight), radius).select(*zone, key, weight).distinct()
+    return near.groupBy(*zone).agg(F.count(F.lit(1)).alias("features"), F.sum(weight).alias("people"), F.count_if(F.col(weight).isNull()).alias("unknown"))
+
+
+def area_catchment(cut: DataFrame, key: list[str], area: str, cut_area: str, weight: str) -> DataFrame:
+    """A03 by area: rows of features cut to a zone (``G05``), each with its whole ``area``, ``cut_area`` and ``weight``: per ``key`` the
+    features whose boxes met (``met``), those that really intersect, those without a usable area (``invalid``), and ``people`` by share of area."""
+    valid = F.col(area) > 0
+    share = F.least(F.col(cut_area) / F.col(area), F.lit(1.0))
+    return cut.groupBy(*key).agg(
+        F.count(F.lit(1)).alias("met"),
+        F.count_if(valid & (F.col(cut_area) > 0)).alias("intersecting"),
+        F.count_if(~F.coalesce(valid, F.lit(False))).alias("invalid"),
+        F.sum(F.when(valid & (F.col(cut_area) > 0), F.col(weight) * share)).alias("people"),
+    )
+
+
 def access_by_threshold(df: DataFrame, group: list[str], minutes: str, people: str, times: list[int]) -> DataFrame:
     """People within each time, and those whose time is not known, as columns."""
     columns = [F.sum(F.when(F.col(minutes) <= t, F.col(people)).otherwise(0)).alias(f"within_{t}") for t in times]

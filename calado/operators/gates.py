@@ -134,3 +134,9 @@ def clean_count(value: Column) -> Column:
 def interest_cells(local_m: Column, motorway_m: Column, ring_km: Column) -> Column:
     """Local road within 1200 m, motorway within 4000 m, ring of 2 to 12 km."""
     return (local_m <= 1200) & (motorway_m <= 4000) & ring_km.between(2, 12)
+
+
+def flatten_metrics(rows: DataFrame, group: list[str], metric: str, value: str, names: list[str]) -> DataFrame:
+    """One row for each group with a column of summed ``value`` for each of the metrics ``names``; null where a group has none. Other
+    metrics are left out; the names are given, so that no pass over the rows has to find them."""
+    return rows.groupBy(*group).pivot(metric, names).agg(F.sum(value))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from calado.operators.storage import checkpointed
+
 
 def join_exact(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
     """Inner join on keys that both sides must hold exactly once; otherwise the query fails."""
@@ -63,20 +65,32 @@ def within_distance(a: DataFrame, b: DataFrame, r: float) -> DataFrame:
 def nearest(a: DataFrame, b: DataFrame, a_key: str, b_key: str, width: float) -> DataFrame:
     """For each point of ``a`` the nearest of ``b`` (ties by ``b_key``) and ``distance``.
 
-    Search radii double from ``width`` until every point has found one within its radius, so that far points cost little
-    and near ones little data; what is found within the radius is nearest.
+    Search radii grow fourfold from ``width`` until every point has found one within its radius, so that far points cost little
+    and near ones little data; what is found within the radius is nearest. Where all points left are farther than the radius from
+    the box around ``b``, it grows to the least such distance at once. A point of ``a`` without both coordinates has no
+    neighbour: null; points of ``b`` without them are none. Each round is a checkpoint.
     """
-    left, found, r = a.select(a_key, "x", "y"), None, width
-    n_b = b.limit(1).count()
-    while n_b:
-        hits = within_distance(left, b.select(b_key, "x", "y"), r)
-        best = hits.groupBy(a_key).agg(F.min(F.struct("distance", b_key)).alias("_m")).select(a_key, F.col(f"_m.{b_key}").alias(b_key), F.col("_m.distance").alias("distance"))
-        found = best if found is None else found.unionByName(best)
-        left = left.join(best.select(a_key), a_key, "left_anti")
-        if not left.limit(1).count():
+    placed = lambda df: df.where("x IS NOT NULL AND y IS NOT NULL AND NOT isnan(x) AND NOT isnan(y)")
+    nowhere = lambda df: df.select(a_key, F.lit(None).cast(b.schema[b_key].dataType).alias(b_key), F.lit(None).cast("double").alias("distance"))
+    points, others = a.select(a_key, F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y")), placed(b.select(b_key, F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y")))
+    found = nowhere(points.where("x IS NULL OR y IS NULL OR isnan(x) OR isnan(y)"))
+    left, r = placed(points), width
+    box = others.agg(F.min("x").alias("x0"), F.max("x").alias("x1"), F.min("y").alias("y0"), F.max("y").alias("y1")).first()
+    if box["x0"] is None:
+        return found.unionByName(nowhere(left))
+    out = lambda c, lo, hi: F.greatest(F.lit(lo) - F.col(c), F.col(c) - F.lit(hi), F.lit(0.0))
+    away = F.min(F.hypot(out("x", box["x0"], box["x1"]), out("y", box["y0"], box["y1"])))
+    while True:
+        least = left.agg(away).first()[0]
+        if least is None:
             return found
+        r = max(r, least * (1 + 1e-9))
+        hits = within_distance(left, others, r)
+        best = hits.groupBy(a_key).agg(F.min(F.struct("distance", b_key)).alias("_m")).select(a_key, F.col(f"_m.{b_key}").alias(b_key), F.col("_m.distance").alias("distance"))
+        best = checkpointed(best)
+        found = found.unionByName(best)
+        left = checkpointed(left.join(best.select(a_key), a_key, "left_anti"))
         r *= 4
-    return left.select(a_key, F.lit(None).cast(b.schema[b_key].dataType).alias(b_key), F.lit(None).cast("double").alias("distance"))
 
 
 def sample_raster(points: DataFrame, cells: DataFrame, width: float) -> DataFrame:
@@ -182,24 +196,31 @@ def mark_residuals(marks: DataFrame, cells: DataFrame) -> DataFrame:
     return met.groupBy("mark", "height").agg((F.col("height") - centre).alias("centre"), (F.col("height") - F.median("z")).alias("around"), F.count("z").alias("n")).drop("height")
 
 
-def site_route_context(sites: DataFrame, routes: DataFrame, near: float) -> DataFrame:
+def site_route_context(sites: DataFrame, routes: DataFrame, near: float, most_sites: int = 100_000) -> DataFrame:
     """Per site and route the nearest sample: offset, chainage, heading difference, whether within ``near``.
 
-    Sites are few and fixed by the study; routes hold the samples, so sites are sent to them when their count allows.
+    Sites are few and fixed by the study; routes hold the samples, so sites are sent to them, after a count: over ``most_sites`` is an error.
     """
     from calado.functions.geometry import axis_diff
 
-    met = routes.join(F.broadcast(sites.select("site", F.col("x").alias("_sx"), F.col("y").alias("_sy"), F.col("heading").alias("_sh"))))
+    few = sites.select("site", F.col("x").alias("_sx"), F.col("y").alias("_sy"), F.col("heading").alias("_sh"))
+    if few.limit(most_sites + 1).count() > most_sites:
+        raise ValueError(f"over {most_sites} sites; use nearest for each route")
+    met = routes.join(F.broadcast(few))
     d = F.hypot(F.col("x") - F.col("_sx"), F.col("y") - F.col("_sy"))
     best = F.min(F.struct(d.alias("offset"), F.col("s").alias("s"), axis_diff(F.col("heading"), F.col("_sh")).alias("mismatch"))).alias("_m")
     out = met.groupBy("site", "route").agg(best).select("site", "route", "_m.offset", "_m.s", "_m.mismatch")
     return out.withColumn("near", F.col("offset") <= near)
 
 
-def assets_for_tiles(assets: DataFrame, tiles: DataFrame, pattern: str, prefixes: list[str]) -> DataFrame:
-    """(tile, name): the first allowed asset whose name holds the tile; null where none is."""
+def assets_for_tiles(assets: DataFrame, tiles: DataFrame, pattern: str, prefixes: list[str], missing: str = "error") -> DataFrame:
+    """(tile, name): the first allowed asset whose name holds the tile. A tile without one fails the query, or has a null name where
+    ``missing`` is ``null``."""
     allowed = F.lit(False)
     for p in prefixes:
         allowed = allowed | F.col("name").startswith(p)
     named = assets.where(allowed).select(F.regexp_extract("name", pattern, 1).alias("tile"), "name").where("tile <> ''")
-    return tiles.select("tile").distinct().join(named.groupBy("tile").agg(F.min("name").alias("name")), "tile", "left")
+    found = tiles.select("tile").distinct().join(named.groupBy("tile").agg(F.min("name").alias("name")), "tile", "left")
+    if missing == "null":
+        return found
+    return found.withColumn("name", F.coalesce("name", F.raise_error(F.concat(F.lit("no asset for tile "), F.coalesce("tile", F.lit("null")))).cast("string")))

@@ -14,22 +14,24 @@ def pareto(df: DataFrame, dims: list[str], senses: list[str], part: list[str], k
     """Rows that no row of their ``part`` dominates: at least as good in all ``dims``, better in one by over ``eps``.
 
     Rows with a null measure are left out. Salted blocks drop most rows by comparing only within a block; what is left,
-    few rows, is compared with all that is left: a dominated row has a dominator on the front, which no block drops.
+    few rows, is compared with all that is left. In blocks a row goes only if another is as good in all ``dims`` without tolerance:
+    that other dominates all that the row does, so that dropping it changes nothing for the rest.
     """
     up = [F.col(c) if s == "max" else -F.col(c) for c, s in zip(dims, senses, strict=True)]
     full = df.where(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in dims]))
     rows = full.select(*part, key, *[u.alias(f"_d{i}") for i, u in enumerate(up)])
 
-    def undominated(these: DataFrame, by: list[str]) -> DataFrame:
+    def undominated(these: DataFrame, by: list[str], slack: float) -> DataFrame:
         a, b = these.alias("a"), these.alias("b")
         same = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in by]
-        no_worse = [F.col(f"b._d{i}") >= F.col(f"a._d{i}") - eps for i in range(len(dims))]
+        no_worse = [F.col(f"b._d{i}") >= F.col(f"a._d{i}") - slack for i in range(len(dims))]
         better = [F.col(f"b._d{i}") > F.col(f"a._d{i}") + eps for i in range(len(dims))]
         return a.join(b, reduce(lambda x, y: x & y, [*same, *no_worse, reduce(lambda x, y: x | y, better)]), "left_anti")
 
-    first = undominated(rows.withColumn("_salt", F.pmod(F.xxhash64(key), F.lit(blocks))), [*part, "_salt"]).drop("_salt")
-    front = undominated(checkpointed(first), part)
-    return full.join(front.select(key), key, "left_semi")
+    first = undominated(rows.withColumn("_salt", F.pmod(F.xxhash64(key), F.lit(blocks))), [*part, "_salt"], 0.0).drop("_salt")
+    front = undominated(checkpointed(first), part, eps)
+    kept = front.select(*[F.col(c).alias(f"_k_{c}") for c in [*part, key]])
+    return full.join(kept, reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in [*part, key]]), "left_semi")
 
 
 def best_by(df: DataFrame, group: list[str], order: list[Column], columns: list[str]) -> DataFrame:

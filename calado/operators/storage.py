@@ -8,15 +8,26 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+def shared_root(spark: SparkSession) -> str:
+    """``spark.checkpoint.dir``. Where it is unset a local master, as in tests, gets a new temporary folder; on a cluster that is an error, as
+    driver and executors do not share local folders."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        root = "file://" + tempfile.mkdtemp(prefix="calado-")
+        spark.conf.set("spark.checkpoint.dir", root)
+    return root.rstrip("/")
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
-    """A reliable checkpoint in ``spark.checkpoint.dir``; where that is unset, as in tests, in a new temporary folder."""
+    """A reliable checkpoint in the shared folder."""
     spark = df.sparkSession
     if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="calado-"))
+        spark.sparkContext.setCheckpointDir(shared_root(spark))
     return df.checkpoint()
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
-    """A new path in the folder that driver and executors share; in a temporary folder where none is set, as in tests."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="calado-")
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A new path in the folder that driver and executors share."""
+    return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"

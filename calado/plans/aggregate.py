@@ -57,14 +57,12 @@ CIRCLE = "SELECT s_suppkey AS zone, CAST((s_suppkey * 211) % 1009 AS DOUBLE) AS
     zones=CIRCLE, points=POINTS,
 )
 def _(t, zones, points):
-    near = J.within_distance(zones.select("zone", "x", "y"), points.select("id", "x", "y", "w"), 60.0)
-    return near.groupBy("zone").agg(F.count(F.lit(1)).alias("features"), F.sum("w").alias("people"), F.count_if(F.col("w").isNull()).alias("unknown"))
+    return A.catchment(zones, points, ["zone"], "id", "w", 60.0)
 
 
 @query("A04_union_catchment", "SELECT zone % 10 AS grp, sum(w) AS people, count(*) AS features FROM (SELECT DISTINCT zone % 10 AS zone, id, w FROM zones z JOIN points p ON power(p.x - z.x, 2) + power(p.y - z.y, 2) <= 3600) GROUP BY zone", zones=CIRCLE, points=POINTS)
 def _(t, zones, points):
-    near = J.within_distance(zones.select((F.col("zone") % 10).alias("grp"), "x", "y"), points.select("id", "x", "y", "w"), 60.0)
-    return near.select("grp", "id", "w").distinct().groupBy("grp").agg(F.sum("w").alias("people"), F.count(F.lit(1)).alias("features"))
+    return A.catchment(zones.withColumn("grp", F.col("zone") % 10), points, ["grp"], "id", "w", 60.0).select("grp", "people", "features")
 
 
 @query(
@@ -276,6 +274,6 @@ def _(t, steps, grid):
     return A.measure_routes(steps, grid, "route", "seq", ["x", "y"])
 
 
-@query("A29_separation", "SELECT a.grp AS a, b.grp AS b, max(sqrt(power(a.x - b.x, 2) + power(a.y - b.y, 2))) AS separation, count(*) AS chainages FROM p a JOIN p b ON a.s = b.s AND a.grp < b.grp GROUP BY 1, 2", p=PROFILE.replace("FROM {events}", "FROM {events} WHERE user_id <= 12"))
+@query("A29_separation", "SELECT a.grp AS a, b.grp AS b, max(sqrt(power(a.x - b.x, 2) + power(a.y - b.y, 2))) AS separation, count(*) AS chainages FROM p a JOIN p b ON a.s = b.s AND a.grp < b.grp GROUP BY 1, 2", p=PROFILE)
 def _(t, p):
     return A.separation(p, "grp", "s")

@@ -61,7 +61,7 @@ def _sql_tags(text: str) -> str:
     return f"concat_ws('|', {cases})"
 
 
-_FOLD = "translate(lower(text), 'áàâãäåéèêëíìîïóòôõöúùûüçñýÿ', 'aaaaaaeeeeiiiiooooouuuucnyy')"
+_FOLD = "strip_accents(lower(text))"
 
 
 @query(
@@ -74,19 +74,23 @@ def _(t):
     return P.admit_rows(lines, "text", VOCABULARY).select("doc_id", "pos", "tags", "status")
 
 
+# An order's lines as the lines of a page: two numbers each, or a heading.
+PRINTED = "SELECT l_orderkey AS page, l_linenumber AS line_no, CASE WHEN l_returnflag = 'R' AND l_linenumber = 1 THEN concat(' Tabela ', l_orderkey) WHEN l_returnflag = 'A' AND l_linestatus = 'O' THEN 'no number here' ELSE concat(CAST(l_quantity AS BIGINT), ' of ', l_partkey, CASE WHEN l_linestatus = 'F' THEN ' by truck' ELSE ' by rail' END) END AS text FROM {lineitem}"
+
+
 @query(
     "P07_table_candidate_pages",
-    r"""WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS text FROM documents), c AS (SELECT doc_id, count(*) FILTER (len(regexp_extract_all(text, '[0-9]+(?:[.,][0-9]+)*')) >= 2) AS number_lines, count(*) FILTER (regexp_matches(text, '(?i)^\s*(tab(le|ela|la)|fig(ure|ura)?)\b')) AS headings FROM l GROUP BY doc_id)
+    r"""WITH c AS (SELECT page, count(*) FILTER (len(regexp_extract_all(text, '[0-9]+(?:[.,][0-9]+)*')) >= 2) AS number_lines, count(*) FILTER (regexp_matches(text, '(?i)^\s*(tab(le|ela|la)|fig(ure|ura)?)\b')) AS headings FROM printed GROUP BY page)
     SELECT * FROM c WHERE number_lines >= 4 OR headings > 0""",
+    printed=PRINTED,
 )
-def _(t):
-    lines = t("documents").select("doc_id", F.explode(F.split("text", "\n", -1)).alias("text"))
-    return P.table_candidate_pages(lines, ["doc_id"])
+def _(t, printed):
+    return P.table_candidate_pages(printed, ["page"])
 
 
-@query("P08_scope_rows", f"SELECT conv_id, turn FROM lines WHERE (contains({_FOLD}, 'tion') OR contains({_FOLD}, 'keit')) AND regexp_matches(text, '[0-9]')", lines=LINES)
-def _(t, lines):
-    return P.scope_rows(lines, "text", ["tion", "keit"]).select("conv_id", "turn")
+@query("P08_scope_rows", f"SELECT page, line_no FROM printed WHERE (contains({_FOLD}, 'truck') OR contains({_FOLD}, 'tabela')) AND (contains({_FOLD}, '7') OR contains({_FOLD}, 'by')) AND regexp_matches(text, '[0-9]')", printed=PRINTED)
+def _(t, printed):
+    return P.scope_rows(printed, "text", ["truck", "tabela"], ["7", "by"]).select("page", "line_no")
 
 
 @query("P09_classify_metric_unit", f"SELECT conv_id, turn, CASE WHEN contains({_FOLD}, 'tion') THEN 'movement' WHEN contains({_FOLD}, 'eau') THEN 'water' END AS metric, CASE WHEN contains({_FOLD}, ' km') THEN 'km' WHEN contains({_FOLD}, 'the') THEN 'count' END AS unit FROM lines", lines=LINES)
@@ -139,4 +143,4 @@ def _(t, options):
 
 @query("P16_flatten_metrics", "SELECT l_suppkey, sum(CASE WHEN l_returnflag = 'A' THEN l_quantity END) AS \"A\", sum(CASE WHEN l_returnflag = 'N' THEN l_quantity END) AS \"N\", sum(CASE WHEN l_returnflag = 'R' THEN l_quantity END) AS \"R\" FROM lineitem GROUP BY 1")
 def _(t):
-    return t("lineitem").groupBy("l_suppkey").pivot("l_returnflag", ["A", "N", "R"]).agg(F.sum("l_quantity"))
+    return P.flatten_metrics(t("lineitem"), ["l_suppkey"], "l_returnflag", "l_quantity", ["A", "N", "R"])

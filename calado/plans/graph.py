@@ -8,8 +8,11 @@ from calado.operators import graph as R
 from calado.plans._query import query
 from calado.plans.aggregate import STEPS
 
-# Parts on a lattice 12 cells wide, without ground at some.
-LATTICE = "SELECT p_partkey % 12 AS x, CAST(floor(p_partkey / 12) AS BIGINT) AS y, CASE WHEN p_partkey % 17 <> 5 THEN CAST((p_partkey * 37) % 101 AS DOUBLE) / 20 END AS z, CAST(p_size AS DOUBLE) / 25 AS relief FROM {part} WHERE p_partkey % 2000 < 144"
+_GROUND = "CASE WHEN p_partkey % 17 <> 5 THEN CAST((p_partkey * 37) % 101 AS DOUBLE) / 20 END AS z, CAST(p_size AS DOUBLE) / 25 AS relief FROM {part}"
+# All parts on one lattice as wide as it is high, without ground at some.
+LATTICE = "SELECT p_partkey % w AS x, CAST(floor(p_partkey / w) AS BIGINT) AS y, " + _GROUND + " CROSS JOIN (SELECT CAST(ceil(sqrt(count(*))) AS BIGINT) AS w FROM {part}) g"
+# All parts on islands of 10 x 10 cells, apart by 10 cells.
+ISLANDS = "SELECT CAST(floor(p_partkey / 100) AS BIGINT) * 20 + p_partkey % 10 AS x, CAST(floor(p_partkey / 10) AS BIGINT) % 10 AS y, " + _GROUND
 
 
 @query(
@@ -22,41 +25,44 @@ def _(t, cells):
     return R.lattice(cells, "terrain")
 
 
-def _queries(t):
-    return t("nation").where("n_nationkey < 2").select(F.concat(F.lit("q"), F.col("n_nationkey")).alias("q"), F.when(F.col("n_nationkey") == 0, "0,0").otherwise("4,0").alias("start"), F.lit("9,9").alias("end"))
+def _queries(cells):
+    """On each island from its first cell with ground to its last one."""
+    ground = cells.where("z IS NOT NULL").withColumn("q", F.floor(F.col("x") / 20))
+    name = lambda m: F.concat_ws(",", m["x"].cast("string"), m["y"].cast("string"))
+    found = ground.groupBy("q").agg(F.min(F.struct("y", "x")).alias("a"), F.max(F.struct("y", "x")).alias("b"))
+    return found.select(F.concat(F.lit("q"), "q").alias("q"), name(F.col("a")).alias("start"), name(F.col("b")).alias("end"))
 
 
 @query(
     "R02_shortest_paths",
     """WITH RECURSIVE e AS (SELECT a.x AS ax, a.y AS ay, b.x AS bx, b.y AS by_ FROM cells a JOIN cells b ON abs(a.x - b.x) <= 1 AND abs(a.y - b.y) <= 1 AND (a.x <> b.x OR a.y <> b.y) WHERE a.z IS NOT NULL AND b.z IS NOT NULL),
-    r AS (SELECT 0::BIGINT AS x, 0::BIGINT AS y, 0 AS hops UNION SELECT e.bx, e.by_, r.hops + 1 FROM r JOIN e ON e.ax = r.x AND e.ay = r.y WHERE r.hops < 12)
+    r AS (SELECT first(x ORDER BY y, x) AS x, min(y) AS y, 0 AS hops FROM cells WHERE z IS NOT NULL GROUP BY x // 20 UNION SELECT e.bx, e.by_, r.hops + 1 FROM r JOIN e ON e.ax = r.x AND e.ay = r.y WHERE r.hops < 40)
     SELECT CAST(x AS VARCHAR) || ',' || CAST(y AS VARCHAR) AS node, min(hops) AS hops FROM r GROUP BY x, y""",
-    cells=LATTICE,
+    cells=ISLANDS,
 )
 def _(t, cells):
-    """Hops from one corner: all costs 1, up to 12 rounds, as the SQL's recursion."""
+    """Hops from the first cell of every island: all costs 1, until none falls. The SQL's recursion stops at 40, beyond all of 100 cells."""
     edges = R.lattice(cells, "distance").withColumn("cost", F.lit(1.0))
-    start = _queries(t).where("q = 'q0'")
-    return R.shortest_paths(R.checkpointed(edges), start, rounds=12).select("node", F.col("cost").cast("int").alias("hops"))
+    return R.shortest_paths(R.checkpointed(edges), _queries(cells)).select("node", F.col("cost").cast("int").alias("hops"))
 
 
 @query("R03_alternatives")
 def _(t):
-    edges = R.checkpointed(R.lattice(t.sql(LATTICE).where("x < 10 AND y < 10"), "balanced"))
-    return R.alternatives(edges, _queries(t), 3).select("q", "variant", F.array_join("nodes", " ").alias("nodes"), "cost", "jaccard")
+    cells = t.sql(ISLANDS)
+    return R.alternatives(R.checkpointed(R.lattice(cells, "balanced")), _queries(cells), 3).select("q", "variant", F.array_join("nodes", " ").alias("nodes"), "cost", "jaccard")
 
 
-LEGS = "SELECT l_orderkey, l_linenumber, l_suppkey, l_partkey FROM {lineitem}"
+LEGS = "SELECT l_orderkey, l_linenumber, l_partkey FROM {lineitem}"
 
 
 @query(
     "R04_compose_chains",
-    """WITH l AS (SELECT DISTINCT l_suppkey % 50 AS s, 100 + l_partkey % 70 AS p, l_linenumber AS k FROM legs WHERE l_linenumber <= 3 AND l_orderkey % 10 = 0)
+    """WITH l AS (SELECT DISTINCT 'o' || l_orderkey AS s, 'p' || l_partkey AS p, l_linenumber - 4 AS k FROM legs WHERE l_linenumber >= 5)
     SELECT a.s || '-' || a.p || '/' || b.p || '-' || b.s || '/' || c.s || '-' || c.p AS chain, 4 AS n_cells FROM (SELECT DISTINCT s, p FROM l WHERE k = 1) a JOIN (SELECT DISTINCT s, p FROM l WHERE k = 2) b ON a.p = b.p JOIN (SELECT DISTINCT s, p FROM l WHERE k = 3) c ON b.s = c.s WHERE a.s <> b.s AND b.p <> c.p""",
     legs=LEGS,
 )
 def _(t, legs):
-    rows = legs.where("l_linenumber <= 3 AND l_orderkey % 10 = 0").selectExpr("l_suppkey % 50 AS s", "100 + l_partkey % 70 AS p", "l_linenumber AS k").distinct()
+    rows = legs.where("l_linenumber >= 5").selectExpr("'o' || l_orderkey AS s", "'p' || l_partkey AS p", "l_linenumber - 4 AS k").distinct()
 
     def leg(k, a, b):
         return rows.where(f"k = {k}").select(F.concat_ws("-", a, b).alias("leg"), F.array(a, b).alias("nodes")).distinct()

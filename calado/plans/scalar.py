@@ -77,9 +77,7 @@ def _(t):
     """A returned code that is allowed, else the only allowed label that overlaps, else the filter was ignored."""
     allowed = t("nation").groupBy(F.col("n_regionkey").alias("r")).agg(F.array_sort(F.collect_list("n_name")).alias("allowed"))
     rows = t("customer").join(t("nation"), F.col("c_nationkey") == F.col("n_nationkey")).join(allowed, F.col("r") == F.col("c_custkey") % 5)
-    near = F.filter("allowed", lambda x: F.contains(x, F.lit("_1")))
-    member = F.when(F.array_contains("allowed", F.col("n_name")), F.col("n_name")).when(F.size(near) == 1, near[0]).otherwise("filter_ignored")
-    return rows.select("c_custkey", member.alias("member"))
+    return rows.select("c_custkey", X.match_member(F.col("n_name"), F.col("allowed"), F.lit("_1")).alias("member"))
 
 
 @query("F09_axis_diff", "SELECT option_id, abs((d + 90) - 180 * floor((d + 90) / 180) - 90) AS diff FROM (SELECT option_id, residents - length_km AS d FROM options)", options=OPTIONS)

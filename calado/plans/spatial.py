@@ -12,7 +12,9 @@ from calado.plans.sequence import PROFILE, RECTS
 
 # Orders of a customer as a line: points in order of key.
 LINES = "SELECT o_custkey % 20 AS line, o_orderkey AS seq, CAST((o_orderkey * 13) % 500 AS DOUBLE) AS x, CAST((o_orderkey * 29) % 400 AS DOUBLE) AS y FROM {orders}"
-LINE = LINES + " WHERE o_orderkey % 15 = 0"
+# The same along x, so that lines get longer, not denser, as orders grow; and customers as points along them.
+LONG = "SELECT o_custkey % 20 AS line, o_orderkey AS seq, CAST(o_orderkey * 5 + (o_orderkey * 13) % 50 AS DOUBLE) AS x, CAST((o_orderkey * 29) % 400 AS DOUBLE) AS y FROM {orders}"
+ALONG = "SELECT c_custkey AS id, CAST(c_custkey * 50 + (c_custkey * 7) % 50 AS DOUBLE) AS x, CAST((c_custkey * 61) % 400 AS DOUBLE) AS y FROM {customer}"
 _SEG = "seg AS (SELECT line, seq, x AS ax, y AS ay, lead(x) OVER w AS bx, lead(y) OVER w AS by_ FROM lines WINDOW w AS (PARTITION BY line ORDER BY seq)), segs AS (SELECT *, sqrt(power(bx - ax, 2) + power(by_ - ay, 2)) AS length, coalesce(sum(sqrt(power(bx - ax, 2) + power(by_ - ay, 2))) OVER (PARTITION BY line ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS s0 FROM seg WHERE bx IS NOT NULL)"
 
 
@@ -21,7 +23,7 @@ _SEG = "seg AS (SELECT line, seq, x AS ax, y AS ay, lead(x) OVER w AS bx, lead(y
     f"""WITH {_SEG}, d AS (SELECT id, line, s0, length, x, y, ax, ay, bx, by_, CASE WHEN length > 0 THEN least(1.0, greatest(0.0, ((x - ax) * (bx - ax) + (y - ay) * (by_ - ay)) / (power(bx - ax, 2) + power(by_ - ay, 2)))) ELSE 0 END AS t FROM points, segs),
     e AS (SELECT *, sqrt(power(x - ax - t * (bx - ax), 2) + power(y - ay - t * (by_ - ay), 2)) AS off FROM d)
     SELECT id, line, off AS "offset" FROM (SELECT *, row_number() OVER (PARTITION BY id, line ORDER BY off) AS i FROM e WHERE off <= 20) WHERE i = 1""",
-    lines=LINE, points=POINTS.replace("FROM {customer}", "FROM {customer} WHERE c_custkey % 10 = 0"),
+    lines=LONG, points=ALONG,
 )
 def _(t, lines, points):
     return S.locate(points, S.segments(lines, ["line"], "seq"), "id", "line", 20.0).select("id", "line", "offset")
@@ -31,7 +33,7 @@ def _(t, lines, points):
     "G02_at_chainage",
     f"""WITH {_SEG}, w AS (SELECT DISTINCT line, (line * 7 + k) * 100.0 AS s FROM lines, (VALUES (1), (2), (3)) v(k))
     SELECT w.line, w.s, ax + (s - s0) / length * (bx - ax) AS x, ay + (s - s0) / length * (by_ - ay) AS y FROM w LEFT JOIN segs g ON g.line = w.line AND w.s >= s0 AND w.s < s0 + length""",
-    lines=LINE,
+    lines=LONG,
 )
 def _(t, lines):
     wanted = lines.select("line").distinct().withColumn("k", F.explode(F.array(F.lit(1), F.lit(2), F.lit(3)))).select("line", ((F.col("line") * 7 + F.col("k")) * 100.0).alias("s"))
@@ -105,7 +107,7 @@ def _(t, points):
 
 @query("G12_country_split")
 def _(t):
-    segs = S.segments(t.sql(PROFILE).select("grp", "seq", "x", "y"), ["grp"], "seq").where("length < 200")
+    segs = S.segments(t.sql(PROFILE).select("grp", "seq", "x", "y"), ["grp"], "seq")
     edges = segs.select("grp", F.concat_ws("-", F.col("grp"), F.round("s0", 3)).alias("edge_id"), "ax", "ay", "bx", "by")
     corner = lambda x, y: F.struct(F.lit(x).alias("x"), F.lit(y).alias("y"))
     sides = [("west", -1000.0, 500.0), ("east", 500.0, 2000.0)]

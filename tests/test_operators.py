@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from calado.functions import geometry as G
 from calado.functions import text as X
-from calado.operators import gates, graph, joins, selection, spatial, windows
+from calado.operators import aggregates, gates, graph, joins, selection, spatial, windows
 from calado.plans import registry
 from calado.sources import payloads, sinks
 
@@ -327,3 +327,54 @@ def test_alternatives_hold_their_limits(spark):
             if w < v:
                 a, b = set(r["nodes"]), set(other["nodes"])
                 assert len(a & b) / len(a | b) <= 0.8 and r["cost"] <= 1.48 * first["cost"]
+
+
+def test_nearest_ends_without_places_and_far_away(spark):
+    """Points without coordinates have no neighbour, and far ones cost no more rounds than near ones."""
+    nan = float("nan")
+    a = spark.createDataFrame([(1, 0.0, 0.0), (2, None, 3.0), (3, nan, 1.0), (4, 5e8, -5e8), (5, 1.0, 1.0)], "a long, x double, y double")
+    b = spark.createDataFrame([(10, 0.0, 2.0), (11, 3.0, 1.0), (12, None, None), (13, 0.0, -2.0)], "b long, x double, y double")
+    got = {r["a"]: (r["b"], r["distance"]) for r in joins.nearest(a, b, "a", "b", 1.0).collect()}
+    assert got[1] == (10, 2.0) and got[2] == got[3] == (None, None) and got[5] == (10, math.hypot(1, 1))
+    assert got[4][0] == 11 and got[4][1] == pytest.approx(math.hypot(5e8 - 3, -5e8 - 1))
+    none = joins.nearest(a, b.where("b = 12"), "a", "b", 1.0).collect()
+    assert len(none) == 5 and all(r["b"] is None for r in none)
+
+
+def test_fold_like_unicode(spark):
+    """Every character of the Latin, Greek, Cyrillic and full-width blocks whose decomposition is one letter and marks, composed or not."""
+    import unicodedata
+
+    chars = [chr(c) for c in [*range(0xC0, 0x530), *range(0x1E00, 0x2000), *range(0xFF01, 0xFF5F)] if unicodedata.category(chr(c)) not in ("Cn", "Mn", "Me")]
+    rows = [(i, form) for i, c in enumerate(chars) for form in (c, unicodedata.normalize("NFD", c))]
+    plain = lambda c: "".join(x for x in unicodedata.normalize("NFKD", c.lower()) if not unicodedata.combining(x))
+    got = spark.createDataFrame(rows, "i int, c string").select("i", "c", X.fold(F.col("c")).alias("f")).collect()
+    wrong = [(r["c"], r["f"]) for r in got if r["f"] != plain(chars[r["i"]]) and len(plain(chars[r["i"]])) == 1]
+    assert not wrong, wrong[:20]
+
+
+def test_missing_asset_is_an_error(spark):
+    assets = spark.createDataFrame([("t-1-a",), ("t-1-b",), ("x-2-a",)], "name string")
+    tiles = spark.createDataFrame([("1",), ("2",)], "tile string")
+    with pytest.raises(Exception, match="no asset for tile 2"):
+        joins.assets_for_tiles(assets, tiles, "-([0-9]+)-", ["t"]).collect()
+    assert {tuple(r) for r in joins.assets_for_tiles(assets, tiles, "-([0-9]+)-", ["t", "x"]).collect()} == {("1", "t-1-a"), ("2", "x-2-a")}
+
+
+def test_pareto_with_tolerance_and_parts(spark):
+    """Within the tolerance domination is not transitive, and keys repeat between parts; the front is that of all pairs."""
+    import random
+
+    rnd = random.Random(6)
+    rows = [(p, i, round(rnd.random(), 2), round(rnd.random(), 2)) for p in "xy" for i in range(150)]
+    better = lambda b, a, eps: b[2] >= a[2] - eps and b[3] >= a[3] - eps and (b[2] > a[2] + eps or b[3] > a[3] + eps)
+    for eps in (1e-9, 0.05):
+        want = {r[:2] for r in rows if not any(r[0] == o[0] and better(o, r, eps) for o in rows)}
+        got = selection.pareto(spark.createDataFrame(rows, "p string, k int, u double, v double"), ["u", "v"], ["max", "max"], ["p"], "k", eps, 8)
+        assert {(r["p"], r["k"]) for r in got.collect()} == want
+
+
+def test_area_catchment(spark):
+    rows = [("z", 1, 10.0, 5.0, 100.0), ("z", 2, 10.0, 10.0, 7.0), ("z", 3, 0.0, 0.0, 9.0), ("z", 4, 10.0, 0.0, 50.0), ("w", 5, None, 1.0, 3.0)]
+    got = {r["zone"]: r for r in aggregates.area_catchment(spark.createDataFrame(rows, "zone string, id int, a double, c double, w double"), ["zone"], "a", "c", "w").collect()}
+    assert got["z"].asDict() == {"zone": "z", "met": 4, "intersecting": 2, "invalid": 1, "people": 57.0} and got["w"]["invalid"] == 1 and got["w"]["people"] is None
