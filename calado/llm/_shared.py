@@ -16,9 +16,12 @@ BLANKS = " \t\n\x0b\x0c\r"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``, or a new temporary one where it is unset."""
+    """The folder that driver and executors share: ``spark.checkpoint.dir``. Where it is unset a local master, as in tests, gets a new
+    temporary folder; on a cluster that is an error, as driver and executors do not share local folders."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = "file://" + tempfile.mkdtemp(prefix="calado-")
         spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")
@@ -29,11 +32,12 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    atexit.register(_remove, spark, path)
+    atexit.register(remove, spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def _remove(spark: SparkSession, path: str) -> None:
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of intermediate rows that nothing reads any more."""
     try:
         jvm = spark.sparkContext._jvm
         where = jvm.org.apache.hadoop.fs.Path(path)

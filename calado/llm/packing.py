@@ -21,8 +21,8 @@ _LOWER = bytes(b + 32 if 65 <= b <= 90 or 0xC0 <= b <= 0xDE and b != 0xD7 else b
 _RUNS = re.compile(rb"[%b]+|[^\s%b]+" % (_LETTERS, _LETTERS))
 _RUNS_QUOTED = re.compile(rb"[^\s']*'\S*|[%b]+|[^\s%b]+" % (_LETTERS, _LETTERS))
 _WORD = re.compile(rb"[%b]+" % _LETTERS)
-#: Entries that a task's caches hold at most; they are emptied beyond that.
-_CACHE = 800_000
+#: Bytes of pieces that each of a task's two caches holds at most, beyond which it is emptied, and of the longest piece kept.
+_CACHE, _LONGEST = 1 << 24, 256
 
 
 class _Encoder:
@@ -46,6 +46,7 @@ class _Encoder:
         self.ends[[i for token, i in self.words.get_vocab().items() if token.endswith("</w>")]] = True
         self.runs: dict[bytes, bytes] = {}
         self.chunks: dict[bytes, bytes] = {}
+        self.held = [0, 0]  # bytes of the pieces in either
 
     def _split(self, text: str) -> tuple[dict, list[bytes]]:
         if "<|" not in text:
@@ -76,17 +77,23 @@ class _Encoder:
     def ids(self, texts: list[str | None]) -> Iterator[bytes]:
         for batch in _batches(texts):
             split = [self._split(t or "") for t in batch]
-            for known, encoding in ((self.runs, "latin-1"), (self.chunks, "utf-8")):
-                if len(known) > _CACHE:
+            long: list[tuple[dict, bytes]] = []  # pieces that are not kept: none comes back soon, and one may be a whole text
+            for i, (known, encoding) in enumerate(((self.runs, "latin-1"), (self.chunks, "utf-8"))):
+                if self.held[i] > _CACHE:
                     known.clear()
+                    self.held[i] = 0
                 new = set().union(*(p for k, p in split if k is known)).difference(known)
+                self.held[i] += sum(len(x) for x in new if len(x) <= _LONGEST)
+                long += [(known, x) for x in new if len(x) > _LONGEST]
                 if known is self.runs:
                     plain = [x for x in new if _WORD.fullmatch(x)]
                     self._learn_words(plain)
                     new = new.difference(plain)
                 self._learn(known, list(new), encoding)
-            for known, pieces in split:
-                yield b"".join(map(known.__getitem__, pieces))
+            found = [b"".join(map(known.__getitem__, pieces)) for known, pieces in split]
+            for known, x in long:
+                del known[x]
+            yield from found
 
 
 def _batches(texts: list[str | None], most: int = 1 << 20) -> Iterator[list[str | None]]:

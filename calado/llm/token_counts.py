@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame
 
 #: A single space between two other characters: no token crosses it, and what follows is tokenised alike on its own.
 _SAFE = re.compile(r"(?<=\S) (?=\S)")
-#: Pieces whose counts a task remembers at most; beyond that they are forgotten.
-_CACHE = 1_000_000
+#: Characters of pieces whose counts a task remembers at most, and of the longest piece that it does.
+_CACHE, _LONGEST = 1 << 24, 256
 
 
 class _Counter:
@@ -20,17 +20,24 @@ class _Counter:
 
         self.library = Tokenizer.from_file(path)
         self.known: dict[str, int] = {}
+        self.held = 0
 
     def lengths(self, texts: list[str]) -> list[int]:
         """Texts are split at safe boundaries; only pieces not yet counted are encoded, together in one batch."""
         split = [_split(t) for t in texts]
-        new = set().union(*split).difference(self.known)
-        if len(self.known) + len(new) > _CACHE:
-            self.known, new = {}, set().union(*split)
-        if new:
-            pieces = list(new)
-            self.known.update(zip(pieces, map(len, self.library.encode_batch_fast(pieces, add_special_tokens=False)), strict=True))
-        return [sum(map(self.known.__getitem__, pieces)) for pieces in split]
+        if self.held > _CACHE:
+            self.known, self.held = {}, 0
+        new = list(set().union(*split).difference(self.known))
+        if not new:
+            return [sum(map(self.known.__getitem__, pieces)) for pieces in split]
+        counts = dict(zip(new, map(len, self.library.encode_batch_fast(new, add_special_tokens=False)), strict=True))
+        long = [x for x in new if len(x) > _LONGEST]  # no such piece comes back soon, and one may be a whole text
+        self.known.update(counts)
+        out = [sum(map(self.known.__getitem__, pieces)) for pieces in split]
+        for x in long:
+            del self.known[x]
+        self.held += sum(map(len, new)) - sum(map(len, long))
+        return out
 
 
 def _split(text: str) -> list[str]:
@@ -41,14 +48,14 @@ def _split(text: str) -> list[str]:
     return [first, *[" " + x for x in rest]]
 
 
-def _balanced(texts: list[str], most: int) -> Iterator[list[str]]:
+def _balanced(texts: list[str], sizes: list[int], most: int) -> Iterator[list[str]]:
     batch, size = [], 0
-    for t in texts:
-        if batch and size + len(t) > most:
+    for t, n in zip(texts, sizes, strict=True):
+        if batch and size + n > most:
             yield batch
             batch, size = [], 0
         batch.append(t)
-        size += len(t)
+        size += n
     if batch:
         yield batch
 
@@ -56,11 +63,11 @@ def _balanced(texts: list[str], most: int) -> Iterator[list[str]]:
 _counters: dict[str, _Counter] = {}
 
 
-def count_tokens(docs: DataFrame, vocabulary: str, limit: int = 512, batch_chars: int = 1 << 20) -> DataFrame:
+def count_tokens(docs: DataFrame, vocabulary: str, limit: int = 512, batch_bytes: int = 1 << 20) -> DataFrame:
     """Rows (doc_id, n_bytes, n_tokens, over_limit): the ids the library gives for each whole text, without added ids.
 
     Null text counts as empty: 0 bytes, 0 tokens. Strings of special tokens inside a text are handled as the library
-    does by default. Texts go to the library in batches of about ``batch_chars`` characters, split at single spaces
+    does by default. Texts go to the library in batches of about ``batch_bytes`` bytes, split at single spaces
     between other characters, where this kind of vocabulary always starts a token. Repeated rows give repeated rows;
     a null doc_id stays null; an empty table gives an empty table.
     """
@@ -74,8 +81,8 @@ def count_tokens(docs: DataFrame, vocabulary: str, limit: int = 512, batch_chars
             _counters[vocabulary] = _Counter(vocabulary)
         for rows in batches:
             texts = [t or "" for t in rows.column(1).to_pylist()]
-            tokens = [n for batch in _balanced(texts, batch_chars) for n in _counters[vocabulary].lengths(batch)]
             n_bytes = [len(t.encode()) for t in texts]
+            tokens = [n for batch in _balanced(texts, n_bytes, batch_bytes) for n in _counters[vocabulary].lengths(batch)]
             columns = [rows.column(0), pa.array(n_bytes, pa.int64()), pa.array(tokens, pa.int64()), pa.array([n > limit for n in tokens], pa.bool_())]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_bytes", "n_tokens", "over_limit"])
 

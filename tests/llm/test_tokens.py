@@ -22,7 +22,7 @@ def test_counts_as_the_library(spark):
     rows = list(enumerate(texts()))
     path = public_tokenizers.path("byte_bpe_50k.json")
     want = [len(e) for e in Tokenizer.from_file(path).encode_batch([t or "" for _, t in rows], add_special_tokens=False)]
-    got = {r["doc_id"]: r for r in count_tokens(spark.createDataFrame(rows, "doc_id long, text string"), path, batch_chars=1000).collect()}
+    got = {r["doc_id"]: r for r in count_tokens(spark.createDataFrame(rows, "doc_id long, text string"), path, batch_bytes=1000).collect()}
     assert [got[i]["n_tokens"] for i, _ in rows] == want
     assert all(got[i]["n_bytes"] == len((t or "").encode()) and got[i]["over_limit"] == (want[i] > 512) for i, t in rows)
 
@@ -124,3 +124,23 @@ def test_packing_edges(spark):
     rows = pack_documents(spark.createDataFrame([(None, None, 1), (1, "", 2), (1, "", 2)], "doc_id long, text string, piece int"), path).collect()
     assert sorted((r["length"], r["ids_crc32"]) for r in rows) == [(1, zlib.crc32(b"\0\0\0\0"))] * 3
     assert token_pieces(spark.createDataFrame([(1, "a")], "doc_id long, text string"), path).columns == ["doc_id", "piece", "start", "length", "ids_crc32"]
+
+
+def test_caches_are_bounded_by_bytes(spark, monkeypatch):
+    """Small caches are emptied, pieces as long as a text are not kept, and counts and ids stay those of the library."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from calado.llm import packing, token_counts
+
+    texts = ["a b c " * 50 + str(i) for i in range(60)] + ["字" * 5000, "x" * 3000 + " y", "字" * 5000, "<|endoftext|> é" * 9, "", "ÀB'c d"]
+    byte, word = (public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "word_bpe_49k.json"))
+    monkeypatch.setattr(token_counts, "_CACHE", 500)
+    monkeypatch.setattr(packing, "_CACHE", 500)
+    counter, encoder = token_counts._Counter(byte), packing._Encoder(word)
+    plain = [Tokenizer.from_file(p) for p in (byte, word)]
+    for i in range(0, len(texts), 4):
+        assert counter.lengths(texts[i : i + 4]) == [len(plain[0].encode(t, add_special_tokens=False).ids) for t in texts[i : i + 4]]
+        assert list(encoder.ids(texts[i : i + 4])) == [np.array(plain[1].encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts[i : i + 4]]
+        assert all(len(x) <= 256 for x in [*counter.known, *encoder.runs, *encoder.chunks])
+    assert sum(map(len, counter.known)) <= 2500 and max(encoder.held) <= 2500
