@@ -101,6 +101,30 @@ def to_tm(lon: Column, lat: Column, code: int) -> tuple[Column, Column]:
     return x0 + k0 * radius * east, y0 + k0 * radius * north - k0 * m0
 
 
+def from_tm(x: Column, y: Column, code: int) -> tuple[Column, Column]:
+    """Transverse Mercator (x, y) back to longitude and latitude in degrees, by the inverse series to n^3."""
+    a, f = ELLIPSOID
+    k0, lon0, lat0, x0, y0 = SYSTEMS[code]
+    n = f / (2 - f)
+    radius = a / (1 + n) * (1 + n**2 / 4 + n**4 / 64)
+    alpha = (n / 2 - 2 * n**2 / 3 + 5 * n**3 / 16, 13 * n**2 / 48 - 3 * n**3 / 5, 61 * n**3 / 240)
+    beta = (n / 2 - 2 * n**2 / 3 + 37 * n**3 / 96, n**2 / 48 + n**3 / 15, 17 * n**3 / 480)
+    delta = (2 * n - 2 * n**2 / 3 - 2 * n**3, 7 * n**2 / 3 - 8 * n**3 / 5, 56 * n**3 / 15)
+    e = 2 * math.sqrt(n) / (1 + n)
+    xi0 = math.atan(math.sinh(math.atanh(math.sin(math.radians(lat0))) - e * math.atanh(e * math.sin(math.radians(lat0)))))
+    m0 = radius * (xi0 + sum(alpha[j] * math.sin(2 * (j + 1) * xi0) for j in range(3)))
+    north, east = ((y - y0) / k0 + m0) / radius, (x - x0) / (k0 * radius)
+    xi, eta = north, east
+    for j in range(3):
+        xi = xi - beta[j] * F.sin(2 * (j + 1) * north) * F.cosh(2 * (j + 1) * east)
+        eta = eta - beta[j] * F.cos(2 * (j + 1) * north) * F.sinh(2 * (j + 1) * east)
+    chi = F.asin(F.sin(xi) / F.cosh(eta))
+    lat = chi
+    for j in range(3):
+        lat = lat + delta[j] * F.sin(2 * (j + 1) * chi)
+    return lon0 + F.degrees(F.atan2(F.sinh(eta), F.cos(xi))), F.degrees(lat)
+
+
 def quintic(p0: tuple, p1: tuple, t0: tuple, t1: tuple, t: Column) -> tuple[Column, Column, Column]:
     """(x, y, curvature) at t of the quintic between two points with given tangents and no curvature at its ends (F16)."""
     h = [1 - 10 * t**3 + 15 * t**4 - 6 * t**5, t - 6 * t**3 + 8 * t**4 - 3 * t**5, 10 * t**3 - 15 * t**4 + 6 * t**5, -4 * t**3 + 7 * t**4 - 3 * t**5]
@@ -110,3 +134,11 @@ def quintic(p0: tuple, p1: tuple, t0: tuple, t1: tuple, t: Column) -> tuple[Colu
     dx, dy, ddx, ddy = at(d1, 0), at(d1, 1), at(d2, 0), at(d2, 1)
     speed2 = dx * dx + dy * dy
     return at(h, 0), at(h, 1), F.when(speed2 > 0, (dx * ddy - dy * ddx) / F.pow(speed2, 1.5))
+
+
+def quintic_length(p0: tuple, p1: tuple, t0: tuple, t1: tuple, steps: int = 200) -> Column:
+    """Length of that quintic, as the sum of ``steps`` chords between even values of t (F16)."""
+    at = lambda i: F.struct(*[c.alias(k) for c, k in zip(quintic(p0, p1, t0, t1, i / F.lit(float(steps))), "xyk", strict=True)])
+    points = F.transform(F.sequence(F.lit(0), F.lit(steps)), at)
+    chords = F.zip_with(F.slice(points, 1, steps), F.slice(points, 2, steps), lambda a, b: F.hypot(b["x"] - a["x"], b["y"] - a["y"]))
+    return F.aggregate(chords, F.lit(0.0), lambda total, c: total + c)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from calado.functions.geometry import segment_distance
 from calado.operators.storage import checkpointed
 
 #: Steps to the neighbours of a lattice cell.
@@ -33,23 +34,28 @@ def lattice(cells: DataFrame, mode: str, steps: list[tuple[int, int]] = EIGHT) -
     return left.join(right, ["bx", "by"]).select(node_id(F.col("x"), F.col("y")).alias("a"), node_id(F.col("bx"), F.col("by")).alias("b"), cost.alias("cost"))
 
 
-def shortest_paths(edges: DataFrame, queries: DataFrame, rounds: int = 10_000) -> DataFrame:
+def shortest_paths(edges: DataFrame, queries: DataFrame, rounds: int = 10_000, by: tuple[str, ...] = (), tolls: DataFrame | None = None) -> DataFrame:
     """(q, node, cost, path) of the cheapest path from each query's start to every node it reaches.
 
     All queries are relaxed together: the nodes whose cost fell send it along their edges, and the least offer wins, ties
     by the path's names. It stops when no cost falls; where one still would after ``rounds`` rounds, that is an error.
     Costs are not negative; nodes that edges do not name are never crossed.
     Rows hold their path, which is as long as the route, so that no second pass has to trace it back.
+    ``by`` are columns of edges and queries, which must agree (a kind of cost, say); ``tolls`` (q, node, toll) are added to
+    the cost of entering a node, for one query.
     """
-    steps = edges.select("a", "b", F.col("cost").alias("_step"))
-    zero = queries.select("q", F.col("start").alias("node"), F.lit(0.0).alias("cost"), F.array("start").alias("path"))
+    key = ["q", *by]
+    steps = edges.select(*by, F.col("a").alias("node"), "b", F.col("cost").alias("_step"))
+    zero = queries.select(*key, F.col("start").alias("node"), F.lit(0.0).alias("cost"), F.array("start").alias("path"))
     best = frontier = checkpointed(zero)
     for done in range(rounds + 1):
-        sent = frontier.join(steps, F.col("node") == F.col("a")).select("q", F.col("b").alias("node"), (F.col("cost") + F.col("_step")).alias("offer"), F.concat("path", F.array("b")).alias("via"))
-        least = sent.groupBy("q", "node").agg(F.min(F.struct("offer", "via")).alias("_m")).select("q", "node", "_m.offer", "_m.via")
+        sent = frontier.join(steps, [*by, "node"]).select(*key, F.col("b").alias("node"), (F.col("cost") + F.col("_step")).alias("offer"), F.concat("path", F.array("b")).alias("via"))
+        if tolls is not None:
+            sent = sent.join(tolls, ["q", "node"], "left").withColumn("offer", F.col("offer") + F.coalesce("toll", F.lit(0.0)))
+        least = sent.groupBy(*key, "node").agg(F.min(F.struct("offer", "via")).alias("_m")).select(*key, "node", "_m.offer", "_m.via")
         better = F.col("offer").isNotNull() & (F.col("cost").isNull() | (F.col("offer") < F.col("cost") - 1e-12))
-        met = best.join(least, ["q", "node"], "full_outer")
-        now = checkpointed(met.select("q", "node", F.when(better, F.col("offer")).otherwise(F.col("cost")).alias("cost"), F.when(better, F.col("via")).otherwise(F.col("path")).alias("path"), better.alias("_new")))
+        met = best.join(least, [*key, "node"], "full_outer")
+        now = checkpointed(met.select(*key, "node", F.when(better, F.col("offer")).otherwise(F.col("cost")).alias("cost"), F.when(better, F.col("via")).otherwise(F.col("path")).alias("path"), better.alias("_new")))
         best, frontier = now.drop("_new"), now.where("_new").drop("_new")
         if not frontier.limit(1).count():
             return best
@@ -57,30 +63,81 @@ def shortest_paths(edges: DataFrame, queries: DataFrame, rounds: int = 10_000) -
             raise ValueError(f"costs still fall after {rounds} rounds")
 
 
-def alternatives(edges: DataFrame, queries: DataFrame, k: int, penalty: float = 3.0, max_jaccard: float = 0.68, max_length: float = 1.48) -> DataFrame:
-    """Up to ``k`` distinct paths per query: (q, variant, nodes, cost, jaccard).
+def _place(node: Column) -> tuple[Column, Column]:
+    parts = F.split(node, ",")
+    return parts[0].cast("double"), parts[1].cast("double")
 
-    After each path, edges into its inner nodes cost ``penalty`` times as much; a new path is accepted if its node set's
-    Jaccard with every accepted one is at most ``max_jaccard`` and its cost by the first prices at most ``max_length`` times the first's.
+
+def _middle(nodes: Column) -> Column:
+    """The nodes of a path whose projection on the line from its start to its end lies from 0.18 to 0.82 of it."""
+    (ax, ay), (bx, by) = _place(F.element_at(nodes, 1)), _place(F.element_at(nodes, -1))
+    along = lambda n: ((_place(n)[0] - ax) * (bx - ax) + (_place(n)[1] - ay) * (by - ay)) / F.nullif((bx - ax) ** 2 + (by - ay) ** 2, F.lit(0.0))
+    return F.filter(nodes, lambda n: along(n).between(0.18, 0.82))
+
+
+def _far_share(nodes: Column, other: Column, far: float) -> Column:
+    """Share of a path's middle nodes that lie ``far`` or more from the line through another's nodes; 0 without middle nodes."""
+
+    def away(node: Column) -> Column:
+        x, y = _place(node)
+        sides = F.transform(other, lambda n, i: segment_distance(x, y, *_place(n), *_place(F.coalesce(F.get(other, i + 1), n)))[0])
+        return F.array_min(sides)
+
+    middle = _middle(nodes)
+    return F.coalesce(F.size(F.filter(middle, lambda n: away(n) >= far)) / F.nullif(F.size(middle), F.lit(0)), F.lit(0.0))
+
+
+def alternatives(
+    edges: dict[str, DataFrame], queries: DataFrame, k: int = 3, attempts: int = 24, toll: float = 1.0, rise: float = 1.25, max_jaccard: float = 0.68, max_length: float = 1.48,
+    far: float = 2.0, min_far: float = 0.19,
+) -> DataFrame:
+    """Up to ``k`` spatially distinct paths per query: (q, variant, nodes, cost, jaccard, far_share).
+
+    ``edges`` are prices by name on one lattice; the first one's measure length. Its cheapest path is variant 0. Attempts take the
+    other prices and then the first in turn; each turn adds ``rise`` to the ``toll`` on the 3 x 3 cells around the middle of
+    every path accepted so far. An attempt is accepted if the Jaccard of its nodes with each accepted path is at most
+    ``max_jaccard``, at least ``min_far`` of its middle lies ``far`` cells from each, and its length is at most ``max_length`` times
+    the first. Attempts between two acceptances do not depend on each other, so all that are left run together and the first good
+    one of each query counts; then those after it run again with its tolls. Nodes are named ``x,y``.
     """
-    priced, found = edges, None
-    for variant in range(k):
-        found_now = shortest_paths(priced, queries).join(queries.select("q", F.col("end").alias("node")), ["q", "node"]).select("q", F.col("path").alias("nodes"))
-        hops = found_now.select("q", "nodes", F.posexplode("nodes").alias("i", "node")).withColumn("_to", F.get("nodes", F.col("i") + 1))
-        prices = edges.select(F.col("a").alias("node"), F.col("b").alias("_to"), "cost")
-        cost = hops.join(prices, ["node", "_to"], "left").groupBy("q").agg(F.coalesce(F.sum("cost"), F.lit(0.0)).alias("cost"))
-        made = checkpointed(found_now.join(cost, "q").select("q", "nodes", "cost", F.lit(variant).alias("variant")))
-        if found is None:
-            found = made.withColumn("jaccard", F.lit(0.0))
-        else:
-            old = found.select("q", F.col("nodes").alias("_n"), F.when(F.col("variant") == 0, F.col("cost")).alias("_c"))
-            share = F.size(F.array_intersect("nodes", "_n")) / F.size(F.array_union("nodes", "_n"))
-            near = made.join(old, "q").groupBy("q").agg(F.max(share).alias("jaccard"), F.max("_c").alias("_first"))
-            good = made.join(near, "q").where((F.col("jaccard") <= max_jaccard) & (F.col("cost") <= max_length * F.col("_first"))).drop("_first")
-            found = checkpointed(found.unionByName(good))
-        inner = made.select(F.explode(F.slice("nodes", F.lit(2), F.size("nodes"))).alias("b")).distinct()
-        priced = checkpointed(priced.join(inner.withColumn("_p", F.lit(penalty)), "b", "left").select("a", "b", (F.col("cost") * F.coalesce("_p", F.lit(1.0))).alias("cost")))
-    return found.select("q", "variant", "nodes", "cost", "jaccard")
+    names = list(edges)
+    priced = None
+    for name in names:
+        one = edges[name].select(F.lit(name).alias("mode"), "a", "b", "cost")
+        priced = one if priced is None else priced.unionByName(one)
+    priced = checkpointed(priced)
+    lengths = priced.where(F.col("mode") == names[0]).select(F.col("a").alias("node"), F.col("b").alias("_to"), F.col("cost").alias("_c"))
+    turn = names[1:] + names[:1]
+
+    def routes(wanted: DataFrame, tolls: DataFrame | None) -> DataFrame:
+        """(q, nodes, cost) of wanted rows (q, mode, start, end): the path that reaches the end, and its length."""
+        ends = shortest_paths(priced, wanted, by=("mode",), tolls=tolls).join(wanted.select("q", F.col("end").alias("node")), ["q", "node"]).select("q", F.col("path").alias("nodes"))
+        hops = ends.select("q", F.posexplode("nodes").alias("i", "node"), F.get("nodes", F.col("i") + 1).alias("_to")).join(lengths, ["node", "_to"])
+        cost = hops.groupBy("q").agg(F.sum("_c").alias("cost"))
+        return ends.join(cost, "q", "left").select("q", "nodes", F.coalesce("cost", F.lit(0.0)).alias("cost"))
+
+    base = routes(queries.withColumn("mode", F.lit(names[0])), None)
+    found = checkpointed(base.select("q", F.lit(0).alias("variant"), "nodes", "cost", F.lit(0.0).alias("jaccard"), F.lit(1.0).alias("far_share"), F.lit(-1).alias("_at")))
+    tries = [(i, turn[i % len(turn)], toll + rise * (i // len(turn))) for i in range(attempts)]
+    tried = F.explode(F.array(*[F.struct(F.lit(i).alias("_i"), F.lit(m).alias("mode"), F.lit(t).alias("toll")) for i, m, t in tries])) if tries else None
+    for variant in range(1, k if tries else 1):
+        last = found.groupBy("q").agg(F.max("_at").alias("_at"), F.max("variant").alias("_v")).where(F.col("_v") == variant - 1)
+        wanted = queries.join(last, "q").select("q", "start", "end", "_at", tried.alias("_t")).select(F.col("q").alias("_q"), "start", "end", "_at", "_t.*").where("_i > _at")
+        wanted = checkpointed(wanted.withColumn("q", F.struct("_q", "_i")))
+        if not wanted.limit(1).count():
+            break
+        x, y = _place(F.col("node"))
+        beside = F.explode(F.array(*[node_id(x + i, y + j) for i in (-1, 0, 1) for j in (-1, 0, 1)])).alias("node")
+        cells = found.select(F.col("q").alias("_q"), F.explode(_middle(F.col("nodes"))).alias("node")).select("_q", beside).distinct()
+        made = routes(wanted, checkpointed(wanted.join(cells, "_q").select("q", "node", "toll"))).select("q._q", "q._i", "nodes", "cost")
+        old = found.select(F.col("q").alias("_q"), F.col("nodes").alias("_n"), F.when(F.col("variant") == 0, F.col("cost")).alias("_c"))
+        share = F.size(F.array_intersect("nodes", "_n")) / F.size(F.array_union("nodes", "_n"))
+        rated = made.join(old, "_q").groupBy("_q", "_i", "nodes", "cost").agg(F.max(share).alias("jaccard"), F.min(_far_share(F.col("nodes"), F.col("_n"), far)).alias("far_share"), F.max("_c").alias("_first"))
+        good = rated.where((F.col("jaccard") <= max_jaccard) & (F.col("far_share") >= min_far) & (F.col("cost") <= max_length * F.col("_first")))
+        best = good.groupBy("_q").agg(F.min(F.struct("_i", "nodes", "cost", "jaccard", "far_share")).alias("_m"))
+        new = best.select(F.col("_q").alias("q"), F.lit(variant).alias("variant"), "_m.nodes", "_m.cost", "_m.jaccard", "_m.far_share", F.col("_m._i").alias("_at"))
+        found = checkpointed(found.unionByName(new))
+    return found.drop("_at")
 
 
 def compose_chains(first: DataFrame, second: DataFrame, third: DataFrame) -> DataFrame:

@@ -196,6 +196,12 @@ def mark_residuals(marks: DataFrame, cells: DataFrame) -> DataFrame:
     return met.groupBy("mark", "height").agg((F.col("height") - centre).alias("centre"), (F.col("height") - F.median("z")).alias("around"), F.count("z").alias("n")).drop("height")
 
 
+def residual_summary(residuals: DataFrame, group: list[str], residual: str = "centre") -> DataFrame:
+    """Per group (a resolution, say) the marks with a residual, their mean, median, least and greatest, and the greatest by size."""
+    r = F.col(residual)
+    return residuals.groupBy(*group).agg(F.count(r).alias("n"), F.avg(r).alias("mean"), F.median(r).alias("median"), F.min(r).alias("least"), F.max(r).alias("greatest"), F.max(F.abs(r)).alias("max_abs"))
+
+
 def site_route_context(sites: DataFrame, routes: DataFrame, near: float, most_sites: int = 100_000) -> DataFrame:
     """Per site and route the nearest sample: offset, chainage, heading difference, whether within ``near``.
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from calado.functions.geometry import rotate, segment_distance
 from calado.operators.joins import _cells
+from calado.operators.storage import checkpointed
 
 RING = "array<struct<x double, y double>>"
 
@@ -50,6 +51,20 @@ def at_chainage(wanted: DataFrame, segs: DataFrame, group: str) -> DataFrame:
     return met.select(*wanted.columns, (F.col("ax") + t * (F.col("bx") - F.col("ax"))).alias("x"), (F.col("ay") + t * (F.col("by") - F.col("ay"))).alias("y"))
 
 
+def sub_lines(wanted: DataFrame, segs: DataFrame, group: str) -> DataFrame:
+    """The segments of each line between the chainages ``lo`` and ``hi`` of ``wanted``, cut at both; ``s0`` and ``length`` of the parts.
+
+    Chainages beyond the line's ends reach to them; spans without length make no row. The first point is (ax, ay) of the least ``s0``.
+    """
+    columns = [c for c in wanted.columns if c != group]
+    met = segs.join(wanted, group).where((F.col("length") > 0) & (F.col("s0") < F.col("hi")) & (F.col("s0") + F.col("length") > F.col("lo")))
+    a = F.greatest((F.col("lo") - F.col("s0")) / F.col("length"), F.lit(0.0))
+    b = F.least((F.col("hi") - F.col("s0")) / F.col("length"), F.lit(1.0))
+    at = lambda p, q, t: F.col(p) + t * (F.col(q) - F.col(p))
+    parts = {"ax": at("ax", "bx", a), "ay": at("ay", "by", a), "bx": at("ax", "bx", b), "by": at("ay", "by", b)}
+    return met.select(group, *columns, (F.col("s0") + a * F.col("length")).alias("s0"), *[v.alias(k) for k, v in parts.items()], ((b - a) * F.col("length")).alias("length"))
+
+
 def strip_grid(sites: DataFrame, along: list[float], across: list[float]) -> DataFrame:
     """Sample points of an oriented strip around each site with x, y and heading."""
     rows = sites.withColumn("along", F.explode(F.array(*[F.lit(float(v)) for v in along]))).withColumn("across", F.explode(F.array(*[F.lit(float(v)) for v in across])))
@@ -220,6 +235,37 @@ def footprint_cover(points: DataFrame, rects: DataFrame, half: float, width: flo
     return out.select("id", F.coalesce("covered", F.lit(False)).alias("covered"), F.coalesce("area", F.lit(0.0)).alias("area"))
 
 
+def nearest_footprint(points: DataFrame, rects: DataFrame, width: float) -> DataFrame:
+    """Per point (id, x, y) the nearest rectangle (``rect``, xmin, ymin, xmax, ymax; ties by ``rect``) and ``distance``, 0 inside.
+
+    Squares around the points grow fourfold from ``width``, or at once to the least distance from the box around all rectangles, until
+    one is within their half side; what is found there is nearest. A point without coordinates, or all where there are no rectangles,
+    have null. Rectangles should not be far larger than ``width``, as they go to all grid cells they cover. Each round is a checkpoint.
+    """
+    from calado.operators.joins import bbox_join
+
+    nothing = lambda df: df.select("id", F.lit(None).cast(rects.schema["rect"].dataType).alias("rect"), F.lit(None).cast("double").alias("distance"))
+    placed = "x IS NOT NULL AND y IS NOT NULL AND NOT isnan(x) AND NOT isnan(y)"
+    found, left = nothing(points.where(f"NOT ({placed})")), points.select("id", F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y")).where(placed)
+    box = rects.agg(F.min("xmin").alias("x0"), F.max("xmax").alias("x1"), F.min("ymin").alias("y0"), F.max("ymax").alias("y1")).first()
+    if box["x0"] is None:
+        return found.unionByName(nothing(left))
+    out = lambda c, lo, hi: F.greatest(lo - F.col(c), F.col(c) - hi, F.lit(0.0))
+    away, r = F.min(F.hypot(out("x", F.lit(box["x0"]), F.lit(box["x1"])), out("y", F.lit(box["y0"]), F.lit(box["y1"])))), width
+    while True:
+        least = left.agg(away).first()[0]
+        if least is None:
+            return found
+        r = max(r, least * (1 + 1e-9))
+        squares = left.select("id", "x", "y", (F.col("x") - r).alias("xmin"), (F.col("y") - r).alias("ymin"), (F.col("x") + r).alias("xmax"), (F.col("y") + r).alias("ymax"))
+        d = F.hypot(out("x_a", F.col("xmin_b"), F.col("xmax_b")), out("y_a", F.col("ymin_b"), F.col("ymax_b")))
+        hits = bbox_join(squares, rects.select("rect", "xmin", "ymin", "xmax", "ymax"), r).withColumn("_d", d).where(F.col("_d") <= r)
+        best = checkpointed(hits.groupBy(F.col("id_a").alias("id")).agg(F.min(F.struct(F.col("_d").alias("distance"), F.col("rect_b").alias("rect"))).alias("_m")).select("id", "_m.rect", "_m.distance"))
+        found = found.unionByName(best)
+        left = checkpointed(left.join(best.select("id"), "id", "left_anti"))
+        r *= 4
+
+
 def share_samples(points: DataFrame, key: str, width: float) -> DataFrame:
     """One sample for all points of a cell of ``width``: (key, sample), the sample named by its least key."""
     cells = points.groupBy(F.floor(F.col("x") / width).alias("_cx"), F.floor(F.col("y") / width).alias("_cy")).agg(F.min(key).alias("sample"))
@@ -231,3 +277,20 @@ def country_split(edges: DataFrame, line: str, countries: DataFrame, width: floa
     spans = edge_spans(edges, countries, width, carry="country")
     length = F.sum((F.col("end") - F.col("start")) * F.col("length")).alias("length_in")
     return spans.join(edges.select("edge_id", line), "edge_id").groupBy(line, "country").agg(length)
+
+
+def border_distance(points: DataFrame, countries: DataFrame, key: str, reach: float) -> DataFrame:
+    """(key, country, distance) of each point to the border of each country within ``reach``, by the nearest side of its ring."""
+    ring = F.col("ring")
+    sides = F.transform(ring, lambda p, i: F.struct(p["x"].alias("ax"), p["y"].alias("ay"), ring[(i + 1) % F.size(ring)]["x"].alias("bx"), ring[(i + 1) % F.size(ring)]["y"].alias("by")))
+    segs = countries.select("country", F.explode(sides).alias("_s")).select("country", "_s.*")
+    segs = segs.withColumns({"s0": F.lit(0.0), "length": F.hypot(F.col("bx") - F.col("ax"), F.col("by") - F.col("ay"))})
+    return locate(points, segs, key, "country", reach).select(key, "country", F.col("offset").alias("distance"))
+
+
+def uncertain_tiles(tiles: DataFrame, countries: DataFrame, width: float, reach: float = 1500.0) -> DataFrame:
+    """Tiles (tx, ty) with ``uncertain``, whether their centre lies less than ``reach`` from a country's border: the generalised
+    border does not tell on which side they are."""
+    centres = tiles.select("tx", "ty").distinct().select(F.struct("tx", "ty").alias("tile"), ((F.col("tx") + 0.5) * width).alias("x"), ((F.col("ty") + 0.5) * width).alias("y"))
+    near = border_distance(centres, countries, "tile", reach).where(F.col("distance") < reach).select("tile.tx", "tile.ty", F.lit(True).alias("_near")).distinct()
+    return tiles.join(near, ["tx", "ty"], "left").select(*tiles.columns, F.coalesce("_near", F.lit(False)).alias("uncertain"))

@@ -116,6 +116,12 @@ def curvature(df: DataFrame, group: list[str], order: str = "s", x: str = "x", y
     return rows.withColumn("radius", F.when((i > trim) & (i <= n - trim) & (bend > 0), 1 / bend)).drop("_dx", "_dy", "_ddx", "_ddy")
 
 
+def least_radius(df: DataFrame, group: list[str], order: str = "s", x: str = "x", y: str = "y", trim: int = 10) -> DataFrame:
+    """Per group the least radius of its bends and the 5th percentile, edges trimmed; null where all rows are straight."""
+    rows = curvature(df, group, order, x, y, trim)
+    return rows.groupBy(*group).agg(F.min("radius").alias("least"), F.percentile("radius", F.lit(0.05)).alias("p05"), F.count("radius").alias("bends"))
+
+
 def lateral_shift(df: DataFrame, group: list[str], order: str, offset: float, x: str = "x", y: str = "y") -> DataFrame:
     """Move points along the normal by offset * sin^2(pi t), t the share of the leg's rows."""
     w = Window.partitionBy(*group).orderBy(order)

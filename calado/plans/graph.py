@@ -49,7 +49,8 @@ def _(t, cells):
 @query("R03_alternatives")
 def _(t):
     cells = t.sql(ISLANDS)
-    return R.alternatives(R.checkpointed(R.lattice(cells, "balanced")), _queries(cells), 3).select("q", "variant", F.array_join("nodes", " ").alias("nodes"), "cost", "jaccard")
+    modes = {m: R.lattice(cells, m) for m in ("distance", "relief", "balanced")}
+    return R.alternatives(modes, _queries(cells)).select("q", "variant", F.array_join("nodes", " ").alias("nodes"), "cost", "jaccard", "far_share")
 
 
 LEGS = "SELECT l_orderkey, l_linenumber, l_partkey FROM {lineitem}"

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ast
+import re
 from functools import reduce
 
 import pandas as pd
@@ -90,16 +92,36 @@ def flatten_period_map(responses: DataFrame) -> DataFrame:
     return out.where((F.col("outcome") != "ok") | F.col("valor").isNotNull() | F.col("sinal_conv").isNotNull())
 
 
-def dimension_members(groups: DataFrame) -> DataFrame:
-    """(indicator, dim, code, label) from a JSON list of groups in either shape; dimension 1 must be there."""
-    shape = "array<struct<dim_num:int,cat_id:string,categ_cod:string,categ_dsg:string,Dim:int,Membros:array<struct<cod:string,dsg:string>>>>"
+#: The keys that may hold a member's label, the first filled one counts.
+LABEL_KEYS = ["categ_dsg", "Designacao", "Descricao", "label", "dsg"]
+
+
+def _members(groups: DataFrame) -> DataFrame:
+    """(indicator, dim, code, label) of both shapes of metadata."""
+    labels = ",".join(f"{k}:string" for k in LABEL_KEYS)
+    shape = f"array<struct<dim_num:int,cat_id:string,categ_cod:string,Dim:int,Membros:array<struct<cod:string,{labels}>>,{labels}>>"
+    label = lambda at: F.coalesce(*[F.nullif(F.col(f"{at}.{k}"), F.lit("")) for k in LABEL_KEYS])
     rows = groups.select("indicator", F.explode(F.from_json("meta", shape)).alias("g"))
-    flat = rows.where("g.Membros IS NULL").select("indicator", F.col("g.dim_num").alias("dim"), F.coalesce("g.cat_id", "g.categ_cod").alias("code"), F.col("g.categ_dsg").alias("label"))
-    nested = rows.where("g.Membros IS NOT NULL").select("indicator", F.col("g.Dim").alias("dim"), F.explode("g.Membros").alias("m")).select("indicator", "dim", F.col("m.cod").alias("code"), F.col("m.dsg").alias("label"))
-    both = flat.unionByName(nested)
-    first = both.groupBy(F.col("indicator").alias("_i")).agg(F.bool_or(F.col("dim") == 1).alias("_ok"))
-    met = both.join(first, F.col("indicator") == F.col("_i"))
-    return met.where(F.when(F.col("_ok"), F.lit(True)).otherwise(F.raise_error(F.lit("an indicator has no dimension 1")))).select("indicator", "dim", "code", "label")
+    flat = rows.where("g.Membros IS NULL").select("indicator", F.col("g.dim_num").alias("dim"), F.coalesce("g.cat_id", "g.categ_cod").alias("code"), label("g").alias("label"))
+    nested = rows.where("g.Membros IS NOT NULL").select("indicator", F.col("g.Dim").alias("dim"), F.explode("g.Membros").alias("m"))
+    return flat.unionByName(nested.select("indicator", "dim", F.col("m.cod").alias("code"), label("m").alias("label")))
+
+
+def dimension_members(groups: DataFrame) -> DataFrame:
+    """(indicator, dim, code, label) from a JSON list of groups in either shape, dimensions 1 to 9.
+
+    Dimension 1 must be there. Dimensions 2 to 4 may be missing; from 5 on the first one missing ends the list.
+    """
+    both = _members(groups)
+    first = both.groupBy(F.col("indicator").alias("_i")).agg(F.collect_set(F.when(F.col("dim").between(1, 9), F.col("dim"))).alias("_dims"))
+    before = F.size(F.filter("_dims", lambda d: (d >= 5) & (d < F.col("dim"))))
+    met = both.join(first, F.col("indicator") == F.col("_i")).where(F.col("dim").between(1, 9) & ((F.col("dim") <= 5) | (before == F.col("dim") - 5)) | ~F.array_contains("_dims", 1))
+    return met.where(F.when(F.array_contains("_dims", 1), F.lit(True)).otherwise(F.raise_error(F.lit("an indicator has no dimension 1")))).select("indicator", "dim", "code", "label")
+
+
+def period_labels(groups: DataFrame) -> DataFrame:
+    """(indicator, code, label) of the periods, dimension 1; a period without any label makes no row."""
+    return _members(groups).where("dim = 1 AND label IS NOT NULL").select("indicator", "code", "label")
 
 
 def zip_variables(table: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -114,22 +136,32 @@ def zip_variables(table: DataFrame) -> tuple[DataFrame, DataFrame]:
     return rows, qa
 
 
-def walk_rows(docs: DataFrame) -> DataFrame:
-    """Objects of nested JSON that hold a value key, with their pointer; equal (pointer, content) once.
+def walk_rows(docs: DataFrame, keys: tuple[str, ...] = ("value", "valor")) -> DataFrame:
+    """Objects of nested JSON that hold one of ``keys``, with their pointer; equal (pointer, content) once.
 
-    Each level is one step over keys of objects and places of lists, until a level is empty.
+    A list or object under ``Data``, ``data`` or ``DATA``, or else the list ``records`` beside ``metadata``, is the content:
+    what lies beside it makes no rows. Each level is one step over keys of objects and places of lists, until a level is empty.
     """
-    here = docs.select("doc", F.lit("").alias("pointer"), F.parse_json("body").alias("node"))
-    found = []
+    whole = docs.select("doc", F.parse_json("body").alias("node"))
+    at = lambda k: F.try_variant_get("node", f"$.{k}", "variant")
+    holds = lambda k: F.coalesce(F.schema_of_variant(at(k)).rlike("^(OBJECT|ARRAY)"), F.lit(False))
+    top = F.lit(None).cast("string")
+    for k in ("DATA", "data", "Data"):
+        top = F.when(holds(k), k).otherwise(top)
+    top = F.coalesce(top, F.when(at("metadata").isNotNull() & F.coalesce(F.schema_of_variant(at("records")).startswith("ARRAY"), F.lit(False)), "records"))
+    node = F.col("node")
+    for k in ("records", "DATA", "data", "Data"):
+        node = F.when(top == k, at(k)).otherwise(node)
+    here = checkpointed(whole.select("doc", F.coalesce(F.concat(F.lit("/"), top), F.lit("")).alias("pointer"), node.alias("node")))
+    found = [here]
     while True:
         here = checkpointed(_children(here))
         found.append(here)
         if not here.limit(1).count():
             break
     rows = reduce(lambda a, b: a.unionByName(b), found)
-    text = F.to_json("node")
-    is_row = F.schema_of_variant("node").startswith("OBJECT") & F.coalesce(F.try_variant_get("node", "$.value", "string"), F.try_variant_get("node", "$.valor", "string")).isNotNull()
-    return rows.where(is_row).select("doc", "pointer", text.alias("row")).distinct()
+    is_row = F.schema_of_variant("node").startswith("OBJECT") & reduce(lambda a, b: a | b, [F.try_variant_get("node", f"$.{k}", "string").isNotNull() for k in keys])
+    return rows.where(is_row).select("doc", "pointer", F.to_json("node").alias("row")).distinct()
 
 
 def _children(level: DataFrame) -> DataFrame:
@@ -193,42 +225,65 @@ def _absolute(href: Column, base: Column) -> Column:
     return F.when(href.rlike(r"(?i)^https?://"), href).when(href.startswith("//"), F.concat(scheme, href)).when((href != "") & ~href.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*:"), local)
 
 
-def links(pages: DataFrame, key: str = "page_id", base: str = "url", pattern: str | None = None, most: int | None = None) -> DataFrame:
-    """(key, href, label, position): absolute links, the first of each address, those that match, at most ``most`` a page."""
-    found = pages.select(key, base, F.posexplode(F.regexp_extract_all(_no_scripts(F.col("html")), F.lit(r"(?is)(<a\b[^>]*>.*?</a\s*>)"), 1)).alias("position", "_a"))
-    href = F.regexp_extract("_a", r"(?is)^<a\b[^>]*?\bhref\s*=\s*[\"']?([^\"'\s>]+)", 1)
-    rows = found.select(key, _absolute(href, F.col(base)).alias("href"), _cell_text(F.col("_a")).alias("label"), "position").where("href IS NOT NULL")
+def links(
+    pages: DataFrame, key: str = "page_id", base: str = "url", pattern: str | None = None, most: int | None = None,
+    label: str | None = None, hosts: list[str] | None = None, extensions: list[str] | None = None,
+) -> DataFrame:
+    """(key, href, label, position): absolute links, the first of each address, those that match, at most ``most`` a page.
+
+    A page is read as HTML, by its ``a`` elements, or, where its root is ``feed``, as Atom, by its ``link`` elements, whose label is
+    their title. Rules: ``pattern`` of the address, ``label`` of the label, ends of the host's name, extensions of the path.
+    """
+    html, start = _no_scripts(F.col("html")), r"(?is)^\s*(?:<\?.*?\?>\s*|<!--.*?-->\s*)*<(?:\w+:)?feed\b"
+    atom = F.regexp_extract_all("html", F.lit(r"(?is)(<(?:\w+:)?link\b[^>]*>)"), 1)
+    found = pages.select(key, base, F.posexplode(F.when(F.col("html").rlike(start), atom).otherwise(F.regexp_extract_all(html, F.lit(r"(?is)(<a\b[^>]*>.*?</a\s*>)"), 1))).alias("position", "_a"))
+    href = F.regexp_extract("_a", r"(?is)^<[\w:]+\b[^>]*?\bhref\s*=\s*[\"']?([^\"'\s>]+)", 1)
+    title = F.regexp_extract("_a", r"(?is)^<(?:\w+:)?link\b[^>]*?\btitle\s*=\s*[\"']([^\"']*)", 1)
+    text = F.when(F.col("_a").rlike(r"(?i)^<(\w+:)?link\b"), title).otherwise(_cell_text(F.col("_a")))
+    rows = found.select(key, _absolute(href, F.col(base)).alias("href"), text.alias("label"), "position").where("href IS NOT NULL")
     if pattern:
         rows = rows.where(F.col("href").rlike(pattern))
+    if label:
+        rows = rows.where(F.col("label").rlike(label))
+    if hosts:
+        name = F.lower(F.regexp_extract("href", r"(?i)^https?://(?:[^/?#@]*@)?([^/?#:]+)", 1))
+        rows = rows.where(reduce(lambda a, b: a | b, [name.endswith(h.lower()) for h in hosts]))
+    if extensions:
+        rows = rows.where(F.lower(F.regexp_extract("href", r"^https?://[^/?#]+/(?:[^?#]*/)?[^/?#]+\.([^./?#]+)(?:[?#]|$)", 1)).isin([e.lower().lstrip(".") for e in extensions]))
     first = rows.groupBy(key, "href").agg(F.min(F.struct("position", "label")).alias("_m")).select(key, "href", "_m.label", "_m.position")
     if most is None:
         return first
     return first.withColumn("_i", F.row_number().over(Window.partitionBy(key).orderBy("position"))).where(F.col("_i") <= most).drop("_i")
 
 
+_TOKEN = re.compile(r"""\"(?:\\.|[^\"\\])*\"|'(?:\\.|[^'\\])*'|[()\[\]{}"']""", re.S)
+
+
+def _close(script: str, at: int) -> int | None:
+    """Where the bracket opened before ``at`` closes; strings are skipped over; None if it or a string stays open."""
+    depth = 1
+    for m in _TOKEN.finditer(script, at):
+        c = m.group()
+        if len(c) > 1:
+            continue
+        if c in "\"'":
+            return None
+        depth += 1 if c in "([{" else -1
+        if not depth:
+            return m.start()
+    return None
+
+
 def _balanced(script: str) -> list[str]:
-    """Arguments of calls of ``track`` or ``chart``, up to the bracket that closes them; strings are skipped over."""
+    """Arguments of calls of ``track`` or ``chart``, up to the bracket that closes them."""
     out, at = [], 0
-    while True:
-        starts = [i for i in (script.find("track(", at), script.find("chart(", at)) if i >= 0]
-        if not starts:
-            return out
-        i = j = min(starts) + 6
-        depth, quote = 1, ""
-        while j < len(script) and depth:
-            c = script[j]
-            if quote:
-                j += c == "\\"
-                quote = "" if c == quote else quote
-            elif c in "\"'":
-                quote = c
-            else:
-                depth += (c in "([{") - (c in ")]}")
-            j += 1
-        if depth:
-            return out
-        out.append(script[i : j - 1])
-        at = j
+    while m := re.compile(r"(?:track|chart)\(").search(script, at):
+        end = _close(script, m.end())
+        if end is None:
+            break
+        out.append(script[m.end() : end])
+        at = end + 1
+    return out
 
 
 def embedded_charts(pages: DataFrame, key: str = "page_id") -> DataFrame:
@@ -242,6 +297,50 @@ def embedded_charts(pages: DataFrame, key: str = "page_id") -> DataFrame:
     return scripts.select(key, "script_no", F.posexplode(calls("_s")).alias("call_no", "payload"))
 
 
+def _argument(script: str, name: str) -> str | None:
+    """The argument of the first call of a function; an open call is an error; a quoted string is unquoted."""
+    m = re.search(rf"\b{name}\s*\(", script)
+    if m is None:
+        return None
+    end = _close(script, m.end())
+    if end is None:
+        raise ValueError(f"a call of {name} does not end")
+    text = script[m.end() : end].strip()
+    return ast.literal_eval(text) if text[:1] in ("'", '"') else text
+
+
+#: The container's name in its script, and the calls that carry configuration, rows and the address of rows.
+CHART_CONTAINER = r"(?i)getElementById\s*\(\s*['\"](easychart-chart-[^'\"]+)['\"]\s*\)"
+CHART_CALLS = {"stringified": "setConfigStringified", "config": "setConfig", "data": "setData", "data_url": "setDataUrl"}
+
+
+def chart_rows(pages: DataFrame, key: str = "page_id", fewest: int = 0, most: int = 100) -> DataFrame:
+    """(key, chart, config, data_url, row_no, cells) of the charts that inline scripts fill, one row for each row of their data.
+
+    ``config`` is JSON text; a chart without data has null ``row_no`` and ``cells``; nested cells are JSON text. Errors: two
+    containers in one script, a container filled twice, text that is not JSON, charts of a page beyond ``fewest`` and ``most``.
+    """
+    scripts = F.regexp_extract_all("html", F.lit(r"(?is)<script\b(?![^>]*\bsrc\s*=)[^>]*>(.*?)</script\s*>"), 1)
+    named = F.filter(F.transform(scripts, lambda s: F.struct(F.array_distinct(F.regexp_extract_all(s, F.lit(CHART_CONTAINER), 1)).alias("ids"), s.alias("script"))), lambda e: F.size(e["ids"]) > 0)
+    rows = pages.select(key, named.alias("_c"))
+    fault = (
+        F.when(F.exists("_c", lambda e: F.size(e["ids"]) > 1), "a script names several charts")
+        .when(F.size(F.array_distinct(F.transform("_c", lambda e: e["ids"][0]))) < F.size("_c"), "a chart is filled twice")
+        .when(~F.size("_c").between(fewest, most), "a page has too few or too many charts")
+    )
+    rows = rows.select(key, F.explode(F.when(fault.isNotNull(), F.raise_error(F.concat_ws(" ", fault, F.col(key).cast("string")))).otherwise(F.col("_c"))).alias("_e"))
+
+    @F.pandas_udf(", ".join(f"{k} string" for k in CHART_CALLS))
+    def calls(s: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame({k: s.map(lambda script, n=name: _argument(script, n)) for k, name in CHART_CALLS.items()}, dtype=object)
+
+    rows = rows.select(key, F.col("_e.ids")[0].alias("chart"), calls("_e.script").alias("_a"))
+    config, data = F.coalesce("_a.stringified", "_a.config"), F.from_json("_a.data", "array<array<string>>")
+    wrong = (config.isNotNull() & F.try_parse_json(config).isNull()) | (F.col("_a.data").isNotNull() & data.isNull())
+    checked = F.when(wrong, F.raise_error(F.concat(F.lit("a payload is not JSON: "), F.col("chart")))).otherwise(data)
+    return rows.select(key, "chart", config.alias("config"), "_a.data_url", F.posexplode_outer(checked).alias("row_no", "cells"))
+
+
 def select_resources(resources: DataFrame, pattern: str, formats: list[str], latest: int | None = None) -> DataFrame:
     """Resources whose name or address matches and whose format is listed, newest first per package, the first ``latest``."""
     rows = resources.where((F.col("name").rlike(pattern) | F.col("url").rlike(pattern)) & F.upper("format").isin(formats))
@@ -267,6 +366,18 @@ def profile_payload(lines: DataFrame, key: str, text: str, separator: str = ",")
     return lines.where(F.trim(text) != "").groupBy(key).agg(F.count(F.lit(1)).alias("rows"), F.max(F.size(F.split(text, separator))).alias("max_columns"), kind.alias("kind"))
 
 
+def profile_json(files: DataFrame, key: str, body: str) -> DataFrame:
+    """Per JSON payload its ``top_keys`` in order, the ``objects`` of a list, how many ``value_slots``, ``status_slots`` and
+    ``charts`` it has, and its ``dimension_ids`` and ``dimension_sizes``; what is absent is null; other payloads have null throughout."""
+    at = lambda k: F.get_json_object(body, f"$.{k}")
+    listed = lambda c: F.when(c.startswith("["), F.json_array_length(c))
+    slots = lambda k: F.coalesce(listed(at(k)), F.when(at(k).startswith("{"), F.size(F.json_object_keys(at(k)))))
+    return files.select(
+        key, F.array_sort(F.json_object_keys(body)).alias("top_keys"), F.json_array_length(body).alias("objects"), slots("value").alias("value_slots"), slots("status").alias("status_slots"),
+        F.from_json(at("id"), "array<string>").alias("dimension_ids"), F.from_json(at("size"), "array<int>").alias("dimension_sizes"), listed(at("charts")).alias("charts"),
+    )
+
+
 def map_members(members: DataFrame, profiles: DataFrame, margin: int = 2) -> DataFrame:
     """Per profile the member with the most weighted hits if it leads by ``margin``: (profile, path, score, status).
 
@@ -284,16 +395,99 @@ def map_members(members: DataFrame, profiles: DataFrame, margin: int = 2) -> Dat
     return met.select("profile", F.when(status == "unique", F.col("path")).alias("path"), "score", status.alias("status"))
 
 
+#: Weights of a member's evidence, the least total without a literal name, and the leads over the second member.
+EVIDENCE = {"stem": 500, "literal": 100, "producers": 20, "products": 10, "places": 5, "extension": 3}
+LEAST_TOTAL, LEAD, LITERAL_LEAD = 43, 15, 25
+
+
+def identify_members(members: DataFrame, profiles: DataFrame, most_profiles: int = 1000) -> DataFrame:
+    """(profile, path, score, status, basis): the archive member that a source's profile names.
+
+    Members: (path, folded_text), text without marks and case. Profiles, a declared list of at most ``most_profiles``: (profile,
+    producers, products, places, extension) with folded tokens. Evidence: the file's stem or its text is or holds the profile's
+    name, tokens in path or text, the extension. One member with the name as stem wins; several are ambiguous; else one whose
+    text holds the name; where several do, or none, the best wins if producer and product speak for it and it leads clearly.
+    """
+    if profiles.limit(most_profiles + 1).count() > most_profiles:
+        raise ValueError(f"over {most_profiles} profiles")
+    name, path, both = F.lower("profile"), fold(F.col("path")), F.concat_ws(" ", fold(F.col("path")), F.col("folded_text"))
+    hits = lambda c: F.size(F.array_distinct(F.filter(c, lambda t: (t != "") & F.contains(F.col("_both"), t))))
+    rows = members.select("path", "folded_text", path.alias("_path"), both.alias("_both")).join(F.broadcast(profiles))
+    stem = F.regexp_extract("_path", r"([^/]*?)(\.[^./]*)?$", 1) == name
+    rows = rows.withColumns({
+        "stem": stem, "literal": F.coalesce(F.contains("folded_text", name), F.lit(False)),
+        **{k: F.coalesce(hits(k), F.lit(0)) for k in ("producers", "products", "places")},
+        "extension": F.coalesce((F.col("extension") != "") & F.col("_path").endswith(F.lower("extension")), F.lit(False)),
+    })
+    score = reduce(lambda a, b: a + b, [F.col(k).cast("int") * v for k, v in EVIDENCE.items()])
+    rows = rows.withColumn("score", score).where("score > 0")
+    w = Window.partitionBy("profile").orderBy(F.col("score").desc(), "path")
+    ranked = rows.withColumn("_i", F.row_number().over(w))
+    best = ranked.groupBy("profile").agg(
+        F.count_if("stem").alias("_stems"), F.count_if("literal").alias("_literals"), F.min(F.when(F.col("stem"), F.struct("path", "score"))).alias("_stem"), F.min(F.when(F.col("literal"), F.struct("path", "score"))).alias("_literal"),
+        F.max(F.when(F.col("_i") == 1, F.struct("score", "path", ((F.col("producers") > 0) & (F.col("products") > 0)).alias("named")))).alias("_top"), F.coalesce(F.max(F.when(F.col("_i") == 2, F.col("score"))), F.lit(-1)).alias("_next"),
+    )
+    lead = F.col("_top.score") - F.col("_next")
+    basis = (
+        F.when(F.col("_stems") == 1, "stem").when(F.col("_stems") > 1, "several stems").when(F.col("_literals") == 1, "text")
+        .when(F.col("_top.named") & (F.col("_literals") > 1) & (lead >= LITERAL_LEAD), "tokens")
+        .when(F.col("_top.named") & (F.col("_literals") == 0) & (F.col("_top.score") >= LEAST_TOTAL) & (lead >= LEAD), "tokens")
+    )
+    met = profiles.select("profile").join(best.withColumn("basis", basis), "profile", "left")
+    won = F.when(F.col("basis") == "stem", F.col("_stem")).when(F.col("basis") == "text", F.col("_literal")).when(F.col("basis") == "tokens", F.struct("_top.path", "_top.score"))
+    status = F.when(F.col("_top").isNull(), "absent").when(won.isNull(), "ambiguous").otherwise("unique")
+    return met.select("profile", won["path"].alias("path"), won["score"].alias("score"), status.alias("status"), "basis")
+
+
+def resolve_members(names: DataFrame, logical: DataFrame) -> DataFrame:
+    """(logical, name, status): the member of that very name, else the only one that ends in it after a slash; otherwise
+    ``name`` is null and ``status`` missing or ambiguous. Names go to a join under each of their ends."""
+    parts = F.split("name", "/")
+    ends = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda i: F.array_join(F.slice(parts, i, F.size(parts)), "/"))
+    by_end = names.select("name").distinct().select("name", F.explode(F.array_distinct(F.concat(F.array("name"), ends))).alias("_end"))
+    wanted = logical.select("logical").distinct().withColumn("_end", F.regexp_replace("logical", "^/+", ""))
+    wanted = wanted.select("logical", F.explode(F.array_distinct(F.array("logical", "_end"))).alias("_end"))
+    met = wanted.join(by_end, "_end", "left").groupBy("logical").agg(F.max(F.when(F.col("name") == F.col("logical"), F.col("name"))).alias("_exact"), F.count_distinct("name").alias("_n"), F.max("name").alias("_any"))
+    name = F.coalesce("_exact", F.when(F.col("_n") == 1, F.col("_any")))
+    status = F.when(F.col("_exact").isNotNull(), "exact").when(F.col("_n") == 1, "suffix").when(F.col("_n") == 0, "missing").otherwise("ambiguous")
+    return met.select("logical", name.alias("name"), status.alias("status"))
+
+
+def _header(cells: DataFrame, tokens: dict[str, int], first_rows: int, filled: float = 0.0) -> DataFrame:
+    """(sheet, _head): the row among the first ones that weighs most by tokens, each once a row, and by filled cells, up to ten; ties to the top."""
+    text = fold(F.col("value"))
+    weight = reduce(lambda a, b: a + b, [F.max(F.when(F.contains(text, F.lit(k)), v).otherwise(0)) for k, v in tokens.items()])
+    full = F.least(F.count_if(F.trim("value") != ""), F.lit(10)) * filled
+    scored = cells.where(F.col("row") < first_rows).groupBy("sheet", "row").agg((weight + full).alias("_w")).where("_w > 0")
+    return scored.groupBy("sheet").agg(F.max_by("row", F.struct("_w", -F.col("row"))).alias("_head"))
+
+
 def workbook_rows(cells: DataFrame, tokens: dict[str, int], first_rows: int = 80) -> DataFrame:
     """(sheet, row, col, label, value) below the row of the first ``first_rows`` that weighs most by tokens; ties to the top."""
-    text = fold(F.col("value"))
-    weight = reduce(lambda a, b: a + b, [F.when(F.contains(text, F.lit(k)), v).otherwise(0) for k, v in tokens.items()])
-    scored = cells.where(F.col("row") < first_rows).groupBy("sheet", "row").agg(F.sum(weight).alias("_w")).where("_w > 0")
-    head = scored.groupBy("sheet").agg(F.max_by("row", F.struct("_w", -F.col("row"))).alias("_head"))
+    head = _header(cells, tokens, first_rows)
     labels = cells.join(head, "sheet").where(F.col("row") == F.col("_head")).select("sheet", "col", F.col("value").alias("label"))
     return cells.join(head, "sheet").where(F.col("row") > F.col("_head")).join(labels, ["sheet", "col"], "left").select("sheet", "row", "col", "label", "value")
 
 
+def workbook_columns(
+    cells: DataFrame, tokens: dict[str, int], roles: dict[str, str], months: dict[str, int], first_rows: int = 80, before: int = 2, after: int = 1, filled: float = 0.15,
+) -> DataFrame:
+    """(sheet, col, label, role, month) of each column: its distinct filled cells from ``before`` rows above the header row
+    to ``after`` below, joined by `` | ``, or ``col_NNN`` (from 1) without any. ``role`` is that of the first pattern that the
+    folded label meets, for the first such column of a sheet only; ``month`` that of a whole word of the label."""
+    met = cells.join(_header(cells, tokens, first_rows, filled), "sheet")
+    window = F.when(F.col("row").between(F.col("_head") - before, F.col("_head") + after) & (F.trim("value") != ""), F.struct("row", F.trim("value").alias("v")))
+    parts = F.array_distinct(F.transform(F.array_sort(F.collect_list(window)), lambda p: p["v"]))
+    rows = met.groupBy("sheet", "col").agg(parts.alias("_p"))
+    rows = rows.select("sheet", "col", F.when(F.size("_p") > 0, F.array_join("_p", " | ")).otherwise(F.format_string("col_%03d", F.col("col") + 1)).alias("label"))
+    folded = fold(F.col("label"))
+    role = F.coalesce(*[F.when(folded.rlike(pattern), name) for name, pattern in roles.items()], F.lit(None).cast("string"))
+    month = F.coalesce(*[F.when(folded.rlike(rf"(^|[^a-z]){re.escape(k)}([^a-z]|$)"), v) for k, v in months.items()], F.lit(None).cast("int"))
+    rows = rows.withColumns({"_role": role, "month": month})
+    first = F.col("col") == F.min("col").over(Window.partitionBy("sheet", "_role"))
+    return rows.select("sheet", "col", "label", F.when(first, F.col("_role")).alias("role"), "month")
+
+
 def footprints(items: DataFrame, window: tuple[float, float, float, float]) -> DataFrame:
     """The item's bbox if it is a valid one in degrees, else the bounds of its corners; ``status`` kept, outside or invalid."""
     box = F.col("bbox")
@@ -337,6 +531,61 @@ def xml_scan(files: DataFrame, tag: str) -> DataFrame:
     return files.select("file", root.alias("root"), F.xpath_int("body", F.lit(f"count(//{tag})")).alias("members"), F.array_join(F.array_sort(names), ",").alias("names"))
 
 
+def check_statistics(responses: DataFrame) -> DataFrame:
+    """Add ``fault``, null for a sound response of SDMX kind by ``format``: JSON with a data container, CSV whose first 1,000
+    characters hold a delimiter and no page, XML with a root element."""
+    head, keys = F.lower(F.substring("body", 1, 1000)), F.json_object_keys("body")
+    contained = F.arrays_overlap(keys, F.array(*[F.lit(k) for k in ("dataSets", "value", "data", "structure")]))
+    fault = (
+        F.when(F.col("format") == "json", F.when(~F.coalesce(contained, F.lit(False)), "no data container"))
+        .when(F.col("format") == "csv", F.when(head.rlike("<html|<!doctype"), "a page").when(~F.coalesce(head.rlike("[,;\t]"), F.lit(False)), "no delimiter"))
+        .when(F.col("format") == "xml", F.when(F.coalesce(_root(F.col("body")), F.lit("")) == "", "no root element"))
+        .otherwise("unknown format")
+    )
+    return responses.withColumn("fault", fault)
+
+
+def _root(body: Column) -> Column:
+    """The root's tag, as it is written."""
+    return F.regexp_extract(body, r"(?s)^\ufeff?\s*(?:<\?.*?\?>\s*|<!--.*?-->\s*|<!DOCTYPE[^>]*>\s*)*<([A-Za-z_][\w:.-]*(?:\s[^>]*)?)/?>", 1)
+
+
+def check_xml(files: DataFrame, root: str | None = None, namespace: str | None = None, fewest_bytes: int = 1) -> DataFrame:
+    """Add ``namespace`` of the root, ``matched`` and ``returned`` as it counts its members (null: not told), and ``fault``, null
+    for a file of ``fewest_bytes`` with that root (by local name, any case) whose namespace holds the text."""
+    tag = _root(F.col("body"))
+    name = F.regexp_extract(tag, r"^([\w:.-]+)", 1)
+    prefix = F.when(F.contains(name, F.lit(":")), F.concat(F.lit("xmlns:"), F.substring_index(name, ":", 1))).otherwise("xmlns")
+    attributes = F.regexp_extract_all(tag, F.lit(r"([\w:.-]+)\s*=\s*[\"'][^\"']*[\"']"), 1)
+    values = F.regexp_extract_all(tag, F.lit(r"[\w:.-]+\s*=\s*[\"']([^\"']*)[\"']"), 1)
+    value = lambda k: F.try_element_at(values, F.nullif(F.array_position(attributes, k), F.lit(0)).cast("int"))
+    space = value(prefix)
+    fault = F.when(F.octet_length("body") < fewest_bytes, "too small").when(name == "", "no root element")
+    if root:
+        fault = fault.when(F.lower(F.substring_index(name, ":", -1)) != root.lower(), "another root")
+    if namespace:
+        fault = fault.when(~F.coalesce(F.contains(space, F.lit(namespace)), F.lit(False)), "another namespace")
+    fault = F.when(F.col("body").isNull(), "too small").otherwise(fault)
+    count = lambda *keys: F.coalesce(*[value(F.lit(k)).try_cast("long") for k in keys])
+    return files.withColumns({"namespace": space, "matched": count("numberMatched"), "returned": count("numberReturned", "numberOfFeatures"), "fault": fault})
+
+
+def _elements(name: str) -> str:
+    return f"//*[name()='{name}' or substring-after(name(), ':')='{name}']"
+
+
+def feature_types(files: DataFrame) -> DataFrame:
+    """(file, name) of the feature types that capabilities list, each once."""
+    at = f"{_elements('FeatureType')}/*[name()='Name' or substring-after(name(), ':')='Name']/text()"
+    return files.select("file", F.explode(F.array_distinct(F.transform(F.xpath("body", F.lit(at)), lambda n: F.trim(n)))).alias("name")).where("name <> ''")
+
+
+def schema_fields(files: DataFrame, height: str = "alt|cota|ort|nivel|height|z_") -> DataFrame:
+    """(file, position, field, is_height) of the elements that a schema names, each once, in order; heights by name."""
+    names = F.array_distinct(F.xpath("body", F.lit(f"{_elements('element')}/@name")))
+    return files.select("file", F.posexplode(names).alias("position", "field")).where("field <> ''").withColumn("is_height", F.lower("field").rlike(height))
+
+
 def tile_index(boxes: DataFrame, available: DataFrame) -> DataFrame:
     """One-degree cells of each box with their name and status listed or not_listed."""
     rows = boxes.withColumn("lon", F.explode(F.sequence(F.floor("xmin"), F.ceil("xmax") - 1))).withColumn("lat", F.explode(F.sequence(F.floor("ymin"), F.ceil("ymax") - 1)))

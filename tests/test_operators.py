@@ -313,20 +313,64 @@ def test_country_lengths_add_up(spark):
     assert got == {("a", "west"): pytest.approx(5.0), ("a", "east"): pytest.approx(13.0), ("b", "west"): pytest.approx(5.0)}
 
 
-def test_alternatives_hold_their_limits(spark):
-    cells = spark.createDataFrame([(x, y, float((x * 7 + y * 3) % 5), 1.0) for x in range(5) for y in range(4)], "x long, y long, z double, relief double")
-    edges = graph.checkpointed(graph.lattice(cells, "distance"))
-    queries = spark.createDataFrame([("q", "0,0", "4,3")], "q string, start string, end string")
-    rows = {r["variant"]: r for r in graph.alternatives(edges, queries, 3, max_jaccard=0.8).collect()}
-    first = rows[0]
-    assert first["cost"] == pytest.approx(3 * math.sqrt(2) + 1) and first["nodes"][0] == "0,0" and first["nodes"][-1] == "4,3"
-    known = {tuple(sorted((r["a"], r["b"]))) for r in edges.collect()}
-    for v, r in rows.items():
-        assert all(tuple(sorted(p)) in known for p in zip(r["nodes"], r["nodes"][1:], strict=False))
-        for w, other in rows.items():
-            if w < v:
-                a, b = set(r["nodes"]), set(other["nodes"])
-                assert len(a & b) / len(a | b) <= 0.8 and r["cost"] <= 1.48 * first["cost"]
+def test_alternatives_like_one_attempt_after_the_other(spark):
+    """Every query has the paths that attempts in sequence accept, with tolls, limits and shares worked out in plain loops."""
+    rng = random.Random(3)
+    relief = {(x, y): rng.choice([0.0, 0.5, 2.0, 4.0]) for x in range(9) for y in range(6)}
+    cells = spark.createDataFrame([(x, y, rng.random(), r) for (x, y), r in relief.items() if (x, y) != (4, 2)], "x long, y long, z double, relief double")
+    modes = {m: graph.checkpointed(graph.lattice(cells, m)) for m in ("distance", "relief", "balanced")}
+    wanted = [("q", (0, 0), (8, 5)), ("r", (0, 5), (8, 0)), ("s", (2, 2), (2, 2))]
+    name = "{0[0]},{0[1]}".format
+    queries = spark.createDataFrame([(q, name(a), name(b)) for q, a, b in wanted], "q string, start string, end string")
+    got = {(r["q"], r["variant"]): r for r in graph.alternatives(modes, queries, attempts=9).collect()}
+
+    prices = {m: {} for m in modes}
+    for m, df in modes.items():
+        for r in df.collect():
+            a, b = (tuple(int(v) for v in r[c].split(",")) for c in "ab")
+            prices[m].setdefault(a, {})[b] = r["cost"]
+
+    def cheapest(mode, a, b, tolled, toll):
+        queue, done = [(0.0, [name(a)], a)], set()
+        while queue:
+            cost, path, node = heapq.heappop(queue)
+            if node == b:
+                return [tuple(int(v) for v in n.split(",")) for n in path]
+            if node not in done:
+                done.add(node)
+                for n, c in prices[mode].get(node, {}).items():
+                    heapq.heappush(queue, (cost + c + (toll if n in tolled else 0.0), [*path, name(n)], n))
+
+    def middle(path):
+        (ax, ay), (bx, by) = path[0], path[-1]
+        d = (bx - ax) ** 2 + (by - ay) ** 2
+        return [p for p in path if d and 0.18 <= ((p[0] - ax) * (bx - ax) + (p[1] - ay) * (by - ay)) / d <= 0.82]
+
+    def away(p, path):
+        out = []
+        for a, b in zip(path, path[1:], strict=False):
+            d = np.subtract(b, a)
+            t = min(1, max(0, np.dot(np.subtract(p, a), d) / np.dot(d, d)))
+            out.append(math.dist(p, np.add(a, t * d)))
+        return min(out)
+
+    length = lambda path: sum(prices["distance"][a][b] for a, b in zip(path, path[1:], strict=False))
+    n = 0
+    for q, a, b in wanted:
+        kept = [cheapest("distance", a, b, set(), 0)]
+        for i in range(9):
+            tolled = {(x + dx, y + dy) for path in kept for x, y in middle(path) for dx in (-1, 0, 1) for dy in (-1, 0, 1)}
+            path = cheapest(("relief", "balanced", "distance")[i % 3], a, b, tolled, 1.0 + 1.25 * (i // 3))
+            mid = middle(path)
+            alike = max(len(set(path) & set(o)) / len(set(path) | set(o)) for o in kept)
+            share = min(sum(away(p, o) >= 2.0 for p in mid) / len(mid) if mid else 0.0 for o in kept)
+            if len(kept) < 3 and alike <= 0.68 and share >= 0.19 and length(path) <= 1.48 * length(kept[0]):
+                kept.append(path)
+        for v, path in enumerate(kept):
+            assert got[q, v]["cost"] == pytest.approx(length(path)) and got[q, v]["nodes"][0] == name(a) and got[q, v]["nodes"][-1] == name(b)
+            n += v > 0 and got[q, v]["nodes"] == [name(p) for p in path]
+        assert (q, len(kept)) not in got
+    assert n >= 2, "alternatives are found"
 
 
 def test_nearest_ends_without_places_and_far_away(spark):
@@ -378,3 +422,123 @@ def test_area_catchment(spark):
     rows = [("z", 1, 10.0, 5.0, 100.0), ("z", 2, 10.0, 10.0, 7.0), ("z", 3, 0.0, 0.0, 9.0), ("z", 4, 10.0, 0.0, 50.0), ("w", 5, None, 1.0, 3.0)]
     got = {r["zone"]: r for r in aggregates.area_catchment(spark.createDataFrame(rows, "zone string, id int, a double, c double, w double"), ["zone"], "a", "c", "w").collect()}
     assert got["z"].asDict() == {"zone": "z", "met": 4, "intersecting": 2, "invalid": 1, "people": 57.0} and got["w"]["invalid"] == 1 and got["w"]["people"] is None
+
+
+def test_period_labels_and_dimensions(spark):
+    meta = '[{"dim_num":1,"cat_id":"p1","categ_dsg":"","Designacao":"2021"},{"dim_num":1,"cat_id":"p2"},{"dim_num":3,"cat_id":"a","label":"A"},{"Dim":5,"Membros":[{"cod":"m","dsg":"M"}]},{"dim_num":7,"cat_id":"z","label":"Z"},{"dim_num":12,"cat_id":"y"}]'
+    groups = spark.createDataFrame([("i", meta)], "indicator string, meta string")
+    assert {tuple(r)[1:] for r in payloads.dimension_members(groups).collect()} == {(1, "p1", "2021"), (1, "p2", None), (3, "a", "A"), (5, "m", "M")}
+    assert [tuple(r) for r in payloads.period_labels(groups).collect()] == [("i", "p1", "2021")]
+    with pytest.raises(Exception, match="no dimension 1"):
+        payloads.dimension_members(spark.createDataFrame([("i", '[{"dim_num":2,"cat_id":"x"}]')], "indicator string, meta string")).collect()
+
+
+def test_walk_rows_keeps_metadata_out(spark):
+    bodies = ['{"Data":{"a":{"value":1}},"meta":{"value":2}}', '{"metadata":{"value":3},"records":[{"valor":4}]}', '{"value":5,"data":"text"}', '{"records":[{"value":6}]}']
+    got = payloads.walk_rows(spark.createDataFrame(list(enumerate(bodies)), "doc int, body string")).collect()
+    assert {(r["doc"], r["pointer"]) for r in got} == {(0, "/Data/a"), (1, "/records/0"), (2, ""), (3, "/records/0")}
+
+
+def test_links_of_feeds_and_rules(spark):
+    feed = '<?xml version="1.0"?><feed xmlns="http://www.w3.org/2005/Atom"><link rel="self" href="f.xml"/><entry><link title="One" href="a/one.ZIP?v=1"/></entry></feed>'
+    page = '<html><link rel="stylesheet" href="s.zip"><a href="http://www.x.org/t.zip">T</a><a href="http://y.com/u.zip">U</a><a href="v.csv">V</a></html>'
+    pages = spark.createDataFrame([(1, "http://x.org/d/", feed), (2, "http://x.org/d/", page)], "page_id int, url string, html string")
+    assert {(r["page_id"], r["href"], r["label"]) for r in payloads.links(pages, extensions=["zip"], hosts=["x.org"]).collect()} == {(1, "http://x.org/d/a/one.ZIP?v=1", "One"), (2, "http://www.x.org/t.zip", "T")}
+    assert {r["href"] for r in payloads.links(pages, label="^[UV]$").collect()} == {"http://y.com/u.zip", "http://x.org/d/v.csv"}
+
+
+def test_chart_rows(spark):
+    def script(i, calls):
+        return f"<script>var c = document.getElementById('easychart-chart-{i}'); {calls}</script>"
+
+    good = script(1, """c.setConfigStringified('{"t":"a)b"}'); c.setData([["x","y"],["1",null],[{"k":2},3]]);""") + script(2, "c.setDataUrl('/d.csv')") + '<script src="e.js">getElementById("easychart-chart-9")</script>'
+    pages = lambda html: spark.createDataFrame([(1, html)], "page_id int, html string")
+    got = {(r["chart"][-1], r["row_no"]): (r["config"], r["data_url"], r["cells"]) for r in payloads.chart_rows(pages(good)).collect()}
+    assert got == {("1", 0): ('{"t":"a)b"}', None, ["x", "y"]), ("1", 1): ('{"t":"a)b"}', None, ["1", None]), ("1", 2): ('{"t":"a)b"}', None, ['{"k":2}', "3"]), ("2", None): (None, "/d.csv", None)}
+    bad = {"several charts": script(1, "getElementById('easychart-chart-2')"), "filled twice": script(1, "") * 2, "not JSON": script(1, "c.setData([[1],])"), "does not end": script(1, "c.setData([[1]]")}
+    for message, html in bad.items():
+        with pytest.raises(Exception, match=message):
+            payloads.chart_rows(pages(html)).collect()
+    with pytest.raises(Exception, match="too few"):
+        payloads.chart_rows(pages("<p>"), fewest=1).collect()
+
+
+def test_members_by_evidence(spark):
+    members = [("z/f01.pdf", "other"), ("a/x.csv", "about f02"), ("a/y.csv", "rail agency traffic counts norte"), ("a/z.csv", "rail agency"), ("b/f04.txt", ""), ("c/F04.csv", None)]
+    profiles = [("F01", [], [], [], ""), ("F02", [], [], [], ""), ("F03", ["rail agency"], ["traffic"], ["norte"], ".csv"), ("F04", [], [], [], ""), ("F05", ["no one"], [], [], ".xyz"), ("F06", ["rail agency"], [], [], "")]
+    got = payloads.identify_members(spark.createDataFrame(members, "path string, folded_text string"), spark.createDataFrame(profiles, "profile string, producers array<string>, products array<string>, places array<string>, extension string"))
+    rows = {r["profile"]: (r["path"], r["status"], r["score"]) for r in got.collect()}
+    assert rows == {"F01": ("z/f01.pdf", "unique", 500), "F02": ("a/x.csv", "unique", 100), "F03": (None, "ambiguous", None), "F04": (None, "ambiguous", None), "F05": (None, "absent", None), "F06": (None, "ambiguous", None)}
+    stronger = [("F03", ["rail agency", "rail"], ["traffic", "counts"], ["norte"], ".csv")]
+    near = payloads.identify_members(spark.createDataFrame(members, "path string, folded_text string"), spark.createDataFrame(stronger, "profile string, producers array<string>, products array<string>, places array<string>, extension string")).collect()
+    assert tuple(near[0]) == ("F03", "a/y.csv", 68, "unique", "tokens")
+    names = spark.createDataFrame([("r/a.csv",), ("s/a.csv",), ("r/b.csv",), ("c.csv",), ("t/c.csv",)], "name string")
+    wanted = spark.createDataFrame([("a.csv",), ("b.csv",), ("/c.csv",), ("c.csv",), ("d.csv",), ("s/a.csv",)], "logical string")
+    found = {r["logical"]: (r["name"], r["status"]) for r in payloads.resolve_members(names, wanted).collect()}
+    assert found == {"a.csv": (None, "ambiguous"), "b.csv": ("r/b.csv", "suffix"), "/c.csv": (None, "ambiguous"), "c.csv": ("c.csv", "exact"), "d.csv": (None, "missing"), "s/a.csv": ("s/a.csv", "exact")}
+
+
+def test_workbook_columns(spark):
+    rows = [["", "Ano 2020", ""], ["Traffic", "Traffic", ""], ["Motorway", "January", "", "motorway"], ["km", "", "", "x"], ["A1", "5", "", "y"]]
+    cells = spark.createDataFrame([("s", r, c, v) for r, row in enumerate(rows) for c, v in enumerate(row)], "sheet string, row int, col int, value string")
+    got = {r["col"]: (r["label"], r["role"], r["month"]) for r in payloads.workbook_columns(cells, {"motorway": 5}, {"road": "motorway", "load": "tmda"}, {"january": 1, "jan": 1}).collect()}
+    assert got == {0: ("Traffic | Motorway | km", "road", None), 1: ("Ano 2020 | Traffic | January", None, 1), 2: ("col_003", None, None), 3: ("motorway | x", None, None)}
+
+
+def test_payload_checks(spark):
+    rows = [("json", '{"dataSets":[]}', None), ("json", "[1]", "no data container"), ("json", None, "no data container"), ("csv", "a;b", None), ("csv", "ab", "no delimiter"), ("csv", "<HTML>,", "a page"), ("xml", "<a/>", None), ("xml", "text", "no root element"), ("pdf", "", "unknown format")]
+    assert [r["fault"] for r in payloads.check_statistics(spark.createDataFrame(rows, "format string, body string, want string")).collect()] == [r[2] for r in rows]
+    body = '<?xml version="1.0"?>\n<!-- c --><wfs:FeatureCollection xmlns="u" xmlns:wfs="http://w/wfs/2.0" numberMatched="7" numberReturned="2"><wfs:member/></wfs:FeatureCollection>'
+    files = spark.createDataFrame([("f", body), ("g", "<x/>"), ("h", None)], "file string, body string")
+    got = {r["file"]: (r["namespace"], r["matched"], r["returned"], r["fault"]) for r in payloads.check_xml(files, "featurecollection", "/wfs/", 3).collect()}
+    assert got == {"f": ("http://w/wfs/2.0", 7, 2, None), "g": (None, None, None, "another root"), "h": (None, None, None, "too small")}
+    cap = spark.createDataFrame([("c", '<w:Caps xmlns:w="u"><w:FeatureType><w:Name> a:b </w:Name><w:Title>Name</w:Title></w:FeatureType><w:FeatureType><w:Name>c</w:Name></w:FeatureType><w:Name>no</w:Name></w:Caps>')], "file string, body string")
+    assert sorted(r["name"] for r in payloads.feature_types(cap).collect()) == ["a:b", "c"]
+    xsd = spark.createDataFrame([("x", '<xs:schema xmlns:xs="u"><xs:element name="cota_z"/><xs:element name="id"/><xs:element name="id"/><xs:element ref="q"/></xs:schema>')], "file string, body string")
+    assert [(r["field"], r["is_height"]) for r in payloads.schema_fields(xsd).orderBy("position").collect()] == [("cota_z", True), ("id", False)]
+    js = spark.createDataFrame([(1, '{"value":[1,2],"status":{"0":"a"},"id":["d"],"size":[2],"charts":[{}]}'), (2, "[1,2,3]"), (3, "a,b")], "k int, body string")
+    out = {r["k"]: tuple(r)[1:] for r in payloads.profile_json(js, "k", "body").collect()}
+    assert out == {1: (["charts", "id", "size", "status", "value"], None, 2, 1, ["d"], [2], 1), 2: (None, 3, None, None, None, None, None), 3: (None,) * 7}
+
+
+def test_sub_lines_footprints_and_borders(spark):
+    line = spark.createDataFrame([("a", 0, 0.0, 0.0), ("a", 1, 10.0, 0.0), ("a", 2, 10.0, 10.0)], "line string, seq int, x double, y double")
+    segs = spatial.segments(line, ["line"], "seq")
+    wanted = spark.createDataFrame([("a", 1, 4.0, 13.0), ("a", 2, -5.0, 2.0), ("a", 3, 30.0, 40.0)], "line string, k int, lo double, hi double")
+    got = {(r["k"], r["s0"]): (r["ax"], r["ay"], r["bx"], r["by"], r["length"]) for r in spatial.sub_lines(wanted, segs, "line").collect()}
+    assert got == {(1, 4.0): (4.0, 0.0, 10.0, 0.0, 6.0), (1, 10.0): (10.0, 0.0, 10.0, 3.0, 3.0), (2, 0.0): (0.0, 0.0, 2.0, 0.0, 2.0)}
+    rng = random.Random(5)
+    points = [(i, rng.uniform(-50, 50), rng.uniform(-50, 50)) for i in range(40)] + [(98, 1e6, 0.0), (99, None, 1.0)]
+    rects = [(i, x, y, x + rng.uniform(0, 9), y + rng.uniform(0, 9)) for i in range(15) for x, y in [(rng.uniform(-60, 60), rng.uniform(-60, 60))]]
+    frame, kind = spark.createDataFrame(points, "id int, x double, y double"), "rect int, xmin double, ymin double, xmax double, ymax double"
+    near = {r["id"]: (r["rect"], r["distance"]) for r in spatial.nearest_footprint(frame, spark.createDataFrame(rects, kind), 8.0).collect()}
+    gap = lambda x, y, r: math.hypot(max(r[1] - x, x - r[3], 0), max(r[2] - y, y - r[4], 0))
+    for i, x, y in points[:-1]:
+        d, rect = min((gap(x, y, r), r[0]) for r in rects)
+        assert near[i] == (rect, pytest.approx(d))
+    assert near[99] == (None, None) and len(near) == 42
+    assert {r["rect"] for r in spatial.nearest_footprint(frame, spark.createDataFrame([], kind), 8.0).collect()} == {None}
+    corner = lambda x, y: {"x": float(x), "y": float(y)}
+    box = lambda a, b: [corner(a, -99), corner(b, -99), corner(b, 99), corner(a, 99)]
+    countries = spark.createDataFrame([("west", box(-99, 5)), ("east", box(5, 99))], "country string, ring array<struct<x:double,y:double>>")
+    at = spark.createDataFrame([(1, 2.0, 0.0), (2, 50.0, 97.0), (3, 50.0, 0.0)], "id int, x double, y double")
+    assert {(r["id"], r["country"], r["distance"]) for r in spatial.border_distance(at, countries, "id", 10.0).collect()} == {(1, "west", 3.0), (1, "east", 3.0), (2, "east", 2.0)}
+    tiles = spark.createDataFrame([("l", 0, 0), ("l", 2, 0), ("m", 0, 0)], "line string, tx int, ty int")
+    assert {tuple(r) for r in spatial.uncertain_tiles(tiles, countries, 10.0, 4.0).collect()} == {("l", 0, 0, True), ("l", 2, 0, False), ("m", 0, 0, True)}
+
+
+def test_projection_and_back_lengths_and_summaries(spark):
+    places = spark.createDataFrame([(x, y) for x in (-9.5, -8.1, -3.0, 1.0) for y in (36.9, 40.0, 43.7)], "lon double, lat double")
+    for code in G.SYSTEMS:
+        x, y = G.to_tm(F.col("lon"), F.col("lat"), code)
+        lon, lat = G.from_tm(F.col("x"), F.col("y"), code)
+        for r in places.withColumns({"x": x, "y": y}).withColumns({"lon1": lon, "lat1": lat}).collect():
+            assert (r["lon1"], r["lat1"]) == (pytest.approx(r["lon"], abs=1e-8), pytest.approx(r["lat"], abs=1e-8))
+    ends = [tuple(F.lit(float(v)) for v in p) for p in ((0, 0), (30, 40), (30, 40), (30, 40))]
+    assert spark.range(1).select(G.quintic_length(*ends)).first()[0] == pytest.approx(50.0)
+    circle = spark.createDataFrame([("c", i, float(i), 100 * math.cos(i / 100), 100 * math.sin(i / 100)) for i in range(60)], "grp string, seq int, s double, x double, y double")
+    row = windows.least_radius(circle, ["grp"]).first()
+    assert (row["least"], row["p05"], row["bends"]) == (pytest.approx(100, rel=1e-3), pytest.approx(100, rel=1e-3), 40)
+    marks = spark.createDataFrame([("5 m", -3.0), ("5 m", 1.0), ("5 m", None), ("25 m", None)], "res string, centre double")
+    got = {r["res"]: tuple(r)[1:] for r in joins.residual_summary(marks, ["res"]).collect()}
+    assert got == {"5 m": (2, -1.0, -1.0, -3.0, 1.0, 3.0), "25 m": (0, None, None, None, None, None)}
