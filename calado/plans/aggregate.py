@@ -248,6 +248,16 @@ def _(t, marks, cells):
     return J.mark_residuals(marks, cells.select("row", "col", "z"))
 
 
+@query(
+    "A24_residual_summary",
+    """WITH r AS (SELECT m.mark, m.height - max(CASE WHEN c.row = m.row AND c.col = m.col THEN c.z END) AS centre FROM marks m LEFT JOIN cells c ON c.row = m.row AND c.col = m.col GROUP BY m.mark, m.height)
+    SELECT mark % 3 AS part, count(centre) AS n, avg(centre) AS mean, median(centre) AS median, min(centre) AS least, max(centre) AS greatest, max(abs(centre)) AS max_abs FROM r GROUP BY 1""",
+    marks=MARKS, cells=CELLS,
+)
+def _(t, marks, cells):
+    return J.residual_summary(J.mark_residuals(marks, cells.select("row", "col", "z")).withColumn("part", F.col("mark") % 3), ["part"])
+
+
 @query("A25_strict_mean", "SELECT zone, CASE WHEN count(z) = count(*) THEN avg(z) END AS strict_mean FROM cells GROUP BY zone", cells=CELLS)
 def _(t, cells):
     return cells.groupBy("zone").agg(A.strict_mean("z").alias("strict_mean"))

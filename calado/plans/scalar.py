@@ -119,6 +119,13 @@ def _(t, options):
     return options.select("option_id", G.snap(F.col("minutes"), 50.0).alias("snapped"), tile.alias("tile"), G.tile_bounds(tile)[0].alias("xmin"))
 
 
+@query("F16_length", "SELECT option_id, sqrt(minutes * minutes + residents * residents) AS length FROM options", options=OPTIONS)
+def _(t, options):
+    """Connectors whose tangents lie along the chord are straight."""
+    zero, end = (F.lit(0.0), F.lit(0.0)), (F.col("minutes"), F.col("residents"))
+    return options.select("option_id", G.quintic_length(zero, end, end, end).alias("length"))
+
+
 @query("F16_quintic")
 def _(t):
     x, y, k = G.quintic((F.lit(0.0), F.lit(0.0)), (F.col("minutes"), F.col("residents")), (F.lit(300.0), F.lit(0.0)), (F.lit(0.0), F.lit(300.0)), F.col("t"))
@@ -144,6 +151,14 @@ def _(t, options):
     return options.select("option_id", x.alias("x"))
 
 
+@query("F17_from_tm", "SELECT option_id, residents / 1009 * 3 - 9 AS lon, 37 + length_km / 457 * 5 AS lat FROM options", options=OPTIONS)
+def _(t, options):
+    """There and back."""
+    x, y = G.to_tm(F.col("residents") / 1009 * 3 - 9, 37 + F.col("length_km") / 457 * 5, 25830)
+    lon, lat = G.from_tm(F.col("_x"), F.col("_y"), 25830)
+    return options.withColumns({"_x": x, "_y": y}).select("option_id", lon.alias("lon"), lat.alias("lat"))
+
+
 @query("F18_canon_hash", "SELECT o_orderkey, sha256(o_orderkey || chr(31) || o_orderstatus || chr(31) || o_orderpriority) AS digest FROM orders")
 def _(t):
     return t("orders").select("o_orderkey", X.canon_hash(F.col("o_orderkey"), F.col("o_orderstatus"), F.col("o_orderpriority")).alias("digest"))

@@ -88,19 +88,27 @@ def _(t, profile):
 _G = "(a * a * lead({v}) OVER w + (b * b - a * a) * {v} - b * b * lag({v}) OVER w) / (a * b * (a + b))"
 
 
-@query(
-    "W08_curvature",
-    f"""WITH d AS (SELECT *, s - lag(s) OVER w AS a, lead(s) OVER w - s AS b FROM profile WINDOW w AS (PARTITION BY grp ORDER BY s)),
+_CURVATURE = f"""WITH d AS (SELECT *, s - lag(s) OVER w AS a, lead(s) OVER w - s AS b FROM profile WINDOW w AS (PARTITION BY grp ORDER BY s)),
     g AS (SELECT *, {_G.format(v='x')} AS dx, {_G.format(v='y')} AS dy FROM d WINDOW w AS (PARTITION BY grp ORDER BY s)),
     h AS (SELECT *, {_G.format(v='dx')} AS ddx, {_G.format(v='dy')} AS ddy, row_number() OVER w AS i, count(*) OVER (PARTITION BY grp) AS n FROM g WINDOW w AS (PARTITION BY grp ORDER BY s)),
     k AS (SELECT *, abs(dx * ddy - dy * ddx) / power(power(dx, 2) + power(dy, 2), 1.5) AS bend FROM h)
-    SELECT grp, seq, CASE WHEN i > 2 AND i <= n - 2 AND bend > 0 THEN 1 / bend END AS radius FROM k""",
+    SELECT grp, seq, CASE WHEN i > 2 AND i <= n - 2 AND bend > 0 THEN 1 / bend END AS radius FROM k"""
+
+
+@query(
+    "W08_curvature",
+    _CURVATURE,
     profile=PROFILE,
 )
 def _(t, profile):
     return W.curvature(profile, ["grp"], trim=2).select("grp", "seq", "radius")
 
 
+@query("W08_least_radius", f"SELECT grp, min(radius) AS least, quantile_cont(radius, 0.05) AS p05, count(radius) AS bends FROM ({_CURVATURE}) GROUP BY grp", profile=PROFILE)
+def _(t, profile):
+    return W.least_radius(profile, ["grp"], trim=2)
+
+
 @query(
     "W09_lateral_shift",
     """WITH d AS (SELECT grp, seq, x, y, coalesce(lead(x) OVER w, x) - coalesce(lag(x) OVER w, x) AS tx, coalesce(lead(y) OVER w, y) - coalesce(lag(y) OVER w, y) AS ty, row_number() OVER w AS i, count(*) OVER (PARTITION BY grp) AS n

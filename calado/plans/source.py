@@ -100,6 +100,13 @@ def _(t):
     return S.dimension_members(groups)
 
 
+@query("S07_period_labels", "SELECT n_regionkey AS indicator, 'c' || n_nationkey AS code, n_name AS label FROM nation WHERE n_nationkey % 4 <> 3")
+def _(t):
+    k, n = F.col("n_nationkey") % 4, F.col("n_name")
+    item = F.struct(F.lit(1).alias("dim_num"), F.concat(F.lit("c"), "n_nationkey").alias("cat_id"), F.when(k == 0, n).otherwise("").alias("categ_dsg"), F.when(k == 1, n).alias("Designacao"), F.when(k == 2, n).alias("label"))
+    return S.period_labels(t("nation").groupBy(F.col("n_regionkey").alias("indicator")).agg(F.to_json(F.collect_list(item)).alias("meta")))
+
+
 @query("S08_zip_variables", "SELECT l_suppkey AS table_id, count(*) AS rows, count(*) FILTER (l_linenumber = 7) AS bad_length, sum(CASE WHEN l_returnflag = 'N' THEN 1 ELSE 0 END) AS markers, true AS unique_names FROM lineitem GROUP BY 1")
 def _(t):
     flag = F.when(F.col("l_returnflag") == "N", "..").otherwise(F.col("l_returnflag"))
@@ -144,6 +151,19 @@ def _(t):
     return S.embedded_charts(t("pages"))
 
 
+@query(
+    "S13_chart_rows",
+    """SELECT c_nationkey AS page_id, 'easychart-chart-' || c_nationkey AS chart, json_object('n', c_nationkey) AS config, CAST(row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) - 1 AS INTEGER) AS row_no, c_name || '|' || c_custkey AS cells FROM customer""",
+)
+def _(t):
+    """A page of each nation, with a chart of its customers."""
+    row = F.struct("c_custkey", F.array("c_name", F.col("c_custkey").cast("string")).alias("r"))
+    data = F.to_json(F.transform(F.array_sort(F.collect_list(row)), lambda e: e["r"]))
+    html = F.concat(F.lit("<html><script>var c = document.getElementById('easychart-chart-"), "page_id", F.lit("'); c.setConfigStringified('{\"n\":"), "page_id", F.lit("}'); c.setData("), "d", F.lit(");</script></html>"))
+    pages = t("customer").groupBy(F.col("c_nationkey").alias("page_id")).agg(data.alias("d")).select("page_id", html.alias("html"))
+    return S.chart_rows(pages, fewest=1).select("page_id", "chart", "config", "row_no", F.array_join("cells", "|").alias("cells"))
+
+
 @query("S14_select_resources", "SELECT package, name, rank FROM (SELECT p_brand AS package, p_name || '-' || p_partkey AS name, row_number() OVER (PARTITION BY p_brand ORDER BY p_size DESC, p_name || '-' || p_partkey DESC) AS rank FROM part WHERE p_type IN ('ECONOMY', 'PROMO') AND p_name LIKE '%r%') WHERE rank <= 3")
 def _(t):
     r = t("part").select(F.col("p_brand").alias("package"), F.concat_ws("-", "p_name", F.col("p_partkey").cast("string")).alias("name"), F.lit("u").alias("url"), F.lower("p_type").alias("format"), F.lpad(F.col("p_size").cast("string"), 4, "0").alias("created"), F.lit(None).cast("string").alias("last_modified"))
@@ -167,6 +187,24 @@ def _(t):
     return S.profile_payload(lines, "doc_id", "text")
 
 
+@query("S17_profile_json", "SELECT o_custkey AS k, 'status|value' AS top_keys, count(*) AS value_slots, count(DISTINCT o_orderstatus) AS status_slots FROM orders GROUP BY 1")
+def _(t):
+    files = t("orders").groupBy(F.col("o_custkey").alias("k")).agg(F.collect_list("o_orderkey").alias("value"), F.collect_set(F.struct("o_orderstatus", F.lit(1))).alias("s"))
+    files = files.select("k", F.to_json(F.struct("value", F.map_from_entries("s").alias("status"))).alias("body"))
+    return S.profile_json(files, "k", "body").select("k", F.array_join("top_keys", "|").alias("top_keys"), F.col("value_slots").cast("long").alias("value_slots"), F.col("status_slots").cast("long").alias("status_slots"))
+
+
+@query(
+    "S18_resolve_members",
+    """WITH n AS (SELECT DISTINCT c_mktsegment || '/' || c_nationkey || '/' || (c_custkey % 97) || '.csv' AS name FROM customer), w AS (SELECT DISTINCT c_nationkey || '/' || (c_custkey % 97) || '.csv' AS logical FROM customer),
+    m AS (SELECT logical, count(name) AS k, max(name) AS name FROM w LEFT JOIN n ON substr(name, strpos(name, '/') + 1) = logical GROUP BY logical)
+    SELECT logical, CASE WHEN k = 1 THEN name END AS name, CASE k WHEN 1 THEN 'suffix' WHEN 0 THEN 'missing' ELSE 'ambiguous' END AS status FROM m""",
+)
+def _(t):
+    tail = F.concat(F.col("c_nationkey"), F.lit("/"), F.col("c_custkey") % 97, F.lit(".csv"))
+    return S.resolve_members(t("customer").select(F.concat("c_mktsegment", F.lit("/"), tail).alias("name")), t("customer").select(tail.alias("logical")))
+
+
 @query(
     "S18_map_members",
     """WITH s AS (SELECT r_name AS profile, o_orderkey AS path, CASE WHEN contains(t, lower(substr(r_name, 1, 2))) THEN 5 ELSE 0 END + CASE WHEN contains(t, 'low') THEN 1 ELSE 0 END + CASE WHEN contains(t, lower(r_name)) THEN 1 ELSE 0 END AS score FROM region, (SELECT o_orderkey, lower(o_orderpriority) AS t FROM orders)),
@@ -186,6 +224,17 @@ def _(t):
     return S.workbook_rows(cells, {"nation": 3, "code": 1})
 
 
+@query(
+    "S19_workbook_columns",
+    """SELECT n_regionkey AS sheet, n_nationkey AS col, CASE WHEN n_nationkey % 3 = 0 THEN 'col_' || lpad(CAST(n_nationkey + 1 AS VARCHAR), 3, '0') ELSE 'Code | ' || n_name END AS label, CASE WHEN n_nationkey % 3 > 0 AND n_nationkey = min(CASE WHEN n_nationkey % 3 > 0 THEN n_nationkey END) OVER (PARTITION BY n_regionkey) THEN 'code' END AS role FROM nation""",
+)
+def _(t):
+    n = t("nation").withColumn("row", F.explode(F.sequence(F.lit(0), F.lit(9))))
+    value = F.when((F.col("row") >= 7) | (F.col("n_nationkey") % 3 == 0), "").when(F.col("row") == 5, "Code").when(F.col("row") == 6, F.col("n_name")).when(F.col("row") < 3, "x").otherwise("")
+    cells = n.select(F.col("n_regionkey").alias("sheet"), "row", F.col("n_nationkey").alias("col"), value.alias("value"))
+    return S.workbook_columns(cells, {"code": 5}, {"code": "code"}, {}).select("sheet", "col", "label", "role")
+
+
 @query(
     "S20_footprints",
     """SELECT tile_id, CASE WHEN k = 0 THEN 'invalid' WHEN x0 <= 60 AND x0 + w >= 20 AND y0 <= 40 AND y0 + 1 >= 10 THEN 'kept' ELSE 'outside' END AS status FROM (SELECT c_custkey AS tile_id, c_custkey % 3 AS k, CAST((c_custkey * 53) % 170 AS DOUBLE) AS x0, CAST((c_custkey * 71) % 80 AS DOUBLE) AS y0, 1.0 AS w FROM customer)""",
@@ -216,6 +265,22 @@ def _(t):
     return S.sparql_rows(bodies.select("response", F.to_json(F.struct(F.struct(F.col("b").alias("bindings")).alias("results"))).alias("body")), 1000)
 
 
+@query("S22_check_statistics", "SELECT event_id, CASE event_id % 3 WHEN 0 THEN 'no data container' WHEN 1 THEN CASE WHEN event_id % 2 = 0 THEN 'no delimiter' END END AS fault FROM events")
+def _(t):
+    k, e = F.col("event_id") % 3, F.col("event_id")
+    body = F.when(k == 0, F.col("props")).when(k == 1, F.when(e % 2 == 0, "none").otherwise(F.concat_ws(",", "event_id", "event_type"))).otherwise(F.concat(F.lit("<a>"), e, F.lit("</a>")))
+    kind = F.when(k == 0, "json").when(k == 1, "csv").otherwise("xml")
+    return S.check_statistics(t("events").select("event_id", kind.alias("format"), body.alias("body"))).select("event_id", "fault")
+
+
+@query("S23_check_xml", "SELECT o_custkey AS file, 'http://n/' || (o_custkey % 3) AS namespace, count(*) AS matched, CASE WHEN o_custkey % 3 <> 1 THEN 'another namespace' END AS fault FROM orders GROUP BY o_custkey")
+def _(t):
+    members = F.array_join(F.collect_list(F.concat(F.lit("<w:member>"), "o_orderkey", F.lit("</w:member>"))), "")
+    body = F.concat(F.lit('<?xml version="1.0"?><w:FeatureCollection xmlns:w="http://n/'), F.col("file") % 3, F.lit('" numberMatched="'), "n", F.lit('">'), "m", F.lit("</w:FeatureCollection>"))
+    files = t("orders").groupBy(F.col("o_custkey").alias("file")).agg(members.alias("m"), F.count(F.lit(1)).alias("n")).select("file", body.alias("body"))
+    return S.check_xml(files, "featurecollection", "/1").select("file", "namespace", "matched", "fault")
+
+
 @query("S23_xml_scan", "SELECT n_regionkey AS file, 'schema' AS root, count(*) AS members, string_agg(n_name, ',' ORDER BY n_name) AS names FROM nation GROUP BY 1")
 def _(t):
     el = F.concat(F.lit('<element name="'), "n_name", F.lit('"/>'))

@@ -100,11 +100,42 @@ def _(t, points, rects):
     return S.footprint_cover(points, rects, 25.0, 50.0).select("id", "covered")
 
 
+@query(
+    "G10_nearest_footprint",
+    """SELECT id, min(sqrt(power(greatest(xmin - x, x - xmax, 0), 2) + power(greatest(ymin - y, y - ymax, 0), 2))) AS distance FROM points, rects GROUP BY id""",
+    points=POINTS, rects=RECTS,
+)
+def _(t, points, rects):
+    return S.nearest_footprint(points, rects.withColumnRenamed("tile_id", "rect"), 50.0).select("id", "distance")
+
+
 @query("G11_share_samples", "SELECT id, min(id) OVER (PARTITION BY floor(x / 12), floor(y / 12)) AS sample FROM points", points=POINTS)
 def _(t, points):
     return S.share_samples(points, "id", 12.0)
 
 
+@query(
+    "G02_sub_lines",
+    f"""WITH {_SEG}, w AS (SELECT DISTINCT line, line * 300.0 + 50 AS lo, line * 300.0 + 2050 AS hi FROM lines), p AS (SELECT line, least(hi, s0 + length) - greatest(lo, s0) AS part FROM segs JOIN w USING (line) WHERE length > 0 AND s0 < hi AND s0 + length > lo)
+    SELECT line, count(*) AS parts, sum(part) AS length FROM p GROUP BY line""",
+    lines=LONG,
+)
+def _(t, lines):
+    wanted = lines.select("line", (F.col("line") * 300.0 + 50).alias("lo"), (F.col("line") * 300.0 + 2050).alias("hi")).distinct()
+    parts = S.sub_lines(wanted, S.segments(lines, ["line"], "seq"), "line")
+    return parts.groupBy("line").agg(F.count(F.lit(1)).alias("parts"), F.sum(F.hypot(F.col("bx") - F.col("ax"), F.col("by") - F.col("ay"))).alias("length"))
+
+
+@query("G12_uncertain_tiles", "SELECT tx, ty, abs((tx + 0.5) * 10 - 5000) < 1500 AS uncertain FROM (SELECT DISTINCT CAST(floor(x / 10) AS BIGINT) AS tx, CAST(floor(y / 10) AS BIGINT) AS ty FROM points)", points=ALONG)
+def _(t, points):
+    """Tiles of points along a corridor that two countries share at x = 5,000; their other borders are far away."""
+    tiles = points.select(F.floor(F.col("x") / 10).alias("tx"), F.floor(F.col("y") / 10).alias("ty")).distinct()
+    corner = lambda x, y: F.struct(F.lit(x).alias("x"), F.lit(y).alias("y"))
+    sides = [("west", -1e4, 5e3), ("east", 5e3, 1e9)]
+    made = F.explode(F.array(*[F.struct(F.lit(n).alias("country"), F.array(corner(a, -1e4), corner(b, -1e4), corner(b, 1e4), corner(a, 1e4)).alias("ring")) for n, a, b in sides]))
+    return S.uncertain_tiles(tiles, t("region").limit(1).select(made.alias("c")).select("c.*"), 10.0, 1500.0)
+
+
 @query("G12_country_split")
 def _(t):
     segs = S.segments(t.sql(PROFILE).select("grp", "seq", "x", "y"), ["grp"], "seq")
