@@ -138,7 +138,7 @@ def quintic(p0: tuple, p1: tuple, t0: tuple, t1: tuple, t: Column) -> tuple[Colu
 
 def quintic_length(p0: tuple, p1: tuple, t0: tuple, t1: tuple, steps: int = 200) -> Column:
     """Length of that quintic, as the sum of ``steps`` chords between even values of t (F16)."""
-    at = lambda i: F.struct(*[c.alias(k) for c, k in zip(quintic(p0, p1, t0, t1, i / F.lit(float(steps))), "xyk", strict=True)])
+    at = lambda i: F.struct(*[c.alias(k) for c, k in zip(quintic(p0, p1, t0, t1, i / F.lit(float(steps)))[:2], "xy", strict=True)])
     points = F.transform(F.sequence(F.lit(0), F.lit(steps)), at)
     chords = F.zip_with(F.slice(points, 1, steps), F.slice(points, 2, steps), lambda a, b: F.hypot(b["x"] - a["x"], b["y"] - a["y"]))
     return F.aggregate(chords, F.lit(0.0), lambda total, c: total + c)
