@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -215,6 +215,17 @@ def links_of_block(sets: list, root: np.ndarray, left: np.ndarray, right: np.nda
     return i[first], j[first]
 
 
+def may_link(registers: Iterable[bytes], root: np.ndarray, left: np.ndarray, right: np.ndarray, least: float) -> np.ndarray:
+    """Which texts, of a pair (i from ``left``, j from ``right``) with different roots, agree in a share of at least ``least`` of their registers."""
+    kept = np.frombuffer(b"".join(registers), "<u2").reshape(len(root), -1)
+    found, others = np.zeros(len(root), bool), np.flatnonzero(right)
+    for i in np.flatnonzero(left):
+        same = others[((kept[others] == kept[i]).mean(axis=1) >= least) & (root[others] != root[i])]
+        found[same] = True
+        found[i] |= len(same) > 0
+    return found
+
+
 def near_classes(
     docs: DataFrame, width: int = 5, similarity: float = 0.8, bands: int = 25, rows: int = 5, slack: float = 0.16, block: int = 256
 ) -> DataFrame:
@@ -231,7 +242,9 @@ def near_classes(
     compared. At similarity 0.8 a pair misses all of 25 bands of 5 with probability 5e-5.
     1. Bands with one text go. Each text's density is the sum of its bands' sizes; each band's densest text leads it.
     2. Texts are verified against the leaders of their bands, if their registers agree to within ``slack`` of the similarity.
-    3. In bands with texts of several components, texts of different components are compared exactly, ``block`` by block.
+    3. In bands with texts of several components, texts of different components are compared ``block`` by block: by their registers,
+       and those whose registers agree with one of another component's to within ``slack`` exactly. At similarity 0.8 registers
+       agree less than that with probability 1e-5.
     """
     signed = materialise(signatures(docs, width, bands, rows), "signatures")
     # A different text is a node, whose number is a hash of its digest; its first row has the least id, null last.
@@ -267,15 +280,26 @@ def near_classes(
     mixed = here.groupBy("_key").agg(F.count(F.lit(1)).alias("_n"), F.min("_root_id").alias("_low"), F.max("_root_id").alias("_high")).where("_low < _high").select("_key", "_n")
     n = F.ceil(F.col("_n") / block).cast("int")
     left = here.join(materialise(mixed, "mixed"), "_key").withColumn("_mine", F.pmod(F.xxhash64("_rep"), n).cast("int"))
-    left = left.withColumn("_other", F.explode(F.sequence(F.lit(0), n - 1))).join(texts, F.col("_rep") == F.col("_id"))
-    left = left.select("_key", "_rep", "_root_id", "_text", "_mine", F.least("_mine", "_other").alias("_lo"), F.greatest("_mine", "_other").alias("_hi"))
+    left = left.withColumn("_other", F.explode(F.sequence(F.lit(0), n - 1)))
+    left = left.select("_key", "_rep", "_root_id", "_mine", F.least("_mine", "_other").alias("_lo"), F.greatest("_mine", "_other").alias("_hi"))
+    pair = ["_key", "_lo", "_hi"]
+
+    def likely(group: pd.DataFrame) -> pd.DataFrame:
+        root, mine = group["_root_id"].to_numpy(), group["_mine"].to_numpy()
+        found = may_link(group["_registers"], root, mine == group["_lo"].iat[0], mine == group["_hi"].iat[0], similarity - slack)
+        return group.loc[found, [*pair, "_rep", "_root_id", "_mine"]]
+
+    # Most texts of a pair of blocks agree with none of the other components; only the rest are fetched, with one row a text.
+    held = left.join(registers.withColumnRenamed("_id", "_of_rep"), F.col("_rep") == F.col("_of_rep")).drop("_of_rep")
+    left = held.groupBy(*pair).applyInPandas(likely, "_key bigint, _lo int, _hi int, _rep bigint, _root_id bigint, _mine int")
+    left = materialise(left, "likely").join(texts, F.col("_rep") == F.col("_id"))
 
     def compare(group: pd.DataFrame) -> pd.DataFrame:
         ids, root, mine = group["_rep"].to_numpy(), group["_root_id"].to_numpy(), group["_mine"].to_numpy()
         i, j = links_of_block([shingles(t, width) for t in group["_text"]], root, mine == group["_lo"].iat[0], mine == group["_hi"].iat[0], similarity)
         return pd.DataFrame({"a": ids[i], "b": ids[j]})
 
-    more = materialise(left.groupBy("_key", "_lo", "_hi").applyInPandas(compare, "a bigint, b bigint"), "more")
+    more = materialise(left.groupBy(*pair).applyInPandas(compare, "a bigint, b bigint"), "more")
     if more.limit(1).count():
         roots = connected(links.union(more), "a", "b")
 

@@ -3,7 +3,7 @@ import random
 import numpy as np
 import pytest
 
-from calado.llm.near_dedup import connected, keep_first, links_of_block, near_duplicates, prob_min_hash, probability_jaccard, shingles
+from calado.llm.near_dedup import connected, keep_first, links_of_block, may_link, near_duplicates, prob_min_hash, probability_jaccard, shingles
 
 
 def exact(a, b):
@@ -136,6 +136,32 @@ def test_links_of_block(columns):
     assert set(zip(i.tolist(), j.tolist(), strict=True)) == want
 
 
+def test_may_link():
+    rnd = np.random.default_rng(4)
+    kept = rnd.integers(0, 3, (40, 25)).astype("<u2")
+    root, left, right = rnd.integers(0, 30, 40), np.arange(40) % 2 == 0, np.arange(40) % 3 > 0
+    want = set()
+    for i in np.flatnonzero(left):
+        for j in np.flatnonzero(right):
+            if root[i] != root[j] and (kept[i] == kept[j]).mean() >= 0.48:
+                want |= {i, j}
+    assert 0 < len(want) < 40
+    assert set(np.flatnonzero(may_link([r.tobytes() for r in kept], root, left, right, 0.48))) == want
+
+
+def test_different_texts_of_one_band(spark):
+    # One window that holds the weight of most registers puts texts in one band that are not near; near copies among them are found.
+    rnd = random.Random(12)
+    rows = []
+    for i in range(120):
+        own = [f"x{rnd.randrange(10**6)}" for _ in range(60)]
+        rows.append((i, " ".join(["again"] * 300 + own)))
+        if i % 10 == 0:
+            rows.append((1000 + i, " ".join(["again"] * 300 + own[:-1] + ["other"])))
+    got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), block=8)
+    assert sorted([tuple(r) for r in got.collect()], key=str) == brute(rows)
+
+
 def test_repeated_ids_null_ids_and_clashing_columns(spark):
     """Rows are told apart by id and text: repeated ids with other texts keep their own classes, in every run."""
     base = [f"a{i}" for i in range(60)]
