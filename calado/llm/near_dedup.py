@@ -242,9 +242,9 @@ def near_classes(
     compared. At similarity 0.8 a pair misses all of 25 bands of 5 with probability 5e-5.
     1. Bands with one text go. Each text's density is the sum of its bands' sizes; each band's densest text leads it.
     2. Texts are verified against the leaders of their bands, if their registers agree to within ``slack`` of the similarity.
-    3. In bands with texts of several components, texts of different components are compared ``block`` by block: by their registers,
-       and those whose registers agree with one of another component's to within ``slack`` exactly. At similarity 0.8 registers
-       agree less than that with probability 1e-5.
+    3. In bands with texts of several components, texts of different components are compared exactly, ``block`` by block. In bands of
+       several blocks only those whose registers agree with one of another component's to within ``slack`` are; at similarity 0.8
+       registers agree less than that with probability 1e-5.
     """
     signed = materialise(signatures(docs, width, bands, rows), "signatures")
     # A different text is a node, whose number is a hash of its digest; its first row has the least id, null last.
@@ -281,18 +281,18 @@ def near_classes(
     n = F.ceil(F.col("_n") / block).cast("int")
     left = here.join(materialise(mixed, "mixed"), "_key").withColumn("_mine", F.pmod(F.xxhash64("_rep"), n).cast("int"))
     left = left.withColumn("_other", F.explode(F.sequence(F.lit(0), n - 1)))
-    left = left.select("_key", "_rep", "_root_id", "_mine", F.least("_mine", "_other").alias("_lo"), F.greatest("_mine", "_other").alias("_hi"))
     pair = ["_key", "_lo", "_hi"]
+    left = left.select("_key", F.least("_mine", "_other").alias("_lo"), F.greatest("_mine", "_other").alias("_hi"), "_rep", "_root_id", "_mine", n.alias("_blocks"))
 
     def likely(group: pd.DataFrame) -> pd.DataFrame:
         root, mine = group["_root_id"].to_numpy(), group["_mine"].to_numpy()
         found = may_link(group["_registers"], root, mine == group["_lo"].iat[0], mine == group["_hi"].iat[0], similarity - slack)
         return group.loc[found, [*pair, "_rep", "_root_id", "_mine"]]
 
-    # Most texts of a pair of blocks agree with none of the other components; only the rest are fetched, with one row a text.
-    held = left.join(registers.withColumnRenamed("_id", "_of_rep"), F.col("_rep") == F.col("_of_rep")).drop("_of_rep")
-    left = held.groupBy(*pair).applyInPandas(likely, "_key bigint, _lo int, _hi int, _rep bigint, _root_id bigint, _mine int")
-    left = materialise(left, "likely").join(texts, F.col("_rep") == F.col("_id"))
+    # A band of several blocks sends each text to all of them: there only texts that agree with one of another component are fetched.
+    held = left.where("_blocks > 1").join(registers.withColumnRenamed("_id", "_of_rep"), F.col("_rep") == F.col("_of_rep")).drop("_of_rep")
+    found = held.groupBy(*pair).applyInPandas(likely, "_key bigint, _lo int, _hi int, _rep bigint, _root_id bigint, _mine int")
+    left = materialise(left.where("_blocks = 1").drop("_blocks").union(found), "likely").join(texts, F.col("_rep") == F.col("_id"))
 
     def compare(group: pd.DataFrame) -> pd.DataFrame:
         ids, root, mine = group["_rep"].to_numpy(), group["_root_id"].to_numpy(), group["_mine"].to_numpy()
