@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from calado.operators.joins import within_distance
+from calado.operators.storage import checkpointed
 
 
 def fingerprint(assets: DataFrame, group: list[str]) -> DataFrame:
@@ -83,25 +86,47 @@ def zonal_stats(cells: DataFrame, zone: list[Column], z: str, min_n: int) -> Dat
     return rows.withColumns({"p05": ok(p[0]), "p50": ok(p[1]), "p95": ok(p[2]), "relief": ok(p[2] - p[0])}).drop("_p")
 
 
+def ranked_values(values: DataFrame, column: str) -> DataFrame:
+    """(value, n, upto, total): the distinct values of ``column``, nulls left out, how often each occurs, and how many are no greater.
+
+    Values are counted, parted by range and written, so that running counts come from one window a range and the sums of the ranges
+    before, a few numbers: no task gets all values.
+    """
+    counts = values.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    parts = checkpointed(counts.repartitionByRange("value").withColumn("_p", F.spark_partition_id()))
+    sums = parts.groupBy("_p").agg(F.sum("n").alias("_n"))
+    line = Window.orderBy("_p")
+    before = F.coalesce(F.sum("_n").over(line.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    sums = sums.select("_p", before.alias("_before"), F.sum("_n").over(Window.partitionBy()).alias("total"))
+    upto = F.sum("n").over(Window.partitionBy("_p").orderBy("value").rowsBetween(Window.unboundedPreceding, 0))
+    return parts.withColumn("_upto", upto).join(sums, "_p").select("value", "n", (F.col("_before") + F.col("_upto")).alias("upto"), "total")
+
+
+def quantile(p: float) -> Column:
+    """Aggregate over ``ranked_values``: the exact quantile, between two values by their distance."""
+    at = (F.col("total") - 1) * F.lit(float(p))
+    holds = lambda k: (F.col("upto") - F.col("n") <= k) & (k < F.col("upto"))
+    low, high = F.max(F.when(holds(F.floor(at)), F.col("value"))), F.max(F.when(holds(F.ceil(at)), F.col("value")))
+    weight = F.max(at - F.floor(at))
+    return F.when(low == high, low).otherwise(low * (1 - weight) + high * weight)
+
+
 def crossres(coarse: DataFrame, fine: DataFrame, k: int) -> DataFrame:
     """Residuals of coarse cells against the mean of their k x k fine cells, in one row."""
     mean = fine.groupBy(F.floor(F.col("row") / k).alias("row"), F.floor(F.col("col") / k).alias("col")).agg(F.avg("z").alias("m"))
     r = F.col("z") - F.col("m")
-    return (
-        coarse.join(mean, ["row", "col"])
-        .where(r.isNotNull())
-        .select(r.alias("r"))
-        .agg(
-            F.count("r").alias("n"),
-            F.avg("r").alias("mean"),
-            F.median("r").alias("median"),
-            F.avg(F.abs("r")).alias("mae"),
-            F.sqrt(F.avg(F.col("r") * F.col("r"))).alias("rms"),
-            F.percentile(F.abs("r"), F.lit(0.95)).alias("p95"),
-            F.percentile(F.abs("r"), F.lit(0.99)).alias("p99"),
-            F.avg(F.when(F.abs("r") > 1, 1.0).otherwise(0.0)).alias("share_over_1"),
-        )
+    residuals = checkpointed(coarse.join(mean, ["row", "col"]).where(r.isNotNull()).select(r.alias("r")))
+    sums = residuals.agg(
+        F.count("r").alias("n"),
+        F.avg("r").alias("mean"),
+        F.avg(F.abs("r")).alias("mae"),
+        F.sqrt(F.avg(F.col("r") * F.col("r"))).alias("rms"),
+        F.avg(F.when(F.abs("r") > 1, 1.0).otherwise(0.0)).alias("share_over_1"),
     )
+    middle = ranked_values(residuals, "r").agg(quantile(0.5).alias("median"))
+    sizes = ranked_values(residuals.select(F.abs("r").alias("size")), "size").agg(quantile(0.95).alias("p95"), quantile(0.99).alias("p99"))
+    # One row each.
+    return sums.join(middle).join(sizes).select("n", "mean", "median", "mae", "rms", "p95", "p99", "share_over_1")
 
 
 def raster_qa(cells: DataFrame, group: list[str], low: float, high: float, expected: int) -> DataFrame:
@@ -128,8 +153,9 @@ def slope_stats(cells: DataFrame, res: float, below: tuple[float, ...] = (5.0, 1
 
     rows = cells.withColumn("gx", gradient("row", "col")).withColumn("gy", gradient("col", "row"))
     slope = rows.select((F.hypot("gx", "gy") * 100).alias("slope")).where("slope IS NOT NULL")
-    shares = [F.avg(F.when(F.col("slope") < b, 1.0).otherwise(0.0)).alias(f"below_{b:g}") for b in below]
-    return slope.agg(F.count("slope").alias("n"), F.median("slope").alias("p50"), F.percentile("slope", F.lit(0.9)).alias("p90"), F.max("slope").alias("max_slope"), *shares)
+    shares = [(F.sum(F.when(F.col("value") < b, F.col("n")).otherwise(0)) / F.sum("n")).alias(f"below_{b:g}") for b in below]
+    n = F.coalesce(F.sum("n"), F.lit(0)).alias("n")
+    return ranked_values(slope, "slope").agg(n, quantile(0.5).alias("p50"), quantile(0.9).alias("p90"), F.max("value").alias("max_slope"), *shares)
 
 
 def pressure(df: DataFrame, group: list[str], deviation: str, length: str) -> DataFrame:
@@ -149,7 +175,22 @@ def class_shares(parts: DataFrame, group: list[str], cls: str, area: str, zone_a
 
 
 def rect_union(rects: DataFrame, group: list[str]) -> DataFrame:
-    """Exact area of the union of rectangles: slabs between distinct x edges, y spans merged within each."""
+    """Exact area of the union of rectangles: slabs between distinct x edges, y spans merged within each.
+
+    Rectangles are cut at strips as wide as the group's mean width, rounded up to a power of two: at most some three pieces a rectangle,
+    and slabs meet only the pieces of their strip. Rectangles without width have no area.
+    """
+    wide = rects.where("xmax > xmin").groupBy(*[F.col(c).alias(f"_g_{c}") for c in group]).agg(F.pow(F.lit(2.0), F.ceil(F.log2(F.avg(F.col("xmax") - F.col("xmin"))))).alias("_w"))
+    met = rects.where("xmax > xmin").join(wide, reduce(lambda a, b: a & b, [F.col(c) == F.col(f"_g_{c}") for c in group], F.lit(True)))
+    strips = F.sequence(F.floor(F.col("xmin") / F.col("_w")), F.ceil(F.col("xmax") / F.col("_w")) - 1)
+    cut = met.select(*group, "xmin", "xmax", "ymin", "ymax", "_w", F.explode(strips).alias("_strip"))
+    low, high = F.greatest("xmin", F.col("_strip") * F.col("_w")), F.least("xmax", (F.col("_strip") + 1) * F.col("_w"))
+    cut = cut.select(*group, "_strip", low.alias("xmin"), high.alias("xmax"), "ymin", "ymax")
+    return _slab_areas(cut, [*group, "_strip"]).groupBy(*group).agg(F.sum("_d").alias("area"))
+
+
+def _slab_areas(rects: DataFrame, group: list[str]) -> DataFrame:
+    """Rows of ``group`` and ``_d``, areas that add up to the union's."""
     edges = rects.select(*group, F.explode(F.array("xmin", "xmax")).alias("x")).distinct()
     w = Window.partitionBy(*group).orderBy("x")
     slabs = edges.withColumn("x1", F.lead("x").over(w)).where("x1 IS NOT NULL")
@@ -157,7 +198,7 @@ def rect_union(rects: DataFrame, group: list[str]) -> DataFrame:
     v = Window.partitionBy(*group, "x").orderBy("ymin", "ymax")
     top = F.max("ymax").over(v.rowsBetween(Window.unboundedPreceding, -1))
     span = F.greatest(F.col("ymax") - F.greatest("ymin", F.coalesce(top, F.col("ymin"))), F.lit(0.0))
-    return inside.withColumn("_d", span * (F.col("x1") - F.col("x"))).groupBy(*group).agg(F.sum("_d").alias("area"))
+    return inside.select(*group, (span * (F.col("x1") - F.col("x"))).alias("_d"))
 
 
 def field_inventory(rows: DataFrame, fields: str, samples: int = 5) -> DataFrame:

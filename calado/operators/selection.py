@@ -10,12 +10,13 @@ from pyspark.sql import functions as F
 from calado.operators.storage import checkpointed
 
 
-def pareto(df: DataFrame, dims: list[str], senses: list[str], part: list[str], key: str, eps: float = 1e-9, blocks: int = 16) -> DataFrame:
+def pareto(df: DataFrame, dims: list[str], senses: list[str], part: list[str], key: str, eps: float = 1e-9, blocks: int = 16, rows_each: int = 2000) -> DataFrame:
     """Rows that no row of their ``part`` dominates: at least as good in all ``dims``, better in one by over ``eps``.
 
-    Rows with a null measure are left out. Salted blocks drop most rows by comparing only within a block; what is left,
-    few rows, is compared with all that is left. In blocks a row goes only if another is as good in all ``dims`` without tolerance:
-    that other dominates all that the row does, so that dropping it changes nothing for the rest.
+    Rows with a null measure are left out. Rounds of salted blocks, at least ``blocks`` a part and of about ``rows_each`` rows in large parts,
+    drop most rows by comparing only within a block, dealt anew each round, until a round drops under half; what is left is compared with all
+    that is left. In blocks a row goes only if another is as good in all ``dims`` without tolerance: that other dominates all that the row
+    does, so that dropping it changes nothing for the rest.
     """
     up = [F.col(c) if s == "max" else -F.col(c) for c, s in zip(dims, senses, strict=True)]
     full = df.where(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in dims]))
@@ -28,8 +29,18 @@ def pareto(df: DataFrame, dims: list[str], senses: list[str], part: list[str], k
         better = [F.col(f"b._d{i}") > F.col(f"a._d{i}") + eps for i in range(len(dims))]
         return a.join(b, reduce(lambda x, y: x & y, [*same, *no_worse, reduce(lambda x, y: x | y, better)]), "left_anti")
 
-    first = undominated(rows.withColumn("_salt", F.pmod(F.xxhash64(key), F.lit(blocks))), [*part, "_salt"], 0.0).drop("_salt")
-    front = undominated(checkpointed(first), part, eps)
+    left, before, step = rows, None, 0
+    while True:
+        sizes = left.groupBy(*[F.col(c).alias(f"_p_{c}") for c in part]).agg(F.count(F.lit(1)).alias("_n"))
+        of_part = reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.col(f"_p_{c}")) for c in part], F.lit(True))
+        n = F.greatest(F.lit(blocks), F.ceil(F.col("_n") / rows_each)).cast("long")
+        dealt = left.join(sizes, of_part).withColumn("_salt", F.pmod(F.xxhash64(key, F.lit(step)), n)).select(*rows.columns, "_salt")
+        left = checkpointed(undominated(dealt, [*part, "_salt"], 0.0).drop("_salt"))
+        now = left.count()
+        if now <= blocks * rows_each or (before is not None and 2 * now > before):
+            break
+        before, step = now, step + 1
+    front = undominated(left, part, eps)
     kept = front.select(*[F.col(c).alias(f"_k_{c}") for c in [*part, key]])
     return full.join(kept, reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in [*part, key]]), "left_semi")
 

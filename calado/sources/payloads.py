@@ -67,12 +67,14 @@ def jsonstat_to_rows(cubes: DataFrame) -> DataFrame:
         return F.when(F.col(column).startswith("["), dense).otherwise(sparse)
 
     total = F.aggregate("size", F.lit(1).cast("long"), lambda a, s: a * s)
-    rows = cubes.select("cube", "id", "size", "codes", "status", total.alias("_n"), F.inline(cells("value"))).withColumnRenamed("i", "linear_index")
+    # The only member of an array is worked out once: status texts are parsed once a cube, not once a cell.
+    marked = lambda s: F.transform(cells("value"), lambda c: F.struct(c["i"].alias("linear_index"), c["v"].alias("v"), F.get(s, c["i"].cast("int")).alias("status")))
+    both = F.get(F.transform(F.array(F.from_json("status", "array<string>")), marked), F.lit(0))
+    rows = cubes.select("cube", "id", "size", "codes", total.alias("_n"), F.inline(both))
     guard = F.when(F.col("linear_index") >= F.col("_n"), F.raise_error(F.lit("an index is beyond the cube"))).otherwise(F.col("linear_index"))
     stride = lambda k: F.aggregate(F.slice("size", k + 2, F.size("size")), F.lit(1).cast("long"), lambda a, s: a * s)
     code = F.transform("id", lambda d, k: F.element_at(F.element_at("codes", d), (F.floor(guard / stride(k)) % F.get("size", k) + 1).cast("int")))
-    status = F.get(F.from_json("status", "array<string>"), F.col("linear_index").cast("int"))
-    return rows.select("cube", "linear_index", F.array_join(code, "|").alias("codes"), F.col("v").alias("value"), status.alias("status"))
+    return rows.select("cube", "linear_index", F.array_join(code, "|").alias("codes"), F.col("v").alias("value"), "status")
 
 
 def flatten_period_map(responses: DataFrame) -> DataFrame:

@@ -542,3 +542,53 @@ def test_projection_and_back_lengths_and_summaries(spark):
     marks = spark.createDataFrame([("5 m", -3.0), ("5 m", 1.0), ("5 m", None), ("25 m", None)], "res string, centre double")
     got = {r["res"]: tuple(r)[1:] for r in joins.residual_summary(marks, ["res"]).collect()}
     assert got == {"5 m": (2, -1.0, -1.0, -3.0, 1.0, 3.0), "25 m": (0, None, None, None, None, None)}
+
+
+def test_labels_within_by_brute_force(spark):
+    rnd = random.Random(8)
+    label = lambda n: "".join(rnd.choice("ab ") for _ in range(rnd.randint(0, n)))
+    members, wanted = [(str(i), label(7)) for i in range(60)] + [("n", None)], sorted({label(4) for _ in range(25)})
+    got = gates.resolve_label(spark.createDataFrame(members, "code string, label string"), spark.createDataFrame([(w,) for w in wanted], "wanted string"))
+    want = set()
+    for w in wanted:
+        same = [c for c, m in members if m is not None and m == w]
+        part = [c for c, m in members if m is not None and w in m]
+        if same:
+            want.add((w, same[0], "exact") if len(same) == 1 else (w, None, "ambiguous"))
+        else:
+            want.add((w, part[0], "within") if len(part) == 1 else (w, None, "ambiguous" if part else "absent"))
+    assert {tuple(r) for r in got.collect()} == want
+
+
+def test_union_area_by_grid(spark):
+    rnd = random.Random(5)
+    rows = []
+    for g in ("a", "b"):
+        for _ in range(40):
+            x, y = rnd.randrange(-30, 30), rnd.randrange(-20, 20)
+            rows.append((g, float(x), float(x + rnd.choice([0, 1, 2, 5, 40])), float(y), float(y + rnd.choice([0, 1, 3, 8]))))
+    rows.append(("c", 1.0, 1.0, 0.0, 5.0))
+    got = aggregates.rect_union(spark.createDataFrame(rows, "g string, xmin double, xmax double, ymin double, ymax double"), ["g"])
+    want = {}
+    for g in ("a", "b"):
+        cells = {(i, j) for h, x0, x1, y0, y1 in rows if h == g for i in range(int(x0), int(x1)) for j in range(int(y0), int(y1))}
+        want[g] = float(len(cells))
+    assert {r["g"]: r["area"] for r in got.collect()} == want
+
+
+def test_quantiles_as_numpy(spark):
+    values = [float(v) for v in np.random.default_rng(3).integers(0, 50, 400) ** 2] + [7.0] * 300
+    df = spark.createDataFrame([(v,) for v in [*values, None]], "v double").repartition(7)
+    probs = [0.0, 0.05, 0.5, 0.95, 1.0]
+    ranked = aggregates.ranked_values(df, "v")
+    got = ranked.agg(*[aggregates.quantile(p).alias(f"q{i}") for i, p in enumerate(probs)]).first()
+    assert list(got) == pytest.approx([float(x) for x in np.quantile(values, probs)], rel=1e-12)
+    assert tuple(aggregates.ranked_values(df.where("v IS NULL"), "v").agg(aggregates.quantile(0.5)).first()) == (None,)
+
+
+def test_pareto_of_a_large_part(spark):
+    rnd = random.Random(6)
+    rows = [(i, "p", rnd.randrange(60), rnd.randrange(60)) for i in range(900)] + [(2000, None, 1, 1), (2001, None, 1, 1), (2002, None, 0, 1)]
+    got = selection.pareto(spark.createDataFrame(rows, "id long, g string, x int, y int"), ["x", "y"], ["max", "max"], ["g"], "id", blocks=2, rows_each=20)
+    better = lambda a, b: b[1] == a[1] and b[2] >= a[2] and b[3] >= a[3] and (b[2] > a[2] or b[3] > a[3])
+    assert {r["id"] for r in got.collect()} == {a[0] for a in rows if not any(better(a, b) for b in rows)}
