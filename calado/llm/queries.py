@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from calado.llm import fingerprints, html_text, language_id, line_dedup, lm_scoring, mixing, near_dedup, packing, quality_rules, token_counts
+from calado.llm import fingerprints, hard_negatives, html_text, language_id, line_dedup, lm_scoring, mixing, near_dedup, packing, quality_rules, resampling, token_counts
 from calado.llm._shared import read
 
 
@@ -62,10 +62,19 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.importance_ranks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    noisy = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine_hard_negatives(read(spark, sf_dir, "embeddings").withColumn("label", noisy))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     from corpus_pipeline import run
 
-    ops = [op1_language_id, op2_html_extraction, op3_document_fingerprints, op4_lm_scoring, op5_token_counts, op6_quality_rules, op7_best_fit_packing, op8_minhash_near_dedup, op9_source_mixing, op10_line_dedup]
+    ops = [op1_language_id, op2_html_extraction, op3_document_fingerprints, op4_lm_scoring, op5_token_counts, op6_quality_rules, op7_best_fit_packing, op8_minhash_near_dedup, op9_source_mixing, op10_line_dedup, op11_importance_resampling, op13_hard_negatives]
     return {f.__name__: f for f in ops} | {"pipeline": run}
 
 
@@ -147,7 +156,50 @@ FROM laid l JOIN spans s ON l.source IS NOT DISTINCT FROM s.source AND l.shard =
 """
 
 
+_TO_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_OP11_WORDS = "regexp_extract_all(" + _TO_LOWER.format("coalesce(text, '')") + r", '[0-9a-z\x{80}-\x{10FFFF}]+')"
+
+_OP11 = f"""
+WITH crcs AS (  -- the reflected polynomial, eight bits at once
+  SELECT list(list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, b) ORDER BY b) AS bytes FROM range(256) r(b)
+), said AS (
+  SELECT doc_id, NULL AS item_id, {_OP11_WORDS} AS words FROM documents UNION ALL SELECT NULL, item_id, {_OP11_WORDS} FROM benchmark
+), used AS (
+  SELECT word, count(*) FILTER (item_id IS NULL) AS s, count(*) FILTER (item_id IS NOT NULL) AS t FROM (SELECT item_id, unnest(words) AS word FROM said) GROUP BY word
+), hashed AS (
+  SELECT word, s, t, xor(list_reduce(list_transform(range(octet_length(encode(word))), lambda i: CAST('0x' || substr(hex(encode(word)), 2 * i + 1, 2) AS BIGINT)),
+    lambda c, b: xor(c >> 8, crcs.bytes[CAST(xor(c & 255, b) AS BIGINT) + 1]), 4294967295), 4294967295) % 10000 AS bucket FROM used, crcs
+), gains AS (
+  SELECT bucket, CAST(floor(1000 * ln((sum(t) + 1)::DOUBLE * (sum(sum(s)) OVER () + 10000)::DOUBLE / ((sum(s) + 1)::DOUBLE * (sum(sum(t)) OVER () + 10000)::DOUBLE))) AS BIGINT) AS gain FROM hashed GROUP BY bucket
+), means AS (
+  SELECT doc_id, count(*) AS n, sum(gain) AS total FROM (SELECT doc_id, unnest(words) AS word FROM said WHERE item_id IS NULL) JOIN hashed USING (word) JOIN gains USING (bucket) GROUP BY doc_id
+), scored AS (
+  SELECT d.doc_id, coalesce(n, 0) AS n_features, coalesce(CAST(floor(total::DOUBLE / n) AS BIGINT), 0) AS weight,
+    CAST(floor(-1000 * ln(-ln((CAST('0x' || left(sha256('2024:' || d.doc_id), 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS luck
+  FROM documents d LEFT JOIN means USING (doc_id)
+), ranked AS (
+  SELECT doc_id, row_number() OVER (ORDER BY weight + luck DESC, doc_id) AS r, count(*) OVER () AS n FROM scored WHERE n_features >= 20
+)
+SELECT doc_id, n_features, weight, weight + luck AS score, CASE WHEN r <= (10 * n) // 100 THEN r END AS rank FROM scored LEFT JOIN ranked USING (doc_id)
+"""
+
+
+_OP13 = """
+WITH whole AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: CAST(floor(256 * x::DOUBLE) AS BIGINT)) AS v
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.vec_id AS anchor_id, a.label = b.label AS same, b.vec_id, CAST(list_sum(list_transform(range(1, len(a.v) + 1), lambda i: a.v[i] * b.v[i])) AS BIGINT) AS score
+  FROM whole a JOIN whole b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id
+), positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scored USING (anchor_id) WHERE NOT same AND 80 * positive_score <= 100 * score AND score <= positive_score QUALIFY rank <= 5
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     from corpus_pipeline import ORACLE_SQL
 
-    return {"op9_source_mixing": _OP9, "op10_line_dedup": _OP10} | ({"pipeline": ORACLE_SQL} if ORACLE_SQL else {})
+    return {"op9_source_mixing": _OP9, "op10_line_dedup": _OP10, "op11_importance_resampling": _OP11, "op13_hard_negatives": _OP13} | ({"pipeline": ORACLE_SQL} if ORACLE_SQL else {})
