@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from calado.llm import fingerprints, hard_negatives, html_text, language_id, line_dedup, lm_scoring, mixing, near_dedup, packing, quality_rules, resampling, token_counts
+from calado.llm import fingerprints, hard_negatives, html_text, language_id, line_dedup, lm_scoring, mixing, near_dedup, packing, personal_data, quality_rules, resampling, token_counts
 from calado.llm._shared import read
 
 
@@ -66,6 +66,10 @@ def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resampling.importance_ranks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op12_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data.find_personal_data(read(spark, sf_dir, "documents"))
+
+
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     noisy = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return hard_negatives.mine_hard_negatives(read(spark, sf_dir, "embeddings").withColumn("label", noisy))
@@ -74,7 +78,7 @@ def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     from corpus_pipeline import run
 
-    ops = [op1_language_id, op2_html_extraction, op3_document_fingerprints, op4_lm_scoring, op5_token_counts, op6_quality_rules, op7_best_fit_packing, op8_minhash_near_dedup, op9_source_mixing, op10_line_dedup, op11_importance_resampling, op13_hard_negatives]
+    ops = [op1_language_id, op2_html_extraction, op3_document_fingerprints, op4_lm_scoring, op5_token_counts, op6_quality_rules, op7_best_fit_packing, op8_minhash_near_dedup, op9_source_mixing, op10_line_dedup, op11_importance_resampling, op12_personal_data, op13_hard_negatives]
     return {f.__name__: f for f in ops} | {"pipeline": run}
 
 
