@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from calado.functions.geometry import segment_distance
-from calado.functions.text import fold, num_tokens
+from calado.functions.text import NUMBER, fold
 
 # First bytes, in hex, of known formats.
 SIGNATURES = {"xls": "D0CF11E0A1B11AE1", "avro": "4F626A01", "pdf": "255044462D", "zip": "504B0304", "gzip": "1F8B"}
@@ -72,18 +74,21 @@ def select_members(members: DataFrame, year: str | None = None, contains: str |
     return out
 
 
-def tags_of(text: Column, vocabulary: dict[str, list[str]]) -> Column:
+def _any_of(folded: Column, words: list[str]) -> Column:
+    return reduce(lambda a, b: a | b, [F.contains(folded, F.lit(w)) for w in words])
+
+
+def tags_of(folded: Column, vocabulary: dict[str, list[str]]) -> Column:
     """Names of keyword families that occur in a folded text, in order."""
-    t = fold(text)
-    hit = lambda words: F.exists(F.array(*[F.lit(w) for w in words]), lambda w: F.contains(t, w))
-    return F.array_compact(F.array(*[F.when(hit(words), name) for name, words in sorted(vocabulary.items())]))
+    return F.array_compact(F.array(*[F.when(_any_of(folded, words), name) for name, words in sorted(vocabulary.items())]))
 
 
 def admit_rows(rows: DataFrame, text: str, vocabulary: dict[str, list[str]]) -> DataFrame:
     """Add ``tags`` and ``status``: admitted with a number and a tag, candidate with either, else rejected."""
-    number, tagged = F.size(num_tokens(F.col(text))) > 0, F.size("_tags") > 0
+    number, tagged = F.col(text).rlike(NUMBER), F.size("_tags") > 0
     status = F.when(number & tagged, "admitted").when(number | tagged, "candidate").otherwise("rejected")
-    return rows.withColumn("_tags", tags_of(F.col(text), vocabulary)).withColumns({"tags": F.array_join("_tags", "|"), "status": status}).drop("_tags")
+    marked = rows.withColumn("_folded", fold(F.col(text))).withColumn("_tags", tags_of(F.col("_folded"), vocabulary))
+    return marked.withColumns({"tags": F.array_join("_tags", "|"), "status": status}).drop("_tags", "_folded")
 
 
 def table_candidate_pages(lines: DataFrame, page: list[str], text: str = "text") -> DataFrame:
@@ -97,9 +102,8 @@ def table_candidate_pages(lines: DataFrame, page: list[str], text: str = "text")
 def scope_rows(lines: DataFrame, text: str, terms: list[str], places: list[str] | None = None) -> DataFrame:
     """Lines with a number, one of ``terms`` and, if given, one of ``places``."""
     t = fold(F.col(text))
-    any_of = lambda words: F.exists(F.array(*[F.lit(w) for w in words]), lambda w: F.contains(t, w))
-    ok = any_of(terms) & (F.size(num_tokens(F.col(text))) > 0)
-    return lines.where(ok & any_of(places) if places else ok)
+    ok = F.col(text).rlike(NUMBER) & _any_of(t, terms)
+    return lines.where(ok & _any_of(t, places) if places else ok)
 
 
 def classify_first(text: Column, rules: list[tuple[str, str]]) -> Column:

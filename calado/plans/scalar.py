@@ -12,9 +12,16 @@ from calado.plans._query import query
 from calado.plans.gate import _FOLD
 from calado.plans.sequence import LINES, OPTIONS
 
-@query("F01_fold", f"SELECT conv_id, turn, {_FOLD} AS folded, trim(regexp_replace({_FOLD}, '[-_\\s]+', ' ', 'g')) AS label FROM lines", lines=LINES)
-def _(t, lines):
-    return lines.select("conv_id", "turn", X.fold(F.col("text")).alias("folded"), X.norm_label(F.col("text")).alias("label"))
+_SPELLED = "replace(replace(text, 'ß', 'ss'), 'ﬁ', 'fi')"
+
+
+@query(
+    "F01_fold",
+    f"SELECT doc_id, strip_accents(lower({_SPELLED})) AS folded, trim(regexp_replace(strip_accents(lower({_SPELLED})), '[-–—_\\s]+', ' ', 'g')) AS label FROM marked",
+    marked="SELECT doc_id, text || CASE WHEN doc_id % 3 = 0 THEN ' – ﬁn_de' ELSE ' Straße—x' END AS text FROM {documents}",
+)
+def _(t, marked):
+    return marked.select("doc_id", X.fold(F.col("text")).alias("folded"), X.norm_label(F.col("text")).alias("label"))
 
 
 RAW = """SELECT l_orderkey, l_linenumber, CASE l_linenumber % 7 WHEN 0 THEN '-' WHEN 1 THEN concat(CAST(CAST(l_quantity AS BIGINT) AS VARCHAR(9)), ',5') WHEN 2 THEN concat(CAST(l_linenumber AS VARCHAR(9)), '.', lpad(CAST(l_suppkey % 1000 AS VARCHAR(9)), 3, '0'))
@@ -23,7 +30,7 @@ RAW = """SELECT l_orderkey, l_linenumber, CASE l_linenumber % 7 WHEN 0 THEN '-'
 
 @query(
     "F02_parse_num",
-    """SELECT l_orderkey, l_linenumber, CASE l_linenumber % 7 WHEN 0 THEN NULL WHEN 1 THEN l_quantity + 0.5 WHEN 2 THEN l_linenumber * 1000 + l_suppkey % 1000 WHEN 3 THEN l_linenumber * 1000 + l_suppkey % 1000 + 0.25 WHEN 4 THEN NULL WHEN 5 THEN l_linenumber * 1000 + l_suppkey % 1000 + 0.75 ELSE CAST(l_partkey AS DOUBLE) END AS value FROM raw_values""",
+    """SELECT l_orderkey, l_linenumber, CASE l_linenumber % 7 WHEN 0 THEN NULL WHEN 1 THEN l_quantity + 0.5 WHEN 2 THEN l_linenumber + (l_suppkey % 1000) / 1000 WHEN 3 THEN l_linenumber * 1000 + l_suppkey % 1000 + 0.25 WHEN 4 THEN NULL WHEN 5 THEN l_linenumber * 1000 + l_suppkey % 1000 + 0.75 ELSE CAST(l_partkey AS DOUBLE) END AS value FROM raw_values""",
     raw_values=RAW,
 )
 def _(t, raw):
@@ -32,15 +39,21 @@ def _(t, raw):
 
 @query("F03_num_tokens", r"SELECT doc_id, array_to_string(regexp_extract_all(text, '([+-]?[0-9]+(?:[.,][0-9]+)*)', 1), '|') AS numbers, array_to_string(regexp_extract_all(lower(text), '[0-9]\s?(%|€|eur|km|kg|mw|min|m|t)(?:[^a-z]|$)', 1), '|') AS units FROM documents")
 def _(t):
-    units = F.regexp_extract_all(F.lower("text"), F.lit(r"[0-9][ \t\n\r\f]?(%|€|eur|km|kg|mw|min|m|t)(?:[^a-z]|$)"), 1)
-    return t("documents").select("doc_id", F.array_join(X.num_tokens(F.col("text")), "|").alias("numbers"), F.array_join(units, "|").alias("units"))
+    return t("documents").select("doc_id", F.array_join(X.num_tokens(F.col("text")), "|").alias("numbers"), F.array_join(X.unit_tokens(F.col("text")), "|").alias("units"))
 
 
-@query("F04_parse_period", "SELECT o_orderkey, CASE o_orderkey % 3 WHEN 0 THEN CAST(year(o_orderdate) AS VARCHAR) || 'Q' || quarter(o_orderdate) WHEN 1 THEN strftime(o_orderdate, '%Y-%m') ELSE CAST(year(o_orderdate) AS VARCHAR) END AS period FROM orders")
+@query(
+    "F04_parse_period",
+    """SELECT o_orderkey, CASE WHEN o_orderkey % 6 IN (0, 3) THEN CAST(year(o_orderdate) AS VARCHAR) || 'Q' || quarter(o_orderdate) WHEN o_orderkey % 3 = 1 THEN strftime(o_orderdate, '%Y-%m') ELSE CAST(year(o_orderdate) AS VARCHAR) END AS period,
+    CASE WHEN o_orderkey % 3 = 0 THEN 'Q' || quarter(o_orderdate) WHEN o_orderkey % 6 = 5 THEN 'UNRESOLVED' ELSE 'ANNUAL' END AS scope FROM orders""",
+)
 def _(t):
     o = F.col("o_orderdate")
-    label = F.when(F.col("o_orderkey") % 3 == 0, F.concat(F.date_format(o, "yyyy"), F.lit(" T"), F.quarter(o))).when(F.col("o_orderkey") % 3 == 1, F.concat(F.lit("file-"), F.date_format(o, "yyyy-MM"), F.lit(".csv"))).otherwise(F.concat(F.lit("year "), F.date_format(o, "yyyy")))
-    return t("orders").select("o_orderkey", X.parse_period(label).alias("period"))
+    k, year = F.col("o_orderkey"), F.date_format(o, "yyyy")
+    label = F.when(k % 6 == 0, F.concat(year, F.lit(" T"), F.quarter(o))).when(k % 6 == 3, F.concat(F.quarter(o), F.lit("º Trimestre de "), year))
+    label = label.when(k % 6 == 2, F.concat(F.lit("Port "), F.quarter(o), F.lit(" "), year)).when(k % 6 == 5, F.concat(F.lit("trimestre "), year))
+    label = label.when(F.col("o_orderkey") % 3 == 1, F.concat(F.lit("file-"), F.date_format(o, "yyyy-MM"), F.lit(".csv"))).otherwise(F.concat(F.lit("year "), F.date_format(o, "yyyy")))
+    return t("orders").select("o_orderkey", X.parse_period(label).alias("period"), X.edition_scope(label).alias("scope"))
 
 
 @query("F05_names", "SELECT p_partkey, p_size % 2 = 0 AS road, replace(p_name, ' ', '_') || '_' || p_partkey AS safe, '/' || replace(replace(p_brand || '/~x', '~', '~0'), '/', '~1') || '/' || p_partkey AS pointer FROM part")

@@ -71,6 +71,7 @@ def _(t, profile):
     return K.to_linestring(profile.withColumn("y", F.col("s")), "grp", "seq")
 
 
-@query("K08_write_shards", "SELECT source, count(*) AS rows FROM documents GROUP BY source")
+@query("K08_write_shards", "SELECT source, count(*) AS rows, CAST(sum(CAST('0x' || left(sha256(doc_id || chr(31) || coalesce(source, chr(9216)) || chr(31) || n_chars), 15) AS HUGEINT)) AS VARCHAR) AS digest FROM documents GROUP BY source")
 def _(t):
-    return K.write_shards(t("documents").select("doc_id", "source", "n_chars"), "source", shared_path(t.spark, "shards")).select("source", "rows")
+    docs = t("documents").select("doc_id", "source", "n_chars")
+    return K.write_shards(docs, "source", shared_path(t.spark, "shards")).withColumn("digest", F.col("digest").cast("string"))

@@ -65,14 +65,18 @@ def _(t):
 @query(
     "S05_jsonstat_to_rows",
     """WITH v AS (SELECT l_suppkey AS cube, (l_linenumber - 1) * 3 + CASE l_returnflag WHEN 'A' THEN 0 WHEN 'N' THEN 1 ELSE 2 END AS i, sum(l_quantity) AS value FROM lineitem GROUP BY 1, 2)
-    SELECT cube, CAST(i AS BIGINT) AS linear_index, (CAST(floor(i / 3) AS BIGINT) + 1) || '|' || ['A', 'N', 'R'][i % 3 + 1] AS codes, value, 's' || i AS status FROM v""",
+    SELECT cube, CAST(i AS BIGINT) AS linear_index, (CAST(floor(i / 3) AS BIGINT) + 1) || '|' || ['A', 'N', 'R'][i % 3 + 1] AS codes, CASE WHEN value % 5 <> 0 THEN value END AS value, CASE WHEN value % 5 = 0 THEN '..' END AS text,
+    CASE WHEN cube % 2 = 0 THEN 's' || i WHEN i % 4 = 1 THEN 'e' || i END AS status FROM v""",
 )
 def _(t):
     flag = F.when(F.col("l_returnflag") == "A", 0).when(F.col("l_returnflag") == "N", 1).otherwise(2)
     cells = t("lineitem").groupBy(F.col("l_suppkey").alias("cube"), ((F.col("l_linenumber") - 1) * 3 + flag).alias("i")).agg(F.sum("l_quantity").alias("v"))
-    cubes = cells.groupBy("cube").agg(F.to_json(F.map_from_entries(F.collect_list(F.struct(F.col("i").cast("string"), "v")))).alias("value"))
+    said = F.when(F.col("v") % 5 == 0, '".."').otherwise(F.col("v").cast("string"))
+    cubes = cells.groupBy("cube").agg(F.concat(F.lit("{"), F.array_join(F.collect_list(F.concat(F.lit('"'), "i", F.lit('":'), said)), ","), F.lit("}")).alias("value"))
     members = F.create_map(F.lit("line"), F.transform(F.sequence(F.lit(1), F.lit(7)), lambda i: i.cast("string")), F.lit("flag"), F.array(F.lit("A"), F.lit("N"), F.lit("R")))
-    status = F.to_json(F.transform(F.sequence(F.lit(0), F.lit(20)), lambda i: F.concat(F.lit("s"), i)))
+    listed = F.to_json(F.transform(F.sequence(F.lit(0), F.lit(20)), lambda i: F.concat(F.lit("s"), i)))
+    keyed = F.to_json(F.map_from_entries(F.transform(F.sequence(F.lit(1), F.lit(20), F.lit(4)), lambda i: F.struct(i.cast("string"), F.concat(F.lit("e"), i)))))
+    status = F.when(F.col("cube") % 2 == 0, listed).otherwise(keyed)
     return S.jsonstat_to_rows(cubes.select("cube", F.array(F.lit("line"), F.lit("flag")).alias("id"), F.array(F.lit(7), F.lit(3)).alias("size"), members.alias("codes"), "value", status.alias("status")))
 
 
@@ -128,11 +132,12 @@ def _(t):
     return S.json_path(t("events").select("event_id", body.alias("body")), "body", "a.b", 2).select("event_id", "records", "enough")
 
 
-@query("S11_html_tables", "SELECT n_regionkey AS page_id, 0 AS table_no, CAST(row_number() OVER (PARTITION BY n_regionkey ORDER BY n_nationkey) AS INTEGER) AS row_no, n_name || '|' || n_nationkey AS cells FROM nation")
+@query("S11_html_tables", "SELECT n_regionkey AS page_id, CAST(n_regionkey % 2 AS INTEGER) AS table_no, CAST(row_number() OVER (PARTITION BY n_regionkey ORDER BY n_nationkey) AS INTEGER) AS row_no, n_name || ' & <co>|' || n_nationkey AS cells FROM nation")
 def _(t):
-    row = F.struct("n_nationkey", F.concat(F.lit("<tr><td> <b>"), "n_name", F.lit("</b>\n</td><td>"), "n_nationkey", F.lit("</td></tr>")).alias("h"))
+    row = F.struct("n_nationkey", F.concat(F.lit("<tr><td> <b>"), "n_name", F.lit("</b>\n&#38;&nbsp;&lt;co&gt;</td><td>"), "n_nationkey", F.lit("</td></tr>")).alias("h"))
     rows = t("nation").groupBy(F.col("n_regionkey").alias("page_id")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(row)), lambda r: r["h"]), "").alias("h"))
-    html = F.concat(F.lit('<script>var a="</table>"</script><table><tr><th>Nation</th><th>Key</th></tr>'), "h", F.lit("<tr><td> </td></tr></table>"))
+    head = F.when(F.col("page_id") % 2 == 0, "").otherwise("<table><tr><td>&nbsp;</td></tr></table><TABLE><tr><td>other</td></tr></TABLE>")
+    html = F.concat(F.lit('<script>var a="</table>"</script>'), head, F.lit("<table><tr><td> </td></tr><tr><td>Nati&oacute;n</td><td>Key</td></tr>"), "h", F.lit("<tr><td> </td></tr></table>"))
     return S.html_tables(rows.select("page_id", html.alias("html")), headers=["nation"]).withColumn("cells", F.array_join("cells", "|"))
 
 
@@ -308,6 +313,14 @@ def _(t):
     return S.road_ways(marked, ["primary", "motorway"]).select("way", F.size("points").cast("long").alias("points"))
 
 
-@query("S26_bbox_polygons", "SELECT tile_id, printf('POLYGON((%.1f %.1f,%.1f %.1f,%.1f %.1f,%.1f %.1f,%.1f %.1f))', xmin, ymin, xmax, ymin, xmax, ymax, xmin, ymax, xmin, ymin) AS ring FROM rects", rects=RECTS)
+_AT = ["regexp_replace(CAST(({c} + 0.0001) / 1000 - 8.5 AS VARCHAR), '\\.0$', '')".replace("{c}", c) for c in ("xmin", "ymin", "xmax", "ymax")]
+
+
+@query(
+    "S26_bbox_polygons",
+    "SELECT tile_id, 'POLYGON((' || concat_ws(',', {0} || ' ' || {1}, {2} || ' ' || {1}, {2} || ' ' || {3}, {0} || ' ' || {3}, {0} || ' ' || {1}) || '))' AS ring FROM rects".format(*_AT),
+    rects=RECTS,
+)
 def _(t, rects):
-    return S.bbox_polygons(rects.unionByName(rects))
+    degrees = rects.withColumns({c: (F.col(c) + 0.0001) / 1000 - 8.5 for c in ("xmin", "ymin", "xmax", "ymax")})
+    return S.bbox_polygons(degrees.unionByName(degrees))

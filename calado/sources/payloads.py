@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from calado.functions.text import fold
+from calado.functions.text import fold, unescape
 from calado.operators.storage import checkpointed
 
 
@@ -55,26 +55,42 @@ def check_pages(pages: DataFrame, size: int, most_pages: int = 10_000) -> DataFr
 
 
 def jsonstat_to_rows(cubes: DataFrame) -> DataFrame:
-    """(cube, linear_index, codes, value, status) of cubes with ``id``, ``size``, ``codes`` map, and JSON text ``value`` and ``status``.
+    """(cube, linear_index, codes, value, text, status) of cubes with ``id``, ``size``, ``codes`` map, and JSON text ``value`` and ``status``.
 
-    Values are a list or an object by index; the last dimension runs fastest. Absent cells make no row; an explicit null stays
-    null. An index beyond the product of sizes is an error.
+    Values and status are each a list of as many entries as the cube has cells, or an object by index; the last dimension runs
+    fastest. Absent cells make no row; an explicit null stays null. ``text`` is a value that is no number, as the producer's "..". A list of
+    another length, a key that is no index of the cube, other JSON and a dimension with another number of codes than its size are errors; a
+    null or empty status says nothing.
     """
-
-    def cells(column: str) -> Column:
-        dense = F.transform(F.from_json(column, "array<double>"), lambda v, i: F.struct(i.cast("long").alias("i"), v.alias("v")))
-        sparse = F.transform(F.map_entries(F.from_json(column, "map<string,double>")), lambda e: F.struct(e["key"].cast("long").alias("i"), e["value"].alias("v")))
-        return F.when(F.col(column).startswith("["), dense).otherwise(sparse)
-
     total = F.aggregate("size", F.lit(1).cast("long"), lambda a, s: a * s)
+    codes_fit = F.forall(F.arrays_zip(F.col("id").alias("d"), F.col("size").alias("n")), lambda x: F.coalesce(F.size(F.try_element_at("codes", x["d"])) == x["n"], F.lit(False)))
+    right = lambda ok, why: F.when(~F.coalesce(ok, F.lit(False)), F.raise_error(F.concat(F.lit(f"{why}: cube "), F.col("cube").cast("string"))))
+
+    def cells(column: str, empty: bool) -> Column:
+        """Entries (i, v) of a list or an object, by index."""
+        whole, items, keyed = F.col(column), F.from_json(column, "array<string>"), F.map_entries(F.from_json(column, "map<string,string>"))
+        dense = F.transform(items, lambda v, i: F.struct(i.cast("long").alias("i"), v.alias("v")))
+        sparse = F.array_sort(F.transform(keyed, lambda e: F.struct(e["key"].try_cast("long").alias("i"), e["value"].alias("v"))))
+        nothing = F.slice(sparse, 1, 0)
+        said = F.trim(whole)
+        length = right((F.size(items) == total) | (F.lit(empty) & (F.size(items) == 0)), "a list is as long as the cube")
+        inside = right(F.forall(sparse, lambda e: e["i"].isNotNull() & (e["i"] >= 0) & (e["i"] < F.col("_n"))), "an index is beyond the cube")
+        other = right(F.lit(False), "a list or an object is asked for")
+        none = F.coalesce(said, F.lit("null")).isin("null", "") if empty else F.lit(False)
+        checked = lambda wrong, entries: F.when(wrong.isNull(), entries)
+        return F.when(none, F.coalesce(nothing, F.array().cast("array<struct<i:bigint,v:string>>"))).when(said.startswith("["), checked(length, dense)).when(said.startswith("{"), checked(inside, sparse)).otherwise(checked(other, nothing))
+
+    # A status by position: an object's entries, in order, with nulls between them, so that each cell looks up one place.
+    full = lambda e: F.concat(F.flatten(F.transform(e, lambda x, k: F.concat(F.array_repeat(F.lit(None).cast("string"), (x["i"] - F.coalesce(F.get(e, k - 1)["i"] + 1, F.lit(0))).cast("int")), F.array(x["v"])))))
     # The only member of an array is worked out once: status texts are parsed once a cube, not once a cell.
-    marked = lambda s: F.transform(cells("value"), lambda c: F.struct(c["i"].alias("linear_index"), c["v"].alias("v"), F.get(s, c["i"].cast("int")).alias("status")))
-    both = F.get(F.transform(F.array(F.from_json("status", "array<string>")), marked), F.lit(0))
-    rows = cubes.select("cube", "id", "size", "codes", total.alias("_n"), F.inline(both))
-    guard = F.when(F.col("linear_index") >= F.col("_n"), F.raise_error(F.lit("an index is beyond the cube"))).otherwise(F.col("linear_index"))
+    marked = lambda s: F.transform(cells("value", False), lambda c: F.struct(c["i"].alias("linear_index"), c["v"].alias("v"), F.get(s, c["i"].cast("int")).alias("status")))
+    both = F.get(F.transform(F.array(F.get(F.transform(F.array(cells("status", True)), full), F.lit(0))), marked), F.lit(0))
+    sound = cubes.withColumn("_n", F.when(right(codes_fit, "a dimension has another number of codes").isNull(), total))
+    rows = sound.select("cube", "id", "size", "codes", "_n", F.inline(both))
     stride = lambda k: F.aggregate(F.slice("size", k + 2, F.size("size")), F.lit(1).cast("long"), lambda a, s: a * s)
-    code = F.transform("id", lambda d, k: F.element_at(F.element_at("codes", d), (F.floor(guard / stride(k)) % F.get("size", k) + 1).cast("int")))
-    return rows.select("cube", "linear_index", F.array_join(code, "|").alias("codes"), F.col("v").alias("value"), "status")
+    code = F.transform("id", lambda d, k: F.element_at(F.element_at("codes", d), (F.floor(F.col("linear_index") / stride(k)) % F.get("size", k) + 1).cast("int")))
+    number = F.when(F.col("v").rlike(r"^-?[0-9]"), F.col("v").try_cast("double"))
+    return rows.where("_n IS NOT NULL").select("cube", "linear_index", F.array_join(code, "|").alias("codes"), number.alias("value"), F.when(number.isNull(), F.col("v")).alias("text"), "status")
 
 
 def flatten_period_map(responses: DataFrame) -> DataFrame:
@@ -187,29 +203,32 @@ def _no_scripts(html: Column) -> Column:
 
 
 def _cell_text(cell: Column) -> Column:
-    return F.trim(F.regexp_replace(F.regexp_replace(cell, r"(?s)<[^>]*>", " "), r"\s+", " "))
+    return F.trim(F.regexp_replace(unescape(F.regexp_replace(cell, r"""(?s)<[^>"']*+(?:"[^"]*+"[^>"']*+|'[^']*+'[^>"']*+)*+>|<[^>]*>""", " ")), r"[\s\u00a0]+", " "))
 
 
 def _holds(word: str):
     return lambda c: F.contains(c, F.lit(word))
 
 
-def html_tables(pages: DataFrame, key: str = "page_id", headers: list[str] | None = None, min_rows: int = 1) -> DataFrame:
-    """(key, table_no, row_no, cells) of page tables with all ``headers`` (folded) in a header row and at least ``min_rows`` rows.
+def html_tables(pages: DataFrame, key: str = "page_id", headers: list[str] | None = None, min_rows: int = 1, index: int | None = None) -> DataFrame:
+    """(key, table_no, row_no, cells) of page tables: the rows below the header of tables with at least ``min_rows`` of them.
 
-    Blank rows are dropped; the first row is dropped as header only if it has th. Nested tables are out of scope.
+    Rows without any text are dropped, and tables without any row are not counted. The first row left is the header, 0, whatever its elements;
+    ``headers`` (folded) asks for tables whose header has them all, ``index`` for the page's table of that number. Character references
+    are decoded. Nested tables are out of scope.
     """
-    tables = pages.select(key, F.posexplode(F.regexp_extract_all(_no_scripts(F.col("html")), F.lit(r"(?is)<table\b[^>]*>(.*?)</table\s*>"), 1)).alias("table_no", "_t"))
-    rows = tables.select(key, "table_no", F.posexplode(F.regexp_extract_all("_t", F.lit(r"(?is)<tr\b[^>]*>(.*?)(?:</tr\s*>|(?=<tr\b)|$)"), 1)).alias("row_no", "_r"))
-    cells = F.transform(F.regexp_extract_all("_r", F.lit(r"(?is)<t[hd]\b[^>]*>(.*?)(?:</t[hd]\s*>|(?=<t[hd]\b)|$)"), 1), _cell_text)
-    rows = rows.select(key, "table_no", "row_no", cells.alias("cells"), F.col("_r").rlike(r"(?i)<th\b").alias("_th")).where(F.exists("cells", lambda c: c != ""))
-    w = Window.partitionBy(key, "table_no")
-    rows = rows.withColumn("_head", F.first(F.when(F.col("_th"), F.col("cells")), ignorenulls=True).over(w.orderBy("row_no").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
+    tables = pages.select(key, F.posexplode(F.regexp_extract_all(_no_scripts(F.col("html")), F.lit(r"(?is)<table\b[^>]*>(.*?)</table\s*>"), 1)).alias("_at", "_t"))
+    rows = F.regexp_extract_all("_t", F.lit(r"(?is)<tr\b[^>]*>(.*?)(?:</tr\s*>|(?=<tr\b)|$)"), 1)
+    cells = lambda r: F.transform(F.regexp_extract_all(r, F.lit(r"(?is)<t[hd]\b[^>]*>(.*?)(?:</t[hd]\s*>|(?=<t[hd]\b)|$)"), 1), _cell_text)
+    filled = tables.withColumn("_rows", F.filter(F.transform(rows, cells), lambda r: F.exists(r, lambda c: c != ""))).where(F.size("_rows") > 0).drop("_t")
+    numbered = filled.withColumn("table_no", F.row_number().over(Window.partitionBy(key).orderBy("_at")) - 1)
+    if index is not None:
+        numbered = numbered.where(F.col("table_no") == index)
     if headers:
-        folded = F.transform("_head", lambda c: fold(c))
-        rows = rows.where(reduce(lambda a, b: a & b, [F.exists(folded, _holds(h.lower())) for h in headers]))
-    body = rows.where(~(F.col("_th") & (F.col("row_no") == 0)))
-    return body.withColumn("_n", F.count(F.lit(1)).over(w)).where(F.col("_n") >= min_rows).select(key, "table_no", "row_no", "cells")
+        head = F.transform(F.get("_rows", F.lit(0)), lambda c: fold(c))
+        numbered = numbered.where(reduce(lambda a, b: a & b, [F.exists(head, _holds(h.lower())) for h in headers]))
+    body = numbered.where(F.size("_rows") > min_rows).select(key, "table_no", F.posexplode("_rows").alias("row_no", "cells"))
+    return body.where("row_no > 0")
 
 
 def _absolute(href: Column, base: Column) -> Column:
@@ -234,15 +253,18 @@ def links(
     """(key, href, label, position): absolute links, the first of each address, those that match, at most ``most`` a page.
 
     A page is read as HTML, by its ``a`` elements, or, where its root is ``feed``, as Atom, by its ``link`` elements, whose label is
-    their title. Rules: ``pattern`` of the address, ``label`` of the label, ends of the host's name, extensions of the path.
+    their title. Character references are decoded; an address in quotes is read to its closing one. Rules: ``pattern`` of the address, ``label`` of the label, ends of the host's name, extensions of the path.
     """
     html, start = _no_scripts(F.col("html")), r"(?is)^\s*(?:<\?.*?\?>\s*|<!--.*?-->\s*)*<(?:\w+:)?feed\b"
     atom = F.regexp_extract_all("html", F.lit(r"(?is)(<(?:\w+:)?link\b[^>]*>)"), 1)
     found = pages.select(key, base, F.posexplode(F.when(F.col("html").rlike(start), atom).otherwise(F.regexp_extract_all(html, F.lit(r"(?is)(<a\b[^>]*>.*?</a\s*>)"), 1))).alias("position", "_a"))
-    href = F.regexp_extract("_a", r"(?is)^<[\w:]+\b[^>]*?\bhref\s*=\s*[\"']?([^\"'\s>]+)", 1)
-    title = F.regexp_extract("_a", r"(?is)^<(?:\w+:)?link\b[^>]*?\btitle\s*=\s*[\"']([^\"']*)", 1)
-    text = F.when(F.col("_a").rlike(r"(?i)^<(\w+:)?link\b"), title).otherwise(_cell_text(F.col("_a")))
-    rows = found.select(key, _absolute(href, F.col(base)).alias("href"), text.alias("label"), "position").where("href IS NOT NULL")
+    value = r"(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)"
+    attribute = lambda name: F.btrim(F.regexp_extract("_a", rf"(?is)^<[\w:]+(?:[^>\"'\s]++|\s(?!{name}\s*=)|\"[^\"]*+\"|'[^']*+')*+\s{name}\s*=\s*{value}", 1), F.lit("\"'"))
+    is_link = F.col("_a").rlike(r"(?i)^<(\w+:)?link\b")
+    # Each step is a column of its own, so that it is worked out once.
+    found = found.withColumns({"_h": attribute("href"), "_l": F.when(is_link, attribute("title"))})
+    found = found.withColumns({"_h": F.trim(unescape(F.col("_h"))), "_l": F.when(F.col("_l").isNull(), _cell_text(F.col("_a"))).otherwise(F.trim(unescape(F.col("_l"))))})
+    rows = found.select(key, _absolute(F.col("_h"), F.col(base)).alias("href"), F.col("_l").alias("label"), "position").where("href IS NOT NULL")
     if pattern:
         rows = rows.where(F.col("href").rlike(pattern))
     if label:
@@ -603,11 +625,16 @@ def road_ways(ways: DataFrame, classes: list[str]) -> DataFrame:
 
 
 def bbox_polygons(receipts: DataFrame) -> DataFrame:
-    """(tile_id, ring) of each tile's box as WKT; tiles with different boxes are an error."""
+    """(tile_id, ring) of each tile's box as WKT with all its digits; tiles with different boxes are an error."""
     box = F.struct("xmin", "ymin", "xmax", "ymax")
     once = receipts.groupBy("tile_id").agg(F.min(box).alias("b"), F.max(box).alias("_c"))
     ok = F.when(F.col("b") == F.col("_c"), F.lit(True)).otherwise(F.raise_error(F.lit("a tile has two boxes")))
-    n = lambda c: F.format_string("%.1f", F.col(f"b.{c}"))
+
+    def n(c: str) -> Column:
+        """The shortest text that is read as the same number, without exponent."""
+        said = F.col(f"b.{c}").cast("double").cast("string")
+        return F.regexp_replace(F.when(F.contains(said, F.lit("E")), F.regexp_replace(said.cast("decimal(38,18)").cast("string"), r"0+$", "")).otherwise(said), r"\.0?$", "")
+
     corner = lambda x, y: F.concat_ws(" ", n(x), n(y))
     ring = F.concat(F.lit("POLYGON(("), F.concat_ws(",", corner("xmin", "ymin"), corner("xmax", "ymin"), corner("xmax", "ymax"), corner("xmin", "ymax"), corner("xmin", "ymin")), F.lit("))"))
     return once.where(ok).select("tile_id", ring.alias("ring"))

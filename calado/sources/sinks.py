@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from calado.functions.text import canon_hash
+
 
 def flat(df: DataFrame, columns: list[str]) -> DataFrame:
     """Columns in a fixed order; arrays of text joined by |, other nested columns as JSON."""
@@ -81,6 +83,8 @@ def to_linestring(df: DataFrame, group: str, order: str) -> DataFrame:
 
 
 def write_shards(df: DataFrame, by: str, path: str) -> DataFrame:
-    """One folder per value; returns rows and a digest of the rows' hashes that no order changes."""
+    """One folder per value; returns rows and a digest that no order changes: the sum of the first 60 bits of the rows' SHA-256, in which a
+    repeated row counts as often as it occurs."""
     df.write.partitionBy(by).parquet(path)
-    return df.groupBy(by).agg(F.count(F.lit(1)).alias("rows"), F.bit_xor(F.xxhash64(*[F.col(c) for c in df.columns])).alias("digest"))
+    bits = F.conv(F.substring(canon_hash(*[F.col(c) for c in df.columns]), 1, 15), 16, 10).cast("decimal(20,0)")
+    return df.groupBy(by).agg(F.count(F.lit(1)).alias("rows"), F.sum(bits).alias("digest"))

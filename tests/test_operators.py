@@ -36,9 +36,9 @@ def test_join_exact_fails_closed(spark):
 def test_missing_is_never_zero(spark):
     df = spark.createDataFrame([(1.0,), (-1.0,), (None,), (float("nan"),), (float("inf"),)], "v double")
     assert [r[0] for r in df.select(gates.clean_count(F.col("v"))).collect()] == [1.0, None, None, None, None]
-    numbers = ["1.234,5", "1,234.5", "12,5", "1234", "-", "n/a", "..", "abc", "1.234", "0.123", "€ 5", None, "1.2.3"]
+    numbers = ["1.234,5", "1,234.5", "12,5", "1234", "-", "n/a", "..", "abc", "1.234", "0.123", "€ 5", None, "1.2.3", "−5", "1\u202f234", "1.234.567", "1,234,567", "1234,567"]
     got = [r[0] for r in spark.createDataFrame([(n,) for n in numbers], "t string").select(X.parse_num(F.col("t"))).collect()]
-    assert got == [1234.5, 1234.5, 12.5, 1234.0, None, None, None, None, 1234.0, 0.123, 5.0, None, None]
+    assert got == [1234.5, 1234.5, 12.5, 1234.0, None, None, None, None, 1.234, 0.123, 5.0, None, None, -5.0, 1234.0, 1234567.0, 1234567.0, 1234567.0]
 
 
 def test_page_without_list_is_an_error(spark):
@@ -391,7 +391,7 @@ def test_fold_like_unicode(spark):
 
     chars = [chr(c) for c in [*range(0xC0, 0x530), *range(0x1E00, 0x2000), *range(0xFF01, 0xFF5F)] if unicodedata.category(chr(c)) not in ("Cn", "Mn", "Me")]
     rows = [(i, form) for i, c in enumerate(chars) for form in (c, unicodedata.normalize("NFD", c))]
-    plain = lambda c: "".join(x for x in unicodedata.normalize("NFKD", c.lower()) if not unicodedata.combining(x))
+    plain = lambda c: "".join(x for x in unicodedata.normalize("NFKD", c.lower()) if not unicodedata.combining(x)).casefold()
     got = spark.createDataFrame(rows, "i int, c string").select("i", "c", X.fold(F.col("c")).alias("f")).collect()
     wrong = [(r["c"], r["f"]) for r in got if r["f"] != plain(chars[r["i"]]) and len(plain(chars[r["i"]])) == 1]
     assert not wrong, wrong[:20]
