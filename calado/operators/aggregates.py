@@ -7,7 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from calado.operators.joins import within_distance
+from calado.functions.polygons import area, edges, inner_point, overlap_area
+from calado.operators.joins import bbox_join, covers_join, within_distance
 from calado.operators.storage import checkpointed
 
 
@@ -53,6 +54,31 @@ def area_catchment(cut: DataFrame, key: list[str], area: str, cut_area: str, wei
     )
 
 
+def point_catchment(features: DataFrame, zones: DataFrame, key: str, weight: str, width: float) -> DataFrame:
+    """A03 by representative points: per zone (``polygon_id``, ``rings``) the ``features`` whose inner point it covers, the sum of their weights
+    ``people`` and ``unknown`` weights. Features have ``rings`` too; one without any area counts nowhere."""
+    at = features.select(key, weight, inner_point(edges(F.col("rings"))).alias("_p")).select(key, weight, "_p.x", "_p.y")
+    held = covers_join(at, zones, width)
+    return held.groupBy("polygon_id").agg(F.count(F.lit(1)).alias("features"), F.sum(weight).alias("people"), F.count_if(F.col(weight).isNull()).alias("unknown"))
+
+
+def _ends(sides: str, axis: str) -> Column:
+    return F.transform(sides, lambda e: e[f"a{axis}"])
+
+
+def cut_features(features: DataFrame, zones: DataFrame, key: str, weight: str, width: float) -> DataFrame:
+    """Rows (polygon_id, key, weight, area, cut_area) of features and zones whose boxes meet, both with ``rings`` of any shape: the input
+    of ``area_catchment``."""
+
+    def boxed(df: DataFrame, *keep: str) -> DataFrame:
+        rows = df.select(*keep, edges(F.col("rings")).alias("sides"))
+        ends = {f"{c}{n}": f(_ends("sides", c)) for c in "xy" for n, f in (("min", F.array_min), ("max", F.array_max))}
+        return rows.select("*", *[v.alias(k) for k, v in ends.items()])
+
+    met = bbox_join(boxed(features, key, weight), boxed(zones, "polygon_id"), width)
+    return met.select(F.col("polygon_id_b").alias("polygon_id"), F.col(f"{key}_a").alias(key), F.col(f"{weight}_a").alias(weight), area(F.col("sides_a")).alias("area"), overlap_area(F.col("sides_a"), F.col("sides_b")).alias("cut_area"))
+
+
 def access_by_threshold(df: DataFrame, group: list[str], minutes: str, people: str, times: list[int]) -> DataFrame:
     """People within each time, and those whose time is not known, as columns."""
     columns = [F.sum(F.when(F.col(minutes) <= t, F.col(people)).otherwise(0)).alias(f"within_{t}") for t in times]
@@ -225,6 +251,77 @@ def pair_overlap(sets: DataFrame, item: str, member: str) -> DataFrame:
     return common.join(na, "a").join(nb, "b").select("a", "b", "common", total.alias("total"), (F.col("common") / total).alias("jaccard"))
 
 
+def nearest_set(sets: DataFrame, item: str, member: str, hot: int = 256, thresholds: tuple[float, ...] = (0.7, 0.4)) -> DataFrame:
+    """Per item its ``n`` members and the ``other`` item of greatest Jaccard index, ties to the least, with ``common`` members and
+    ``jaccard``; null where no other shares a member.
+
+    Equal sets are taken together first: the others of a set's class are at 1. Members are put in order, rarest first. Two sets at t or
+    more share one of their first n - t n + 1 members, so each round of falling thresholds joins only those, of sets whose best is still below
+    t, with sets of sizes within t; the last round takes all. Members of more than ``hot`` sets join nothing: two sets that share only such
+    members are alike by the part of hot members they hold and by their sizes, so for each such part, and each number of hot members in
+    common, the two smallest sets that have it stand for all. So no member's sets are ever paired with each other beyond ``hot``.
+    """
+    rows = sets.select(F.col(item).alias("i"), F.col(member).alias("m")).where("i IS NOT NULL AND m IS NOT NULL").distinct()
+    whole = rows.groupBy("i").agg(F.sort_array(F.collect_list("m")).alias("_set"))
+    classes = checkpointed(whole.groupBy("_set").agg(F.min("i").alias("c"), F.count(F.lit(1)).alias("_k")))
+    # The first two of a class, of which tasks keep two each before the shuffle; its rows may be very many.
+    two = whole.withColumn("_r", F.row_number().over(Window.partitionBy("_set").orderBy("i"))).where("_r <= 2").groupBy("_set").agg(F.min("i").alias("_first"), F.max("i").alias("_second"))
+    met = _salted(whole, two.where("_first < _second"), ["_set"], "i")
+    copies = met.select("i", F.size("_set").alias("n"), F.when(F.col("i") > F.col("_first"), F.col("_first")).otherwise(F.col("_second")).alias("other"), F.size("_set").alias("common"), F.lit(1.0).alias("jaccard"))
+
+    members = classes.select("c", F.size("_set").alias("n"), F.explode("_set").alias("m"))
+    counts = members.groupBy("m").agg(F.count(F.lit(1)).alias("df"))
+    ranked = _salted(members, counts, ["m"], "c").withColumn("at", F.row_number().over(Window.partitionBy("c").orderBy("df", "m")))
+    ranked = checkpointed(ranked)
+    sized = classes.select("c", F.size("_set").alias("n"), "_set")
+    best = checkpointed(_best(_hot_pairs(ranked.where(F.col("df") > hot))))
+    rare, done = ranked.where(F.col("df") <= hot), None
+    left = checkpointed(classes.where("_k = 1").select("c"))
+    for t in [*thresholds, 0.0]:
+        head = rare.where(F.col("at") <= F.col("n") - F.ceil(F.col("n") * t - 1e-9) + 1) if t else rare
+        mine = head.join(left, "c", "left_semi").select("c", "n", "m")
+        theirs = head.select(F.col("c").alias("o"), F.col("n").alias("no"), "m")
+        near = (F.col("no") >= F.col("n") * t - 1e-9) & (F.col("n") >= F.col("no") * t - 1e-9)
+        pairs = mine.join(theirs, "m").where((F.col("c") != F.col("o")) & near).select("c", "o").distinct()
+        met = pairs.join(sized.select("c", F.col("_set").alias("_a")), "c").join(sized.select(F.col("c").alias("o"), F.col("_set").alias("_b")), "o")
+        shared = F.size(F.array_intersect("_a", "_b"))
+        found = met.select("c", "o", F.size("_a").alias("n"), shared.alias("common"), (shared / (F.size("_a") + F.size("_b") - shared)).alias("jaccard"))
+        best = _best(found.unionByName(best.join(left, "c", "left_semi")))
+        sure = checkpointed(best.where(F.col("jaccard") >= t))
+        done = sure if done is None else done.unionByName(sure)
+        left = checkpointed(left.join(sure, "c", "left_anti"))
+        best = checkpointed(best.join(left, "c", "left_semi"))
+    alone = sized.join(left, "c", "left_semi").select(F.col("c").alias("i"), "n", F.lit(None).cast(done.schema["o"].dataType).alias("other"), F.lit(None).cast("int").alias("common"), F.lit(None).cast("double").alias("jaccard"))
+    out = done.select(F.col("c").alias("i"), "n", F.col("o").alias("other"), "common", "jaccard").unionByName(copies).unionByName(alone)
+    return out.withColumnRenamed("i", item)
+
+
+def _salted(many: DataFrame, few: DataFrame, on: list[str], by: str, salts: int = 16) -> DataFrame:
+    """Join with rows of ``few``, one a key; a key of very many rows is split in ``salts`` parts."""
+    parts = many.withColumn("_s", F.pmod(F.xxhash64(by), F.lit(salts)).cast("int"))
+    return parts.join(few.withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))), [*on, "_s"]).drop("_s")
+
+
+def _best(pairs: DataFrame) -> DataFrame:
+    """Per set (c) its best other (o): the greatest index, then the least name."""
+    top = F.min(F.struct((-F.col("jaccard")).alias("d"), "o", "common", "n")).alias("_m")
+    return pairs.groupBy("c").agg(top).select("c", "_m.o", "_m.n", "_m.common", (-F.col("_m.d")).alias("jaccard"))
+
+
+def _hot_pairs(hot: DataFrame) -> DataFrame:
+    """Pairs (c, o, n, common, jaccard) of each set with the two smallest sets of each number of hot members in common, counted as if they shared
+    no others: exact where they do not, and never too high."""
+    held = hot.groupBy("c", "n").agg(F.sort_array(F.collect_list("m")).alias("_p"))
+    parts = held.select("_p").distinct()
+    member = lambda p: parts.select(F.col("_p").alias(p), F.explode("_p").alias("m"))
+    alike = member("_p").join(member("_q"), "m").groupBy("_p", "_q").agg(F.count(F.lit(1)).alias("common"))
+    small = held.withColumn("_i", F.row_number().over(Window.partitionBy("_p").orderBy("n", "c"))).where("_i <= 2").select(F.col("_p").alias("_q"), F.col("c").alias("o"), F.col("n").alias("no"))
+    by_common = alike.join(small, "_q").withColumn("_i", F.row_number().over(Window.partitionBy("_p", "common").orderBy("no", "o"))).where("_i <= 2").drop("_i", "_q")
+    lists = by_common.groupBy("_p").agg(F.collect_list(F.struct("o", "no", "common")).alias("_l"))
+    met = held.join(lists, "_p").select("c", "n", F.inline("_l")).where("c <> o")
+    return met.select("c", "o", "n", F.col("common").cast("int").alias("common"), (F.col("common") / (F.col("n") + F.col("no") - F.col("common"))).alias("jaccard"))
+
+
 def cell_frequency(paths: DataFrame, cell: list[str], variant: str, top: int | None = 25) -> DataFrame:
     """How many variants use each cell, and whether all do; the ``top`` cells by use."""
     n = paths.agg(F.count_distinct(variant).alias("_all"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from calado.functions.geometry import segment_distance
@@ -99,6 +99,43 @@ def table_candidate_pages(lines: DataFrame, page: list[str], text: str = "text")
     return out.where((F.col("number_lines") >= 4) | (F.col("headings") > 0))
 
 
+def tables_from_lines(
+    lines: DataFrame, page: list[str], line: str = "line_no", text: str = "text", least_rows: int = 2, least_columns: int = 2, least_cells: int = 4, spanning: float = 0.25
+) -> DataFrame:
+    """(page, table_no, row_no, column_no, text): all cells, empty ones too, of the tables that a page's lines lay out.
+
+    A cell ends at two or more blanks, a tab or a bar. Lines with two cells or more that follow each other without another line
+    between are a table's rows. Its columns are where more than ``spanning`` of its rows have text, character by character, so the gaps they
+    share part columns and a heading across several does not join them; a cell goes to the first column that it is not right of, and cells of
+    a row that meet in one are joined by a blank. Tables below ``least_rows``, ``least_columns`` or ``least_cells`` filled cells are none. Rows,
+    columns and tables count from 0. A page is one key of the windows.
+    """
+    key = [*page, "_island"]
+    pieces = F.regexp_extract_all(F.replace(F.col(text), F.lit("\t"), F.lit("    ")), F.lit(r"( {2,}| *\| *|(?:(?! {2}| *\|)[^|])+)"), 1)
+    empty = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int,said:string>>").alias("cells"))
+    cell = lambda a, p: F.array(F.struct(a["at"].alias("start"), (a["at"] + F.char_length(F.rtrim(p))).alias("end"), F.trim(p).alias("said")))
+    step = lambda a, p: F.struct((a["at"] + F.char_length(p)).alias("at"), F.when(F.trim(p).isin("", "|"), a["cells"]).otherwise(F.concat(a["cells"], cell(a, p))).alias("cells"))
+    rows = lines.select(*page, F.col(line).alias("_line"), F.aggregate(pieces, empty, step)["cells"].alias("_cells")).where(F.size("_cells") > 1)
+    rows = rows.withColumn("_island", F.col("_line") - F.row_number().over(Window.partitionBy(*page).orderBy("_line")))
+
+    ends = F.explode(F.flatten(F.transform("_cells", lambda c: F.array(F.struct(c["start"].alias("at"), F.lit(1).alias("d")), F.struct(c["end"].alias("at"), F.lit(-1).alias("d"))))))
+    counted = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") >= least_rows)
+    steps = rows.select(*key, ends.alias("_e")).groupBy(*key, F.col("_e.at").alias("_at")).agg(F.sum("_e.d").alias("_d")).join(counted, key)
+    order = Window.partitionBy(*key).orderBy("_at")
+    covered = steps.withColumn("_in", F.sum("_d").over(order) > spanning * F.col("_rows"))
+    closing = covered.withColumn("_closes", ~F.col("_in") & F.coalesce(F.lag("_in").over(order), F.lit(False)))
+    columns = closing.groupBy(*key).agg(F.sort_array(F.collect_list(F.when(F.col("_closes"), F.col("_at")))).alias("_ends")).where(F.size("_ends") >= least_columns)
+
+    placed = lambda c: F.least(F.size(F.filter("_ends", lambda e: e <= c["start"])), F.size("_ends") - 1)
+    met = rows.join(columns, key).withColumn("_cells", F.transform("_cells", lambda c: F.struct(placed(c).alias("column"), c["said"].alias("said"))))
+    said = lambda n: F.array_join(F.transform(F.filter("_cells", lambda c: c["column"] == n), lambda c: c["said"]), " ")
+    met = met.withColumn("_row", F.transform(F.sequence(F.lit(0), F.size("_ends") - 1), said))
+    table = Window.partitionBy(*key)
+    met = met.withColumns({"_filled": F.sum(F.size(F.filter("_row", lambda t: t != ""))).over(table), "row_no": F.row_number().over(table.orderBy("_line")) - 1})
+    met = met.where(F.col("_filled") >= least_cells).withColumn("table_no", F.dense_rank().over(Window.partitionBy(*page).orderBy("_island")) - 1)
+    return met.select(*page, "table_no", "row_no", F.posexplode("_row").alias("column_no", "text"))
+
+
 def scope_rows(lines: DataFrame, text: str, terms: list[str], places: list[str] | None = None) -> DataFrame:
     """Lines with a number, one of ``terms`` and, if given, one of ``places``."""
     t = fold(F.col(text))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from calado.functions.polygons import covers, edges
 from calado.operators.storage import checkpointed
 
 
@@ -52,6 +53,20 @@ def pip_join(points: DataFrame, polygons: DataFrame, width: float) -> DataFrame:
     return met.where(inside).select(*points.columns, "polygon_id")
 
 
+def covers_join(points: DataFrame, polygons: DataFrame, width: float) -> DataFrame:
+    """(point columns, polygon_id) for points in polygons with ``rings``, an array of rings with holes and parts in any order; points
+    on a side, of a hole too, are covered.
+
+    Points and the cells of a polygon's envelope meet first; a point without place meets none.
+    """
+    corner = lambda f, c: f(F.flatten(F.transform("rings", lambda r: F.transform(r, lambda p: p[c].cast("double")))))
+    box = polygons.select("polygon_id", edges(F.col("rings")).alias("_sides"), *[corner(f, c).alias(n) for n, f, c in (("_x0", F.array_min, "x"), ("_x1", F.array_max, "x"), ("_y0", F.array_min, "y"), ("_y1", F.array_max, "y"))])
+    box = box.withColumn("_cx", _cells(F.col("_x0"), F.col("_x1"), width)).withColumn("_cy", _cells(F.col("_y0"), F.col("_y1"), width))
+    cell = points.withColumns({"_cx": F.floor(F.col("x") / width), "_cy": F.floor(F.col("y") / width)})
+    met = cell.join(box, ["_cx", "_cy"]).where(F.col("x").between(F.col("_x0"), F.col("_x1")) & F.col("y").between(F.col("_y0"), F.col("_y1")))
+    return met.where(covers(F.col("_sides"), F.col("x"), F.col("y"))).select(*points.columns, "polygon_id")
+
+
 def within_distance(a: DataFrame, b: DataFrame, r: float) -> DataFrame:
     """Pairs of points at most ``r`` apart with ``distance``. Each point of ``a`` goes to its 3 x 3 cells of width ``r``."""
     near = F.explode(F.sequence(F.lit(-1), F.lit(1)))
@@ -93,6 +108,35 @@ def nearest(a: DataFrame, b: DataFrame, a_key: str, b_key: str, width: float) ->
         r *= 4
 
 
+def k_nearest(a: DataFrame, b: DataFrame, a_key: str, b_key: str, k: int, width: float) -> DataFrame:
+    """For each point of ``a`` its ``k`` nearest of ``b`` with ``distance`` and ``rank`` from 1, ties by ``b_key``; all, where ``b`` has fewer.
+
+    As ``nearest``, with radii that grow fourfold; of what a radius finds, tasks keep the first ``k`` of a point before they
+    are shuffled. A point leaves when its k-th lies within the radius, and all leave once the radius reaches across the box around ``b``. A
+    point without both coordinates has no rows, one of ``b`` is no neighbour. Each round is a checkpoint.
+    """
+    placed = lambda df, key: df.select(key, F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y")).where("x IS NOT NULL AND y IS NOT NULL AND NOT isnan(x) AND NOT isnan(y)")
+    left, others, r, found = placed(a, a_key), placed(b, b_key), width, None
+    x0, x1, y0, y1 = others.agg(F.min("x"), F.max("x"), F.min("y"), F.max("y")).first()
+    order = Window.partitionBy(a_key).orderBy("distance", b_key)
+    while True:
+        if x0 is None:
+            return within_distance(left, others, r).select(a_key, b_key, "distance", F.lit(1).alias("rank"))
+        beyond = lambda c, lo, hi: F.greatest(F.lit(lo) - F.col(c), F.col(c) - F.lit(hi), F.lit(0.0))
+        across = lambda c, lo, hi: F.greatest(F.abs(F.col(c) - F.lit(lo)), F.abs(F.col(c) - F.lit(hi)))
+        least, most = left.agg(F.min(F.hypot(beyond("x", x0, x1), beyond("y", y0, y1))), F.max(F.hypot(across("x", x0, x1), across("y", y0, y1)))).first()
+        if least is None:
+            return found if found is not None else within_distance(left, others, r).select(a_key, b_key, "distance", F.lit(1).alias("rank"))
+        r = max(r, least * (1 + 1e-9))
+        top = within_distance(left, others, r).select(a_key, b_key, "distance").withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+        top = checkpointed(top)
+        whole = top.groupBy(a_key).agg(F.max("rank").alias("_n")).where((F.col("_n") == k) | F.lit(r >= most)).select(a_key)
+        sure = top.join(whole, a_key, "left_semi")
+        found = sure if found is None else found.unionByName(sure)
+        left = checkpointed(left.join(whole, a_key, "left_anti"))
+        r *= 4
+
+
 def sample_raster(points: DataFrame, cells: DataFrame, width: float) -> DataFrame:
     """Points with ``z`` of the cell that holds them and ``status``: value, no_data or no_cell."""
     keyed = points.withColumns({"row": F.floor(F.col("y") / width).cast("long"), "col": F.floor(F.col("x") / width).cast("long")})

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from calado.functions.geometry import rotate, segment_distance
+from calado.functions.polygons import edges, overlap_area
 from calado.operators.joins import _cells
 from calado.operators.storage import checkpointed
 
@@ -221,6 +222,17 @@ def check_nesting(zones: DataFrame, group: str, level: str, cell: list[str], tol
     return out.withColumns({"share": F.col("outside") / F.col("cells"), "nested": F.col("outside") / F.col("cells") <= tolerance})
 
 
+def contour_nesting(contours: DataFrame, group: str, level: str, tolerance: float = 0.015) -> DataFrame:
+    """Per group and level the ``area`` of its contour (``rings``), the share ``outside`` of the next larger level's and whether it
+    is within ``tolerance``. Contours may be of any shape, with holes and parts."""
+    w = Window.partitionBy(group).orderBy(level)
+    rows = contours.select(group, level, edges(F.col("rings")).alias("_a")).withColumn("_b", F.lead("_a").over(w)).where("_b IS NOT NULL")
+    # By itself too, so that holes count as such whichever way round they run.
+    rows = rows.select(group, level, overlap_area(F.col("_a"), F.col("_a")).alias("area"), overlap_area(F.col("_a"), F.col("_b")).alias("_held"))
+    rows = rows.withColumn("outside", F.when(F.col("area") > 0, F.greatest(1 - F.col("_held") / F.col("area"), F.lit(0.0))))
+    return rows.select(group, level, "area", "outside", (F.col("outside") <= tolerance).alias("nested"))
+
+
 def footprint_cover(points: DataFrame, rects: DataFrame, half: float, width: float) -> DataFrame:
     """Per point whether a rectangle holds it, and the area of its square that rectangles cover, each part once."""
     from calado.operators.aggregates import rect_union

@@ -60,6 +60,37 @@ def _(t, zones, points):
     return A.catchment(zones, points, ["zone"], "id", "w", 60.0)
 
 
+def shapes(points, *corners):
+    """One ring a feature, by corners relative to its point."""
+    return points.withColumn("rings", F.array(F.array(*[F.struct((F.col("x") + dx).alias("x"), (F.col("y") + dy).alias("y")) for dx, dy in corners])))
+
+
+@query(
+    "A03_point_catchment",
+    """SELECT zone AS polygon_id, count(*) AS features, sum(w) AS people, count(*) FILTER (w IS NULL) AS unknown FROM zones z JOIN points p ON abs(p.x + 1 - z.x) + abs(p.y + 6 - z.y) BETWEEN z.r / 2 AND z.r OR abs(p.x + 1 - z.x - 100) + abs(p.y + 6 - z.y) <= 5 GROUP BY zone""",
+    zones=CIRCLE, points=POINTS,
+)
+def _(t, zones, points):
+    from calado.plans.join import holed
+
+    bent = shapes(points, (0, 0), (8, 0), (8, 2), (2, 2), (2, 10), (0, 10))
+    return A.point_catchment(bent, holed(zones), "id", "w", 60.0)
+
+
+@query(
+    "A03_area_catchment",
+    """WITH c AS (SELECT zone, w, 0.5 * greatest(0, least(p.x + p.y + 4, z.x + z.y + r) - greatest(p.x + p.y - 4, z.x + z.y - r)) * greatest(0, least(p.x - p.y + 4, z.x - z.y + r) - greatest(p.x - p.y - 4, z.x - z.y - r)) AS cut FROM zones z JOIN points p ON abs(p.x - z.x) <= r + 4 AND abs(p.y - z.y) <= r + 4)
+    SELECT zone AS polygon_id, count(*) AS met, count(*) FILTER (cut > 1e-9) AS intersecting, 0 AS invalid, sum(w * cut / 32) FILTER (cut > 1e-9) AS people FROM c GROUP BY zone""",
+    zones=CIRCLE, points=POINTS,
+)
+def _(t, zones, points):
+    from calado.plans.join import diamonds
+
+    features = shapes(points, (4, 0), (0, 4), (-4, 0), (0, -4))
+    cut = A.cut_features(features, diamonds(zones).withColumn("rings", F.array("ring")), "id", "w", 60.0)
+    return A.area_catchment(cut.withColumn("cut_area", F.when(F.col("cut_area") > 1e-9, F.col("cut_area")).otherwise(0.0)), ["polygon_id"], "area", "cut_area", "w")
+
+
 @query("A04_union_catchment", "SELECT zone % 10 AS grp, sum(w) AS people, count(*) AS features FROM (SELECT DISTINCT zone % 10 AS zone, id, w FROM zones z JOIN points p ON power(p.x - z.x, 2) + power(p.y - z.y, 2) <= 3600) GROUP BY zone", zones=CIRCLE, points=POINTS)
 def _(t, zones, points):
     return A.catchment(zones.withColumn("grp", F.col("zone") % 10), points, ["grp"], "id", "w", 60.0).select("grp", "people", "features")
@@ -176,6 +207,17 @@ def _(t, sets):
     return A.pair_overlap(sets, "item", "member")
 
 
+@query(
+    "A16_nearest_set",
+    _PAIRS.replace("SELECT a, b, common", ", p AS (SELECT a, b, na.n AS n, common").replace("FROM c JOIN n na", "FROM c JOIN n na", 1)
+    + """), d AS (SELECT a AS item, n, b AS other, common, jaccard FROM p UNION ALL SELECT b, m.n, a, common, jaccard FROM p JOIN n m ON m.item = b), r AS (SELECT *, row_number() OVER (PARTITION BY item ORDER BY jaccard DESC, other) AS i FROM d)
+    SELECT n.item, n.n, other, common, jaccard FROM n LEFT JOIN r ON r.item = n.item AND r.i = 1""",
+    sets=f"SELECT DISTINCT item, member FROM ({BASKETS}) AS b WHERE item % 3 > 0 UNION ALL SELECT DISTINCT item, -1 - item % 2 FROM ({BASKETS}) AS h WHERE item % 3 < 2",
+)
+def _(t, sets):
+    return A.nearest_set(sets, "item", "member", hot=64)
+
+
 @query("A17_cell_frequency", "SELECT x, y, count(DISTINCT route) AS variants, count(DISTINCT route) = (SELECT count(DISTINCT route) FROM steps) AS common FROM steps GROUP BY x, y ORDER BY variants DESC, x, y LIMIT 25", steps=STEPS)
 def _(t, steps):
     return A.cell_frequency(steps, ["x", "y"], "route")

@@ -88,6 +88,23 @@ def _(t, printed):
     return P.table_candidate_pages(printed, ["page"])
 
 
+# An order's lines as printed columns, some of them empty, and lines of prose between.
+LAID_OUT = """SELECT page, line_no, flag, supplier, part, amount, CASE WHEN line_no % 5 = 4 THEN 'shipped by rail and by truck' ELSE concat(rpad(flag, 6, ' '), lpad(coalesce(supplier, ''), 9, ' '), lpad(part, 10, ' '), '  |', lpad(amount, 4, ' ')) END AS text FROM
+  (SELECT l_orderkey AS page, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS line_no, concat(l_returnflag, l_linestatus) AS flag, CASE WHEN l_suppkey % 3 = 0 THEN CAST(l_suppkey AS VARCHAR(9)) END AS supplier,
+  CAST(l_partkey AS VARCHAR(9)) AS part, CAST(CAST(l_quantity AS BIGINT) AS VARCHAR(9)) AS amount FROM {lineitem}) AS l"""
+
+
+@query(
+    "P07_tables_from_lines",
+    """WITH r AS (SELECT *, line_no - row_number() OVER (PARTITION BY page ORDER BY line_no) AS island FROM laid_out WHERE line_no % 5 <> 4), c AS (SELECT *, count(*) OVER w AS n, count(supplier) OVER w > 0.25 * count(*) OVER w AS has, row_number() OVER (PARTITION BY page, island ORDER BY line_no) - 1 AS row_no FROM r WINDOW w AS (PARTITION BY page, island)),
+    g AS (SELECT page, dense_rank() OVER (PARTITION BY page ORDER BY island) - 1 AS table_no, row_no, CASE WHEN has THEN [flag, coalesce(supplier, ''), part, amount] ELSE [flag, concat_ws(' ', supplier, part), amount] END AS cells FROM c WHERE n >= 2)
+    SELECT page, CAST(table_no AS INTEGER) AS table_no, CAST(row_no AS INTEGER) AS row_no, CAST(generate_subscripts(cells, 1) - 1 AS INTEGER) AS column_no, unnest(cells) AS text FROM g""",
+    laid_out=LAID_OUT,
+)
+def _(t, laid_out):
+    return P.tables_from_lines(laid_out, ["page"])
+
+
 @query("P08_scope_rows", f"SELECT page, line_no FROM printed WHERE (contains({_FOLD}, 'truck') OR contains({_FOLD}, 'tabela')) AND (contains({_FOLD}, '7') OR contains({_FOLD}, 'by')) AND regexp_matches(text, '[0-9]')", printed=PRINTED)
 def _(t, printed):
     return P.scope_rows(printed, "text", ["truck", "tabela"], ["7", "by"]).select("page", "line_no")

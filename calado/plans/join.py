@@ -39,6 +39,18 @@ def _(t, points, zones):
     return J.pip_join(points, diamonds(zones), 60.0).select("id", "polygon_id")
 
 
+def holed(zones):
+    """Diamonds around points with a hole of half their size, and a small diamond 100 to the east as a second part."""
+    ring = lambda x, y, r: F.array(*[F.struct((F.col("x") + x + dx * r).alias("x"), (F.col("y") + y + dy * r).alias("y")) for dx, dy in ((1, 0), (0, 1), (-1, 0), (0, -1))])
+    r = F.col("r")
+    return zones.select(F.col("zone").alias("polygon_id"), F.array(ring(0, 0, r), ring(0, 0, r / 2), ring(100, 0, F.lit(5.0))).alias("rings"))
+
+
+@query("J03_covers_join", "SELECT id, zone AS polygon_id FROM points p JOIN zones z ON abs(p.x - z.x) + abs(p.y - z.y) BETWEEN z.r / 2 AND z.r OR abs(p.x - z.x - 100) + abs(p.y - z.y) <= 5", points=POINTS, zones=ZONES)
+def _(t, points, zones):
+    return J.covers_join(points, holed(zones), 60.0).select("id", "polygon_id")
+
+
 @query("J04_within_distance", "SELECT zone, id, sqrt(power(p.x - z.x, 2) + power(p.y - z.y, 2)) AS distance FROM zones z JOIN points p ON power(p.x - z.x, 2) + power(p.y - z.y, 2) <= 900", zones=CIRCLE, points=POINTS)
 def _(t, zones, points):
     return J.within_distance(zones.select("zone", "x", "y"), points.select("id", "x", "y"), 30.0).select("zone", "id", "distance")
@@ -49,6 +61,11 @@ def _(t, zones, points):
     return J.nearest(zones, points, "zone", "id", 25.0).select("zone", "id", "distance")
 
 
+@query("J05_k_nearest", "SELECT zone, id, distance, rank FROM (SELECT zone, id, sqrt(power(p.x - z.x, 2) + power(p.y - z.y, 2)) AS distance, CAST(row_number() OVER (PARTITION BY zone ORDER BY power(p.x - z.x, 2) + power(p.y - z.y, 2), id) AS INTEGER) AS rank FROM zones z, points p) WHERE rank <= 7", zones=CIRCLE, points=POINTS)
+def _(t, zones, points):
+    return J.k_nearest(zones, points, "zone", "id", 7, 25.0)
+
+
 @query("J06_sample_raster", "SELECT id, c.z, CASE WHEN c.row IS NULL THEN 'no_cell' WHEN c.z IS NULL THEN 'no_data' ELSE 'value' END AS status FROM points p LEFT JOIN cells c ON c.row = CAST(floor(p.y / 20) AS BIGINT) AND c.col = CAST(floor(p.x / 20) AS BIGINT)", points=POINTS, cells=CELLS)
 def _(t, points, cells):
     return J.sample_raster(points, cells, 20.0).select("id", "z", "status")

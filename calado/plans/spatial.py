@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from calado.operators import spatial as S
 from calado.plans._query import query
-from calado.plans.aggregate import CELLS, POINTS
+from calado.plans.aggregate import CELLS, CIRCLE, POINTS
 from calado.plans.join import SITES, ZONES, diamonds
 from calado.plans.sequence import PROFILE, RECTS
 
@@ -95,6 +95,21 @@ def _(t, zones):
     return S.check_nesting(zones, "site", "level", ["cell"])
 
 
+@query(
+    "G09_contour_nesting",
+    """WITH c AS (SELECT zone, unnest([15, 30, 45]) AS level, x, y FROM zones), l AS (SELECT *, CASE WHEN level = 30 THEN zone % 9 * 3 ELSE 0 END AS dx, CASE WHEN level = 45 THEN zone % 4 * 4 ELSE 0 END AS dy FROM c),
+    n AS (SELECT *, lead(level) OVER w AS r2, lead(dx) OVER w - dx AS mx, lead(dy) OVER w - dy AS my FROM l WINDOW w AS (PARTITION BY zone ORDER BY level)),
+    o AS (SELECT zone, level, 2.0 * level * level AS area, 0.5 * greatest(0, least(level, mx + my + r2) - greatest(-level, mx + my - r2)) * greatest(0, least(level, mx - my + r2) - greatest(-level, mx - my - r2)) AS held FROM n WHERE r2 IS NOT NULL)
+    SELECT zone, level, area, greatest(1 - held / area, 0) AS outside, greatest(1 - held / area, 0) <= 0.015 AS nested FROM o""",
+    zones=CIRCLE,
+)
+def _(t, zones):
+    rows = zones.withColumn("level", F.explode(F.array(*[F.lit(n) for n in (15, 30, 45)])))
+    x, y = F.col("x") + F.when(F.col("level") == 30, F.col("zone") % 9 * 3).otherwise(0), F.col("y") + F.when(F.col("level") == 45, F.col("zone") % 4 * 4).otherwise(0)
+    ring = F.array(*[F.struct((x + dx * F.col("level")).alias("x"), (y + dy * F.col("level")).alias("y")) for dx, dy in ((1, 0), (0, 1), (-1, 0), (0, -1))])
+    return S.contour_nesting(rows.withColumn("rings", F.array(ring)), "zone", "level")
+
+
 @query("G10_footprint_cover", "SELECT id, coalesce(bool_or(x BETWEEN xmin AND xmax AND y BETWEEN ymin AND ymax), false) AS covered FROM points LEFT JOIN rects ON x - 25 <= xmax AND x + 25 >= xmin AND y - 25 <= ymax AND y + 25 >= ymin GROUP BY id", points=POINTS, rects=RECTS)
 def _(t, points, rects):
     return S.footprint_cover(points, rects, 25.0, 50.0).select("id", "covered")
