@@ -24,6 +24,8 @@ MARKS = frozenset(
     "disqus footer gdpr header login masthead menu modal nav navbar navigation newsletter notice notices outbrain pager pagination popup promo promoted promotion related "
     "recommended reply replies respond responses search share sharing sidebar signup skip social sponsor sponsored subscribe taboola tags toolbar topbar widget widgets".split()
 )
+#: Marks and roles that page builders also give to what holds an article.
+WEAK = frozenset("banner dialog disclaimer form header login masthead notice notices promo promoted promotion search share sharing skip social subscribe tags toolbar topbar widget widgets".split())
 #: Nouns after a mark that only say what holds it (``comment-list``), and words before one that say what the page has (``has-sidebar``).
 HOLDERS = frozenset("area articles bar block body bottom box buttons center col column container group holder icons inner items left links list outer panel placeholder posts region right row section slot stories text top unit wrap wrapper zone".split())
 STATES = frozenset("has no is with without hide show before after below above".split())
@@ -37,10 +39,10 @@ _ARTICLES = ("article", "main")
 
 
 class _Node:
-    __slots__ = ("tag", "parent", "children", "parts", "mark", "inside", "dropped", "chars", "tags", "link_chars", "link_tags", "density", "total")
+    __slots__ = ("tag", "parent", "children", "parts", "mark", "word", "inside", "dropped", "chars", "tags", "link_chars", "link_tags", "density", "total")
 
     def __init__(self, tag: str, parent: _Node | None) -> None:
-        self.tag, self.parent, self.mark, self.dropped = tag, parent, "", False
+        self.tag, self.parent, self.mark, self.word, self.dropped = tag, parent, "", "", False
         self.inside = parent is not None and (parent.inside or parent.tag in _ARTICLES)  # an article or main holds it
         self.children: list[_Node] = []
         self.parts: list[_Node | str] = []  # in page order
@@ -48,20 +50,21 @@ class _Node:
         self.density = self.total = 0.0
 
 
-def _marked_name(name: str, spared: frozenset[str]) -> bool:
-    """If a class or id is a mark as a whole: its last word, but for words that only say what holds it."""
+def _marked_name(name: str, spared: frozenset[str]) -> str:
+    """The mark that a class or id is as a whole, by its last word but for words that only say what holds it; else empty."""
     if name.lower() in MARKS:
-        return name.lower() not in spared
+        return "" if name.lower() in spared else name.lower()
     words = [x.lower() for x in _PART.findall(name)]
     if not words or words[0] in STATES:
-        return False
+        return ""
     while len(words) > 1 and words[-1] in HOLDERS:
         words.pop()
-    return words[-1] in MARKS and words[-1] not in spared
+    return words[-1] if words[-1] in MARKS and words[-1] not in spared else ""
 
 
 def _mark(node: _Node, attributes: str) -> str:
-    """``tag``, ``form`` or ``name`` if this element, by its tag or by class, id, role or style, is no article text; else empty."""
+    """``tag``, ``form``, ``hidden`` or ``name`` if this element, by its tag or by class, id, role or style, is no article text; else empty. A
+    ``name`` sets the node's word."""
     tag = node.tag
     if tag in BOILERPLATE or tag == "header" and not node.inside:
         return "tag"
@@ -69,12 +72,16 @@ def _mark(node: _Node, attributes: str) -> str:
     found = {m[1].lower(): html.unescape(m[2] or m[3] or m[4] or "") for m in _ATTRIBUTE.finditer(attributes)} if attributes.strip() else {}
     if not found or tag in ("body", "html", "main"):
         return kind
-    if "hidden" in found or found.get("aria-hidden") == "true" or found.get("role", "").lower() in ROLES:
-        return "name"
+    if "hidden" in found or found.get("aria-hidden") == "true":
+        return "hidden"
     if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", found.get("style", "")):
-        return "name"
+        return "hidden"
+    role = found.get("role", "").lower()
     spared = frozenset(("header", "masthead")) if node.inside or tag == "article" else frozenset()
-    if any(_marked_name(x, spared) for x in f"{found.get('class', '')} {found.get('id', '')}".split()):
+    names = [role if role in ROLES else "", *(_marked_name(x, spared) for x in f"{found.get('class', '')} {found.get('id', '')}".split())]
+    marks = [x for x in names if x]
+    if marks:
+        node.word = next((x for x in marks if x not in WEAK), marks[0])
         return "name"
     return kind
 
@@ -189,18 +196,63 @@ def _order(root: _Node) -> list[_Node]:
     return out
 
 
+def _unlinked(nodes: list[_Node]) -> dict[_Node, tuple[int, int]]:
+    """Characters of each node outside links, and in all, without what is dropped."""
+    out: dict[_Node, tuple[int, int]] = {}
+    for n in reversed(nodes):  # children before their parent
+        own = 0 if n.dropped else sum(len(x) - x.count(" ") for x in n.parts if isinstance(x, str))
+        held = [out[c] for c in n.children] if not n.dropped else []
+        out[n] = (0 if n.tag == "a" else own + sum(h[0] for h in held), own + sum(h[1] for h in held))
+    return out
+
+
+def _believed(nodes: list[_Node], held: set[_Node], least: int = 100) -> set[_Node]:
+    """Nodes with a name that are dropped for it. All count outside an article or main that has text of its own, and so do those
+    that are mostly links. Of the others, a word counts unless its nodes hold more text outside links than what then stays; a word that marks no
+    article by habit (``WEAK`` are the others) counts unless they hold eight times as much and less than ``least`` characters stay."""
+    named = [n for n in nodes if n.mark == "name" and n not in held]
+    if not named:
+        return set()
+    chars = _unlinked(nodes)
+    for n in nodes:  # as if all counted
+        n.dropped = n.dropped or bool(n.parent and n.parent.dropped) or n.mark == "name" and n not in held
+    stays = _unlinked(nodes)
+    articles = [n for n in nodes if n.tag in _ARTICLES and not n.inside and not n.dropped]
+    within = sum(stays[n][0] for n in articles)
+    rest = within or stays[nodes[0]][0]
+    out, by_word, seen = set(), {}, {}
+    for n in nodes:  # parents before their children
+        seen[n] = seen.get(n.parent, frozenset())
+        if n.mark != "name" or n in held:
+            continue
+        if within and not n.inside or 2 * chars[n][0] < chars[n][1]:
+            out.add(n)
+            continue
+        if n.word not in seen[n]:
+            by_word[n.word] = by_word.get(n.word, 0) + chars[n][0]
+            seen[n] |= {n.word}
+    lost = {w for w, much in by_word.items() if w in WEAK and much > rest}
+    rest += sum(by_word[w] for w in lost)  # what weak words do not take stays beside the others
+    lost |= {w for w, much in by_word.items() if w not in WEAK and much > 8 * rest and rest < least}
+    return out | {n for n in named if n.word not in lost}
+
+
 def _drop(nodes: list[_Node], names: bool) -> None:
     """Drop what is marked, with all in it. A name or form around an article or main says nothing of that, nor does a form
-    around most of the page. Without ``names`` only tags count."""
+    around most of the page; names that would take most of the text away are not believed. Without ``names`` only tags count."""
     held = set()
     for n in nodes:
         if n.tag in _ARTICLES and not n.mark:
             while n is not None and n not in held:
                 held.add(n)
                 n = n.parent
-    kept: dict[_Node, int] = {}  # characters that neither tag nor name drops
+    gone = lambda n: n.mark == "tag" or names and n.mark == "hidden" and n not in held
     for n in nodes:  # parents before their children
-        n.dropped = bool(n.parent and n.parent.dropped or n.mark == "tag" or names and n.mark == "name" and n not in held)
+        n.dropped = bool(n.parent and n.parent.dropped or gone(n))
+    named = _believed(nodes, held) if names else set()
+    for n in nodes:
+        n.dropped = bool(n.parent and n.parent.dropped or gone(n) or n in named)
+    kept: dict[_Node, int] = {}  # characters that neither tag nor name drops
     for n in reversed(nodes):
         kept[n] = 0 if n.dropped else sum(len(x) - x.count(" ") for x in n.parts if isinstance(x, str)) + sum(kept[c] for c in n.children)
     for n in nodes:
@@ -247,12 +299,19 @@ def _weigh(nodes: list[_Node], body: _Node) -> None:
                 n.total += n.density  # its own text counts like a child's
 
 
+def _holds(outer: _Node, n: _Node | None) -> bool:
+    while n is not None and n is not outer:
+        n = n.parent
+    return n is outer
+
+
 def _linked(n: _Node) -> bool:
     return 2 * n.link_chars > n.chars
 
 
 def _read(node: _Node, least: float, out: list[str]) -> None:
-    """Text in page order; blocks are apart by a space. Blocks of less than the threshold's density that are mostly links go."""
+    """Text in page order; blocks are apart by a space. Blocks of less than the threshold's density that are mostly links go, but for those
+    in an article or main, as its references."""
     stack: list[_Node | str | None] = [node]
     while stack:
         x = stack.pop()
@@ -260,7 +319,7 @@ def _read(node: _Node, least: float, out: list[str]) -> None:
             out.append(" ")
         elif isinstance(x, str):
             out.append(x)
-        elif x.dropped or (x is not node and x.tag not in INLINE and x.density < least and _linked(x)):
+        elif x.dropped or (x is not node and x.tag not in INLINE and not x.inside and x.density < least and _linked(x)):
             out.append("" if x.tag in INLINE else " ")
         else:
             block = x.tag not in INLINE
@@ -279,6 +338,11 @@ def _choose(nodes: list[_Node], body: _Node) -> tuple[list[_Node], float]:
     if not live:
         return [], 0.0
     best = max(live, key=lambda n: n.total)
+    if not best.inside and best.tag not in _ARTICLES:
+        # An article or main of half the sum or more is preferred to a subtree that it is no part of.
+        told = max((n for n in live if n.inside or n.tag in _ARTICLES), key=lambda n: n.total, default=None)
+        if told is not None and 2 * told.total >= best.total and not _holds(best, told):
+            best = told
     left, right = [], []
     below, here = best.density, best
     while here is not body and here.parent is not None:
@@ -299,7 +363,8 @@ def _choose(nodes: list[_Node], body: _Node) -> tuple[list[_Node], float]:
 def main_text(page: str | None) -> str:
     """The article of one page: subtrees chosen by composite text density, without what tags and names mark as no article.
 
-    Names (class, id, role, style) that would leave a page without any text are not followed on it.
+    Names (class, id, role) that would take most of a page's text outside links are not believed on it, and none are where they would leave
+    a page without any text.
     """
     if not page:
         return ""

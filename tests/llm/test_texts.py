@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 from itertools import pairwise
 
 import numpy as np
@@ -65,7 +66,7 @@ def test_main_text(around):
 def _given(page):
     """The text of the article element that the tables' pages have."""
     import html
-    import re
+
 
     inner = re.search(r"<article>(.*)</article>", page, re.S)[1]
     return " ".join(html.unescape(re.sub(r"</?(?:p|h1|br)>", " ", inner).replace("<b>", "")).split())
@@ -83,7 +84,7 @@ def test_html_given_pages(spark):
 
 def test_html_densities_decide(spark, monkeypatch):
     """Without any element or name that marks menu, advert, article or footer, densities find most articles; other numbers do not."""
-    import re
+
 
     bare = [(re.sub(r"<(/?)(?:nav|footer|article)>", r"<\1div>", p["html"]).replace('<div class="ad">', "<div>"), _given(p["html"])) for p in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").collect()]
     right = lambda: sum(html_text.main_text(h) == w for h, w in bare) / len(bare)
@@ -209,7 +210,7 @@ def test_edits_and_likeness(spark):
 
 def brute_print(text, k=3, picked=2, slots=64):
     """The fingerprint by plain loops, with xxh64 of the same bytes."""
-    import re
+
     import struct
 
     import xxhash
@@ -531,3 +532,46 @@ def test_quality_labels(spark):
     rows = quality_rules.judge_quality(docs).withColumnRenamed("quality", "p").join(labels, "doc_id").where("n_words >= 10").groupBy("quality").agg(F.avg(F.col("kept").cast("double")).alias("kept")).collect()
     kept = {r["quality"]: r["kept"] for r in rows}
     assert kept[1] > 0.98 and kept[0] < 0.15
+
+
+PROSE = "<p>The committee met in the old town hall to discuss the new bridge, and most of those present spoke at length.</p><p>A decision is expected in spring, once the river has been measured, said the mayor after the meeting.</p>"
+PLAIN = re.sub(r"\s+", " ", re.sub(r"<[^>]+>", " ", PROSE)).strip()
+
+
+@pytest.mark.parametrize(
+    "around",
+    [
+        '<div class="elementor-element elementor-widget elementor-widget-text-editor">%s</div>', '<div class="widget Blog"><div class="post">%s</div></div>', '<div class="article hero-banner">%s</div>', '<div role="form">%s</div>', '<article class="article hero-banner">%s</article>',
+        '<div class="service-notice">%s</div>', '<div id="social">%s</div>', '<main><h1>The bridge</h1><div class="elementor-widget">%s</div></main>', '<div class="post tags">%s</div>', '<div class="sidebar">%s</div>',
+    ],
+)
+@pytest.mark.parametrize("beside", ["<p>© 2020 Site</p>", '<nav><a href="/">Home</a></nav><p>© 2020 Site</p>', '<div class="widget"><a href="/a">One</a> <a href="/b">Two</a></div>', ""])
+def test_names_do_not_take_the_article(around, beside):
+    """Names that page builders give to what holds an article lose against it, also beside stray lines."""
+    got = html_text.main_text(f"<html><body>{around % PROSE}{beside}</body></html>")
+    assert PLAIN in got and "One" not in got and "Home" not in got
+
+
+def test_split_widgets_stay_whole():
+    """An article in many blocks of one builder's class, each of which is small beside the others."""
+    blocks = "".join(f'<div class="elementor-widget">{PROSE}</div>' for _ in range(5))
+    assert html_text.main_text(f"<body><p>© 2020 Site</p>{blocks}</body>").count("committee") == 5
+
+
+def test_small_named_blocks_go():
+    for name in ("widget", "banner", "social", "notice", "comments", "sidebar", "promo", "cookie-notice"):
+        page = f'<body><div class="content">{PROSE}</div><div class="{name}"><p>Sign up for more of this, it is free of charge.</p></div></body>'
+        assert html_text.main_text(page) == PLAIN, name
+    long = "<p>I for one think that this bridge is not needed at all, and I have said so before.</p>" * 12
+    assert html_text.main_text(f'<body><div class="content">{PROSE}</div><div class="comments">{long}</div></body>') == PLAIN
+    assert html_text.main_text(f'<body><article>{PROSE}</article><div class="widget">{long}</div></body>') == PLAIN
+
+
+def test_references_in_an_article_stay():
+    page = f'<body><article>{PROSE}<ul><li><a href="/1">Survey of the river</a></li><li><a href="/2">Minutes of the meeting</a></li></ul></article><ul><li><a href="/x">Home</a></li><li><a href="/y">Contact</a></li></ul></body>'
+    assert html_text.main_text(page) == f"{PLAIN} Survey of the river Minutes of the meeting"
+
+
+def test_article_element_wins_over_a_longer_block_of_comments():
+    said = "".join(f"<div><b>user {i}</b><p>I for one think that this bridge is not needed, and so do many more.</p></div>" for i in range(4))
+    assert html_text.main_text(f"<body><article>{PROSE}</article><section>{said}</section></body>").startswith(PLAIN)
