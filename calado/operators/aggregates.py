@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -367,6 +368,38 @@ def coverage(requested: DataFrame, observed: DataFrame, dim: str, code: str) ->
     )
 
 
+def forced_requests(plan: DataFrame, observed: DataFrame) -> DataFrame:
+    """The requests of ``plan`` to send again with all their codes named, once each: rows of the plan with ``explicit`` true.
+
+    ``plan`` has (request, dim, codes, omitted, explicit), one row a dimension; ``omitted`` says that the dimension was whole and so left out of the
+    address. An answer (``observed``: request, dim, code) that lacks a code of an omitted dimension, or has another, is a part; one to a
+    request that named its codes is final.
+    """
+    seen = observed.groupBy("request", "dim").agg(F.collect_set("code").alias("_seen"))
+    met = plan.join(seen, ["request", "dim"], "left")
+    none = F.coalesce("_seen", F.slice("codes", 1, 0))
+    part = F.col("omitted") & ~F.col("explicit") & ((F.size(F.array_except("codes", none)) > 0) | (F.size(F.array_except(none, "codes")) > 0))
+    again = met.groupBy("request").agg(F.bool_or(part).alias("_part")).where("_part").select("request")
+    return plan.join(again, "request", "left_semi").withColumn("explicit", F.lit(True))
+
+
+def covered_by_requests(plan: DataFrame, respond: Callable[[DataFrame], DataFrame], most_rounds: int = 10) -> tuple[DataFrame, int]:
+    """((dim, requested, missing, missing_codes, complete), rounds) after asking ``respond`` for the plan, and again, with codes named, for what came
+    back in part, until nothing is asked again. Answers to the last asking of a request count."""
+    left, kept, rounds = checkpointed(plan), None, 0
+    while not left.isEmpty():
+        rounds += 1
+        if rounds > most_rounds:
+            raise ValueError("requests still come back in part")
+        answer = checkpointed(respond(left))
+        again = checkpointed(forced_requests(left, answer))
+        final = answer.join(again.select("request").distinct(), "request", "left_anti")
+        kept = final if kept is None else kept.unionByName(final)
+        left = again
+    asked = plan.select("dim", F.explode("codes").alias("code"))
+    return coverage(asked, kept if kept is not None else asked.limit(0), "dim", "code"), rounds
+
+
 def dedupe_strict(df: DataFrame, keys: list[str], content: list[str]) -> DataFrame:
     """One row per key with ``copies`` and ``conflict``, whether rows of the key differ in ``content``."""
     from calado.functions.text import canon_hash

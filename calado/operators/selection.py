@@ -91,20 +91,39 @@ def greedy_disjoint(df: DataFrame, part: str, order: list[str], ids: str, picks:
     return met.select(*[F.col(f"_row.{c}").alias(c) for c in df.columns], "rank")
 
 
-def greedy_cover(items: DataFrame, item: str, unit: str, n: int) -> DataFrame:
-    """(step, item, gain): ``n`` times the item that adds most unseen units, ties by item."""
-    rows = items.select(item, unit).distinct()
-    chosen = []
-    left = rows
-    for step in range(1, n + 1):
-        best = left.groupBy(item).agg(F.count(F.lit(1)).alias("gain")).orderBy(F.col("gain").desc(), item).first()
-        if best is None:
+def greedy_cover(items: DataFrame, item: str, unit: str, n: int, score: str | None = None, at_once: int = 64) -> DataFrame:
+    """(step, item, gain): ``n`` times the item that adds most unseen units, ties by the highest ``score`` (a column of the item), then by item.
+
+    Gains only fall, so an item's last gain bounds its next one. A step counts anew the ``at_once`` items of the highest bounds, and more of
+    them while a bound not counted yet reaches the best gain found; the rest of the items are not looked at. Bounds and the units seen are
+    checkpointed, only the items counted in a step come to the driver.
+    """
+    rows = items.select(item, unit).where(F.col(item).isNotNull()).distinct()
+    rank = [F.col("_bound").desc(), F.col("_score").desc_nulls_last(), F.col(item)]
+    points = items.where(F.col(item).isNotNull()).groupBy(item).agg((F.max(score) if score else F.lit(0)).alias("_score"))
+    bounds = checkpointed(rows.groupBy(item).agg(F.count(F.lit(1)).alias("_bound")).join(points, item))
+    rows, seen, chosen = checkpointed(rows), None, []
+    better = lambda r: (-r["_gain"], r["_score"] is None, -(r["_score"] or 0), r[item])
+    while len(chosen) < n:
+        counted: dict = {}
+        while True:
+            next_ones = bounds.where(~F.col(item).isin(list(counted))) if counted else bounds
+            top = next_ones.orderBy(*rank).limit(at_once).collect()
+            best = min(counted.values(), key=better, default=None)
+            if not top or best is not None and top[0]["_bound"] < best["_gain"]:
+                break
+            some = rows.where(F.col(item).isin([r[item] for r in top]))
+            left = some if seen is None else some.join(seen, unit, "left_anti")
+            gains = dict(left.groupBy(item).count().collect())
+            counted |= {r[item]: {item: r[item], "_score": r["_score"], "_gain": gains.get(r[item], 0)} for r in top}
+        if best is None or not best["_gain"]:
             break
-        chosen.append((step, best[item], best["gain"]))
-        seen = rows.where(F.col(item) == best[item]).select(unit)
-        left = checkpointed(left.join(seen, unit, "left_anti"))
-    kind = items.schema[item].dataType.simpleString()
-    return items.sparkSession.createDataFrame(chosen, f"step int, {item} {kind}, gain bigint")
+        chosen.append((len(chosen) + 1, best[item], best["_gain"]))
+        known = items.sparkSession.createDataFrame([(k, v["_gain"]) for k, v in counted.items()], f"{item} {items.schema[item].dataType.simpleString()}, _new bigint")
+        bounds = checkpointed(bounds.join(F.broadcast(known), item, "left").select(item, F.coalesce("_new", "_bound").alias("_bound"), "_score").where(F.col(item) != F.lit(best[item])))
+        mine = rows.where(F.col(item) == F.lit(best[item])).select(unit)
+        seen = checkpointed(mine if seen is None else seen.union(mine).distinct())
+    return items.sparkSession.createDataFrame(chosen, f"step int, {item} {items.schema[item].dataType.simpleString()}, gain bigint")
 
 
 def extremes(df: DataFrame, group: list[str], key: str, rules: dict[str, Column]) -> DataFrame:
@@ -141,6 +160,40 @@ def plan_chunks(members: DataFrame, max_cells: int, prefer: str) -> DataFrame:
     raise ValueError("requests do not shrink")
 
 
+def plan_requests(selections: DataFrame, period: str, dims: list[str], prefer: str, max_cells: int, max_length: int, address: str) -> DataFrame:
+    """(request, period, dims, cells, length): each request split so that it has one period, at most ``max_cells`` cells and an
+    encoded address of at most ``max_length`` characters.
+
+    ``selections`` has ``request`` and an array of codes for the period and each of ``dims``. A dimension that is still whole is left out of the
+    address, the period never. What is over either budget is halved, the first half the longer one: in the dimension ``prefer`` if it has several
+    members, else in that with most, the first of equals. One cell over a budget is an error, as nothing is left to split.
+    """
+    encoded = lambda c: F.length(F.replace(F.replace(F.url_encode(c.cast("string")), F.lit("*"), F.lit("%2A")), F.lit("%7E"), F.lit("~")))
+    listed = lambda name: F.aggregate(F.col(name), F.lit(len(name) + 2), lambda a, c: a + encoded(c)) + 3 * (F.size(name) - 1)
+    length = F.lit(len(address)) + listed(period)
+    for d in dims:
+        length = length + F.when(F.size(d) == F.col(f"_all_{d}"), 0).otherwise(listed(d))
+    cells = reduce(lambda a, b: a * b, [F.size(d).cast("long") for d in dims])
+    left = selections.select("request", F.explode(period).alias("_p"), *dims, *[F.size(d).alias(f"_all_{d}") for d in dims]).withColumn(period, F.array("_p")).drop("_p")
+    left = left.withColumns({"cells": cells, "length": length})
+    most = F.greatest(*[F.size(d) for d in dims]) if len(dims) > 1 else F.size(dims[0])
+    largest = F.coalesce(*[F.when(F.size(d) == most, d) for d in dims])
+    pick = F.when(most <= 1, F.raise_error(F.lit("one cell is over a budget")).cast("string")).when(F.size(prefer) > 1, prefer).otherwise(largest)
+    over, done = (F.col("cells") > max_cells) | (F.col("length") > max_length), None
+    while True:
+        left = checkpointed(left)
+        fits = left.where(~over)
+        done = fits if done is None else done.unionByName(fits)
+        left = left.where(over)
+        if left.isEmpty():
+            return done.select("request", F.get(period, F.lit(0)).alias(period), *dims, "cells", "length")
+        cut = lambda d: F.ceil(F.size(d) / 2).cast("int")
+        first = F.struct(*[F.when(F.col("_pick") == d, F.slice(d, F.lit(1), cut(d))).otherwise(F.col(d)).alias(d) for d in dims])
+        second = F.struct(*[F.when(F.col("_pick") == d, F.slice(d, cut(d) + 1, F.size(d))).otherwise(F.col(d)).alias(d) for d in dims])
+        halves = left.withColumn("_pick", pick).withColumn("_h", F.explode(F.array(first, second)))
+        left = halves.select("request", period, *[F.col(f"_h.{d}").alias(d) for d in dims], *[f"_all_{d}" for d in dims]).withColumns({"cells": cells, "length": length})
+
+
 def first_pass(df: DataFrame, group: list[str], order: list[str], passed: Column, columns: list[str]) -> DataFrame:
     """Per group the first passing candidate in order, null where none passes, and how many were tried."""
     key = F.struct(*order, *[c for c in columns if c not in order])

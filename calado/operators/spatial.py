@@ -2,20 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from calado.functions.geometry import rotate, segment_distance
-from calado.functions.polygons import edges, overlap_area
+from calado.functions.polygons import area, edges, overlap_area
 from calado.operators.joins import _cells
 from calado.operators.storage import checkpointed
 
-RING = "array<struct<x double, y double>>"
-
 
 def segments(line: DataFrame, group: list[str], order: str) -> DataFrame:
     """Rows (group, s0, ax, ay, bx, by, length) between consecutive points, s0 the chainage at the start."""
@@ -26,14 +20,27 @@ def segments(line: DataFrame, group: list[str], order: str) -> DataFrame:
     return rows.withColumn("s0", before).where("bx IS NOT NULL").drop(order)
 
 
+def crossed_cells(segs: DataFrame, width: float, margin: float = 0.0, cx: str = "_cx", cy: str = "_cy") -> DataFrame:
+    """Each segment (ax, ay, bx, by) once for every grid cell that it comes within ``margin`` of along both axes: column by column of the grid, the
+    rows between the heights where the segment enters and leaves it. A slanting segment has as many rows as it crosses cells, not those of
+    its envelope."""
+    lo, hi = F.least("ax", "bx"), F.greatest("ax", "bx")
+    rows = segs.withColumn(cx, F.explode(F.sequence(F.ceil((lo - margin) / width) - 1, F.floor((hi + margin) / width))))
+    enter, leave = F.greatest(F.col(cx) * width - margin, lo), F.least((F.col(cx) + 1) * width + margin, hi)
+    at = lambda x: F.when(F.col("ax") == F.col("bx"), None).otherwise(F.col("ay") + (x - F.col("ax")) / (F.col("bx") - F.col("ax")) * (F.col("by") - F.col("ay")))
+    slack = margin + 1e-9 * (F.abs("ay") + F.abs("by") + width)
+    low, high = F.coalesce(F.least(at(enter), at(leave)), F.least("ay", "by")) - slack, F.coalesce(F.greatest(at(enter), at(leave)), F.greatest("ay", "by")) + slack
+    return rows.withColumn(cy, F.explode(F.sequence(F.ceil(low / width) - 1, F.floor(high / width))))
+
+
 def locate(points: DataFrame, segs: DataFrame, key: str, group: str, reach: float) -> DataFrame:
     """Per point and line within ``reach``: offset, chainage and the nearest point, by the nearest segment.
 
-    Points go to the grid cells around them and segments to the cells they cover, so only close pairs are compared.
+    Points go to the grid cells around them and segments to the cells they cross, so only close pairs are compared.
     """
     p = points.withColumn("_i", F.explode(F.sequence(F.lit(-1), F.lit(1)))).withColumn("_j", F.explode(F.sequence(F.lit(-1), F.lit(1))))
     p = p.withColumns({"_cx": F.floor(F.col("x") / reach) + F.col("_i"), "_cy": F.floor(F.col("y") / reach) + F.col("_j")})
-    q = segs.withColumn("_cx", _cells(F.least("ax", "bx"), F.greatest("ax", "bx"), reach)).withColumn("_cy", _cells(F.least("ay", "by"), F.greatest("ay", "by"), reach))
+    q = crossed_cells(segs, reach)
     d, t = segment_distance(*[F.col(c) for c in ("x", "y", "ax", "ay", "bx", "by")])
     met = p.join(q, ["_cx", "_cy"]).withColumns({"_d": d, "_t": t}).where(F.col("_d") <= reach)
     at = F.struct(
@@ -75,8 +82,7 @@ def strip_grid(sites: DataFrame, along: list[float], across: list[float]) -> Dat
 
 def band_tiles(segs: DataFrame, group: str, half: float, width: float) -> DataFrame:
     """Tiles (group, tx, ty) within ``half`` of a line, by the distance of each segment to the tile's box."""
-    span = lambda a, b: F.explode(F.sequence(F.ceil((F.least(a, b) - half) / width) - 1, F.floor((F.greatest(a, b) + half) / width)))
-    rows = segs.withColumn("tx", span("ax", "bx")).withColumn("ty", span("ay", "by"))
+    rows = crossed_cells(segs, width, half, "tx", "ty")
     x0, y0 = F.col("tx") * width, F.col("ty") * width
     x1, y1 = x0 + width, y0 + width
     ends = lambda x, y: F.hypot(F.greatest(x0 - x, F.lit(0.0), x - x1), F.greatest(y0 - y, F.lit(0.0), y - y1))
@@ -89,102 +95,47 @@ def band_tiles(segs: DataFrame, group: str, half: float, width: float) -> DataFr
     return rows.where(d <= half).select(group, "tx", "ty").distinct()
 
 
-def _clip(ring: np.ndarray, zone: np.ndarray) -> np.ndarray:
-    """A ring cut by a convex zone, edge by edge."""
-    if _area(zone) < 0:
-        zone = zone[::-1]
-    for a, b in zip(zone, np.roll(zone, -1, axis=0), strict=True):
-        if not len(ring):
-            return ring
-        side = (b[0] - a[0]) * (ring[:, 1] - a[1]) - (b[1] - a[1]) * (ring[:, 0] - a[0])
-        nxt, nside = np.roll(ring, -1, axis=0), np.roll(side, -1)
-        out = []
-        for p, q, s, t in zip(ring, nxt, side, nside, strict=True):
-            if s >= 0:
-                out.append(p)
-            if (s > 0 > t) or (s < 0 < t):
-                out.append(p + (q - p) * (s / (s - t)))
-        ring = np.array(out).reshape(-1, 2)
-    return ring
+def clip_area(pairs: DataFrame, keys: list[str]) -> DataFrame:
+    """Pairs of a ``ring`` and a ``zone`` of any shape: the common area and its share of the ring's; null for a ring without area."""
+    whole, common = area(edges(F.array("ring"))), overlap_area(edges(F.array("ring")), edges(F.array("zone")))
+    rows = pairs.select(*keys, whole.alias("_w"), F.coalesce(common, F.lit(0.0)).alias("area"))
+    return rows.select(*keys, "area", F.when(F.col("_w") > 0, F.col("area") / F.col("_w")).alias("share"))
+
 
+def _inside(sides: Column) -> Column:
+    """Shares (start, end) of the segment ax, ay, bx, by inside a polygon's ``edges``: between crossings, by the middle."""
+    ax, ay, dx, dy = F.col("ax"), F.col("ay"), F.col("bx") - F.col("ax"), F.col("by") - F.col("ay")
 
-def _area(ring: np.ndarray) -> float:
-    x, y = ring[:, 0], ring[:, 1]
-    return float(np.dot(x, np.roll(y, -1)) - np.dot(y, np.roll(x, -1))) / 2
+    def cut(e: Column) -> Column:
+        ex, ey, wx, wy = e["bx"] - e["ax"], e["by"] - e["ay"], e["ax"] - ax, e["ay"] - ay
+        det = dx * ey - dy * ex
+        t, u = (wx * ey - wy * ex) / det, (wx * dy - wy * dx) / det
+        return F.when(det != 0, F.when((t > 0) & (t < 1) & u.between(0, 1), t))
 
+    cuts = F.array_sort(F.concat(F.array(F.lit(0.0), F.lit(1.0)), F.array_compact(F.transform(sides, cut))))
 
-def _ring(points: list[dict]) -> np.ndarray:
-    return np.array([(p["x"], p["y"]) for p in points], float).reshape(-1, 2)
+    def odd(t: Column) -> Column:
+        x, y = ax + t * dx, ay + t * dy
+        crosses = lambda e: ((e["ay"] > y) != (e["by"] > y)) & (x < e["ax"] + (y - e["ay"]) / (e["by"] - e["ay"]) * (e["bx"] - e["ax"]))
+        return F.size(F.filter(sides, crosses)) % 2 == 1
 
+    between = F.zip_with(F.slice(cuts, 1, F.size(cuts) - 1), F.slice(cuts, 2, F.size(cuts)), lambda s, t: F.struct(s.alias("start"), t.alias("end")))
+    return F.filter(between, lambda p: (p["end"] > p["start"]) & odd((p["start"] + p["end"]) / 2))
 
-def clip_area(pairs: DataFrame, keys: list[str]) -> DataFrame:
-    """Pairs of a ``ring`` and a convex ``zone``: the common area and its share of the ring's."""
-    schema = ", ".join(f"{k} {pairs.schema[k].dataType.simpleString()}" for k in keys) + ", area double, share double"
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            area, share = [], []
-            for r, z in zip(b.column(len(keys)).to_pylist(), b.column(len(keys) + 1).to_pylist(), strict=True):
-                ring, zone = _ring(r), _ring(z)
-                c = _clip(ring, zone)
-                area.append(abs(_area(c)) if len(c) > 2 else 0.0)
-                whole = abs(_area(ring))
-                share.append(area[-1] / whole if whole else None)
-            yield pa.RecordBatch.from_arrays([*[b.column(i) for i in range(len(keys))], pa.array(area, pa.float64()), pa.array(share, pa.float64())], [*keys, "area", "share"])
-
-    return pairs.select(*keys, F.col("ring").cast(RING), F.col("zone").cast(RING)).mapInArrow(cut, schema)
-
-
-def _inside(ax: float, ay: float, bx: float, by: float, ring: np.ndarray) -> list[tuple[float, float]]:
-    """Shares (from, to) of a segment inside a ring: between crossings, by the middle."""
-    cuts = [0.0, 1.0]
-    d = np.array([bx - ax, by - ay])
-    for p, q in zip(ring, np.roll(ring, -1, axis=0), strict=True):
-        e = q - p
-        det = d[0] * e[1] - d[1] * e[0]
-        if det:
-            w = p - (ax, ay)
-            t, u = (w[0] * e[1] - w[1] * e[0]) / det, (w[0] * d[1] - w[1] * d[0]) / det
-            if 0 < t < 1 and 0 <= u <= 1:
-                cuts.append(float(t))
-    cuts.sort()
-    out = []
-    nxt = np.roll(ring, -1, axis=0)
-    for s, t in zip(cuts, cuts[1:], strict=False):
-        x, y = ax + (s + t) / 2 * d[0], ay + (s + t) / 2 * d[1]
-        above = (ring[:, 1] > y) != (nxt[:, 1] > y)
-        with np.errstate(divide="ignore", invalid="ignore"):
-            left = x < ring[:, 0] + (y - ring[:, 1]) / (nxt[:, 1] - ring[:, 1]) * (nxt[:, 0] - ring[:, 0])
-        if np.count_nonzero(above & left) % 2 and t > s:
-            out.append((s, t))
-    return out
-
-
-def edge_spans(edges: DataFrame, polygons: DataFrame, width: float, carry: str = "polygon_id") -> DataFrame:
+
+def edge_spans(segs: DataFrame, polygons: DataFrame, width: float, carry: str = "polygon_id") -> DataFrame:
     """(edge_id, ``carry``, length, start, end): the shares of each edge inside a polygon, for pairs that meet in a grid cell."""
-    box = polygons.withColumns({"_x0": F.array_min("ring.x"), "_x1": F.array_max("ring.x"), "_y0": F.array_min("ring.y"), "_y1": F.array_max("ring.y")})
+    box = polygons.withColumns({"_x0": F.array_min("ring.x"), "_x1": F.array_max("ring.x"), "_y0": F.array_min("ring.y"), "_y1": F.array_max("ring.y"), "_sides": edges(F.array("ring"))})
     box = box.withColumn("_cx", _cells(F.col("_x0"), F.col("_x1"), width)).withColumn("_cy", _cells(F.col("_y0"), F.col("_y1"), width))
-    e = edges.withColumn("_cx", _cells(F.least("ax", "bx"), F.greatest("ax", "bx"), width)).withColumn("_cy", _cells(F.least("ay", "by"), F.greatest("ay", "by"), width))
     meet = (F.least("ax", "bx") <= F.col("_x1")) & (F.greatest("ax", "bx") >= F.col("_x0")) & (F.least("ay", "by") <= F.col("_y1")) & (F.greatest("ay", "by") >= F.col("_y0"))
-    pairs = e.join(box, ["_cx", "_cy"]).where(meet).select("edge_id", "ax", "ay", "bx", "by", "polygon_id", carry, "ring").dropDuplicates(["edge_id", "polygon_id"])
-    schema = f"edge_id {edges.schema['edge_id'].dataType.simpleString()}, {carry} {polygons.schema[carry].dataType.simpleString()}, length double, start double, end double"
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            out = []
-            for k, *ends, ring, kept in zip(*[b.column(i).to_pylist() for i in range(7)], strict=True):
-                for s, t in _inside(*ends, _ring(ring)):
-                    out.append((k, kept, float(np.hypot(ends[2] - ends[0], ends[3] - ends[1])), s, t))
-            if out:
-                kinds = [b.schema.field(0).type, b.schema.field(6).type, *[pa.float64()] * 3]
-                yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*out, strict=True), kinds, strict=True)], ["edge_id", carry, "length", "start", "end"])
-
-    return pairs.select("edge_id", "ax", "ay", "bx", "by", F.col("ring").cast(RING), F.col(carry).alias("_kept")).mapInArrow(cut, schema)
+    pairs = crossed_cells(segs.select("edge_id", "ax", "ay", "bx", "by"), width).join(box, ["_cx", "_cy"]).where(meet).dropDuplicates(["edge_id", "polygon_id"])
+    length = F.hypot(F.col("bx") - F.col("ax"), F.col("by") - F.col("ay"))
+    return pairs.select("edge_id", F.col(carry), length.alias("length"), F.inline(_inside(F.col("_sides"))))
 
 
-def edge_exposure(edges: DataFrame, polygons: DataFrame, width: float) -> DataFrame:
+def edge_exposure(segs: DataFrame, polygons: DataFrame, width: float) -> DataFrame:
     """Per edge the length inside the union of the polygons: spans of its polygons are merged before they are added."""
-    spans = edge_spans(edges, polygons, width)
+    spans = edge_spans(segs, polygons, width)
     w = Window.partitionBy("edge_id").orderBy("start", "end")
     top = F.coalesce(F.max("end").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
     part = F.greatest(F.col("end") - F.greatest("start", top), F.lit(0.0)) * F.col("length")

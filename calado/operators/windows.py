@@ -67,6 +67,26 @@ def minimax_grade(df: DataFrame, group: list[str], cap: float, station_cap: floa
     return rows.groupBy(*group).agg(F.when(feasible, deviation).alias("deviation"), feasible.alias("feasible"))
 
 
+def fitted_grade(df: DataFrame, group: list[str], cap: float, station_cap: float, at_station: Column, anchor: Column | None = None, s: str = "s", z: str = "z") -> DataFrame:
+    """The rows with ``fit``, a profile whose largest deviation is the least possible and whose grades obey the caps, ``residual`` (z less fit)
+    and ``deviation`` (the group's); null where anchors make it infeasible.
+
+    Every row allows heights within the deviation of its own, an anchor only its value. Cones under the caps from all rows bound the profile from
+    below and above; both bounds, and so the middle between them, obey the caps. Of all best profiles that is the one in the middle.
+    """
+    best = minimax_grade(df, group, cap, station_cap, at_station, anchor, s, z)
+    w = Window.partitionBy(*group).orderBy(s)
+    cost = F.when(at_station, station_cap).otherwise(cap) * (F.col(s) - F.lag(s).over(w))
+    rows = df.withColumn("_dc", F.coalesce(cost, F.lit(0.0))).withColumn("_c", F.sum("_dc").over(w))
+    rows = rows.withColumn("_a", (anchor if anchor is not None else F.lit(None)).cast("double")).join(best.select(*group, "deviation"), group)
+    rows = rows.withColumns({"_lo": F.coalesce("_a", F.col(z) - F.col("deviation")), "_hi": F.coalesce("_a", F.col(z) + F.col("deviation"))})
+    fore, back = w.rowsBetween(Window.unboundedPreceding, 0), w.rowsBetween(0, Window.unboundedFollowing)
+    low = F.greatest(F.max(F.col("_lo") + F.col("_c")).over(fore) - F.col("_c"), F.max(F.col("_lo") - F.col("_c")).over(back) + F.col("_c"))
+    high = F.least(F.min(F.col("_hi") - F.col("_c")).over(fore) + F.col("_c"), F.min(F.col("_hi") + F.col("_c")).over(back) - F.col("_c"))
+    fit = F.when(F.col("deviation").isNotNull(), (low + high) / 2)
+    return rows.withColumn("fit", fit).withColumn("residual", F.col(z) - F.col("fit")).drop("_dc", "_c", "_a", "_lo", "_hi")
+
+
 def step_grade(df: DataFrame, group: list[str], order: str = "s", z: str = "z") -> DataFrame:
     """Add ``grade_pm``, per mille from the sample before; null across a missing sample."""
     w = Window.partitionBy(*group).orderBy(order)

@@ -257,6 +257,26 @@ def _(t):
     return A.coverage(nations, seen, "dim", "code")
 
 
+@query(
+    "A21_forced_requests",
+    """WITH c AS (SELECT o_custkey % 50 AS request, o_orderpriority AS code, o_orderstatus AS state, o_orderkey % 5 > 0 OR o_custkey % 50 > 24 AS plain, o_orderkey % 11 > 0 AS named FROM orders),
+    a AS (SELECT request, count(DISTINCT code) AS whole, count(DISTINCT code) FILTER (plain AND state = 'F') AS seen FROM c GROUP BY request),
+    k AS (SELECT DISTINCT c.request, code, CASE WHEN whole <> seen THEN named ELSE plain AND state = 'F' END AS kept FROM c JOIN a USING (request)), q AS (SELECT DISTINCT code FROM c), s AS (SELECT DISTINCT code FROM k WHERE kept)
+    SELECT 'priority' AS dim, count(*) AS requested, count(*) FILTER (s.code IS NULL) AS missing, coalesce(string_agg(q.code, ',' ORDER BY q.code) FILTER (s.code IS NULL), '') AS missing_codes, bool_and(s.code IS NOT NULL) AS complete, (SELECT count(*) FILTER (whole <> seen) FROM a) AS asked_again FROM q LEFT JOIN s USING (code)""",
+)
+def _(t):
+    rows = t("orders").select((F.col("o_custkey") % 50).alias("request"), F.col("o_orderpriority").alias("code"), (F.col("o_orderkey") % 5 > 0).alias("_a"), (F.col("o_custkey") % 50 > 24).alias("_b"), (F.col("o_orderkey") % 11 > 0).alias("_n"), (F.col("o_orderstatus") == "F").alias("_f"))
+    plan = rows.groupBy("request").agg(F.collect_set("code").alias("codes")).select("request", F.lit("priority").alias("dim"), "codes", F.lit(True).alias("omitted"), F.lit(False).alias("explicit"))
+
+    def respond(asked):
+        met = rows.join(asked.select("request", "explicit"), "request")
+        return met.where(F.when(F.col("explicit"), F.col("_n")).otherwise((F.col("_a") | F.col("_b")) & F.col("_f"))).select("request", F.lit("priority").alias("dim"), "code")
+
+    found, _ = A.covered_by_requests(plan, respond)
+    again = A.forced_requests(plan, respond(plan)).agg(F.count(F.lit(1)).alias("asked_again"))
+    return found.join(F.broadcast(again))
+
+
 @query("A22_dedupe_strict", "SELECT l_partkey, l_suppkey, count(*) AS copies, count(DISTINCT l_returnflag) > 1 AS conflict FROM lineitem GROUP BY 1, 2")
 def _(t):
     return A.dedupe_strict(t("lineitem"), ["l_partkey", "l_suppkey"], ["l_returnflag"])

@@ -162,16 +162,29 @@ def _(t):
     return J.attach_meta(t("customer"), meta, "c_nationkey").select("c_custkey", "n_name")
 
 
-@query("J18_edge_exposure")
-def _(t):
-    """Length of each profile step inside polygons; tested against brute force."""
-    steps = t.sql(PROFILE).select("grp", "seq", F.col("x").alias("ax"), F.col("y").alias("ay"))
+def within_diamonds(edges: str) -> str:
+    """SQL of ``exposure`` (edge_id, inside): the length of edges in the union of the diamonds of ``zones``, by the half-planes of their sides."""
+    return f"""sides AS (SELECT edge_id, zone, sqrt(power(bx - ax, 2) + power(by_ - ay, 2)) AS len, nx * (bx - ax) + ny * (by_ - ay) AS den, r + nx * (z.x - ax) + ny * (z.y - ay) AS num FROM {edges} e JOIN zones z ON least(ax, bx) <= z.x + r AND greatest(ax, bx) >= z.x - r AND least(ay, by_) <= z.y + r AND greatest(ay, by_) >= z.y - r,
+      (VALUES (1, 1), (1, -1), (-1, 1), (-1, -1)) AS n(nx, ny)),
+    spans AS (SELECT edge_id, zone, any_value(len) AS len, greatest(0, max(CASE WHEN den < 0 THEN num / den END)) AS lo, least(1, min(CASE WHEN den > 0 THEN num / den END)) AS hi FROM sides GROUP BY edge_id, zone HAVING bool_and(den <> 0 OR num >= 0)),
+    parts AS (SELECT edge_id, len * greatest(0, hi - greatest(lo, coalesce(max(hi) OVER (PARTITION BY edge_id ORDER BY lo, hi, zone ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))) AS part FROM spans WHERE lo < hi),
+    exposure AS (SELECT edge_id, sum(part) AS inside FROM parts GROUP BY edge_id)"""
+
+
+@query(
+    "J18_edge_exposure",
+    "WITH " + within_diamonds("(SELECT grp || '-' || seq AS edge_id, x AS ax, y AS ay, lead(x) OVER w AS bx, lead(y) OVER w AS by_ FROM profile WINDOW w AS (PARTITION BY grp ORDER BY seq))") + " SELECT edge_id, inside FROM exposure WHERE inside > 1e-9",
+    profile=PROFILE, zones=ZONES,
+)
+def _(t, profile, zones):
+    """Length of each profile step inside polygons."""
     from pyspark.sql import Window
 
     w = Window.partitionBy("grp").orderBy("seq")
+    steps = profile.select("grp", "seq", F.col("x").alias("ax"), F.col("y").alias("ay"))
     edges = steps.withColumns({"bx": F.lead("ax").over(w), "by": F.lead("ay").over(w)}).where("bx IS NOT NULL")
     edges = edges.select(F.concat_ws("-", "grp", "seq").alias("edge_id"), "ax", "ay", "bx", "by")
-    return S.edge_exposure(edges, diamonds(t.sql(ZONES)), 50.0)
+    return S.edge_exposure(edges, diamonds(zones), 50.0).where("inside > 1e-9")
 
 
 SITES = "SELECT s_suppkey AS site, CAST((s_suppkey * 211) % 977 AS DOUBLE) AS x, CAST(s_suppkey % 90 AS DOUBLE) AS y, CAST((s_suppkey * 17) % 180 AS DOUBLE) AS heading FROM {supplier}"

@@ -37,9 +37,16 @@ def _(t):
     return T.greedy_disjoint(rows, "scan", ["xmin", "tile_id"], "tiles").select("scan", "tile_id", "rank")
 
 
-@query("T05_greedy_cover")
-def _(t):
-    return T.greedy_cover(t.sql(BASKETS), "item", "member", 5)
+@query(
+    "T05_greedy_cover",
+    """WITH RECURSIVE picks AS (SELECT 0 AS step, CAST(NULL AS BIGINT) AS item, CAST(0 AS BIGINT) AS gain, CAST([] AS BIGINT[]) AS seen UNION ALL
+    (SELECT p.step + 1, b.item, CAST(len(b.fresh) AS BIGINT), list_concat(p.seen, b.fresh) FROM picks p, LATERAL (SELECT s.item, list_filter(s.members, lambda m: NOT list_contains(p.seen, m)) AS fresh FROM
+      (SELECT item, list(DISTINCT member) AS members FROM sets GROUP BY item) s ORDER BY len(list_filter(s.members, lambda m: NOT list_contains(p.seen, m))) DESC, s.item % 7 DESC, s.item LIMIT 1) b WHERE p.step < 5 AND len(b.fresh) > 0))
+    SELECT CAST(step AS INTEGER) AS step, item, gain FROM picks WHERE step > 0""",
+    sets="SELECT DISTINCT CAST(l_suppkey % 60 AS BIGINT) AS item, CAST(l_partkey * 31 + l_linenumber AS BIGINT) AS member FROM {lineitem} WHERE l_quantity < 9",
+)
+def _(t, sets):
+    return T.greedy_cover(sets.withColumn("score", F.col("item") % 7), "item", "member", 5, "score", at_once=8)
 
 
 @query(
@@ -59,6 +66,22 @@ def _(t):
     return plan.select("request", F.size("dim_a").alias("n_a"), F.size("dim_b").alias("n_b"), F.element_at("dim_a", 1).alias("first_a"), F.element_at("dim_b", 1).alias("first_b"))
 
 
+@query(
+    "T07_plan_requests",
+    """WITH RECURSIVE base AS (SELECT request, list_sort(list(DISTINCT flag)) AS flags, list_sort(list(DISTINCT part)) AS parts, list_sort(list(DISTINCT line)) AS lines FROM asked GROUP BY request),
+    plan AS (SELECT request, unnest(flags) AS flag, parts, lines, len(parts) AS np, len(lines) AS nl FROM base UNION ALL
+      SELECT request, flag, CASE WHEN len(lines) > 1 THEN parts WHEN half = 0 THEN parts[1:(len(parts) + 1) // 2] ELSE parts[(len(parts) + 1) // 2 + 1:] END,
+        CASE WHEN len(lines) <= 1 THEN lines WHEN half = 0 THEN lines[1:(len(lines) + 1) // 2] ELSE lines[(len(lines) + 1) // 2 + 1:] END, np, nl FROM
+      (SELECT *, unnest([0, 1]) AS half FROM plan WHERE len(parts) * len(lines) > 60 OR 20 + len(flag) + 6 + (CASE WHEN len(parts) = np THEN 0 ELSE 7 + CAST(list_sum(list_transform(parts, lambda c: len(replace(c, '#', '%23')))) AS BIGINT) + 3 * (len(parts) - 1) END) + (CASE WHEN len(lines) = nl THEN 0 ELSE 7 + CAST(list_sum(list_transform(lines, lambda c: len(c))) AS BIGINT) + 3 * (len(lines) - 1) END) > 300))
+    SELECT * FROM (SELECT request, flag, len(parts) AS n_parts, len(lines) AS n_lines, parts[1] AS first_part, lines[1] AS first_line, len(parts) * len(lines) AS cells, 20 + len(flag) + 6 + (CASE WHEN len(parts) = np THEN 0 ELSE 7 + CAST(list_sum(list_transform(parts, lambda c: len(replace(c, '#', '%23')))) AS BIGINT) + 3 * (len(parts) - 1) END) + (CASE WHEN len(lines) = nl THEN 0 ELSE 7 + CAST(list_sum(list_transform(lines, lambda c: len(c))) AS BIGINT) + 3 * (len(lines) - 1) END) AS length FROM plan) WHERE cells <= 60 AND length <= 300""",
+    asked="SELECT l_suppkey AS request, l_returnflag AS flag, concat('p#', CAST(l_partkey AS VARCHAR(9))) AS part, CAST(l_linenumber AS VARCHAR(9)) AS line FROM {lineitem}",
+)
+def _(t, asked):
+    whole = asked.groupBy("request").agg(*[F.sort_array(F.collect_set(c)).alias(f"{c}s") for c in ("flag", "part", "line")]).withColumnRenamed("flags", "flag")
+    plan = T.plan_requests(whole, "flag", ["parts", "lines"], "lines", 60, 300, "https://h.example/q?")
+    return plan.select("request", "flag", F.size("parts").alias("n_parts"), F.size("lines").alias("n_lines"), F.element_at("parts", 1).alias("first_part"), F.element_at("lines", 1).alias("first_line"), "cells", "length")
+
+
 @query(
     "T08_first_pass",
     """SELECT l_orderkey, min(CASE WHEN l_quantity > 25 THEN l_linenumber END) AS l_linenumber, count(*) AS attempts FROM lineitem GROUP BY l_orderkey""",

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from calado.operators import spatial as S
 from calado.plans._query import query
 from calado.plans.aggregate import CELLS, CIRCLE, POINTS
-from calado.plans.join import SITES, ZONES, diamonds
+from calado.plans.join import SITES, ZONES, diamonds, within_diamonds
 from calado.plans.sequence import PROFILE, RECTS
 
 # Orders of a customer as a line: points in order of key.
@@ -45,22 +45,48 @@ def _(t, sites):
     return S.strip_grid(sites, [-100.0, 0.0, 100.0], [-25.0, 25.0]).select("site", "along", "across", "px", "py")
 
 
-@query("G04_band_tiles")
-def _(t):
-    return S.band_tiles(S.segments(t.sql(LINES), ["line"], "seq"), "line", 15.0, 50.0)
+# Squared distances from a box's corner to a segment, and from a segment's end to a box; whether a segment enters the box.
+_CORNER = "(SELECT min(power({x} - ax - u * (bx - ax), 2) + power({y} - ay - u * (by_ - ay), 2)) FROM (SELECT greatest(0, least(1, (({x} - ax) * (bx - ax) + ({y} - ay) * (by_ - ay)) / nullif(length * length, 0))) AS u))"
+_END = "power(greatest(x0 - {x}, {x} - x0 - 50, 0), 2) + power(greatest(y0 - {y}, {y} - y0 - 50, 0), 2)"
 
 
-@query("G05_clip_area")
-def _(t):
-    rings = diamonds(t.sql(ZONES)).withColumn("k", F.lit(1))
+@query(
+    "G04_band_tiles",
+    "WITH " + _SEG + f""", near AS (SELECT s.*, tx, ty, tx * 50.0 AS x0, ty * 50.0 AS y0 FROM segs s, LATERAL (SELECT unnest(range(CAST(floor((least(ax, bx) - 15) / 50) AS BIGINT) - 1, CAST(floor((greatest(ax, bx) + 15) / 50) AS BIGINT) + 1)) AS tx), range(-2, 10) AS r(ty)),
+    d AS (SELECT line, tx, ty, least({_END.format(x="ax", y="ay")}, {_END.format(x="bx", y="by_")}) AS e, least({", ".join(_CORNER.format(x=x, y=y) for x in ("x0", "x0 + 50") for y in ("y0", "y0 + 50"))}) AS c,
+      greatest(0, CASE WHEN bx <> ax THEN least((x0 - ax) / (bx - ax), (x0 + 50 - ax) / (bx - ax)) WHEN ax BETWEEN x0 AND x0 + 50 THEN 0 ELSE 2 END, CASE WHEN by_ <> ay THEN least((y0 - ay) / (by_ - ay), (y0 + 50 - ay) / (by_ - ay)) WHEN ay BETWEEN y0 AND y0 + 50 THEN 0 ELSE 2 END) AS t0,
+      least(1, CASE WHEN bx <> ax THEN greatest((x0 - ax) / (bx - ax), (x0 + 50 - ax) / (bx - ax)) END, CASE WHEN by_ <> ay THEN greatest((y0 - ay) / (by_ - ay), (y0 + 50 - ay) / (by_ - ay)) END) AS t1 FROM near)
+    SELECT DISTINCT line, tx, ty FROM d WHERE t0 <= t1 OR sqrt(least(e, c)) <= 15""",
+    lines=LONG,
+)
+def _(t, lines):
+    return S.band_tiles(S.segments(lines, ["line"], "seq"), "line", 15.0, 50.0)
+
+
+# Area of a diamond of radius R where x is at least a, above its middle.
+_HALF = "(CASE WHEN {R} <= 0 OR {a} >= {R} THEN 0 WHEN {a} >= 0 THEN power({R} - {a}, 2) / 2 WHEN {a} >= -({R}) THEN power({R}, 2) - power({R} + {a}, 2) / 2 ELSE power({R}, 2) END)"
+
+
+@query(
+    "G05_clip_area",
+    f"""WITH c AS (SELECT zone, r, greatest(200 - x, x - 800) AS a, greatest(200 - y, y - 800) AS b FROM zones)
+    SELECT zone AS polygon_id, v AS area, v / (2 * r * r) AS share FROM (SELECT zone, r, CASE WHEN b >= 0 THEN {_HALF.format(R="r - b", a="a")} ELSE 2 * {_HALF.format(R="r", a="a")} - {_HALF.format(R="r + b", a="a")} END AS v FROM c)""",
+    zones=ZONES,
+)
+def _(t, zones):
+    rings = diamonds(zones).withColumn("k", F.lit(1))
     square = F.array(*[F.struct(F.lit(x).alias("x"), F.lit(y).alias("y")) for x, y in ((200.0, 200.0), (800.0, 200.0), (800.0, 800.0), (200.0, 800.0))])
     return S.clip_area(rings.select("polygon_id", "ring", square.alias("zone")), ["polygon_id"])
 
 
-@query("G06_overlap_length")
-def _(t):
-    segs = S.segments(t.sql(LINES), ["line"], "seq").select(F.col("line"), F.concat_ws("-", F.col("line"), F.round("s0", 3)).alias("edge_id"), "ax", "ay", "bx", "by")
-    inside = S.edge_exposure(segs.drop("line"), diamonds(t.sql(ZONES)), 50.0)
+@query(
+    "G06_overlap_length",
+    "WITH " + _SEG + ", " + within_diamonds("(SELECT concat_ws('-', line, seq) AS edge_id, ax, ay, bx, by_ FROM segs)") + " SELECT CAST(split_part(edge_id, '-', 1) AS BIGINT) AS line, sum(inside) AS inside FROM exposure GROUP BY 1",
+    lines=LONG, zones=ZONES,
+)
+def _(t, lines, zones):
+    segs = S.segments(lines, ["line"], "seq").select(F.col("line"), F.concat_ws("-", F.col("line"), F.round("s0", 3)).alias("edge_id"), "ax", "ay", "bx", "by")
+    inside = S.edge_exposure(segs.drop("line"), diamonds(zones), 50.0)
     return inside.join(segs.select("edge_id", "line"), "edge_id").groupBy("line").agg(F.sum("inside").alias("inside"))
 
 
@@ -151,9 +177,14 @@ def _(t, points):
     return S.uncertain_tiles(tiles, t("region").limit(1).select(made.alias("c")).select("c.*"), 10.0, 1500.0)
 
 
-@query("G12_country_split")
-def _(t):
-    segs = S.segments(t.sql(PROFILE).select("grp", "seq", "x", "y"), ["grp"], "seq")
+@query(
+    "G12_country_split",
+    """WITH s AS (SELECT grp, x AS ax, y AS ay, lead(x) OVER w AS bx, lead(y) OVER w AS by_ FROM profile WINDOW w AS (PARTITION BY grp ORDER BY seq)), l AS (SELECT grp, sqrt(power(bx - ax, 2) + power(by_ - ay, 2)) AS len, CASE WHEN ax = bx THEN CASE WHEN ax < 500 THEN 1.0 ELSE 0.0 END ELSE least(1.0, greatest(0.0, (500 - least(ax, bx)) / abs(bx - ax))) END AS west FROM s WHERE bx IS NOT NULL)
+    SELECT grp, 'west' AS country, sum(len * west) AS length_in FROM l WHERE west > 0 GROUP BY grp UNION ALL SELECT grp, 'east', sum(len * (1 - west)) FROM l WHERE west < 1 GROUP BY grp""",
+    profile=PROFILE,
+)
+def _(t, profile):
+    segs = S.segments(profile.select("grp", "seq", "x", "y"), ["grp"], "seq")
     edges = segs.select("grp", F.concat_ws("-", F.col("grp"), F.round("s0", 3)).alias("edge_id"), "ax", "ay", "bx", "by")
     corner = lambda x, y: F.struct(F.lit(x).alias("x"), F.lit(y).alias("y"))
     sides = [("west", -1000.0, 500.0), ("east", 500.0, 2000.0)]
