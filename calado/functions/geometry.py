@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column
+from pyspark.sql import Column, Window
 from pyspark.sql import functions as F
 
 
@@ -18,6 +18,15 @@ def bearing(dx: Column, dy: Column) -> Column:
     return F.pmod(F.degrees(F.atan2(dx, dy)), F.lit(360.0))
 
 
+def chord_bearing(s: Column, x: Column, y: Column, group: list[str], half: float) -> Column:
+    """Bearing of the chord from the first to the last sample within ``half`` of a row along its line, by chainage ``s`` to a thousandth; null where the window has no
+    length (F10)."""
+    reach = round(half * 1000)
+    w = Window.partitionBy(*group).orderBy(F.round(s * 1000).cast("long")).rangeBetween(-reach, reach)
+    dx, dy = F.last(x).over(w) - F.first(x).over(w), F.last(y).over(w) - F.first(y).over(w)
+    return F.when((dx != 0) | (dy != 0), bearing(dx, dy))
+
+
 def rotate(x: Column, y: Column, degrees: Column) -> tuple[Column, Column]:
     """(along, across) to (x, y) for a heading clockwise from north."""
     a = F.radians(degrees)

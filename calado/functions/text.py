@@ -164,7 +164,18 @@ def scalarish(value: Column) -> Column:
     return value.cast("string")
 
 
-def match_member(code: Column, allowed: Column, part: Column) -> Column:
-    """A returned code that is among the array ``allowed``; else the only allowed label that holds ``part``; else ``filter_ignored``."""
-    near = F.filter(allowed, lambda x: F.contains(x, part))
-    return F.when(F.array_contains(allowed, code), code).when(F.size(near) == 1, F.get(near, F.lit(0))).otherwise("filter_ignored")
+def compact(value: Column) -> Column:
+    """(type, bytes, sha256, keys) of a nested value as JSON text, in place of the value: array, object, text, number, boolean or null; keys of an
+    object joined by a bar; null stays null (F06)."""
+    head = F.substring(F.ltrim(value), 1, 1)
+    kind = F.when(head == "{", "object").when(head == "[", "array").when(head == '"', "text").when(F.trim(value).isin("true", "false"), "boolean").when(F.trim(value) == "null", "null").otherwise("number")
+    keys = F.array_join(F.json_object_keys(value), "|")
+    return F.when(value.isNotNull(), F.struct(kind.alias("type"), F.octet_length(value).cast("long").alias("bytes"), F.sha2(value, 256).alias("sha256"), keys.alias("keys")))
+
+
+def match_member(code: Column, allowed: Column, part: Column, strict: bool = False) -> Column:
+    """A returned code that is among the array ``allowed``; else the only allowed label that holds the label ``part`` or is held by it; else
+    ``filter_ignored``, or with ``strict`` an error, as the producer then gave what was not asked for (F08)."""
+    near = F.filter(allowed, lambda x: F.contains(x, part) | ((x != "") & F.contains(part, x)))
+    ignored = F.raise_error(F.concat(F.lit("the filter was ignored: "), F.coalesce(code.cast("string"), F.lit("null")))).cast("string") if strict else F.lit("filter_ignored")
+    return F.when(F.array_contains(allowed, code), code).when(F.size(near) == 1, F.get(near, F.lit(0))).otherwise(ignored)

@@ -241,6 +241,12 @@ def field_inventory(rows: DataFrame, fields: str, samples: int = 5) -> DataFrame
     )
 
 
+def schema_signatures(rows: DataFrame, fields: str) -> DataFrame:
+    """How many rows of a map column have each set of keys: (signature, keys, rows), keys in order and joined by a bar."""
+    keys = F.array_sort(F.map_keys(fields))
+    return rows.groupBy(F.array_join(keys, "|").alias("signature")).agg(F.first(F.size(fields)).alias("keys"), F.count(F.lit(1)).alias("rows"))
+
+
 def pair_overlap(sets: DataFrame, item: str, member: str) -> DataFrame:
     """For pairs of items that share members: (a, b, common, total, jaccard), a < b."""
     rows = sets.select(item, member).distinct()
@@ -330,6 +336,15 @@ def cell_frequency(paths: DataFrame, cell: list[str], variant: str, top: int | N
     return rows if top is None else rows.orderBy(F.col("variants").desc(), *cell).limit(top)
 
 
+def missing_ground(paths: DataFrame, ground: DataFrame, cell: list[str], variant: str, top: int | None = 25) -> DataFrame:
+    """Cells of the paths without a height in ``ground`` (``cell``, z): in how many variants each recurs, and whether in all; the ``top`` ones."""
+    known = ground.where("z IS NOT NULL").select(*cell).distinct()
+    n = paths.agg(F.count_distinct(variant).alias("_all"))
+    rows = paths.select(*cell, variant).join(known, cell, "left_anti").groupBy(*cell).agg(F.count_distinct(variant).alias("variants"))
+    rows = rows.join(F.broadcast(n)).withColumn("common", F.col("variants") == F.col("_all")).drop("_all")
+    return rows if top is None else rows.orderBy(F.col("variants").desc(), *cell).limit(top)
+
+
 def topk_hits(ranked: DataFrame, key: str, rank: str, k: int) -> DataFrame:
     """How often each option is among the first ``k`` of a ranking."""
     return ranked.groupBy(key).agg(F.count_if(F.col(rank) <= k).alias("hits"), F.count(F.lit(1)).alias("rankings"), F.min(rank).alias("best"))
@@ -429,8 +444,14 @@ def strict_mean(column: str) -> Column:
     return F.when(F.count(column) == F.count(F.lit(1)), F.avg(column))
 
 
-def scan_summary(requests: DataFrame, group: list[str], window: str, tile: str) -> DataFrame:
-    """Complete only if every window is; distinct tiles; windows."""
+def scan_summary(requests: DataFrame, group: list[str], window: str, tile: str, product: str | None = None) -> DataFrame:
+    """Complete only if every window is; distinct tiles; windows. With ``product`` also ``products``, and ``paired``, the tiles that all of the
+    group's products have."""
+    if product:
+        by_tile = requests.groupBy(*group, tile).agg(F.collect_set(product).alias("_p"))
+        held = by_tile.groupBy(*group).agg(F.size(F.array_distinct(F.flatten(F.collect_set("_p")))).alias("products"))
+        paired = by_tile.join(held, group).groupBy(*group).agg(F.first("products").alias("products"), F.count_if(F.size("_p") == F.col("products")).alias("paired"))
+        return scan_summary(requests, group, window, tile).join(paired, group)
     return requests.groupBy(*group).agg(F.bool_and("complete").alias("complete"), F.count_distinct(tile).alias("tiles"), F.count_distinct(window).alias("windows"))
 
 

@@ -61,8 +61,14 @@ def resolve_label(members: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def select_members(members: DataFrame, year: str | None = None, contains: str | None = None, codes: list[str] | None = None, level: str | None = None) -> DataFrame:
-    """Members by year in code or label, by part of the label, by codes, and by level; all given conditions hold."""
+    """Members by year in code or label, by part of the label, by codes, and by level; all given conditions hold. A code that no member has is an
+    error."""
     out = members
+    if codes is not None:
+        known = F.collect_set(F.when(F.col("code").isin(codes), F.col("code")))
+        unknown = F.array_except(F.array(*[F.lit(c) for c in codes]).cast("array<string>"), known.cast("array<string>"))
+        guard = members.agg(F.assert_true(F.size(unknown) == 0, F.concat(F.lit("unknown codes: "), F.array_join(unknown, ","))).alias("_ok"))
+        out = out.join(F.broadcast(guard)).where(F.col("_ok").isNull()).drop("_ok")
     if year:
         out = out.where(F.col("code").contains(year) | F.col("label").contains(year))
     if contains:
@@ -83,11 +89,21 @@ def tags_of(folded: Column, vocabulary: dict[str, list[str]]) -> Column:
     return F.array_compact(F.array(*[F.when(_any_of(folded, words), name) for name, words in sorted(vocabulary.items())]))
 
 
-def admit_rows(rows: DataFrame, text: str, vocabulary: dict[str, list[str]]) -> DataFrame:
-    """Add ``tags`` and ``status``: admitted with a number and a tag, candidate with either, else rejected."""
+def header_context(rows: DataFrame, table: list[str], order: str, text: str, headers: int = 2) -> DataFrame:
+    """The rows of each table below its first ``headers`` ones, whose texts they get as ``context``, joined by a bar."""
+    w = Window.partitionBy(*table).orderBy(order)
+    numbered = rows.withColumn("_i", F.row_number().over(w))
+    top = numbered.where(F.col("_i") <= headers).groupBy(*table).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_i", F.col(text).alias("t")))), lambda x: x["t"]), " | ").alias("context"))
+    return numbered.where(F.col("_i") > headers).drop("_i").join(top, table)
+
+
+def admit_rows(rows: DataFrame, text: str, vocabulary: dict[str, list[str]], context: str | None = None) -> DataFrame:
+    """Add ``tags`` and ``status``: admitted with a number and a tag, candidate with either, else rejected. Tags are of the text and, if given, of
+    the column ``context`` too; a number must be in the text."""
     number, tagged = F.col(text).rlike(NUMBER), F.size("_tags") > 0
     status = F.when(number & tagged, "admitted").when(number | tagged, "candidate").otherwise("rejected")
-    marked = rows.withColumn("_folded", fold(F.col(text))).withColumn("_tags", tags_of(F.col("_folded"), vocabulary))
+    whole = F.concat_ws(" ", context, text) if context else F.col(text)
+    marked = rows.withColumn("_folded", fold(whole)).withColumn("_tags", tags_of(F.col("_folded"), vocabulary))
     return marked.withColumns({"tags": F.array_join("_tags", "|"), "status": status}).drop("_tags", "_folded")
 
 
@@ -143,6 +159,21 @@ def scope_rows(lines: DataFrame, text: str, terms: list[str], places: list[str]
     return lines.where(ok & _any_of(t, places) if places else ok)
 
 
+def sentences(texts: DataFrame, text: str) -> DataFrame:
+    """One row a sentence, with its place ``sentence_no``, where a source has no lines: a full stop, question or exclamation mark and a blank part
+    them."""
+    return texts.select("*", F.posexplode(F.split(text, r"(?<=[.!?])[ \t\n\r\f]+", -1)).alias("sentence_no", "_s")).withColumn(text, F.col("_s")).drop("_s")
+
+
+def scope_by_profile(lines: DataFrame, source: str, text: str, profiles: dict[str, tuple[list[str], list[str] | None]]) -> DataFrame:
+    """Lines of the sources with a profile (terms, places or None): those with a number, one of the terms and, where the profile has places, one of
+    them. Sources without a profile have no rows."""
+    folded = lines.withColumn("_folded", fold(F.col(text)))
+    fits = lambda terms, places: _any_of(F.col("_folded"), terms) & (_any_of(F.col("_folded"), places) if places else F.lit(True))
+    kept = reduce(lambda a, b: a | b, [(F.col(source) == name) & fits(*p) for name, p in profiles.items()])
+    return folded.where(F.col(text).rlike(NUMBER) & kept).drop("_folded")
+
+
 def classify_first(text: Column, rules: list[tuple[str, str]]) -> Column:
     """The name of the first rule (name, keyword) whose keyword the folded text holds; null if none does."""
     t = fold(text)

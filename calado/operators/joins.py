@@ -204,8 +204,20 @@ def delta_vs_baseline(df: DataFrame, group: list[str], is_base: Column, columns:
     return df.withColumns({f"delta_{c}": F.col(c) - F.max(F.when(is_base, F.col(c))).over(w) for c in columns})
 
 
-def new_only(candidates: DataFrame, acquired: DataFrame, key: str) -> DataFrame:
-    """Candidates that are not acquired yet."""
+def delta_pairs(df: DataFrame, key: str, pairs: DataFrame, columns: list[str]) -> DataFrame:
+    """For declared ``pairs`` (variant, base) of keys: delta_<column>, the variant's value less the base's; null if either row or value is missing."""
+    side = lambda end: df.select(F.col(key).alias(end), *[F.col(c).alias(f"_{end}_{c}") for c in columns])
+    met = pairs.join(side("variant"), "variant", "left").join(side("base"), "base", "left")
+    return met.select("variant", "base", *[(F.col(f"_variant_{c}") - F.col(f"_base_{c}")).alias(f"delta_{c}") for c in columns])
+
+
+def new_only(candidates: DataFrame, acquired: DataFrame, key: str, reviewed: DataFrame | None = None) -> DataFrame:
+    """Candidates that are not acquired yet. With ``reviewed``, the keys whose overlap has been looked at, a candidate that is acquired and not
+    among them is an error."""
+    if reviewed is not None:
+        overlap = candidates.select(key).join(acquired.select(key), key, "left_semi").join(reviewed.select(key), key, "left_anti")
+        guard = overlap.agg(F.assert_true(F.count(F.lit(1)) == 0, F.concat(F.lit("unreviewed overlap, as "), F.min(F.col(key).cast("string")))).alias("_ok"))
+        candidates = candidates.join(F.broadcast(guard)).where(F.col("_ok").isNull()).drop("_ok")
     return candidates.join(acquired.select(key).distinct(), key, "left_anti")
 
 
@@ -215,14 +227,17 @@ def latest(df: DataFrame, key: list[str], order: list[str], value: list[str]) ->
     return df.groupBy(*key).agg(best).select(*key, *[F.col(f"_m.{c}") for c in [*order, *value]])
 
 
-def pick_source(points: DataFrame, tiles: DataFrame, width: float) -> DataFrame:
-    """Of all tiles that cover a point take the one with the nearest centre: (id, tile_id, sources, spread)."""
+def pick_source(points: DataFrame, tiles: DataFrame, width: float, tolerance: float = 0.0) -> DataFrame:
+    """Of all tiles that cover a point take the one with the nearest centre: (id, tile_id, sources, spread, disagreeing); the last counts tiles
+    whose value is further than ``tolerance`` from the one taken."""
     p = points.withColumns({"_cx": F.floor(F.col("x") / width), "_cy": F.floor(F.col("y") / width)})
     t = tiles.withColumn("_cx", _cells(F.col("xmin"), F.col("xmax"), width)).withColumn("_cy", _cells(F.col("ymin"), F.col("ymax"), width))
     met = p.join(t, ["_cx", "_cy"]).where(F.col("x").between(F.col("xmin"), F.col("xmax")) & F.col("y").between(F.col("ymin"), F.col("ymax")))
     d = F.pow(F.col("x") - (F.col("xmin") + F.col("xmax")) / 2, 2) + F.pow(F.col("y") - (F.col("ymin") + F.col("ymax")) / 2, 2)
-    best = F.min(F.struct(d.alias("d"), "tile_id")).alias("_m")
-    return met.groupBy("id").agg(best, F.count(F.lit(1)).alias("sources"), (F.max("z") - F.min("z")).alias("spread")).select("id", "_m.tile_id", "sources", "spread")
+    best = F.min(F.struct(d.alias("d"), "tile_id", "z")).alias("_m")
+    found = met.groupBy("id").agg(best, F.count(F.lit(1)).alias("sources"), (F.max("z") - F.min("z")).alias("spread"), F.collect_list("z").alias("_zs"))
+    apart = F.size(F.filter("_zs", lambda z: F.abs(z - F.col("_m.z")) > tolerance))
+    return found.select("id", "_m.tile_id", "sources", "spread", apart.alias("disagreeing"))
 
 
 def attach_meta(rows: DataFrame, meta: DataFrame, key: str, most_rows: int = 100_000) -> DataFrame:

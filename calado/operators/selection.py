@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from calado.operators.gates import require
 from calado.operators.storage import checkpointed
 
 
@@ -200,8 +201,10 @@ def first_pass(df: DataFrame, group: list[str], order: list[str], passed: Column
     return df.groupBy(*group).agg(F.min(F.when(passed, key)).alias("_m"), F.count(F.lit(1)).alias("attempts")).select(*group, *[F.col(f"_m.{c}") for c in columns], "attempts")
 
 
-def study_points(df: DataFrame, key: str, x: str, y: str) -> DataFrame:
-    """Keys by shared coordinates: (x, y, keys, n)."""
+def study_points(df: DataFrame, key: str, x: str, y: str, exact: int | None = None) -> DataFrame:
+    """Keys by shared coordinates: (x, y, keys, n). With ``exact`` another number of rows, or a key that repeats, is an error."""
+    if exact is not None:
+        df = require(df, {f"{exact} rows": F.count(F.lit(1)) == exact, "no repeated key": F.count_distinct(key) == F.count(F.lit(1))})
     return df.groupBy(x, y).agg(F.array_join(F.array_sort(F.collect_set(F.col(key).cast("string"))), ",").alias("keys"), F.count_distinct(key).alias("n"))
 
 
@@ -222,8 +225,10 @@ def set_audit(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
     return met.agg(both.alias("both"), only_a.alias("only_a"), only_b.alias("only_b"), (only_a == 0).alias("subset"), ((only_a == 0) & (only_b == 0)).alias("equal"))
 
 
-def assert_subset(sub: DataFrame, src: DataFrame, columns: list[str], key: str) -> DataFrame:
-    """One row: rows of ``sub`` that ``src`` lacks, counted as often as they are lacking, and repeated keys of ``sub``."""
+def assert_subset(sub: DataFrame, src: DataFrame, columns: list[str], key: str, geometry: str | None = None) -> DataFrame:
+    """One row: rows of ``sub`` that ``src`` lacks, counted as often as they are lacking, repeated keys of ``sub`` and, given the column
+    ``geometry``, how many of its rows have none."""
     lacking = sub.select(columns).exceptAll(src.select(columns)).agg(F.count(F.lit(1)).alias("lacking"))
     repeated = sub.groupBy(key).count().where("count > 1").agg(F.count(F.lit(1)).alias("repeated_keys"))
-    return lacking.crossJoin(repeated)
+    out = lacking.join(F.broadcast(repeated))
+    return out if geometry is None else out.join(F.broadcast(sub.agg(F.count_if(F.col(geometry).isNull()).alias("null_geometry"))))

@@ -197,6 +197,13 @@ def _(t):
     return A.field_inventory(rows, "m")
 
 
+@query("A15_schema_signatures", "SELECT signature, CAST(len(string_split(signature, '|')) AS INTEGER) AS keys, count(*) AS rows FROM (SELECT concat_ws('|', CASE WHEN o_custkey % 3 = 0 THEN 'clerk' END, 'key', CASE WHEN o_orderkey % 2 = 0 THEN 'status' END) AS signature FROM orders) GROUP BY 1")
+def _(t):
+    maybe = lambda ok, name: F.when(ok, F.array(F.struct(F.lit(name).alias("k"), F.lit("v").alias("v")))).otherwise(F.array().cast("array<struct<k:string,v:string>>"))
+    fields = F.map_from_entries(F.concat(maybe(F.col("o_orderkey") % 2 == 0, "status"), maybe(F.lit(True), "key"), maybe(F.col("o_custkey") % 3 == 0, "clerk")))
+    return A.schema_signatures(t("orders").select(fields.alias("m")), "m")
+
+
 BASKETS = "SELECT DISTINCT l_suppkey % 60 AS item, l_partkey % 300 AS member FROM {lineitem}"
 _PAIRS = """WITH n AS (SELECT item, count(*) AS n FROM sets GROUP BY item), c AS (SELECT a.item AS a, b.item AS b, count(*) AS common FROM sets a JOIN sets b ON a.member = b.member AND a.item < b.item GROUP BY 1, 2)
     SELECT a, b, common, na.n + nb.n - common AS total, common / (na.n + nb.n - common) AS jaccard FROM c JOIN n na ON na.item = a JOIN n nb ON nb.item = b"""
@@ -223,6 +230,11 @@ def _(t, steps):
     return A.cell_frequency(steps, ["x", "y"], "route")
 
 
+@query("A17_missing_ground", "SELECT s.x, s.y, count(DISTINCT route) AS variants, count(DISTINCT route) = (SELECT count(DISTINCT route) FROM steps) AS common FROM steps s LEFT JOIN grid g ON s.x = g.x AND s.y = g.y AND g.z IS NOT NULL WHERE g.x IS NULL GROUP BY s.x, s.y", steps=STEPS, grid=GRID)
+def _(t, steps, grid):
+    return A.missing_ground(steps, grid, ["x", "y"], "route", top=None)
+
+
 @query("A18_topk_hits", "SELECT option_id, count(*) FILTER (rank <= 8) AS hits, count(*) AS rankings, min(rank) AS best FROM (SELECT l_partkey AS option_id, row_number() OVER (PARTITION BY l_suppkey ORDER BY l_extendedprice, l_orderkey, l_linenumber) AS rank FROM lineitem) GROUP BY option_id")
 def _(t):
     from pyspark.sql import Window
@@ -336,6 +348,17 @@ def _(t, rects):
     return A.scan_summary(rows, ["scan"], "win", "tile_id")
 
 
+@query(
+    "A27_paired_products",
+    """WITH p AS (SELECT scan, tile_id % 200 AS tile, ymin, CAST(xmin AS BIGINT) % 3 AS product FROM rects), n AS (SELECT scan, count(DISTINCT product) AS products FROM p GROUP BY scan), m AS (SELECT scan, tile, count(DISTINCT product) AS k FROM p GROUP BY 1, 2)
+    SELECT p.scan, bool_and(p.tile < 195) AS complete, count(DISTINCT p.tile) AS tiles, count(DISTINCT CAST(ymin AS BIGINT)) AS windows, CAST(any_value(n.products) AS INTEGER) AS products, any_value((SELECT count(*) FROM m WHERE m.scan = n.scan AND m.k = n.products)) AS paired FROM p JOIN n ON n.scan = p.scan GROUP BY p.scan""",
+    rects=RECTS,
+)
+def _(t, rects):
+    rows = rects.select("scan", (F.col("tile_id") % 200).alias("tile"), F.col("ymin").cast("long").alias("win"), (F.col("xmin").cast("long") % 3).alias("product"))
+    return A.scan_summary(rows.withColumn("complete", F.col("tile") < 195), ["scan"], "win", "tile", "product")
+
+
 @query(
     "A28_measure_routes",
     """WITH r AS (SELECT s.route, s.seq, s.x, s.y, g.z, g.relief FROM steps s LEFT JOIN grid g ON s.x = g.x AND s.y = g.y), d AS (SELECT *, sqrt(power(x - lag(x) OVER w, 2) + power(y - lag(y) OVER w, 2)) AS d, abs(z - lag(z) OVER w) AS s FROM r WINDOW w AS (PARTITION BY route ORDER BY seq))

@@ -74,6 +74,17 @@ def _(t):
     return P.admit_rows(lines, "text", VOCABULARY).select("doc_id", "pos", "tags", "status")
 
 
+@query(
+    "P06_admit_table_rows",
+    f"""WITH l AS (SELECT conv_id, turn, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS i FROM said), h AS (SELECT conv_id, string_agg(text, ' | ' ORDER BY i) AS context FROM l WHERE i <= 2 GROUP BY conv_id),
+    g AS (SELECT conv_id, turn, {_sql_tags("strip_accents(lower(replace(context || ' ' || text, 'ß', 'ss')))")} AS tags, regexp_matches(text, '[0-9]') AS num FROM l JOIN h USING (conv_id) WHERE i > 2)
+    SELECT conv_id, turn, tags, CASE WHEN num AND tags <> '' THEN 'admitted' WHEN num OR tags <> '' THEN 'candidate' ELSE 'rejected' END AS status FROM g""",
+    said=LINES,
+)
+def _(t, said):
+    return P.admit_rows(P.header_context(said, ["conv_id"], "turn", "text"), "text", VOCABULARY, "context").select("conv_id", "turn", "tags", "status")
+
+
 # An order's lines as the lines of a page: two numbers each, or a heading.
 PRINTED = "SELECT l_orderkey AS page, l_linenumber AS line_no, CASE WHEN l_returnflag = 'R' AND l_linenumber = 1 THEN concat(' Tabela ', l_orderkey) WHEN l_returnflag = 'A' AND l_linestatus = 'O' THEN 'no number here' ELSE concat(CAST(l_quantity AS BIGINT), ' of ', l_partkey, CASE WHEN l_linestatus = 'F' THEN ' by truck' ELSE ' by rail' END) END AS text FROM {lineitem}"
 
@@ -110,6 +121,15 @@ def _(t, printed):
     return P.scope_rows(printed, "text", ["truck", "tabela"], ["7", "by"]).select("page", "line_no")
 
 
+@query(
+    "P08_scope_by_profile",
+    f"""WITH s AS (SELECT doc_id, source, generate_subscripts(p, 1) - 1 AS sentence_no, unnest(p) AS text FROM (SELECT doc_id, source, string_split(regexp_replace(text, '([.!?])[ \t\n\r\f]+', '\1' || chr(7), 'g'), chr(7)) AS p FROM documents))
+    SELECT doc_id, CAST(sentence_no AS INTEGER) AS sentence_no FROM s WHERE regexp_matches(text, '[0-9]') AND (source = 'src1' AND contains({_FOLD}, 'an') OR source = 'src2' AND contains({_FOLD}, 'th') AND (contains({_FOLD}, 'ion') OR contains({_FOLD}, 'eau')))""",
+)
+def _(t):
+    return P.scope_by_profile(P.sentences(t("documents"), "text"), "source", "text", {"src1": (["an"], None), "src2": (["th"], ["ion", "eau"])}).select("doc_id", "sentence_no")
+
+
 @query("P09_classify_metric_unit", f"SELECT conv_id, turn, CASE WHEN contains({_FOLD}, 'tion') THEN 'movement' WHEN contains({_FOLD}, 'eau') THEN 'water' END AS metric, CASE WHEN contains({_FOLD}, ' km') THEN 'km' WHEN contains({_FOLD}, 'the') THEN 'count' END AS unit FROM lines", lines=LINES)
 def _(t, lines):
     return lines.select("conv_id", "turn", P.classify_first(F.col("text"), [("movement", "tion"), ("water", "eau")]).alias("metric"), P.classify_first(F.col("text"), [("km", " km"), ("count", "the")]).alias("unit"))

@@ -137,9 +137,18 @@ def _(t):
     return J.delta_vs_baseline(t("lineitem"), ["l_orderkey"], F.col("l_linenumber") == 1, ["l_extendedprice"]).select("l_orderkey", "l_linenumber", "delta_l_extendedprice")
 
 
+@query(
+    "J13_delta_pairs",
+    "WITH k AS (SELECT o_orderkey AS variant, o_orderkey - o_orderkey % 7 AS base FROM orders WHERE o_orderkey % 7 > 0) SELECT variant, base, v.o_totalprice - b.o_totalprice AS delta_o_totalprice FROM k LEFT JOIN (SELECT * FROM orders WHERE o_orderkey % 5 > 0) v ON v.o_orderkey = variant LEFT JOIN (SELECT * FROM orders WHERE o_orderkey % 5 > 0) b ON b.o_orderkey = base",
+)
+def _(t):
+    pairs = t("orders").where("o_orderkey % 7 > 0").selectExpr("o_orderkey AS variant", "o_orderkey - o_orderkey % 7 AS base")
+    return J.delta_pairs(t("orders").where("o_orderkey % 5 > 0"), "o_orderkey", pairs, ["o_totalprice"])
+
+
 @query("J14_new_only", "SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_totalprice > 400000)")
 def _(t):
-    return J.new_only(t("customer").select("c_custkey", "c_name"), t("orders").where("o_totalprice > 400000").select(F.col("o_custkey").alias("c_custkey")), "c_custkey")
+    return J.new_only(t("customer").select("c_custkey", "c_name"), t("orders").where("o_totalprice > 400000").select(F.col("o_custkey").alias("c_custkey")), "c_custkey", t("customer").select("c_custkey"))
 
 
 @query("J15_latest", "SELECT o_custkey, o_orderdate, o_orderkey, o_totalprice FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS i FROM orders) WHERE i = 1")
@@ -149,11 +158,11 @@ def _(t):
 
 @query(
     "J16_pick_source",
-    """SELECT id, first(tile_id ORDER BY power(x - (xmin + xmax) / 2, 2) + power(y - (ymin + ymax) / 2, 2), tile_id) AS tile_id, count(*) AS sources, max(z) - min(z) AS spread FROM points p JOIN (SELECT *, tile_id % 31 AS z FROM rects) r ON p.x BETWEEN xmin AND xmax AND p.y BETWEEN ymin AND ymax GROUP BY id""",
+    """SELECT id, first(tile_id ORDER BY power(x - (xmin + xmax) / 2, 2) + power(y - (ymin + ymax) / 2, 2), tile_id) AS tile_id, count(*) AS sources, max(z) - min(z) AS spread, CAST(len(list_filter(list(z), lambda v: abs(v - first(z ORDER BY power(x - (xmin + xmax) / 2, 2) + power(y - (ymin + ymax) / 2, 2), tile_id)) > 5)) AS INTEGER) AS disagreeing FROM points p JOIN (SELECT *, tile_id % 31 AS z FROM rects) r ON p.x BETWEEN xmin AND xmax AND p.y BETWEEN ymin AND ymax GROUP BY id""",
     points=POINTS, rects=RECTS,
 )
 def _(t, points, rects):
-    return J.pick_source(points, rects.withColumn("z", F.col("tile_id") % 31), 50.0)
+    return J.pick_source(points, rects.withColumn("z", F.col("tile_id") % 31), 50.0, 5.0)
 
 
 @query("J17_attach_meta", "SELECT c_custkey, n_name FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey")

@@ -10,7 +10,7 @@ from calado.functions import geometry as G
 from calado.functions import text as X
 from calado.plans._query import query
 from calado.plans.gate import _FOLD
-from calado.plans.sequence import LINES, OPTIONS
+from calado.plans.sequence import OPTIONS, PROFILE
 
 _SPELLED = "replace(replace(text, 'ß', 'ss'), 'ﬁ', 'fi')"
 
@@ -65,10 +65,11 @@ def _(t):
     )
 
 
-@query("F06_scalarish", "SELECT event_id, json_extract_string(props, '$.k') AS k, length(props) AS bytes, sha256(props) AS digest FROM events")
+@query("F06_scalarish", "SELECT event_id, json_extract_string(props, '$.k') AS k, 'object' AS type, length(props) AS bytes, sha256(props) AS digest, array_to_string(json_keys(props), '|') AS keys FROM events")
 def _(t):
     v = F.parse_json("props")
-    return t("events").select("event_id", X.scalarish(F.variant_get(v, "$.k", "int")).alias("k"), F.length("props").cast("long").alias("bytes"), F.sha2("props", 256).alias("digest"))
+    rows = t("events").select("event_id", X.scalarish(F.variant_get(v, "$.k", "int")).alias("k"), X.compact(F.col("props")).alias("c"))
+    return rows.select("event_id", "k", "c.type", "c.bytes", F.col("c.sha256").alias("digest"), "c.keys")
 
 
 @query(
@@ -103,6 +104,16 @@ def _(t, options):
     return options.select("option_id", G.bearing(F.col("residents") - 500, F.col("length_km") - 200).alias("bearing"))
 
 
+@query(
+    "F10_chord_bearing",
+    """SELECT grp, seq, CASE WHEN dx <> 0 OR dy <> 0 THEN d - 360 * floor(d / 360) END AS bearing FROM (SELECT *, degrees(atan2(dx, dy)) AS d FROM (SELECT grp, seq, last_value(x) OVER w - first_value(x) OVER w AS dx, last_value(y) OVER w - first_value(y) OVER w AS dy FROM profile
+    WINDOW w AS (PARTITION BY grp ORDER BY s RANGE BETWEEN 75 PRECEDING AND 75 FOLLOWING)))""",
+    profile=PROFILE,
+)
+def _(t, profile):
+    return profile.select("grp", "seq", G.chord_bearing(F.col("s"), F.col("x"), F.col("y"), ["grp"], 75.0).alias("bearing"))
+
+
 @query("F11_stop_penalty", "SELECT option_id, (speed * 2.0) / 1.0 + (speed * 2.0) / 1.0 + 120 AS seconds FROM options", options=OPTIONS)
 def _(t, options):
     return options.select("option_id", G.stop_penalty(F.col("speed") * 2.0).alias("seconds"))

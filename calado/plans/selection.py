@@ -116,9 +116,10 @@ def _(t):
     return T.set_audit(t("orders").select(F.col("o_custkey").alias("k")), t("customer").where("c_acctbal > 0").select(F.col("c_custkey").alias("k")), "k")
 
 
-@query("U03_assert_subset", "SELECT (SELECT count(*) FROM (SELECT o_orderkey, o_custkey FROM orders EXCEPT ALL SELECT o_orderkey, o_custkey FROM orders WHERE o_orderkey % 9 <> 0)) AS lacking, (SELECT count(*) FROM (SELECT o_orderkey FROM orders GROUP BY 1 HAVING count(*) > 1)) AS repeated_keys")
+@query("U03_assert_subset", "SELECT (SELECT count(*) FROM (SELECT o_orderkey, o_custkey FROM orders EXCEPT ALL SELECT o_orderkey, o_custkey FROM orders WHERE o_orderkey % 9 <> 0)) AS lacking, (SELECT count(*) FROM (SELECT o_orderkey FROM orders GROUP BY 1 HAVING count(*) > 1)) AS repeated_keys, (SELECT count(*) FROM orders WHERE o_totalprice < 5000) AS null_geometry")
 def _(t):
-    return T.assert_subset(t("orders"), t("orders").where("o_orderkey % 9 <> 0"), ["o_orderkey", "o_custkey"], "o_orderkey")
+    orders = t("orders").withColumn("geom", F.when(F.col("o_totalprice") >= 5000, "POINT(1 1)"))
+    return T.assert_subset(orders, t("orders").where("o_orderkey % 9 <> 0"), ["o_orderkey", "o_custkey"], "o_orderkey", "geom")
 
 
 @query("U04_jaccard", _PAIRS.replace("common / (na.n", "common / (na.n"), sets="SELECT DISTINCT o_custkey % 40 AS item, o_orderkey % 500 AS member FROM {orders}")

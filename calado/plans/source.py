@@ -129,7 +129,7 @@ def _(t):
 def _(t):
     k = F.col("event_id") % 3
     body = F.when(k == 0, '{"a":{"b":[1,2,3]}}').when(k == 1, '{"a":{"b":{"c":1}}}').otherwise('{"a":{}}')
-    return S.json_path(t("events").select("event_id", body.alias("body")), "body", "a.b", 2).select("event_id", "records", "enough")
+    return S.json_path(t("events").select("event_id", body.alias("body")), "body", "a.b", 2, top="object").select("event_id", "records", "enough")
 
 
 @query("S11_html_tables", "SELECT n_regionkey AS page_id, CAST(n_regionkey % 2 AS INTEGER) AS table_no, CAST(row_number() OVER (PARTITION BY n_regionkey ORDER BY n_nationkey) AS INTEGER) AS row_no, n_name || ' & <co>|' || n_nationkey AS cells FROM nation")
@@ -255,13 +255,15 @@ def _(t):
 
 @query(
     "S21_survey_marks",
-    """SELECT s_suppkey, CASE WHEN s_suppkey % 11 = 0 THEN NULL ELSE s_suppkey % 3000 + 0.5 END AS height, CASE WHEN x NOT BETWEEN 100 AND 900 THEN 'outside' WHEN s_suppkey % 7 = 0 THEN 'geometry_differs' WHEN s_suppkey % 11 = 0 THEN 'height_unreadable' WHEN s_suppkey % 3000 + 0.5 > 2500 THEN 'height_range' WHEN s_suppkey % 13 = 0 THEN 'undulation' END AS reason FROM (SELECT *, CAST((s_suppkey * 211) % 1009 AS DOUBLE) AS x FROM supplier)""",
+    """SELECT s_suppkey, CASE WHEN s_suppkey % 11 = 0 THEN NULL ELSE s_suppkey % 3000 + 0.5 END AS height, CASE WHEN x NOT BETWEEN 100 AND 900 THEN 'outside' WHEN s_suppkey % 7 = 0 THEN 'geometry_differs' WHEN s_suppkey % 11 = 0 THEN 'height_unreadable' WHEN s_suppkey % 3000 + 0.5 > 2500 THEN 'height_range' WHEN s_suppkey % 13 = 0 THEN 'undulation' END AS reason,
+    CASE WHEN s_suppkey % 3 = 0 THEN 'M' || s_suppkey ELSE 'local:' || left(sha256(s_suppkey || chr(31) || CASE WHEN s_suppkey % 11 = 0 THEN '12.5' ELSE (s_suppkey % 3000) || ',5' END), 16) END AS mark_key FROM (SELECT *, CAST((s_suppkey * 211) % 1009 AS DOUBLE) AS x FROM supplier)""",
 )
 def _(t):
     k = F.col("s_suppkey")
     x = ((k * 211) % 1009).cast("double")
     marks = t("supplier").select("s_suppkey", x.alias("x"), F.lit(5.0).alias("y"), (x + F.when(k % 7 == 0, 0.5).otherwise(0.0)).alias("attr_x"), F.lit(5.0).alias("attr_y"), F.when(k % 11 == 0, "12.5").otherwise(F.concat((k % 3000).cast("string"), F.lit(",5"))).alias("height_raw"), (k % 3000 + 0.5 + F.when(k % 13 == 0, 90).otherwise(55)).alias("h_ellipsoidal"))
-    return S.survey_marks(marks, (100.0, 0.0, 900.0, 10.0)).select("s_suppkey", "height", "reason")
+    marks = marks.withColumn("official", F.when(k % 3 == 0, F.concat(F.lit("M"), k)).when(k % 3 == 1, " "))
+    return S.survey_marks(marks, (100.0, 0.0, 900.0, 10.0), "official", ["s_suppkey", "height_raw"]).select("s_suppkey", "height", "reason", "mark_key")
 
 
 @query("S22_sparql_rows", "SELECT n_regionkey AS response, CAST(row_number() OVER (PARTITION BY n_regionkey ORDER BY n_nationkey) - 1 AS INTEGER) AS row_no, 'name' AS binding, n_name AS value FROM nation")
@@ -306,6 +308,21 @@ def _(t):
     return S.tile_index(boxes, listed)
 
 
+@query(
+    "S24_unverified_tiles",
+    """WITH b AS (SELECT s_suppkey AS box, CAST(s_suppkey % 60 - 30 AS BIGINT) AS x, CAST(s_suppkey % 40 - 20 AS BIGINT) AS y FROM supplier), c AS (SELECT box, x AS lon, y AS lat FROM b)
+    SELECT box, CASE WHEN lat >= 0 THEN 'N' ELSE 'S' END || lpad(CAST(abs(lat) AS VARCHAR), 2, '0') || CASE WHEN lon >= 0 THEN 'E' ELSE 'W' END || lpad(CAST(abs(lon) AS VARCHAR), 3, '0') AS tile, CASE WHEN lat = 5 AND lon >= 0 THEN 'listed' WHEN lat >= 0 AND lon >= 0 THEN 'not_listed' ELSE 'unverified' END AS status FROM c""",
+)
+def _(t):
+    k = F.col("s_suppkey")
+    x, y = (k % 60 - 30).cast("double"), (k % 40 - 20).cast("double")
+    boxes = t("supplier").select(k.alias("box"), x.alias("xmin"), y.alias("ymin"), (x + 1).alias("xmax"), (y + 1).alias("ymax"))
+    name = lambda lat: F.concat(F.lit("N"), F.lpad(lat.cast("string"), 2, "0"), F.lit("E"), F.lpad((F.col("c_custkey") % 60).cast("string"), 3, "0"))
+    listed = t("customer").select(name(F.lit(5)).alias("tile"))
+    read = t("customer").withColumn("_n", F.explode(F.sequence(F.lit(0), F.lit(20)))).select(name(F.col("_n")).alias("tile"))
+    return S.tile_index(boxes, listed, read)
+
+
 @query("S25_road_ways", "SELECT o_custkey AS way, count(*) AS points FROM orders GROUP BY 1 HAVING count(*) BETWEEN 2 AND 5000 AND o_custkey % 3 <> 0")
 def _(t):
     ways = t("orders").groupBy(F.col("o_custkey").alias("way")).agg(F.collect_list(F.struct("o_orderkey", "o_totalprice")).alias("points"))

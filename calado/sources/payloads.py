@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from calado.functions.text import fold, unescape
+from calado.functions.text import canon_hash, fold, unescape
 from calado.operators.storage import checkpointed
 
 
@@ -191,8 +191,13 @@ def _children(level: DataFrame) -> DataFrame:
     )
 
 
-def json_path(df: DataFrame, body: str, path: str, min_records: int) -> DataFrame:
-    """Add ``records`` at a dotted path (list length; 1 for an object; null if absent) and ``enough``."""
+def json_path(df: DataFrame, body: str, path: str, min_records: int, top: str | None = None) -> DataFrame:
+    """Add ``records`` at a dotted path (list length; 1 for an object; null if absent) and ``enough``. With ``top`` (array or object) a body of
+    another kind, or no JSON, is an error."""
+    if top:
+        kind = F.regexp_extract(F.regexp_extract(F.schema_of_variant(F.try_parse_json(body)), "^[A-Z]+", 0), "ARRAY|OBJECT", 0)
+        wrong = F.raise_error(F.concat(F.lit(f"a body is no {top}: "), F.coalesce(F.substring(body, 1, 40), F.lit("null"))))
+        df = df.withColumn(body, F.when(F.lower(kind) == top, F.col(body)).otherwise(wrong))
     at = F.get_json_object(body, "$." + path)
     n = F.when(at.startswith("["), F.json_array_length(at)).when(at.startswith("{"), 1)
     return df.withColumns({"records": n, "enough": F.coalesce(n >= min_records, F.lit(False))})
@@ -525,8 +530,9 @@ def footprints(items: DataFrame, window: tuple[float, float, float, float]) -> D
     return rows.select("tile_id", *names, F.when(F.col("_u").isNull(), "invalid").when(meets, "kept").otherwise("outside").alias("status"))
 
 
-def survey_marks(marks: DataFrame, box: tuple[float, float, float, float]) -> DataFrame:
-    """Add ``height`` from its raw text with a strict comma decimal, and ``reason``, null for a valid mark."""
+def survey_marks(marks: DataFrame, box: tuple[float, float, float, float], official: str | None = None, hash_of: list[str] | None = None) -> DataFrame:
+    """Add ``height`` from its raw text with a strict comma decimal, and ``reason``, null for a valid mark. With ``hash_of`` also ``mark_key``: the
+    ``official`` id, or where that is null or blank "local:" and the first 16 digits of a hash of these columns."""
     height = F.when(F.col("height_raw").rlike(r"^-?\d{1,4}(,\d{1,4})?$"), F.replace("height_raw", F.lit(","), F.lit(".")).try_cast("double"))
     rows = marks.withColumn("height", height)
     inside = F.col("x").between(box[0], box[2]) & F.col("y").between(box[1], box[3])
@@ -536,7 +542,11 @@ def survey_marks(marks: DataFrame, box: tuple[float, float, float, float]) -> Da
         F.when(~F.coalesce(inside, F.lit(False)), "outside").when(apart > 0.002, "geometry_differs").when(F.col("height").isNull(), "height_unreadable")
         .when(~F.col("height").between(-10, 2500), "height_range").when(~undulation.between(30, 80), "undulation")
     )
-    return rows.withColumn("reason", reason)
+    rows = rows.withColumn("reason", reason)
+    if not hash_of:
+        return rows
+    named = F.nullif(F.trim(F.col(official).cast("string")), F.lit("")) if official else F.lit(None).cast("string")
+    return rows.withColumn("mark_key", F.coalesce(named, F.concat(F.lit("local:"), F.substring(canon_hash(*[F.col(c) for c in hash_of]), 1, 16))))
 
 
 def sparql_rows(responses: DataFrame, most: int) -> DataFrame:
@@ -610,13 +620,17 @@ def schema_fields(files: DataFrame, height: str = "alt|cota|ort|nivel|height|z_"
     return files.select("file", F.posexplode(names).alias("position", "field")).where("field <> ''").withColumn("is_height", F.lower("field").rlike(height))
 
 
-def tile_index(boxes: DataFrame, available: DataFrame) -> DataFrame:
-    """One-degree cells of each box with their name and status listed or not_listed."""
+def tile_index(boxes: DataFrame, available: DataFrame, verified: DataFrame | None = None) -> DataFrame:
+    """One-degree cells of each box with their name and status listed or not_listed; given the tiles that a listing was read for (``verified``),
+    a tile that is neither among them nor listed is unverified."""
     rows = boxes.withColumn("lon", F.explode(F.sequence(F.floor("xmin"), F.ceil("xmax") - 1))).withColumn("lat", F.explode(F.sequence(F.floor("ymin"), F.ceil("ymax") - 1)))
     name = F.concat(F.when(F.col("lat") >= 0, "N").otherwise("S"), F.lpad(F.abs("lat").cast("string"), 2, "0"), F.when(F.col("lon") >= 0, "E").otherwise("W"), F.lpad(F.abs("lon").cast("string"), 3, "0"))
     rows = rows.withColumn("tile", name)
     met = rows.join(available.select("tile", F.lit(1).alias("_l")).distinct(), "tile", "left")
-    return met.select("box", "tile", F.when(F.col("_l") == 1, "listed").otherwise("not_listed").alias("status"))
+    if verified is not None:
+        met = met.join(verified.select("tile", F.lit(1).alias("_v")).distinct(), "tile", "left")
+    known = F.col("_v").isNotNull() if verified is not None else F.lit(True)
+    return met.select("box", "tile", F.when(F.col("_l") == 1, "listed").when(known, "not_listed").otherwise("unverified").alias("status"))
 
 
 def road_ways(ways: DataFrame, classes: list[str]) -> DataFrame:
