@@ -14,36 +14,41 @@ from pyspark.sql import functions as F
 from calado.llm._shared import materialise
 
 _U = np.uint64
-_WORDS_KEPT = 500_000
-_word_codes: dict[bytes, int] = {}
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser (multiply and shift)."""
-    x = (x ^ (x >> _U(33))) * _U(0xFF51AFD7ED558CCD)
-    x = (x ^ (x >> _U(33))) * _U(0xC4CEB9FE1A85EC53)
-    return x ^ (x >> _U(33))
+    x = x ^ (x >> _U(33))
+    x *= _U(0xFF51AFD7ED558CCD)
+    x ^= x >> _U(33)
+    x *= _U(0xC4CEB9FE1A85EC53)
+    x ^= x >> _U(33)
+    return x
 
 
-def _code(word: bytes) -> int:
-    import xxhash
+#: Bytes that part words.
+_BLANK_BYTES = np.isin(np.arange(256), list(b" \t\n\r\x0b\x0c"))
 
-    if len(_word_codes) > _WORDS_KEPT:
-        _word_codes.clear()
-    _word_codes[word] = code = xxhash.xxh3_64_intdigest(word)
-    return code
+
+def word_codes(text: bytes) -> np.ndarray:
+    """A 64-bit code of each word: the mixed sum of its bytes' codes, each mixed with its place in the word."""
+    data = np.frombuffer(text, np.uint8)
+    at = np.flatnonzero(~_BLANK_BYTES[data])
+    if not len(at):
+        return np.empty(0, _U)
+    first = np.flatnonzero(np.diff(at, prepend=-2) > 1)
+    place = at - np.repeat(at[first], np.diff(first, append=len(at)))
+    return _mix(np.add.reduceat(_mix((place.astype(_U) << _U(8)) + data[at] + _U(1)), first))
 
 
 def shingles(text: str | None, width: int = 5) -> tuple[np.ndarray, np.ndarray]:
     """(codes, counts) of the windows of ``width`` words; a shorter text is one window; no words, no windows."""
-    words = text.encode().split() if text else []
-    if not words:
-        return np.empty(0, _U), np.empty(0, np.int64)
-    known = _word_codes.get
-    codes = np.fromiter((known(w) or _code(w) for w in words), _U, len(words))
-    n = max(len(words) - width + 1, 1)
+    codes = word_codes(text.encode()) if text else np.empty(0, _U)
+    if not len(codes):
+        return codes, np.empty(0, np.int64)
+    n = max(len(codes) - width + 1, 1)
     mixed = np.zeros(n, _U)
-    for j in range(min(width, len(words))):
+    for j in range(min(width, len(codes))):
         mixed = _mix(mixed + codes[j : j + n] + _U(j + 1))
     return np.unique(mixed, return_counts=True)
 
@@ -53,26 +58,29 @@ def prob_min_hash(codes: np.ndarray, weights: np.ndarray, m: int) -> np.ndarray:
 
     Every element arrives as a Poisson process of its weight's rate, each arrival at a random register; a register keeps
     the element of its first arrival. Two sets keep the same element with their probability Jaccard similarity. An element
-    stops when its next arrival is later than every register's; few elements go on beyond a round.
+    stops when its next arrival is later than every register's; few elements go on beyond a round, so later rounds make several arrivals at once.
     """
     first = np.full(m, np.inf)
     kept = np.zeros(m, _U)
     each = max(1, -(-3 * m // len(codes)))
-    live, rate, now, round_ = codes, weights.astype(np.float64), np.zeros(len(codes)), 0
+    live, rate, now, made = codes, weights.astype(np.float64), np.zeros(len(codes)), 0
     while len(live):
-        k = np.arange(round_ * each + 1, (round_ + 1) * each + 1, dtype=_U)
+        k = np.arange(made + 1, made + each + 1, dtype=_U)
         draw = _mix(live[:, None] + k[None, :] * _U(0x9E3779B97F4A7C15))
         wait = -np.log(((draw >> _U(11)).astype(np.float64) + 0.5) * 2.0**-53)
         times = now[:, None] + np.cumsum(wait, axis=1) / rate[:, None]
         register = (_mix(draw) % _U(m)).astype(np.int64)
         at, t, who = register.ravel(), times.ravel(), np.repeat(live, each)
-        soon = t < first.max()
-        at, t, who = at[soon], t[soon], who[soon]
+        last = first.max()
+        if last < np.inf:
+            soon = t < last
+            at, t, who = at[soon], t[soon], who[soon]
         np.minimum.at(first, at, t)
         won = t == first[at]
         kept[at[won]] = who[won]
         going = times[:, -1] < first.max()
-        live, rate, now, round_ = live[going], rate[going], times[going, -1], round_ + 1
+        live, rate, now, made = live[going], rate[going], times[going, -1], made + each
+        each = max(4, each)
     return kept
 
 
