@@ -59,12 +59,12 @@ def _(t, profile):
     """WITH d AS (SELECT *, coalesce((CASE WHEN kind = 'error' THEN 0.1 ELSE 0.5 END) * (s - lag(s) OVER w), 0) AS dc, CASE WHEN seq % 500 = 0 THEN z + 1 END AS a FROM profile WINDOW w AS (PARTITION BY grp ORDER BY s)),
     c AS (SELECT *, sum(dc) OVER (PARTITION BY grp ORDER BY s) AS c FROM d), p AS (SELECT a.grp, a.seq, a.z, max((a.z - b.z - abs(a.c - b.c)) / 2) AS gap, max(CASE WHEN b.a IS NOT NULL THEN abs(a.z - b.a) - abs(a.c - b.c) END) AS tie, max(CASE WHEN a.a IS NOT NULL AND b.a IS NOT NULL THEN abs(a.a - b.a) - abs(a.c - b.c) END) AS clash FROM c a JOIN c b USING (grp) GROUP BY 1, 2, 3),
     g AS (SELECT grp, CASE WHEN coalesce(max(clash), 0) <= 1e-9 THEN greatest(max(gap), coalesce(max(tie), 0), 0) END AS dev FROM p GROUP BY grp)
-    SELECT a.grp, a.seq, dev AS deviation, CASE WHEN dev IS NOT NULL THEN (max(coalesce(b.a, b.z - dev) - abs(a.c - b.c)) + min(coalesce(b.a, b.z + dev) + abs(a.c - b.c))) / 2 END AS fit FROM c a JOIN c b ON b.grp = a.grp JOIN g ON g.grp = a.grp GROUP BY a.grp, a.seq, dev""",
+    SELECT a.grp, a.seq, round(dev, 6) AS deviation, CASE WHEN dev IS NOT NULL THEN round((max(coalesce(b.a, b.z - dev) - abs(a.c - b.c)) + min(coalesce(b.a, b.z + dev) + abs(a.c - b.c))) / 2, 6) END AS fit FROM c a JOIN c b ON b.grp = a.grp JOIN g ON g.grp = a.grp GROUP BY a.grp, a.seq, dev""",
     profile=PROFILE,
 )
 def _(t, profile):
     fitted = W.fitted_grade(profile, ["grp"], 0.5, 0.1, F.col("kind") == "error", F.when(F.col("seq") % 500 == 0, F.col("z") + 1))
-    return fitted.select("grp", "seq", "deviation", "fit")
+    return fitted.select("grp", "seq", F.round("deviation", 6).alias("deviation"), F.round("fit", 6).alias("fit"))
 
 
 @query("W05_step_grade", "SELECT grp, seq, (z - lag(z) OVER w) / (s - lag(s) OVER w) * 1000 AS grade_pm FROM profile WINDOW w AS (PARTITION BY grp ORDER BY s)", profile=PROFILE)
