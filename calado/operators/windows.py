@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -87,6 +89,141 @@ def fitted_grade(df: DataFrame, group: list[str], cap: float, station_cap: float
     return rows.withColumn("fit", fit).withColumn("residual", F.col(z) - F.col("fit")).drop("_dc", "_c", "_a", "_lo", "_hi")
 
 
+def _hull(points: list[tuple[float, float]], lift: float) -> list[tuple[float, float]]:
+    """The convex hull of ``points`` (height, grade), in turn, its upper side raised and its lower side lowered by ``lift``."""
+    points = sorted(points)
+    sides = []
+    for sign in (1.0, -1.0):
+        side: list[tuple[float, float]] = []
+        for p in points:
+            while len(side) > 1 and sign * ((side[-1][0] - side[-2][0]) * (p[1] - side[-2][1]) - (side[-1][1] - side[-2][1]) * (p[0] - side[-2][0])) <= 0:
+                side.pop()
+            side.append(p)
+        sides.append([(x, y - sign * lift) for x, y in side])
+    return sides[0] + sides[1][::-1]
+
+
+def _clip(points: list[tuple[float, float]], axis: int, low: float, high: float) -> list[tuple[float, float]]:
+    """What of a convex polygon lies between ``low`` and ``high`` on an axis."""
+    for bound, sign in ((low, 1.0), (high, -1.0)):
+        kept = []
+        for p, q in zip(points, points[1:] + points[:1], strict=True):
+            dp, dq = sign * (p[axis] - bound), sign * (q[axis] - bound)
+            if dp >= 0:
+                kept.append(p)
+            if (dp < 0) != (dq < 0):
+                t = dp / (dp - dq)
+                x = [p[0] + t * (q[0] - p[0]), p[1] + t * (q[1] - p[1])]
+                x[axis] = bound
+                kept.append((x[0], x[1]))
+        points = kept
+    return points
+
+
+def _curved_line(s: np.ndarray, low: np.ndarray, high: np.ndarray, caps: np.ndarray, radius: float, keep: list | None = None) -> bool:
+    """Whether a profile between ``low`` and ``high`` keeps the caps and the radius; ``keep`` gets what can be reached at each row.
+
+    What can be reached at a row is a convex polygon of heights and grades of the segment before. A step lets the grade change by the bound,
+    cuts it to the cap, moves each height on by its grade, and cuts heights to the row's.
+    """
+    here = [(low[0], -caps[0]), (high[0], -caps[0]), (high[0], caps[0]), (low[0], caps[0])]
+    for i in range(1, len(s)):
+        h = s[i] - s[i - 1]
+        if i > 1:
+            here = _clip(_hull(here, (s[i] - s[i - 2]) / 2 / radius), 1, -caps[i - 1], caps[i - 1])
+        here = _clip([(z + h * g, g) for z, g in here], 0, low[i], high[i])
+        if not here:
+            return False
+        if keep is not None:
+            keep.append(here)
+    return True
+
+
+def _curved_fit(s: np.ndarray, z: np.ndarray, tied: np.ndarray, caps: np.ndarray, radius: float, tolerance: float) -> tuple[np.ndarray, float]:
+    """The fit and the least deviation of one line, to ``tolerance``; not a number where ties make it infeasible."""
+    free = np.isnan(tied)
+
+    def bounds(t: float) -> tuple[np.ndarray, np.ndarray]:
+        return np.where(free, z - t, tied), np.where(free, z + t, tied)
+
+    def holds(t: float) -> bool:
+        return _curved_line(s, *bounds(t), caps, radius)
+
+    # Ties count as deviations, as in the grade envelope without a radius; that one's deviation is the least there can be.
+    heights, cost = np.where(free, z, tied), np.concatenate([[0.0], np.cumsum(caps * np.diff(s))])
+    off = np.nanmax(np.abs(np.where(free, 0.0, tied - z)))
+    top = float(heights.max() - heights.min() + 2 * cost[-1] + off + 1)
+    lower, upper = np.maximum.accumulate(z + cost) - cost, np.minimum.accumulate(z - cost) + cost
+    least = float(max(np.max(lower - z) / 2, np.max(z - upper) / 2, off))
+    if holds(least):
+        low = high = least
+    elif not holds(top):
+        return np.full(len(s), np.nan), math.nan
+    else:
+        low, high = least, top
+    while high - low > tolerance:
+        t = (low + high) / 2
+        low, high = (low, t) if holds(t) else (t, high)
+    reached: list = []
+    _curved_line(s, *bounds(high), caps, radius, reached)
+    fit, grade = np.empty(len(s)), math.nan
+    fit[-1] = (min(p[0] for p in reached[-1]) + max(p[0] for p in reached[-1])) / 2
+    for i in range(len(s) - 1, 0, -1):
+        # Grades of the segment before that reach this height, as near the grade after as the radius asks; the middle of them.
+        at = [g for _, g in _clip(reached[i - 1], 0, fit[i], fit[i])] or [min(reached[i - 1], key=lambda p, v=fit[i]: abs(p[0] - v))[1]]
+        a, b = min(at), max(at)
+        if i < len(s) - 1:
+            bend = (s[i + 1] - s[i - 1]) / 2 / radius
+            a, b = max(a, grade - bend), min(b, grade + bend)
+        grade = (a + b) / 2
+        fit[i - 1] = fit[i] - grade * (s[i] - s[i - 1])
+    return fit, high
+
+
+def curved_grade(
+    df: DataFrame, group: list[str], cap: float, radius: float, station_cap: float | None = None, at_station: Column | None = None, anchor: Column | None = None,
+    s: str = "s", z: str = "z", tolerance: float = 1e-8, most: int = 200_000,
+) -> DataFrame:
+    """(group, s, z, fit, residual, deviation): the profile with the least largest deviation whose grades are at most ``cap``, or
+    ``station_cap`` on segments that end at a station, and change between segments by at most their mean length over ``radius``.
+
+    On even steps that is the bound h^2 / radius on second differences. Rows with a value in ``anchor`` are tied to it, and their own distance
+    counts in ``deviation``; where ties cannot be met, fit and deviation are null. The deviation is found by halving to ``tolerance``; where the
+    radius does not bind, it is that of the envelope. Of all best profiles the one is taken that halves, from the last row back, what the rows before leave open.
+    A line of one row is its own fit. Rows without ``s`` or ``z``, infinite ones, and two rows at one ``s`` are errors, as no ground may be made up.
+    A line is one Arrow group: lines over ``most`` rows (5,000 km at 25 m) are an error, counted before any is gathered.
+    """
+    tied = (anchor if anchor is not None else F.lit(None)).cast("double")
+    caps = F.when(at_station, station_cap).otherwise(cap) if at_station is not None else F.lit(float(cap))
+    rows = df.select(*group, F.col(s).cast("double").alias(s), F.col(z).cast("double").alias(z), tied.alias("_tied"), caps.cast("double").alias("_cap"))
+    # Little data and much work a row: a fixed number of partitions is not put together for being small. The window and the groups keep it.
+    rows = rows.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *group)
+    w = Window.partitionBy(*group).orderBy(s)
+    sound = lambda c: F.col(c).isNotNull() & ~F.col(c).isin(math.nan, math.inf, -math.inf)
+    rows = rows.withColumn("_n", F.row_number().over(w)).withColumn("_same", F.coalesce(F.col(s) == F.lag(s).over(w), F.lit(False)))
+    rows = rows.withColumn(
+        s,
+        F.when(~sound(s) | ~sound(z), F.raise_error(F.lit("a row without ground")).cast("double"))
+        .when(F.col("_same"), F.raise_error(F.lit("two rows at one distance")).cast("double"))
+        .when(F.col("_n") > most, F.raise_error(F.lit(f"a line of more than {most} rows")).cast("double"))
+        .otherwise(F.col(s)),
+    ).drop("_same", "_n")
+
+    def solve(line: pd.DataFrame) -> pd.DataFrame:
+        line = line.sort_values(s, ignore_index=True)
+        x, y, ties = (line[c].to_numpy(float) for c in (s, z, "_tied"))
+        if len(line) == 1:
+            fit = np.where(np.isnan(ties), y, ties)
+            best = float(abs(fit[0] - y[0]))
+        else:
+            fit, best = _curved_fit(x, y, ties, line["_cap"].to_numpy(float)[1:], radius, tolerance)
+        return line[[*group, s, z]].assign(fit=fit, residual=y - fit, deviation=best)
+
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select(*group, s, z).schema)
+    solved = rows.groupBy(*group).applyInPandas(solve, f"{kinds}, fit double, residual double, deviation double")
+    return solved.withColumns({c: F.nanvl(c, F.lit(None).cast("double")) for c in ("fit", "residual", "deviation")})
+
+
 def step_grade(df: DataFrame, group: list[str], order: str = "s", z: str = "z") -> DataFrame:
     """Add ``grade_pm``, per mille from the sample before; null across a missing sample."""
     w = Window.partitionBy(*group).orderBy(order)

@@ -40,6 +40,14 @@ def _(t, profile):
     return W.grade_envelope(profile, ["grp"], 0.5).select("grp", "seq", "lower", "upper", "fit")
 
 
+@query("W03_curved_grade")
+def _(t):
+    """Radius 100 m: the grade changes by at most 0.25 from one segment of 25 m to the next."""
+    profile = t.sql(PROFILE)
+    fitted = W.curved_grade(profile, ["grp"], 0.5, 100.0, 0.1, F.col("kind") == "error", F.when(F.col("s") == 250, F.col("z") + 1))
+    return fitted.select("grp", (F.col("s") / 25).cast("long").alias("nth"), "fit", "residual", "deviation")
+
+
 @query(
     "W04_minimax_grade",
     """WITH d AS (SELECT *, coalesce((CASE WHEN kind = 'error' THEN 0.1 ELSE 0.5 END) * (s - lag(s) OVER w), 0) AS dc, CASE WHEN seq % 500 = 0 THEN z + 1 END AS a FROM profile WINDOW w AS (PARTITION BY grp ORDER BY s)),
