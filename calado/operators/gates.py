@@ -43,17 +43,19 @@ def resolve_label(members: DataFrame, wanted: DataFrame) -> DataFrame:
     """(wanted, code, status): a unique exact match of folded labels, else a unique match within a label, else none.
 
     Labels meet the wanted ones by runs of three characters (of fewer for shorter ones): an equi-join on the first such run of the
-    wanted label, then the whole of it is looked for. An empty one is within every label.
+    wanted label, then the whole of it is looked for. An empty one is within every label. Members of one folded label are
+    counted before they meet, and a wanted label that repeats is looked for once, so neither makes a key hot.
     """
-    m = members.select("code", fold(F.col("label")).alias("_l"))
+    m = members.select("code", fold(F.col("label")).alias("_l")).groupBy("_l").agg(F.count(F.lit(1)).alias("_n"), F.min("code").alias("_c"))
     w = wanted.select("wanted", fold(F.col("wanted")).alias("_w"))
-    exact = w.join(m, F.col("_w") == F.col("_l")).groupBy("wanted").agg(F.count(F.lit(1)).alias("_ne"), F.min("code").alias("_ce"))
+    sought = w.distinct()
+    exact = sought.join(m, F.col("_w") == F.col("_l")).select("wanted", F.col("_n").alias("_ne"), F.col("_c").alias("_ce"))
     starts = F.sequence(F.lit(1), F.char_length("_l"))
     run_of = lambda n: F.transform(starts, lambda i: F.substring("_l", i, F.lit(n)))
     runs = F.concat(F.array(F.lit("")), run_of(1), run_of(2), run_of(3))
     runs = F.when(F.col("_l") == "", F.array(F.lit(""))).otherwise(F.array_distinct(runs))
-    at_run = w.withColumn("_run", F.substring("_w", F.lit(1), F.lit(3))).join(m.withColumn("_run", F.explode(runs)), "_run")
-    part = at_run.where(F.col("_l").contains(F.col("_w"))).groupBy("wanted").agg(F.count(F.lit(1)).alias("_np"), F.min("code").alias("_cp"))
+    at_run = sought.withColumn("_run", F.substring("_w", F.lit(1), F.lit(3))).join(m.withColumn("_run", F.explode(runs)), "_run")
+    part = at_run.where(F.col("_l").contains(F.col("_w"))).groupBy("wanted").agg(F.sum("_n").alias("_np"), F.min("_c").alias("_cp"))
     met = w.join(exact, "wanted", "left").join(part, "wanted", "left")
     code = F.when(F.col("_ne") == 1, F.col("_ce")).when(F.col("_ne").isNull() & (F.col("_np") == 1), F.col("_cp"))
     status = F.when(F.col("_ne") == 1, "exact").when(F.col("_ne") > 1, "ambiguous").when(F.col("_np") == 1, "within").when(F.col("_np") > 1, "ambiguous").otherwise("absent")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -17,20 +19,39 @@ def node_id(x: Column, y: Column) -> Column:
     return F.concat_ws(",", x.cast("long").cast("string"), y.cast("long").cast("string"))
 
 
+def lattice_nodes(cells: DataFrame, tiles: DataFrame) -> DataFrame:
+    """The cells (x, y, ...) all four tiles (tx, ty, tile_id) of which exist, with ``tile_ids`` by row and then column.
+
+    Cell (x, y) holds tiles (2x, 2y) to (2x + 1, 2y + 1). Of tiles at one place the least id counts; a tile without an id is none.
+    """
+    place = [F.struct(F.lit(2 * j + i).alias("_i"), (2 * F.col("x") + i).alias("tx"), (2 * F.col("y") + j).alias("ty")) for j in (0, 1) for i in (0, 1)]
+    known = tiles.where("tile_id IS NOT NULL").groupBy("tx", "ty").agg(F.min("tile_id").alias("_id"))
+    need = cells.select("x", "y").distinct().select("x", "y", F.explode(F.array(*place)).alias("_t")).select("x", "y", "_t.*")
+    held = need.join(known, ["tx", "ty"]).groupBy("x", "y").agg(F.array_sort(F.collect_list(F.struct("_i", "_id"))).alias("_ids")).where(F.size("_ids") == 4)
+    return cells.join(held.select("x", "y", F.transform("_ids", lambda t: t["_id"]).alias("tile_ids")), ["x", "y"])
+
+
 def lattice(cells: DataFrame, mode: str, steps: list[tuple[int, int]] = EIGHT) -> DataFrame:
     """Edges (a, b, cost) between neighbouring cells (x, y, z, relief).
 
     Costs: ``distance`` the length; ``relief`` length times 1 + mean relief; ``terrain`` length plus the height step;
-    ``balanced`` the mean of relief and terrain. Cells without ground are no nodes.
+    ``balanced`` the mean of relief and terrain. ``short`` and ``road`` count steps: 1, a share of the relief of the cell entered and of
+    the height step, and for ``road`` a share of that cell's distance to a road (``road``, up to 4,000; null counts nothing). Cells without
+    ground are no nodes.
     """
     nodes = cells.where("z IS NOT NULL")
     near = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i, j in steps])).alias("_o")
     left = nodes.select("x", "y", "z", "relief", near).select(F.col("x"), F.col("y"), F.col("z"), F.col("relief"), (F.col("x") + F.col("_o.i")).alias("bx"), (F.col("y") + F.col("_o.j")).alias("by"))
-    right = nodes.select(F.col("x").alias("bx"), F.col("y").alias("by"), F.col("z").alias("_z"), F.col("relief").alias("_r"))
+    road = F.col("road").cast("double") if mode == "road" else F.lit(None).cast("double")
+    right = nodes.select(F.col("x").alias("bx"), F.col("y").alias("by"), F.col("z").alias("_z"), F.col("relief").alias("_r"), road.alias("_road"))
     length = F.hypot(F.col("bx") - F.col("x"), F.col("by") - F.col("y"))
     relief = length * (1 + (F.col("relief") + F.col("_r")) / 2)
     terrain = length + F.abs(F.col("z") - F.col("_z"))
-    cost = {"distance": length, "relief": relief, "terrain": terrain, "balanced": (relief + terrain) / 2}[mode]
+    rise = F.abs(F.col("z") - F.col("_z"))
+    # Shares of relief, of the height step, and of the distance to a road.
+    short = 1 + 0.0007 * F.col("_r") + 0.0002 * rise
+    near_road = 1 + 0.004 * F.col("_r") + 0.001 * rise + F.when(F.col("_road").isNotNull(), 0.0004 * F.least("_road", F.lit(4000.0))).otherwise(0.0)
+    cost = {"distance": length, "relief": relief, "terrain": terrain, "balanced": (relief + terrain) / 2, "short": short, "road": near_road}[mode]
     return left.join(right, ["bx", "by"]).select(node_id(F.col("x"), F.col("y")).alias("a"), node_id(F.col("bx"), F.col("by")).alias("b"), cost.alias("cost"))
 
 
@@ -140,17 +161,35 @@ def alternatives(
     return found.drop("_at")
 
 
-def compose_chains(first: DataFrame, second: DataFrame, third: DataFrame) -> DataFrame:
-    """Chains of legs (leg, nodes array): each leg starts where the one before ends, and no cell repeats.
+def compose_chains(*legs: DataFrame, anchors: tuple[Callable[[Column], Column], ...] = (), adjacent: bool = False) -> DataFrame:
+    """Chains of one leg (leg, nodes array) of each table in turn: a leg starts where the one before ends, and no cell repeats.
 
-    Returns (chain, n_cells, nodes) of the chains that hold.
+    Returns (chain, n_cells, nodes) of the chains that hold. With ``adjacent``, nodes are named ``x,y`` and every step goes to one of the
+    eight cells around. Each of ``anchors``, a condition on a node, must hold at a node of the chain. Legs that break a rule by
+    themselves go before any join, chains that cross themselves after each; legs without nodes hold nothing.
     """
-    legs = [d.select(F.col("leg").alias(f"l{i}"), F.col("nodes").alias(f"n{i}")) for i, d in enumerate((first, second, third))]
-    last, head = lambda c: F.element_at(c, -1), lambda c: F.element_at(c, 1)
-    met = legs[0].join(legs[1], last("n0") == head("n1")).join(legs[2], last("n1") == head("n2"))
-    nodes = F.concat("n0", F.slice("n1", F.lit(2), F.size("n1")), F.slice("n2", F.lit(2), F.size("n2")))
-    rows = met.select(F.concat_ws("/", "l0", "l1", "l2").alias("chain"), nodes.alias("nodes"))
-    return rows.where(F.size(F.array_distinct("nodes")) == F.size("nodes")).select("chain", F.size("nodes").alias("n_cells"), "nodes")
+
+    def steps_hold(nodes: Column) -> Column:
+        def one(n: Column, i: Column) -> Column:
+            (ax, ay), (bx, by) = _place(F.coalesce(F.get(nodes, i - 1), n)), _place(n)
+            return (i == 0) | (F.greatest(F.abs(ax - bx), F.abs(ay - by)) == 1)
+
+        return F.forall(F.transform(nodes, one), lambda ok: ok)
+
+    once = F.size(F.array_distinct("nodes")) == F.size("nodes")
+    rows = None
+    for d in legs:
+        own = d.select(F.col("leg").cast("string").alias("leg"), "nodes").where((F.size("nodes") > 0) & once)
+        own = own.where(steps_hold(F.col("nodes"))) if adjacent else own
+        if rows is None:
+            rows = own.select(F.col("leg").alias("chain"), "nodes", F.element_at("nodes", -1).alias("_end"))
+            continue
+        nxt = own.select("leg", F.element_at("nodes", 1).alias("_end"), F.slice("nodes", F.lit(2), F.size("nodes")).alias("_rest"), F.element_at("nodes", -1).alias("_last"))
+        met = rows.join(nxt, "_end").select(F.concat_ws("/", "chain", "leg").alias("chain"), F.concat("nodes", "_rest").alias("nodes"), F.col("_last").alias("_end"))
+        rows = met.where(once)
+    for holds in anchors:
+        rows = rows.where(F.exists("nodes", holds))
+    return rows.select("chain", F.size("nodes").alias("n_cells"), "nodes")
 
 
 def split_modules(paths: DataFrame, route: str, order: str, node: str, is_anchor: Column) -> DataFrame:

@@ -169,6 +169,32 @@ def pair_products(a: DataFrame, b: DataFrame, key: str, tolerance: float = 1e-9)
     return left.join(right, key, "full_outer").select(key, status.alias("status"), F.when(F.col("_axmin").isNotNull() & F.col("_bxmin").isNotNull(), move).alias("displacement"))
 
 
+def pair_by_suffix(a: DataFrame, b: DataFrame, name: str, prefixes: tuple[str, str], tolerance: float = 0.0) -> DataFrame:
+    """Tiles of two products whose ``name`` is the product's prefix and a common suffix, with boxes in degrees: (suffix, status, metres).
+
+    Status is equal, moved (an edge differs by over ``tolerance`` degrees), only_a or only_b; ``metres`` is the greatest displacement of an
+    edge at the mean latitude of both boxes, null for one product alone. Repeated rows count once. A name without its prefix, null included,
+    and a name with two boxes are errors.
+    """
+    box = ["xmin", "ymin", "xmax", "ymax"]
+
+    def tiles(df: DataFrame, prefix: str, side: str) -> DataFrame:
+        named = F.coalesce(F.col(name).startswith(prefix), F.lit(False))
+        suffix = F.when(named, F.substring(name, len(prefix) + 1, 1 << 30)).otherwise(F.raise_error(F.concat(F.lit(f"no {prefix}: "), F.coalesce(name, F.lit("null")))))
+        one = df.select(suffix.cast("string").alias("suffix"), F.struct(*box).alias("_b")).groupBy("suffix").agg(F.min("_b").alias("_l"), F.max("_b").alias("_h"))
+        same = F.when(F.col("_l").eqNullSafe(F.col("_h")), F.col("_l")).otherwise(F.raise_error(F.concat(F.lit("two boxes: "), "suffix")).cast(one.schema["_l"].dataType))
+        return one.select("suffix", same.alias(side))
+
+    met = tiles(a, prefixes[0], "_a").join(tiles(b, prefixes[1], "_b"), "suffix", "full_outer")
+    lat = (F.col("_a.ymin") + F.col("_a.ymax") + F.col("_b.ymin") + F.col("_b.ymax")) / 4
+    apart = {c: F.abs(F.col(f"_a.{c}") - F.col(f"_b.{c}")) for c in box}
+    # Fixed value: metres of a degree of latitude.
+    degree = 111195.0
+    metres = F.greatest(*[apart[c] * degree * (F.cos(F.radians(lat)) if c[0] == "x" else 1) for c in box])
+    status = F.when(F.col("_a").isNull(), "only_b").when(F.col("_b").isNull(), "only_a").when(F.greatest(*apart.values()) <= tolerance, "equal").otherwise("moved")
+    return met.select("suffix", status.alias("status"), metres.alias("metres"))
+
+
 def seam_stats(cells: DataFrame, tile: str, neighbour: Column, last: Column, first: Column, along: str) -> DataFrame:
     """Across the seam of each tile and its neighbour: valid pairs, median and largest absolute step, mean step."""
     left = cells.where(last).select(F.col(tile).alias("tile"), neighbour.alias("_n"), F.col(along).alias("_i"), F.col("z").alias("_z0"))
@@ -261,17 +287,28 @@ def residual_summary(residuals: DataFrame, group: list[str], residual: str = "ce
     return residuals.groupBy(*group).agg(F.count(r).alias("n"), F.avg(r).alias("mean"), F.median(r).alias("median"), F.min(r).alias("least"), F.max(r).alias("greatest"), F.max(F.abs(r)).alias("max_abs"))
 
 
-def site_route_context(sites: DataFrame, routes: DataFrame, near: float, most_sites: int = 100_000) -> DataFrame:
+def site_route_context(sites: DataFrame, routes: DataFrame, near: float, most_sites: int = 100_000, block: float | None = None) -> DataFrame:
     """Per site and route the nearest sample: offset, chainage, heading difference, whether within ``near``.
 
     Sites are few and fixed by the study; routes hold the samples, so sites are sent to them, after a count: over ``most_sites`` is an error.
+    A site meets the boxes around stretches of ``block`` of chainage (32 times ``near``), and only samples of stretches that may hold the nearest one. Samples
+    without coordinates are not met.
     """
     from calado.functions.geometry import axis_diff
 
     few = sites.select("site", F.col("x").alias("_sx"), F.col("y").alias("_sy"), F.col("heading").alias("_sh"))
     if few.limit(most_sites + 1).count() > most_sites:
         raise ValueError(f"over {most_sites} sites; use nearest for each route")
-    met = routes.join(F.broadcast(few))
+    placed = routes.where("x IS NOT NULL AND y IS NOT NULL").withColumn("_block", F.floor(F.col("s") / (block or 32 * near)))
+    boxes = placed.groupBy("route", "_block").agg(F.min("x").alias("_x0"), F.max("x").alias("_x1"), F.min("y").alias("_y0"), F.max("y").alias("_y1"))
+    beyond = lambda v, lo, hi: F.greatest(F.col(lo) - F.col(v), F.col(v) - F.col(hi), F.lit(0.0))
+    across = lambda v, lo, hi: F.greatest(F.abs(F.col(v) - F.col(lo)), F.abs(F.col(v) - F.col(hi)))
+    rated = boxes.join(F.broadcast(few)).select(
+        *few.columns, F.col("route").alias("_r"), F.col("_block").alias("_k"), F.hypot(beyond("_sx", "_x0", "_x1"), beyond("_sy", "_y0", "_y1")).alias("_least"), F.hypot(across("_sx", "_x0", "_x1"), across("_sy", "_y0", "_y1")).alias("_most")
+    )
+    bound = rated.groupBy(F.col("site").alias("_site"), F.col("_r").alias("_route")).agg(F.min("_most").alias("_bound"))
+    open_ = rated.join(bound, F.col("site").eqNullSafe(F.col("_site")) & F.col("_r").eqNullSafe(F.col("_route"))).where(F.col("_least") <= F.col("_bound") * (1 + 1e-9))
+    met = placed.join(open_.select(*few.columns, "_r", "_k"), F.col("route").eqNullSafe(F.col("_r")) & F.col("_block").eqNullSafe(F.col("_k")))
     d = F.hypot(F.col("x") - F.col("_sx"), F.col("y") - F.col("_sy"))
     best = F.min(F.struct(d.alias("offset"), F.col("s").alias("s"), axis_diff(F.col("heading"), F.col("_sh")).alias("mismatch"))).alias("_m")
     out = met.groupBy("site", "route").agg(best).select("site", "route", "_m.offset", "_m.s", "_m.mismatch")

@@ -15,16 +15,16 @@ def pareto(df: DataFrame, dims: list[str], senses: list[str], part: list[str], k
     """Rows that no row of their ``part`` dominates: at least as good in all ``dims``, better in one by over ``eps``.
 
     Rows with a null measure are left out. Rounds of salted blocks, at least ``blocks`` a part and of about ``rows_each`` rows in large parts,
-    drop most rows by comparing only within a block, dealt anew each round, until a round drops under half; what is left is compared with all
-    that is left. In blocks a row goes only if another is as good in all ``dims`` without tolerance: that other dominates all that the row
+    drop most rows by comparing only within a block, dealt anew each round, until a round drops under half. What is left is cut into ranges
+    of its first measure, of about ``rows_each`` rows, and each range is compared with itself and the better ones, one task a range and part. In blocks a row goes only if another is as good in all ``dims`` without tolerance: that other dominates all that the row
     does, so that dropping it changes nothing for the rest.
     """
     up = [F.col(c) if s == "max" else -F.col(c) for c, s in zip(dims, senses, strict=True)]
     full = df.where(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in dims]))
     rows = full.select(*part, key, *[u.alias(f"_d{i}") for i, u in enumerate(up)])
 
-    def undominated(these: DataFrame, by: list[str], slack: float) -> DataFrame:
-        a, b = these.alias("a"), these.alias("b")
+    def undominated(these: DataFrame, others: DataFrame, by: list[str], slack: float) -> DataFrame:
+        a, b = these.alias("a"), others.alias("b")
         same = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in by]
         no_worse = [F.col(f"b._d{i}") >= F.col(f"a._d{i}") - slack for i in range(len(dims))]
         better = [F.col(f"b._d{i}") > F.col(f"a._d{i}") + eps for i in range(len(dims))]
@@ -36,12 +36,19 @@ def pareto(df: DataFrame, dims: list[str], senses: list[str], part: list[str], k
         of_part = reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.col(f"_p_{c}")) for c in part], F.lit(True))
         n = F.greatest(F.lit(blocks), F.ceil(F.col("_n") / rows_each)).cast("long")
         dealt = left.join(sizes, of_part).withColumn("_salt", F.pmod(F.xxhash64(key, F.lit(step)), n)).select(*rows.columns, "_salt")
-        left = checkpointed(undominated(dealt, [*part, "_salt"], 0.0).drop("_salt"))
+        left = checkpointed(undominated(dealt, dealt, [*part, "_salt"], 0.0).drop("_salt"))
         now = left.count()
         if now <= blocks * rows_each or (before is not None and 2 * now > before):
             break
         before, step = now, step + 1
-    front = undominated(left, part, eps)
+    shares = [i / -(-now // rows_each) for i in range(1, -(-now // rows_each))]
+    cuts = F.percentile_approx("_d0", F.array(*[F.lit(q) for q in shares]), 10 * len(shares)) if shares else F.array()
+    bounds = left.groupBy(*[F.col(c).alias(f"_p_{c}") for c in part]).agg(cuts.cast("array<double>").alias("_cuts"))
+    ranged = left.withColumn("_first", F.col("_d0").cast("double")).join(bounds, of_part)
+    at = lambda v: F.size(F.filter("_cuts", lambda c: c < v))
+    these = ranged.withColumn("_range", at(F.col("_first"))).select(*rows.columns, "_range")
+    others = ranged.withColumn("_range", F.explode(F.sequence(F.lit(0), at(F.col("_first") + 2 * eps)))).select(*rows.columns, "_range")
+    front = undominated(these, others, [*part, "_range"], eps)
     kept = front.select(*[F.col(c).alias(f"_k_{c}") for c in [*part, key]])
     return full.join(kept, reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in [*part, key]]), "left_semi")
 

@@ -25,6 +25,36 @@ def _(t, cells):
     return R.lattice(cells, "terrain")
 
 
+_FOUR = "(SELECT 0 AS i UNION ALL SELECT 1) i CROSS JOIN (SELECT 0 AS j UNION ALL SELECT 1) j"
+# Four tiles a cell, some of which are not there.
+TILES = f"SELECT 2 * x + i AS tx, 2 * y + j AS ty, concat('t', 2 * x + i, '-', 2 * y + j) AS tile_id FROM ({LATTICE}) c CROSS JOIN {_FOUR} WHERE (7 * x + 3 * y + 2 * i + j) % 23 <> 0"
+ROADS = f"SELECT *, CASE WHEN (x + 2 * y) % 5 <> 0 THEN (x * 613 + y * 331) % 7919 END AS road FROM ({LATTICE}) c"
+
+
+@query(
+    "R01_lattice_nodes",
+    """SELECT c.x, c.y, string_agg(tile_id, ' ' ORDER BY ty, tx) AS tile_ids FROM cells c JOIN tiles t ON t.tx // 2 = c.x AND t.ty // 2 = c.y GROUP BY c.x, c.y HAVING count(*) = 4""",
+    cells=LATTICE,
+    tiles=TILES,
+)
+def _(t, cells, tiles):
+    return R.lattice_nodes(cells, tiles).select("x", "y", F.array_join("tile_ids", " ").alias("tile_ids"))
+
+
+_ENTRY = """SELECT CAST(a.x AS VARCHAR) || ',' || CAST(a.y AS VARCHAR) AS a, CAST(b.x AS VARCHAR) || ',' || CAST(b.y AS VARCHAR) AS b, 1 + {relief} * b.relief + {rise} * abs(a.z - b.z){road} AS cost
+  FROM cells a JOIN cells b ON abs(a.x - b.x) + abs(a.y - b.y) = 1 WHERE a.z IS NOT NULL AND b.z IS NOT NULL"""
+
+
+@query("R01_lattice_short", _ENTRY.format(relief=0.0007, rise=0.0002, road=""), cells=LATTICE)
+def _(t, cells):
+    return R.lattice(cells, "short", R.FOUR)
+
+
+@query("R01_lattice_road", _ENTRY.format(relief=0.004, rise=0.001, road=" + coalesce(0.0004 * CASE WHEN b.road > 4000 THEN 4000 ELSE b.road END, 0)"), cells=ROADS)
+def _(t, cells):
+    return R.lattice(cells, "road", R.FOUR)
+
+
 def _queries(cells):
     """On each island from its first cell with ground to its last one."""
     ground = cells.where("z IS NOT NULL").withColumn("q", F.floor(F.col("x") / 20))
@@ -53,22 +83,37 @@ def _(t):
     return R.alternatives(modes, _queries(cells)).select("q", "variant", F.array_join("nodes", " ").alias("nodes"), "cost", "jaccard", "far_share")
 
 
-LEGS = "SELECT l_orderkey, l_linenumber, l_partkey FROM {lineitem}"
+LEGS = "SELECT DISTINCT concat('o', l_orderkey) AS s, concat('p', l_partkey) AS p, l_linenumber % 3 AS k FROM {lineitem}"
+# Every line is a leg of a lattice: from the cell of its order and number to one up to two cells away.
+CELL_LEGS = """SELECT DISTINCT l_partkey % 3 AS k, l_orderkey AS x, l_linenumber AS y, l_orderkey + l_suppkey % 5 - 2 AS tx, l_linenumber + CAST(l_quantity AS BIGINT) % 3 - 1 AS ty FROM {lineitem}"""
 
 
 @query(
     "R04_compose_chains",
-    """WITH l AS (SELECT DISTINCT 'o' || l_orderkey AS s, 'p' || l_partkey AS p, l_linenumber - 4 AS k FROM legs WHERE l_linenumber >= 5)
-    SELECT a.s || '-' || a.p || '/' || b.p || '-' || b.s || '/' || c.s || '-' || c.p AS chain, 4 AS n_cells FROM (SELECT DISTINCT s, p FROM l WHERE k = 1) a JOIN (SELECT DISTINCT s, p FROM l WHERE k = 2) b ON a.p = b.p JOIN (SELECT DISTINCT s, p FROM l WHERE k = 3) c ON b.s = c.s WHERE a.s <> b.s AND b.p <> c.p""",
+    """SELECT a.s || '-' || a.p || '/' || b.p || '-' || b.s || '/' || c.s || '-' || c.p AS chain, 4 AS n_cells
+    FROM legs a JOIN legs b ON a.p = b.p JOIN legs c ON b.s = c.s WHERE a.k = 1 AND b.k = 2 AND c.k = 0 AND a.s <> b.s AND b.p <> c.p AND a.p <> c.p""",
     legs=LEGS,
 )
 def _(t, legs):
-    rows = legs.where("l_linenumber >= 5").selectExpr("'o' || l_orderkey AS s", "'p' || l_partkey AS p", "l_linenumber - 4 AS k").distinct()
-
     def leg(k, a, b):
-        return rows.where(f"k = {k}").select(F.concat_ws("-", a, b).alias("leg"), F.array(a, b).alias("nodes")).distinct()
+        return legs.where(F.col("k") == k).select(F.concat_ws("-", a, b).alias("leg"), F.array(a, b).alias("nodes"))
 
-    return R.compose_chains(leg(1, "s", "p"), leg(2, "p", "s"), leg(3, "s", "p")).select("chain", "n_cells")
+    return R.compose_chains(leg(1, "s", "p"), leg(2, "p", "s"), leg(0, "s", "p")).select("chain", "n_cells")
+
+
+@query(
+    "R04_lattice_chains",
+    """WITH e AS (SELECT *, x || ',' || y AS a, tx || ',' || ty AS b FROM legs WHERE greatest(abs(x - tx), abs(y - ty)) = 1),
+    c AS (SELECT e.a AS n1, f.a AS n2, g.a AS n3, g.b AS n4, (e.x % 4 = 0 OR f.x % 4 = 0 OR g.x % 4 = 0 OR g.tx % 4 = 0) AS west FROM e JOIN e f ON e.b = f.a JOIN e g ON f.b = g.a WHERE e.k = 0 AND f.k = 1 AND g.k = 2)
+    SELECT n1 || '>' || n2 || '/' || n2 || '>' || n3 || '/' || n3 || '>' || n4 AS chain, n1 || ' ' || n2 || ' ' || n3 || ' ' || n4 AS cells FROM c WHERE west AND n1 <> n3 AND n1 <> n4 AND n2 <> n4""",
+    legs=CELL_LEGS,
+)
+def _(t, legs):
+    a, b = R.node_id(F.col("x"), F.col("y")), R.node_id(F.col("tx"), F.col("ty"))
+    named = legs.select("k", F.concat_ws(">", a, b).alias("leg"), F.array(a, b).alias("nodes"))
+    west = lambda n: F.substring_index(n, ",", 1).cast("long") % 4 == 0
+    chains = R.compose_chains(*[named.where(F.col("k") == k).drop("k") for k in range(3)], anchors=(west,), adjacent=True)
+    return chains.select("chain", F.array_join("nodes", " ").alias("cells"))
 
 
 @query(

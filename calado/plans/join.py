@@ -104,6 +104,24 @@ def _(t, rects):
     return J.pair_products(rects.where("tile_id % 5 <> 0"), other, "tile_id")
 
 
+#: Both products as tiles in degrees, with names of prefix and number; the finer one has some of its boxes moved.
+_TILES = "SELECT concat('{p}-', tile_id) AS name, xmin / 200 - 10{move} AS xmin, ymin / 200 + 37 AS ymin, xmax / 200 - 10 AS xmax, ymax / 200 + 37{up} AS ymax FROM ({rects}) r WHERE tile_id % {gone} <> 0"
+COARSE = _TILES.format(p="coarse", move="", up="", gone=5, rects=RECTS)
+FINE = _TILES.format(p="fine", move=" + CASE WHEN tile_id % 9 = 0 THEN 1.0E-4 ELSE 0 END", up=" + CASE WHEN tile_id % 11 = 0 THEN 2.0E-4 ELSE 0 END", gone=7, rects=RECTS)
+
+
+@query(
+    "J09_pair_by_suffix",
+    """WITH a AS (SELECT *, substr(name, 8) AS suffix FROM coarse), b AS (SELECT *, substr(name, 6) AS suffix FROM fine),
+    m AS (SELECT coalesce(a.suffix, b.suffix) AS suffix, a.name AS an, b.name AS bn, abs(a.xmin - b.xmin) AS w, abs(a.ymin - b.ymin) AS s, abs(a.xmax - b.xmax) AS e, abs(a.ymax - b.ymax) AS n, (a.ymin + a.ymax + b.ymin + b.ymax) / 4 AS lat FROM a FULL JOIN b ON a.suffix = b.suffix)
+    SELECT suffix, CASE WHEN an IS NULL THEN 'only_b' WHEN bn IS NULL THEN 'only_a' WHEN greatest(w, s, e, n) = 0 THEN 'equal' ELSE 'moved' END AS status, CASE WHEN an IS NOT NULL AND bn IS NOT NULL THEN greatest(w * cos(radians(lat)), s, e * cos(radians(lat)), n) * 111195 END AS metres FROM m""",
+    coarse=COARSE,
+    fine=FINE,
+)
+def _(t, coarse, fine):
+    return J.pair_by_suffix(coarse, fine, "name", ("coarse-", "fine-"))
+
+
 @query(
     "J10_seam_stats",
     """WITH c AS (SELECT CAST(floor(col / 10) AS BIGINT) AS tile, row, col, z FROM cells)
