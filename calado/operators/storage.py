@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
@@ -20,14 +21,38 @@ def shared_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+#: Folders that are deleted when the process ends.
+_LEFT: set[str] = set()
+
+
+def _removed_at_exit(spark: SparkSession, path: str) -> None:
+    """Have a folder of this application deleted when the process ends; one that is gone by then, or a session that ended before, is no error."""
+
+    def remove() -> None:
+        try:
+            jvm = spark.sparkContext._jvm
+            where = jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+        except Exception:  # noqa: BLE001  the session has ended before the process
+            pass
+
+    if path not in _LEFT:
+        _LEFT.add(path)
+        atexit.register(remove)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
-    """A reliable checkpoint in the shared folder."""
-    spark = df.sparkSession
-    if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
-        spark.sparkContext.setCheckpointDir(shared_root(spark))
+    """A reliable checkpoint in the shared folder, deleted when the process ends. Sessions that live long may set
+    ``spark.cleaner.referenceTracking.cleanCheckpoints``, with which Spark deletes those that nothing refers to any more."""
+    context = df.sparkSession.sparkContext
+    if context._jsc.sc().getCheckpointDir().isEmpty():
+        context.setCheckpointDir(shared_root(df.sparkSession))
+    _removed_at_exit(df.sparkSession, context._jsc.sc().getCheckpointDir().get())
     return df.checkpoint()
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
-    """A new path in the folder that driver and executors share."""
-    return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
+    """A new path in the folder that driver and executors share, deleted when the process ends."""
+    path = f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
+    _removed_at_exit(spark, path)
+    return path

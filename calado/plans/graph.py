@@ -76,6 +76,22 @@ def _(t, cells):
     return R.shortest_paths(R.checkpointed(edges), _queries(cells)).select("node", F.col("cost").cast("int").alias("hops"))
 
 
+@query(
+    "R02_cheapest_paths",
+    """WITH RECURSIVE e AS (SELECT a.x AS ax, a.y AS ay, b.x AS bx, b.y AS by_, sqrt(power(a.x - b.x, 2) + power(a.y - b.y, 2)) + abs(a.z - b.z) AS c FROM cells a JOIN cells b ON abs(a.x - b.x) <= 1 AND abs(a.y - b.y) <= 1 AND (a.x <> b.x OR a.y <> b.y) WHERE a.z IS NOT NULL AND b.z IS NOT NULL),
+    r(x, y, cost) USING KEY (x, y) AS (SELECT first(x ORDER BY y, x), min(y), CAST(0 AS DOUBLE) FROM cells WHERE z IS NOT NULL GROUP BY x // 20
+      UNION SELECT e.bx, e.by_, min(r.cost + e.c) FROM r JOIN e ON e.ax = r.x AND e.ay = r.y LEFT JOIN recurring.r o ON o.x = e.bx AND o.y = e.by_ WHERE o.cost IS NULL OR r.cost + e.c < o.cost - 1e-12 GROUP BY e.bx, e.by_)
+    SELECT CAST(x AS VARCHAR) || ',' || CAST(y AS VARCHAR) AS node, round(cost, 6) AS cost, round(cost, 6) AS along FROM r""",
+    cells=ISLANDS,
+)
+def _(t, cells):
+    """By length and height step from the first cell of every island; ``along`` sums the edges of the path that each row holds."""
+    edges = R.checkpointed(R.lattice(cells, "terrain"))
+    found = R.shortest_paths(edges, _queries(cells)).select("node", "cost", F.posexplode("path").alias("i", "a"), F.get("path", F.col("i") + 1).alias("b"))
+    priced = found.join(edges.select("a", "b", F.col("cost").alias("_c")), ["a", "b"], "left")
+    return priced.groupBy("node", "cost").agg(F.round(F.coalesce(F.sum("_c"), F.lit(0.0)), 6).alias("along")).select("node", F.round("cost", 6).alias("cost"), "along")
+
+
 @query("R03_alternatives")
 def _(t):
     cells = t.sql(ISLANDS)

@@ -221,6 +221,32 @@ def _(t):
     return S.map_members(t("orders").select(F.col("o_orderkey").alias("path"), F.lower("o_orderpriority").alias("folded_text")), profiles)
 
 
+@query(
+    "S18_identify_members",
+    """WITH p AS (SELECT n_nationkey, lower(n_name) AS name, n_name AS profile FROM nation),
+    m AS (SELECT CASE WHEN c_custkey % 149 = c_nationkey AND c_nationkey % 4 = 0 THEN lower(n_name) || '/' || c_custkey || '.csv' WHEN c_custkey = c_nationkey + 1 AND c_nationkey % 3 = 0 THEN 'z/' || lower(n_name) || '.pdf' ELSE 'z/' || c_custkey || '.csv' END AS path,
+      CASE WHEN c_custkey % 401 = c_nationkey THEN 'yearly ' || lower(n_name) || ' counts' ELSE lower(c_mktsegment) END AS txt FROM customer JOIN nation ON c_nationkey = n_nationkey),
+    s AS (SELECT profile, path, split_part(split_part(path, '/', 2), '.', 1) = name AS stem, contains(txt, name) AS literal, contains(path || ' ' || txt, substr(name, 1, 4)) AS producer,
+      CAST(contains(path || ' ' || txt, 'count') AS INTEGER) + CAST(contains(path || ' ' || txt, 'build') AS INTEGER) AS products, contains(path || ' ' || txt, 'auto') AS place, ends_with(path, '.csv') AS ext FROM p, m),
+    v AS (SELECT *, 500 * CAST(stem AS INTEGER) + 100 * CAST(literal AS INTEGER) + 20 * CAST(producer AS INTEGER) + 10 * products + 5 * CAST(place AS INTEGER) + 3 * CAST(ext AS INTEGER) AS score FROM s),
+    k AS (SELECT *, row_number() OVER (PARTITION BY profile ORDER BY score DESC, path) AS i FROM v WHERE score > 0),
+    b AS (SELECT profile, count(*) FILTER (stem) AS stems, count(*) FILTER (literal) AS literals, min(path) FILTER (stem) AS sp, min_by(score, path) FILTER (stem) AS ss, min(path) FILTER (literal) AS lp, min_by(score, path) FILTER (literal) AS ls,
+      max(path) FILTER (i = 1) AS tp, max(score) FILTER (i = 1) AS ts, coalesce(max(score) FILTER (i = 2), -1) AS nx, bool_or(producer AND products > 0) FILTER (i = 1) AS named FROM k GROUP BY profile),
+    w AS (SELECT *, CASE WHEN stems = 1 THEN 'stem' WHEN stems > 1 THEN 'several stems' WHEN literals = 1 THEN 'text' WHEN named AND literals > 1 AND ts - nx >= 25 THEN 'tokens' WHEN named AND literals = 0 AND ts >= 43 AND ts - nx >= 15 THEN 'tokens' END AS basis FROM b)
+    SELECT profile, CASE basis WHEN 'stem' THEN sp WHEN 'text' THEN lp WHEN 'tokens' THEN tp END AS path, CASE basis WHEN 'stem' THEN ss WHEN 'text' THEN ls WHEN 'tokens' THEN ts END AS score,
+      CASE WHEN ts IS NULL THEN 'absent' WHEN basis IN ('stem', 'text', 'tokens') THEN 'unique' ELSE 'ambiguous' END AS status, basis FROM w""",
+)
+def _(t):
+    """All customers as members, some of which name a nation in folder, stem or text; every nation's profile."""
+    k, n = F.col("c_custkey"), F.col("c_nationkey")
+    met = t("customer").join(t("nation").select(F.col("n_nationkey").alias("c_nationkey"), F.lower("n_name").alias("name")), "c_nationkey")
+    path = F.when((k % 149 == n) & (n % 4 == 0), F.concat("name", F.lit("/"), k, F.lit(".csv"))).when((k == n + 1) & (n % 3 == 0), F.concat(F.lit("z/"), "name", F.lit(".pdf"))).otherwise(F.concat(F.lit("z/"), k, F.lit(".csv")))
+    text = F.when(k % 401 == n, F.concat(F.lit("yearly "), "name", F.lit(" counts"))).otherwise(F.lower("c_mktsegment"))
+    one = lambda v: F.array(F.lit(v))
+    profiles = t("nation").select(F.col("n_name").alias("profile"), F.array(F.substring(F.lower("n_name"), 1, 4)).alias("producers"), F.array(F.lit("count"), F.lit("build")).alias("products"), one("auto").alias("places"), F.lit(".csv").alias("extension"))
+    return S.identify_members(met.select(path.alias("path"), text.alias("folded_text")), profiles)
+
+
 @query("S19_workbook_rows", "SELECT CAST(floor(c_custkey / 50) AS BIGINT) AS sheet, c_custkey % 50 AS row, 0 AS col, 'Nation code' AS label, CAST(c_nationkey AS VARCHAR) AS value FROM customer WHERE c_custkey % 50 > 3")
 def _(t):
     row = F.col("c_custkey") % 50
@@ -295,6 +321,28 @@ def _(t):
     return S.xml_scan(files, "element")
 
 
+@query("S23_feature_types", "SELECT DISTINCT o_custkey AS file, 'w:' || o_orderpriority AS name FROM orders")
+def _(t):
+    """Capabilities of every customer: a feature type for each order, named by its priority, beside other names."""
+    kind = F.concat(F.lit("<w:FeatureType><w:Name> w:"), "o_orderpriority", F.lit(" </w:Name><Title>"), "o_orderkey", F.lit("</Title></w:FeatureType>"))
+    body = F.concat(F.lit('<w:Capabilities xmlns:w="u"><w:Name>service</w:Name>'), F.array_join(F.collect_list(kind), ""), F.lit("</w:Capabilities>"))
+    return S.feature_types(t("orders").groupBy(F.col("o_custkey").alias("file")).agg(body.alias("body")))
+
+
+@query(
+    "S23_schema_fields",
+    """WITH f AS (SELECT o_custkey AS file, CASE WHEN o_orderkey % 4 = 0 THEN 'cota_' ELSE 'f_' END || o_orderkey % 10 AS field, min(o_orderkey) AS first FROM orders GROUP BY 1, 2)
+    SELECT file, row_number() OVER (PARTITION BY file ORDER BY first) - 1 AS position, field, field LIKE 'cota%' AS is_height FROM f""",
+)
+def _(t):
+    """Schemas of every customer: an element for each order in turn, some of which repeat."""
+    name = F.concat(F.when(F.col("o_orderkey") % 4 == 0, "cota_").otherwise("f_"), F.col("o_orderkey") % 10)
+    element = F.struct("o_orderkey", F.concat(F.lit('<xs:element name="'), name, F.lit('"/>')).alias("e"))
+    inside = F.array_join(F.transform(F.array_sort(F.collect_list(element)), lambda x: x["e"]), "")
+    files = t("orders").groupBy(F.col("o_custkey").alias("file")).agg(F.concat(F.lit('<xs:schema xmlns:xs="u">'), inside, F.lit("</xs:schema>")).alias("body"))
+    return S.schema_fields(files)
+
+
 @query(
     "S24_tile_index",
     """WITH b AS (SELECT s_suppkey AS box, CAST(s_suppkey % 60 - 30 AS BIGINT) AS x, CAST(s_suppkey % 40 - 20 AS BIGINT) AS y FROM supplier), c AS (SELECT box, x + i AS lon, y + j AS lat FROM b, (VALUES (0), (1)) a(i), (VALUES (0), (1), (2)) d(j))

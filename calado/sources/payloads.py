@@ -450,12 +450,19 @@ def identify_members(members: DataFrame, profiles: DataFrame, most_profiles: int
     })
     score = reduce(lambda a, b: a + b, [F.col(k).cast("int") * v for k, v in EVIDENCE.items()])
     rows = rows.withColumn("score", score).where("score > 0")
-    w = Window.partitionBy("profile").orderBy(F.col("score").desc(), "path")
-    ranked = rows.withColumn("_i", F.row_number().over(w))
-    best = ranked.groupBy("profile").agg(
+    rows = rows.withColumn("named", (F.col("producers") > 0) & (F.col("products") > 0)).select("profile", "path", "score", "stem", "literal", "named")
+    found = rows.groupBy("profile").agg(
         F.count_if("stem").alias("_stems"), F.count_if("literal").alias("_literals"), F.min(F.when(F.col("stem"), F.struct("path", "score"))).alias("_stem"), F.min(F.when(F.col("literal"), F.struct("path", "score"))).alias("_literal"),
-        F.max(F.when(F.col("_i") == 1, F.struct("score", "path", ((F.col("producers") > 0) & (F.col("products") > 0)).alias("named")))).alias("_top"), F.coalesce(F.max(F.when(F.col("_i") == 2, F.col("score"))), F.lit(-1)).alias("_next"),
     )
+    # One profile may speak for most members: the first two of each of its 64 parts, then of all.
+    order = [F.col("score").desc(), "path"]
+    first = rows.withColumn("_part", F.pmod(F.xxhash64("path"), F.lit(64)))
+    for by in (["profile", "_part"], ["profile"]):
+        first = first.withColumn("_i", F.row_number().over(Window.partitionBy(*by).orderBy(*order))).where("_i <= 2")
+    top = first.groupBy("profile").agg(
+        F.max(F.when(F.col("_i") == 1, F.struct("score", "path", "named"))).alias("_top"), F.coalesce(F.max(F.when(F.col("_i") == 2, F.col("score"))), F.lit(-1)).alias("_next")
+    )
+    best = found.join(top, "profile")
     lead = F.col("_top.score") - F.col("_next")
     basis = (
         F.when(F.col("_stems") == 1, "stem").when(F.col("_stems") > 1, "several stems").when(F.col("_literals") == 1, "text")
