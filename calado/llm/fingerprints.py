@@ -127,7 +127,7 @@ def edited_fingerprints(docs: DataFrame, k: int = 3, picked: int = 2, slots: int
     Edited: the last floor(n / 2) code points are replaced by the first as many (or all) of the next document by ascending
     doc_id (an integer); after the last comes the first. Returns (doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint,
     near_edited, near_next). Null text is empty. Null ids come first, repeated ids in the order of their texts.
-    One row follows itself. An empty table gives an empty table.
+    One row follows itself. Very long texts are read whole, to the last word. An empty table gives an empty table.
 
     Ids are parted into blocks; each block's first row is sent to the block before it as well, so that successors are
     found in windows over blocks, never over the whole table. Rows of one id stay in one block.

@@ -86,7 +86,7 @@ def mix_sources(
     ``limit`` times at most. As the order is seeded and blocks follow each other, documents stay whole but for those at
     the ends of that run.
 
-    Null or empty text has size 0 and takes 0. A null source is a source of its own, last in order. Repeated rows
+    ``doc_id`` is an integer, or text that is one; other text is an error. Null or empty text has size 0 and takes 0. A null source is a source of its own, last in order. Repeated rows
     take part like any others. Reruns agree, whatever the partitions. An empty table gives an empty table.
     """
     keep = [c for c in docs.columns if c not in ("size", "source_size", "target", "taken", "spans")]

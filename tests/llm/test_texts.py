@@ -45,6 +45,15 @@ def test_language_edges(spark):
     assert language_id.language_dictionaries(spark.createDataFrame([(1, None, "en"), (2, "text", None)], DOCS + ", lang string")) == []
 
 
+def test_language_ties_go_to_the_first(spark):
+    """Two languages with one dictionary: the first, which has more labelled rows, is named, without margin, and not accepted."""
+    same = b"the cat and the dog of the house with many words in it " * 40
+    docs = spark.createDataFrame([(1, "the dog and the cat of the house")], DOCS)
+    for names in (("b", "a"), ("a", "b")):
+        r = language_id.label_language(docs, [(n, same) for n in names]).first()
+        assert (r["lang_pred"], r["margin"], r["accepted"]) == (names[0], 0.0, False) and r["score"] == pytest.approx(0.5)
+
+
 # -- HTML
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var a="</p><p>no";</script></head><body>
@@ -311,6 +320,17 @@ def test_fingerprint_edges(spark):
     assert all(r["near_next"] == r["near_edited"] == 1.0 and r["fingerprint"] == "-" * 256 for r in none)
 
 
+def test_fingerprints_of_long_texts(spark):
+    """Whole texts of 200,000 words count: another last word, halves swapped, and one word throughout."""
+    words = [f"w{i}" for i in range(200_000)]
+    rows = [(1, " ".join(words)), (2, " ".join([*words[:-1], "other"])), (3, " ".join(words[100_000:] + words[:100_000])), (4, "same " * 200_000)]
+    got = {r["doc_id"]: r for r in fingerprints.edited_fingerprints(spark.createDataFrame(rows, DOCS)).collect()}
+    assert got[1]["near_next"] > 0.9 > 0.75 > got[2]["near_next"] and got[3]["near_next"] == 0.0
+    assert [got[i]["n_chars"] for i, _ in rows] == [len(t) for _, t in rows]
+    edited = rows[3][1][: len(rows[3][1]) - len(rows[3][1]) // 2] + rows[0][1][: len(rows[3][1]) // 2]
+    assert got[4]["edited_sha256"] == hashlib.sha256(edited.encode()).hexdigest()
+
+
 # -- LM scores
 
 def slow_scores(net, vocabulary, counts, text):
@@ -445,6 +465,14 @@ def test_quality_counts(spark):
     assert quality_rules.judge_quality(spark.createDataFrame([], DOCS)).collect() == []
 
 
+def test_quality_of_a_long_text(spark):
+    """A million words: those of a repeated passage count up to the text's end."""
+    words = [f"w{i}" for i in range(1_000_000)]
+    words[-50:] = words[:50]
+    r = quality_rules.judge_quality(spark.createDataFrame([(1, "\n".join(" ".join(words[i : i + 10]) for i in range(0, len(words), 10)))], DOCS)).first()
+    assert (r["n_words"], r["word_chars"], r["n_dup_lines"], r["n_repeat_words"], r["base_failed"]) == (1_000_000, sum(map(len, words)), 5, 100, False)
+
+
 def test_votes_find_accuracies():
     rng = np.random.default_rng(3)
     n, for_good, for_bad = 40000, np.array([0.97, 0.95, 0.9, 0.85, 0.95, 0.9]), np.array([0.7, 0.5, 0.6, 0.8, 0.4, 0.6])

@@ -34,6 +34,15 @@ def test_counts_edges(spark):
     assert [tuple(r) for r in rows] == [(None, 3, 2, False), (1, 3, 2, False), (1, 3, 2, False)]
 
 
+def test_counts_of_long_texts(spark):
+    """Longer than any batch: with spaces, which are split, and one line without any, which is not."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    rows = [(1, " ".join(ODD[i % 4] for i in range(30_000))), (2, "".join(chr(0x4E00 + i % 977) for i in range(200_000))), (3, "QUJD" * 50_000)]
+    want = [len(Tokenizer.from_file(path).encode(t, add_special_tokens=False)) for _, t in rows]
+    got = {r["doc_id"]: (r["n_bytes"], r["n_tokens"], r["over_limit"]) for r in count_tokens(spark.createDataFrame(rows, "doc_id long, text string"), path, batch_bytes=10_000).collect()}
+    assert got == {i: (len(t.encode()), n, True) for (i, t), n in zip(rows, want, strict=True)}
+
+
 def test_packing_round_trip(spark):
     rows = list(enumerate(texts())) + [(10_000 + i, "a") for i in range(50)]
     path = public_tokenizers.path("word_bpe_49k.json")
