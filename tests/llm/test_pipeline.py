@@ -146,9 +146,9 @@ def test_registered_sql(spark, name):
     assert sorted(str([round(r[c], 6) if isinstance(r[c], float) else r[c] for c in columns]) for r in got.collect()) == want
 
 
-@pytest.mark.parametrize("name", sorted(n for n in queries.queries() if n.startswith("op")))
+@pytest.mark.parametrize("name", sorted(n for n in queries.queries() if n.startswith("op") and not n.startswith("op13_")))
 def test_registered_queries_cover_their_tables(spark, name):
-    """One row for each row of the table (op7: one piece or more for each document)."""
+    """One row for each row of the table (op7: one piece or more for each document). op13's rows are no table's: its SQL above compares them."""
     got = queries.queries()[name](spark, SF)
     table, key = ("pages", "page_id") if name.startswith("op2_") else ("documents", "doc_id")
     ids = sorted(r[key] for r in spark.read.parquet(f"{SF}/{table}.parquet").collect())
