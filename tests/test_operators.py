@@ -177,7 +177,7 @@ def test_line_queries_read_all_orders(spark, tmp_path):
     spark.createDataFrame([(i,) for i in range(200)], "s_suppkey long").write.parquet(str(tmp_path / "supplier.parquet"))
     segs = []
     for line in (0, 1):
-        points = [((k * 13) % 500, (k * 29) % 400) for k, c in orders if c == line]
+        points = [(k * 5 + (k * 13) % 50, (k * 29) % 400) for k, c in orders if c == line]
         segs += [(line, *a, *b) for a, b in zip(points, points[1:], strict=False)]
     want = {}
     for line, ax, ay, bx, by in segs:
