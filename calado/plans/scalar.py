@@ -147,7 +147,9 @@ def _(t, options):
 def _(t, options):
     """Connectors whose tangents lie along the chord are straight."""
     zero, end = (F.lit(0.0), F.lit(0.0)), (F.col("minutes"), F.col("residents"))
-    return options.select("option_id", G.quintic_length(zero, end, end, end).alias("length"))
+    # Much work a row: small files are spread first.
+    spread = options.repartition(int(t.spark.conf.get("spark.sql.shuffle.partitions")))
+    return spread.select("option_id", G.quintic_length(zero, end, end, end).alias("length"))
 
 
 @query("F16_quintic")
