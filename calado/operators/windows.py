@@ -139,50 +139,150 @@ def _curved_line(s: np.ndarray, low: np.ndarray, high: np.ndarray, caps: np.ndar
     return True
 
 
-def _curved_fit(s: np.ndarray, z: np.ndarray, tied: np.ndarray, caps: np.ndarray, radius: float, tolerance: float) -> tuple[np.ndarray, float]:
-    """The fit and the least deviation of one line, to ``tolerance``; not a number where ties make it infeasible."""
+def _strip(x: np.ndarray, y: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """What of convex polygons (a column each, corners in turn, some repeated) has ``x`` between ``low`` and ``high``, and the number of corners left.
+    Each side gives where it enters and, unless it ends inside, where it leaves."""
+    x1, y1 = np.concatenate([x[1:], x[:1]]), np.concatenate([y[1:], y[:1]])
+    under, over, under1, over1 = x < low, x > high, x1 < low, x1 > high
+    with np.errstate(all="ignore"):
+        slope = (y1 - y) / (x1 - x)
+        enter_x, leave_x = np.where(under, low, np.where(over, high, x)), np.where(under1, low, high)
+        enter_y, leave_y = np.where(under | over, y + (enter_x - x) * slope, y), y + (leave_x - x) * slope
+    met = ~(under & under1) & ~(over & over1)
+    fresh = (x != x1) | (y != y1)
+    fresh[0] = True
+    n, lanes = x.shape
+    kept = np.empty((2 * n, lanes), bool)
+    kept[0::2] = met & fresh & ~((under | over) & (enter_x == x1))
+    kept[1::2] = met & (under1 | over1)
+    at = np.cumsum(kept, axis=0) - 1
+    left = at[-1] + 1
+    row, lane = np.nonzero(kept)
+    place, corners = at[row, lane], []
+    for enter, leave in ((enter_x, leave_x), (enter_y, leave_y)):
+        both = np.empty((2 * n, lanes))
+        both[0::2], both[1::2] = enter, leave
+        values, first = both[row, lane], np.zeros(lanes)
+        first[lane[place == 0]] = values[place == 0]
+        made = np.repeat(first[None], max(1, int(left.max(initial=0))), axis=0)
+        made[place, lane] = values
+        corners.append(made)
+    return corners[0], corners[1], left
+
+
+def _lift(x: np.ndarray, y: np.ndarray, lift: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Convex polygons, against the clock, with their upper sides raised and their lower sides lowered by ``lift``."""
+    n, lanes = x.shape
+    column = np.arange(lanes)
+    first = np.where(x == x.min(axis=0), y, np.inf).argmin(axis=0)
+    turned = (np.arange(n)[:, None] + first) % n
+    x, y = x[turned, column], y[turned, column]
+    last = np.where(x == x.max(axis=0), y, -np.inf).argmax(axis=0)
+    place = np.arange(n + 2)[:, None]
+    lower = place <= last
+    source = np.where(lower, place, (place - 1) % n)
+    return x[source, column], y[source, column] + np.where(lower, -lift, lift)
+
+
+def _curved_lines(s: np.ndarray, z: np.ndarray, tied: np.ndarray, caps: np.ndarray, start: np.ndarray, n: np.ndarray, t: np.ndarray, radius: float) -> np.ndarray:
+    """``_curved_line`` for many lines at once, each ``n`` rows from ``start`` with a deviation ``t``: what each can reach is a column of corners.
+    ``caps`` are those of the segment that ends at a row."""
+    holds, on = np.zeros(len(t), bool), np.arange(len(t))
+    x = y = np.empty((0, 0))
+    for i in range(int(n.max(initial=0))):
+        at = start[on] + i
+        tie, here = tied[at], z[at]
+        low, high = np.where(np.isnan(tie), here - t[on], tie), np.where(np.isnan(tie), here + t[on], tie)
+        if i == 0:
+            cap = caps[at + 1]
+            x, y = np.stack([low, high, high, low]), np.stack([-cap, -cap, cap, cap])
+            continue
+        left = np.ones(len(on), bool)
+        if i > 1:
+            x, y = _lift(x, y, (s[at] - s[at - 2]) / 2 / radius)
+            y, x, corners = _strip(y, x, -caps[at], caps[at])
+            left = corners > 0
+        x, y, corners = _strip(x + (s[at] - s[at - 1]) * y, y, low, high)
+        left &= corners > 0
+        ends = left & (n[on] == i + 1)
+        holds[on[ends]] = True
+        left &= ~ends
+        if not left.all():
+            x, y, on = x[:, left], y[:, left], on[left]
+            if not len(on):
+                break
+    return holds
+
+
+def _curved_deviations(s: np.ndarray, z: np.ndarray, tied: np.ndarray, caps: np.ndarray, start: np.ndarray, n: np.ndarray, radius: float, tolerance: float, lanes: int = 256) -> np.ndarray:
+    """The least deviations of lines of two rows or more, to ``tolerance``; not a number where ties make one infeasible.
+
+    Few lines try several deviations in a pass, many one.
+    """
+    low, high = np.empty(len(n)), np.empty(len(n))
+    for k, (a, m) in enumerate(zip(start, n, strict=True)):
+        part = slice(a, a + m)
+        free, height = np.isnan(tied[part]), z[part]
+        # Ties count as deviations, as in the grade envelope without a radius; that one's deviation is the least there can be.
+        heights, cost = np.where(free, height, tied[part]), np.concatenate([[0.0], np.cumsum(caps[part][1:] * np.diff(s[part]))])
+        off = np.nanmax(np.abs(np.where(free, 0.0, tied[part] - height)))
+        lower, upper = np.maximum.accumulate(height + cost) - cost, np.minimum.accumulate(height - cost) + cost
+        low[k] = max(np.max(lower - height) / 2, np.max(height - upper) / 2, off)
+        high[k] = heights.max() - heights.min() + 2 * cost[-1] + off + 1
+    holds = lambda k, t: _curved_lines(s, z, tied, caps, start[k], n[k], t, radius)
+    best = np.full(len(n), np.nan)
+    every = np.arange(len(n))
+    at_least = holds(every, low)
+    best[at_least] = low[at_least]
+    open_ = every[~at_least]
+    open_ = open_[holds(open_, high[open_])]
+    while len(open_):
+        parts = 2
+        while parts * len(open_) < lanes:
+            parts *= 2
+        share = np.arange(1, parts) / parts
+        tries = low[open_] + share[:, None] * (high[open_] - low[open_])
+        good = holds(np.tile(open_, parts - 1), tries.ravel()).reshape(tries.shape)
+        bounds = np.concatenate([low[open_][None], tries, high[open_][None]])
+        first = np.where(good.any(axis=0), good.argmax(axis=0), parts - 1)
+        column = np.arange(len(open_))
+        low[open_], high[open_] = bounds[first, column], bounds[first + 1, column]
+        near = high[open_] - low[open_] <= tolerance
+        best[open_[near]] = high[open_[near]]
+        open_ = open_[~near]
+    return best
+
+
+def _curved_fit(s: np.ndarray, z: np.ndarray, tied: np.ndarray, caps: np.ndarray, radius: float, best: float, tolerance: float) -> np.ndarray:
+    """The fit of one line with its least deviation ``best``."""
     free = np.isnan(tied)
-
-    def bounds(t: float) -> tuple[np.ndarray, np.ndarray]:
-        return np.where(free, z - t, tied), np.where(free, z + t, tied)
-
-    def holds(t: float) -> bool:
-        return _curved_line(s, *bounds(t), caps, radius)
-
-    # Ties count as deviations, as in the grade envelope without a radius; that one's deviation is the least there can be.
-    heights, cost = np.where(free, z, tied), np.concatenate([[0.0], np.cumsum(caps * np.diff(s))])
-    off = np.nanmax(np.abs(np.where(free, 0.0, tied - z)))
-    top = float(heights.max() - heights.min() + 2 * cost[-1] + off + 1)
-    lower, upper = np.maximum.accumulate(z + cost) - cost, np.minimum.accumulate(z - cost) + cost
-    least = float(max(np.max(lower - z) / 2, np.max(z - upper) / 2, off))
-    if holds(least):
-        low = high = least
-    elif not holds(top):
-        return np.full(len(s), np.nan), math.nan
-    else:
-        low, high = least, top
-    while high - low > tolerance:
-        t = (low + high) / 2
-        low, high = (low, t) if holds(t) else (t, high)
-    reached: list = []
-    _curved_line(s, *bounds(high), caps, radius, reached)
+    if math.isnan(best):
+        return np.full(len(s), np.nan)
+    # At the least deviation what can be reached is a point at some rows, which rounding may miss: the fit may differ by the tolerance more.
+    for up in (tolerance, 8 * tolerance, 64 * tolerance):
+        reached: list = []
+        if _curved_line(s, np.where(free, z - best - up, tied), np.where(free, z + best + up, tied), caps, radius, reached):
+            break
     fit, grade = np.empty(len(s)), math.nan
     fit[-1] = (min(p[0] for p in reached[-1]) + max(p[0] for p in reached[-1])) / 2
     for i in range(len(s) - 1, 0, -1):
-        # Grades of the segment before that reach this height, as near the grade after as the radius asks; the middle of them.
-        at = [g for _, g in _clip(reached[i - 1], 0, fit[i], fit[i])] or [min(reached[i - 1], key=lambda p, v=fit[i]: abs(p[0] - v))[1]]
+        # Grades of the segment before that reach this height, as near the grade after as the radius asks; the middle of them. A height that rounding
+        # puts beside what can be reached is taken at its edge.
+        heights = [p[0] for p in reached[i - 1]]
+        v = min(max(fit[i], min(heights)), max(heights))
+        at = [g for _, g in _clip(reached[i - 1], 0, v - tolerance / 8, v + tolerance / 8)]
         a, b = min(at), max(at)
         if i < len(s) - 1:
             bend = (s[i + 1] - s[i - 1]) / 2 / radius
             a, b = max(a, grade - bend), min(b, grade + bend)
         grade = (a + b) / 2
         fit[i - 1] = fit[i] - grade * (s[i] - s[i - 1])
-    return fit, high
+    return fit
 
 
 def curved_grade(
     df: DataFrame, group: list[str], cap: float, radius: float, station_cap: float | None = None, at_station: Column | None = None, anchor: Column | None = None,
-    s: str = "s", z: str = "z", tolerance: float = 1e-8, most: int = 200_000,
+    s: str = "s", z: str = "z", tolerance: float = 1e-8, most: int = 200_000, block: int = 65_536,
 ) -> DataFrame:
     """(group, s, z, fit, residual, deviation): the profile with the least largest deviation whose grades are at most ``cap``, or
     ``station_cap`` on segments that end at a station, and change between segments by at most their mean length over ``radius``.
@@ -191,13 +291,16 @@ def curved_grade(
     counts in ``deviation``; where ties cannot be met, fit and deviation are null. The deviation is found by halving to ``tolerance``; where the
     radius does not bind, it is that of the envelope. Of all best profiles the one is taken that halves, from the last row back, what the rows before leave open.
     A line of one row is its own fit. Rows without ``s`` or ``z``, infinite ones, and two rows at one ``s`` are errors, as no ground may be made up.
-    A line is one Arrow group: lines over ``most`` rows (5,000 km at 25 m) are an error, counted before any is gathered.
+    Lines are solved in groups of some ``block`` rows, whose profiles step on together in arrays; a line is not parted: lines over ``most``
+    rows (5,000 km at 25 m) are an error, counted before any is gathered.
     """
     tied = (anchor if anchor is not None else F.lit(None)).cast("double")
     caps = F.when(at_station, station_cap).otherwise(cap) if at_station is not None else F.lit(float(cap))
     rows = df.select(*group, F.col(s).cast("double").alias(s), F.col(z).cast("double").alias(z), tied.alias("_tied"), caps.cast("double").alias("_cap"))
     # Little data and much work a row: a fixed number of partitions is not put together for being small. The window and the groups keep it.
-    rows = rows.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *group)
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = rows.repartition(tasks, *group).withColumn("_line", F.min(F.monotonically_increasing_id()).over(Window.partitionBy(*group)))
+    blocks = max(tasks, -(-df.count() // block))
     w = Window.partitionBy(*group).orderBy(s)
     sound = lambda c: F.col(c).isNotNull() & ~F.col(c).isin(math.nan, math.inf, -math.inf)
     rows = rows.withColumn("_n", F.row_number().over(w)).withColumn("_same", F.coalesce(F.col(s) == F.lag(s).over(w), F.lit(False)))
@@ -209,18 +312,23 @@ def curved_grade(
         .otherwise(F.col(s)),
     ).drop("_same", "_n")
 
-    def solve(line: pd.DataFrame) -> pd.DataFrame:
-        line = line.sort_values(s, ignore_index=True)
-        x, y, ties = (line[c].to_numpy(float) for c in (s, z, "_tied"))
-        if len(line) == 1:
-            fit = np.where(np.isnan(ties), y, ties)
-            best = float(abs(fit[0] - y[0]))
-        else:
-            fit, best = _curved_fit(x, y, ties, line["_cap"].to_numpy(float)[1:], radius, tolerance)
-        return line[[*group, s, z]].assign(fit=fit, residual=y - fit, deviation=best)
+    def solve(part: pd.DataFrame) -> pd.DataFrame:
+        part = part.sort_values(["_line", s], ignore_index=True)
+        x, y, ties, steps = (part[c].to_numpy(float) for c in (s, z, "_tied", "_cap"))
+        start = np.flatnonzero(np.diff(part["_line"].to_numpy(), prepend=-1))
+        n = np.diff(start, append=len(part))
+        fit, best = np.where(np.isnan(ties), y, ties), np.empty(len(n))
+        best[n == 1] = np.abs(fit - y)[start[n == 1]]
+        best[n > 1] = _curved_deviations(x, y, ties, steps, start[n > 1], n[n > 1], radius, tolerance)
+        for a, m, d in zip(start[n > 1], n[n > 1], best[n > 1], strict=True):
+            line = slice(a, a + m)
+            fit[line] = _curved_fit(x[line], y[line], ties[line], steps[line][1:], radius, d, tolerance)
+        return part[[*group, s, z]].assign(fit=fit, residual=y - fit, deviation=np.repeat(best, n))
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select(*group, s, z).schema)
-    solved = rows.groupBy(*group).applyInPandas(solve, f"{kinds}, fit double, residual double, deviation double")
+    # The blocks are dealt as evenly as lines are; AQE must not put these small rows together.
+    dealt = rows.withColumn("_block", F.pmod(F.xxhash64(*group), F.lit(blocks))).repartition(blocks, "_block")
+    solved = dealt.groupBy("_block").applyInPandas(solve, f"{kinds}, fit double, residual double, deviation double")
     return solved.withColumns({c: F.nanvl(c, F.lit(None).cast("double")) for c in ("fit", "residual", "deviation")})
 
 

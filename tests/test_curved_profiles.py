@@ -104,3 +104,32 @@ def test_lines_without_ground_are_errors(spark):
             windows.curved_grade(spark.createDataFrame(bad, schema), ["g"], 0.5, 100.0).collect()
     with pytest.raises(Exception, match="more than 2 rows"):
         windows.curved_grade(spark.createDataFrame([(1, float(i), 1.0, "x") for i in range(3)], schema), ["g"], 0.5, 100.0, most=2).collect()
+
+
+def test_lines_step_on_together_and_fits_keep_their_bounds(spark):
+    """Lines of many lengths in few blocks give the deviations of their own, and no fit leaves its caps, its radius or its deviation."""
+    rng = np.random.default_rng(1)
+    lines = {}
+    for g in range(40):
+        n = int(rng.integers(1, 90))
+        ties = [float("nan")] * n
+        if n > 9:
+            ties[9] = 200.0
+        lines[g] = [np.arange(1, n + 1) * 25.0, rng.uniform(0, 500, n).round(2), np.array(ties), np.where(rng.random(n) < 0.2, 0.1, 0.5)]
+    df = spark.createDataFrame([(g, *map(float, row)) for g, line in lines.items() for row in zip(*line, strict=True)], "g int, s double, z double, tie double, cap double")
+    got = {}
+    solved = windows.curved_grade(df, ["g"], 0.5, 100.0, 0.1, F.col("cap") < 0.5, F.nanvl("tie", F.lit(None).cast("double")), block=1000)
+    assert solved.rdd.getNumPartitions() >= 4
+    for r in solved.collect():
+        got.setdefault(r["g"], []).append(r)
+    for g, (s, z, ties, caps) in lines.items():
+        rows = sorted(got[g], key=lambda r: r["s"])
+        fit, best = np.array([r["fit"] for r in rows]), rows[0]["deviation"]
+        assert len({r["deviation"] for r in rows}) == 1 and max(abs(fit - z)) <= best + 1e-6
+        if len(s) == 1:
+            continue
+        around = [windows._curved_line(s, np.where(np.isnan(ties), z - t, ties), np.where(np.isnan(ties), z + t, ties), caps[1:], 100.0) for t in (best - 1e-6, best + 1e-6)]
+        assert around[1] and (not around[0] or best == pytest.approx(windows._curved_deviations(s, z, ties, caps, np.array([0]), np.array([len(s)]), 100.0, 1e-8)[0], abs=1e-6))
+        grade = np.diff(fit) / np.diff(s)
+        assert (np.abs(grade) <= caps[1:] + 1e-7).all() and (np.abs(np.diff(grade)) <= 0.25 + 1e-7).all()
+        assert np.nanmax(np.abs(fit - ties), initial=0.0) <= 1e-6
