@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from calado.functions.geometry import segment_distance
-from calado.operators.storage import checkpointed
+from calado.operators.storage import checkpointed, deleted, stored
 
 #: Steps to the neighbours of a lattice cell.
 FOUR = [(-1, 0), (1, 0), (0, -1), (0, 1)]
@@ -61,14 +61,15 @@ def shortest_paths(edges: DataFrame, queries: DataFrame, rounds: int = 10_000, b
     All queries are relaxed together: the nodes whose cost fell send it along their edges, and the least offer wins, ties
     by the path's names. It stops when no cost falls; where one still would after ``rounds`` rounds, that is an error.
     Costs are not negative; nodes that edges do not name are never crossed.
-    Rows hold their path, which is as long as the route, so that no second pass has to trace it back.
+    Rows hold their path, which is as long as the route, so that no second pass has to trace it back. A round's rows go when the next are written.
     ``by`` are columns of edges and queries, which must agree (a kind of cost, say); ``tolls`` (q, node, toll) are added to
     the cost of entering a node, for one query.
     """
     key = ["q", *by]
     steps = edges.select(*by, F.col("a").alias("node"), "b", F.col("cost").alias("_step"))
     zero = queries.select(*key, F.col("start").alias("node"), F.lit(0.0).alias("cost"), F.array("start").alias("path"))
-    best = frontier = checkpointed(zero)
+    best, path = stored(zero)
+    frontier = best
     for done in range(rounds + 1):
         sent = frontier.join(steps, [*by, "node"]).select(*key, F.col("b").alias("node"), (F.col("cost") + F.col("_step")).alias("offer"), F.concat("path", F.array("b")).alias("via"))
         if tolls is not None:
@@ -76,7 +77,9 @@ def shortest_paths(edges: DataFrame, queries: DataFrame, rounds: int = 10_000, b
         least = sent.groupBy(*key, "node").agg(F.min(F.struct("offer", "via")).alias("_m")).select(*key, "node", "_m.offer", "_m.via")
         better = F.col("offer").isNotNull() & (F.col("cost").isNull() | (F.col("offer") < F.col("cost") - 1e-12))
         met = best.join(least, [*key, "node"], "full_outer")
-        now = checkpointed(met.select(*key, "node", F.when(better, F.col("offer")).otherwise(F.col("cost")).alias("cost"), F.when(better, F.col("via")).otherwise(F.col("path")).alias("path"), better.alias("_new")))
+        now, new = stored(met.select(*key, "node", F.when(better, F.col("offer")).otherwise(F.col("cost")).alias("cost"), F.when(better, F.col("via")).otherwise(F.col("path")).alias("path"), better.alias("_new")))
+        deleted(edges.sparkSession, path)
+        path = new
         best, frontier = now.drop("_new"), now.where("_new").drop("_new")
         if not frontier.limit(1).count():
             return best

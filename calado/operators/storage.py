@@ -51,6 +51,26 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def stored(df: DataFrame) -> tuple[DataFrame, str]:
+    """The rows of ``df`` written to the shared folder and read from there, and their path: loops ``deleted`` it once the next round is written, so
+    that rounds do not add up on disk. Shuffle files of the write go with it, as nothing else reads them."""
+    spark, path = df.sparkSession, shared_path(df.sparkSession, "round")
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def deleted(spark: SparkSession, path: str) -> None:
+    """Delete what ``stored`` wrote and nothing reads any more."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
     """A new path in the folder that driver and executors share, deleted when the process ends."""
     path = f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
