@@ -407,19 +407,33 @@ def profile_json(files: DataFrame, key: str, body: str) -> DataFrame:
     )
 
 
+def _spread(members: DataFrame, profiles: int, pairs: int = 1_000_000) -> DataFrame:
+    """Members dealt to as many tasks that each makes some ``pairs`` with profiles: files of few bytes hold many members."""
+    tasks = max(int(members.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-members.count() * profiles // pairs))
+    return members.repartition(tasks)
+
+
+def _best_two(scores: DataFrame, *more: Column) -> DataFrame:
+    """(profile, _top, _next, ...) of rows (profile, score, _n, _first), one for each score that members of a profile have, how many and the first of
+    them: the best member's struct with ``score``, and the second's score, null without one. Scores are few, so no window orders the members."""
+    top = F.max_by(F.struct("score", "_n", "_first.*"), "score")
+    found = scores.groupBy("profile").agg(top.alias("_top"), F.sort_array(F.collect_list("score"), asc=False).alias("_scores"), *more)
+    return found.withColumn("_next", F.when(F.col("_top._n") > 1, F.col("_top.score")).otherwise(F.get("_scores", F.lit(1)))).drop("_scores")
+
+
 def map_members(members: DataFrame, profiles: DataFrame, margin: int = 2) -> DataFrame:
     """Per profile the member with the most weighted hits if it leads by ``margin``: (profile, path, score, status).
 
     Profiles are few: (profile, literal, tokens); their literal weighs 5, each token 1. Only pairs with a hit are kept.
     """
-    few = F.broadcast(profiles) if profiles.limit(1001).count() <= 1000 else profiles
+    n = profiles.limit(1001).count()
+    few = F.broadcast(profiles) if n <= 1000 else profiles
     hits = F.size(F.filter("tokens", lambda t: F.contains(F.col("folded_text"), t)))
     score = F.when(F.contains("folded_text", F.col("literal")), 5).otherwise(0) + hits
-    rows = members.join(few, score > 0).select("profile", "path", score.alias("score"))
-    w = Window.partitionBy("profile").orderBy(F.col("score").desc(), "path")
-    top = rows.withColumn("_i", F.row_number().over(w)).where("_i <= 2")
-    best = top.groupBy("profile").agg(F.min_by("path", "_i").alias("path"), F.max("score").alias("score"), F.min("score").alias("_lo"), F.count(F.lit(1)).alias("_n"))
-    status = F.when(F.col("score").isNull(), "absent").when((F.col("_n") == 1) | (F.col("score") - F.col("_lo") >= margin), "unique").otherwise("ambiguous")
+    rows = _spread(members, n).join(few, score > 0).select("profile", "path", score.alias("score"))
+    best = _best_two(rows.groupBy("profile", "score").agg(F.count(F.lit(1)).alias("_n"), F.min(F.struct("path")).alias("_first")))
+    best = best.select("profile", "_top.path", "_top.score", "_next")
+    status = F.when(F.col("score").isNull(), "absent").when(F.col("_next").isNull() | (F.col("score") - F.col("_next") >= margin), "unique").otherwise("ambiguous")
     met = profiles.select("profile").join(best, "profile", "left")
     return met.select("profile", F.when(status == "unique", F.col("path")).alias("path"), "score", status.alias("status"))
 
@@ -437,11 +451,12 @@ def identify_members(members: DataFrame, profiles: DataFrame, most_profiles: int
     name, tokens in path or text, the extension. One member with the name as stem wins; several are ambiguous; else one whose
     text holds the name; where several do, or none, the best wins if producer and product speak for it and it leads clearly.
     """
-    if profiles.limit(most_profiles + 1).count() > most_profiles:
+    n = profiles.limit(most_profiles + 1).count()
+    if n > most_profiles:
         raise ValueError(f"over {most_profiles} profiles")
     name, path, both = F.lower("profile"), fold(F.col("path")), F.concat_ws(" ", fold(F.col("path")), F.col("folded_text"))
     hits = lambda c: F.size(F.array_distinct(F.filter(c, lambda t: (t != "") & F.contains(F.col("_both"), t))))
-    rows = members.select("path", "folded_text", path.alias("_path"), both.alias("_both")).join(F.broadcast(profiles))
+    rows = _spread(members, n).select("path", "folded_text", path.alias("_path"), both.alias("_both")).join(F.broadcast(profiles))
     stem = F.regexp_extract("_path", r"([^/]*?)(\.[^./]*)?$", 1) == name
     rows = rows.withColumns({
         "stem": stem, "literal": F.coalesce(F.contains("folded_text", name), F.lit(False)),
@@ -451,18 +466,12 @@ def identify_members(members: DataFrame, profiles: DataFrame, most_profiles: int
     score = reduce(lambda a, b: a + b, [F.col(k).cast("int") * v for k, v in EVIDENCE.items()])
     rows = rows.withColumn("score", score).where("score > 0")
     rows = rows.withColumn("named", (F.col("producers") > 0) & (F.col("products") > 0)).select("profile", "path", "score", "stem", "literal", "named")
-    found = rows.groupBy("profile").agg(
-        F.count_if("stem").alias("_stems"), F.count_if("literal").alias("_literals"), F.min(F.when(F.col("stem"), F.struct("path", "score"))).alias("_stem"), F.min(F.when(F.col("literal"), F.struct("path", "score"))).alias("_literal"),
+    scores = rows.groupBy("profile", "score").agg(
+        F.count(F.lit(1)).alias("_n"), F.min(F.struct("path", "named")).alias("_first"), F.count_if("stem").alias("_s"), F.count_if("literal").alias("_l"),
+        F.min(F.when(F.col("stem"), F.struct("path", "score"))).alias("_stem"), F.min(F.when(F.col("literal"), F.struct("path", "score"))).alias("_literal"),
     )
-    # One profile may speak for most members: the first two of each of its 64 parts, then of all.
-    order = [F.col("score").desc(), "path"]
-    first = rows.withColumn("_part", F.pmod(F.xxhash64("path"), F.lit(64)))
-    for by in (["profile", "_part"], ["profile"]):
-        first = first.withColumn("_i", F.row_number().over(Window.partitionBy(*by).orderBy(*order))).where("_i <= 2")
-    top = first.groupBy("profile").agg(
-        F.max(F.when(F.col("_i") == 1, F.struct("score", "path", "named"))).alias("_top"), F.coalesce(F.max(F.when(F.col("_i") == 2, F.col("score"))), F.lit(-1)).alias("_next")
-    )
-    best = found.join(top, "profile")
+    best = _best_two(scores, F.sum("_s").alias("_stems"), F.sum("_l").alias("_literals"), F.min("_stem").alias("_stem"), F.min("_literal").alias("_literal"))
+    best = best.withColumn("_next", F.coalesce("_next", F.lit(-1)))
     lead = F.col("_top.score") - F.col("_next")
     basis = (
         F.when(F.col("_stems") == 1, "stem").when(F.col("_stems") > 1, "several stems").when(F.col("_literals") == 1, "text")

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pathlib import Path
 
+from __spark_entry__ import queries
 from calado.operators import graph, storage
+from calado.sources import payloads
 
 
 def test_rounds_of_shortest_paths_do_not_add_up_on_disk(spark):
@@ -17,3 +19,17 @@ def test_rounds_of_shortest_paths_do_not_add_up_on_disk(spark):
     assert found.count() == n + 1 and {r["cost"] for r in found.collect()} == {float(i) for i in range(n + 1)}
     left = {next(d for d in (p, *p.parents) if d.parent == folder or d.parent.parent == folder) for p in held() - before}
     assert len(left) == 1
+
+
+def test_members_are_spread_and_no_window_orders_them(spark):
+    assert payloads._spread(spark.range(1000).coalesce(1), 25, pairs=1000).rdd.getNumPartitions() == 25
+    rows = [("a/north.csv", "north counts"), ("a/north.csv", "north counts"), (None, "north"), ("b/1.csv", "")]
+    members = spark.createDataFrame(rows, "path string, folded_text string").coalesce(1)
+    profiles = spark.createDataFrame([("North", "north", ["nor"])], "profile string, literal string, tokens array<string>")
+    found = payloads.map_members(members, profiles)
+    assert "Window" not in found._jdf.queryExecution().analyzed().toString()
+    assert [tuple(r) for r in found.collect()] == [("North", None, 6, "ambiguous")]
+    one = payloads.map_members(members.where("path LIKE 'b/%' OR folded_text = 'north'"), profiles).collect()
+    assert [tuple(r) for r in one] == [("North", None, 6, "unique")]
+
+
