@@ -33,3 +33,7 @@ def test_members_are_spread_and_no_window_orders_them(spark):
     assert [tuple(r) for r in one] == [("North", None, 6, "unique")]
 
 
+def test_pages_of_lines_are_shuffled_once(spark):
+    df = queries()["S04_check_pages"](spark, "/root/testdata/sf0.001")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "REPARTITION_BY_NUM" in plan
