@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
+from calado.functions import areas
 from calado.functions.polygons import area, edges, inner_point, overlap_area
 from calado.operators.joins import bbox_join, cell_join, covers_join, within_distance
 from calado.operators.storage import checkpointed
@@ -138,6 +139,141 @@ def cut_features(features: DataFrame, zones: DataFrame, key: str, weight: str, w
     return met.select(F.col("polygon_id_b").alias("polygon_id"), F.col(f"{key}_a").alias(key), F.col(f"{weight}_a").alias(weight), area(F.col("sides_a")).alias("area"), overlap_area(F.col("sides_a"), F.col("sides_b")).alias("cut_area"))
 
 
+def _block_sums(boxes: np.ndarray, facts: np.ndarray, shapes: list[np.ndarray], zones: np.ndarray, rings: list[np.ndarray], least: float) -> np.ndarray:
+    """(zones, 5) of features (box, facts: rows, rows without a usable area, area, weight, rows with a weight; sides): met, intersecting, invalid, people and
+    rows with a weight among the intersecting, of each zone (box, sides).
+
+    Features are halved by their centres; what a zone holds wholly is added at once, what it is apart from is only counted, and areas are taken where few are left at its border.
+    """
+    out = np.zeros((len(zones), 5))
+    listed = lambda parts: (np.concatenate(parts), np.array([len(s) for s in parts]), np.cumsum(np.r_[0, [len(s) for s in parts]])[:-1])
+    outline, around, shapes = listed(rings), listed(areas.signed(rings)), areas.signed(shapes)
+
+    def drawn_by(all_of: tuple, z: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The sides of zones ``z`` and their places in it."""
+        sides, sizes, first = all_of
+        of = np.repeat(np.arange(len(z)), sizes[z])
+        return sides[(first[z] - np.cumsum(np.r_[0, sizes[z]])[:-1])[of] + np.arange(len(of))], of
+
+    own = np.array([len(s) for s in shapes])
+    corners, begin = np.concatenate(shapes), np.cumsum(np.r_[0, own])
+    n, invalid, area, weight, known = facts.T
+    whole = np.zeros(len(own))
+    if own.any():
+        whole[own > 0] = areas.below(corners, begin[:-1][own > 0])
+    valid = n - invalid
+
+    def sums(cut: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Of cut areas (features ``at``, ...) intersecting, people, known."""
+        held = (cut > least) & (valid[at] > 0)[:, None]
+        with np.errstate(all="ignore"):
+            share = np.where(held, np.minimum(cut / area[at][:, None], 1.0), 0.0)
+        return np.stack([valid[at] @ held, weight[at] @ share, known[at] @ held], axis=1)
+
+    def counted(at: np.ndarray, z: np.ndarray) -> None:
+        f, step = boxes[at], max(1, 1_000_000 // len(at))
+        for c in range(0, len(z), step):
+            b = zones[z[c : c + step]]
+            meet = (f[:, None, 0] <= b[:, 2]) & (f[:, None, 2] >= b[:, 0]) & (f[:, None, 1] <= b[:, 3]) & (f[:, None, 3] >= b[:, 1])
+            out[z[c : c + step], 0] += n[at] @ meet
+            out[z[c : c + step], 2] += invalid[at] @ meet
+
+    todo = [(np.arange(len(boxes)), np.arange(len(zones)))]
+    while todo:
+        at, z = todo.pop()
+        x0, y0, x1, y1 = *boxes[at, :2].min(axis=0), *boxes[at, 2:].max(axis=0)
+        z = z[(zones[z, 0] <= x1) & (zones[z, 2] >= x0) & (zones[z, 1] <= y1) & (zones[z, 3] >= y0)]
+        if not len(z):
+            continue
+        slack = 1e-9 * max(x1 - x0, y1 - y0, abs(x0), abs(x1), abs(y0), abs(y1))
+        s, of = drawn_by(outline, z)
+        near, _ = areas.boxed(s, (x0 - slack, y0 - slack, x1 + slack, y1 + slack))
+        touched = np.bincount(of[near], minlength=len(z)) > 0
+        inside = np.bincount(of[areas.crossed(np.array((x0 + x1) / 2), np.array((y0 + y1) / 2), s)], minlength=len(z)) % 2 == 1
+        held, apart = inside & ~touched, ~inside & ~touched
+        if held.any():
+            add = sums(whole[at][:, None], at)[0]
+            out[z[held]] += [n[at].sum(), add[0], invalid[at].sum(), *add[1:]]
+        if apart.any():
+            counted(at, z[apart])
+        if not touched.any():
+            continue
+        z = z[touched]
+        if len(at) > 12:
+            centre = boxes[at, :2] + boxes[at, 2:]
+            order = np.argsort(centre[:, int(np.ptp(centre[:, 1]) > np.ptp(centre[:, 0]))], kind="stable")
+            todo += [(at[order[: len(at) // 2]], z), (at[order[len(at) // 2 :]], z)]
+            continue
+        counted(at, z)
+        drawn = at[own[at] > 0]
+        # Sides of zones beside or below the features add nothing.
+        s, of = drawn_by(around, z)
+        over = (s[:, 0] < x1) & (s[:, 2] > x0) & (np.maximum(s[:, 1], s[:, 3]) > y0)
+        s, of = s[over], of[over]
+        if not len(drawn) or not len(s):
+            continue
+        mine = np.concatenate([corners[begin[i] : begin[i + 1]] for i in drawn])
+        starts, to = np.cumsum(np.r_[0, own[drawn]])[:-1], np.flatnonzero(np.r_[True, of[1:] != of[:-1]])
+        step = max(1, 16_384 * len(to) // max(1, len(mine) * len(s)))
+        for c in range(0, len(to), step):
+            part = slice(to[c], to[c + step] if c + step < len(to) else len(s))
+            cut = areas.common(mine, starts, s[part], to[c : c + step] - to[c])
+            out[z[of[to[c : c + step]]][:, None], [1, 3, 4]] += sums(cut, drawn)
+    return out
+
+
+def area_catchment_of(features: DataFrame, zones: DataFrame, weight: str, width: float, least: float = 1e-9) -> DataFrame:
+    """A03 by area, from features and zones (``polygon_id``) with ``rings`` of any shape: the rows of ``area_catchment`` over ``cut_features``, where a common area up to
+    ``least`` counts as none, without a row for each pair.
+
+    Features of one shape are added up first. Each goes to the tile of its centre, as wide as ``width`` or, for larger ones, doubled until it fits; zones go to
+    the tiles that such features reach from. A tile's features and zones meet in blocks of both; sums of the blocks are added.
+    """
+    from calado.operators.joins import blocks
+
+    def boxed(df: DataFrame, *keep: str) -> DataFrame:
+        rows = df.select(*keep, edges(F.col("rings")).alias("sides"))
+        ends = {f"{c}{n}": f(_ends("sides", c)) for n, f in (("min", F.array_min), ("max", F.array_max)) for c in "xy"}
+        return rows.select("*", *[v.alias(k) for k, v in ends.items()]).where("xmin IS NOT NULL AND ymin IS NOT NULL")
+
+    box = ["xmin", "ymin", "xmax", "ymax"]
+    same = features.groupBy("rings").agg(F.count(F.lit(1)).alias("_n"), F.sum(F.col(weight).cast("double")).alias("_w"), F.count(weight).alias("_known"))
+    rows = boxed(same, "_n", "_w", "_known").withColumn("_area", area(F.col("sides")))
+    extent = F.greatest(F.col("xmax") - F.col("xmin"), F.col("ymax") - F.col("ymin"), F.lit(width))
+    rows = rows.withColumn("_size", F.ceil(F.log2(extent / width) - 1e-12).cast("int")).withColumn("_tile", F.lit(width) * F.pow(F.lit(2.0), "_size"))
+    rows = checkpointed(rows.withColumns({f"_c{c}": F.floor((F.col(f"{c}min") + F.col(f"{c}max")) / 2 / F.col("_tile")) for c in "xy"}).drop("_tile"))
+    # At most some dozens of sizes, doubled one from the other.
+    sizes = sorted(r[0] for r in rows.select("_size").distinct().collect())
+    around = boxed(zones, "polygon_id").withColumn("_size", F.explode(F.array(*[F.lit(s) for s in sizes]).cast("array<int>"))).withColumn("_tile", F.lit(width) * F.pow(F.lit(2.0), "_size"))
+    for c in "xy":
+        reach = F.col("_tile") * (0.5 + 1e-9)
+        around = around.withColumn(f"_c{c}", F.explode(F.sequence(F.floor((F.col(f"{c}min") - reach) / F.col("_tile")), F.floor((F.col(f"{c}max") + reach) / F.col("_tile")))))
+    key = ["_size", "_cx", "_cy"]
+    left, right, tasks = blocks(rows, around.drop("_tile"), key, (1 << 14, 1 << 12))
+    key += ["_i", "_j"]
+
+    def shapes(table: pa.Table) -> list[np.ndarray]:
+        listed = table["sides"].combine_chunks()
+        ends, flat = listed.offsets.to_numpy(), listed.values
+        rows = np.stack([flat.field(c).to_numpy(zero_copy_only=False).astype(float) for c in ("ax", "ay", "bx", "by")], axis=1)
+        return [rows[a:b] for a, b in zip(ends, ends[1:], strict=False)]
+
+    def summed(near: pa.Table, zone: pa.Table) -> pa.Table:
+        boxes = [np.stack([t[c].to_numpy() for c in box], axis=1) for t in (near, zone)]
+        n, area, w, known = (pc.fill_null(near[c].cast("double"), 0.0).to_numpy() for c in ("_n", "_area", "_w", "_known"))
+        facts = np.stack([n, np.where(area > 0, 0.0, n), area, w, known], axis=1)
+        met, intersecting, invalid, people, known = _block_sums(boxes[0], facts, shapes(near), boxes[1], shapes(zone), least).T
+        out = {"met": met.astype(np.int64), "intersecting": intersecting.astype(np.int64), "invalid": invalid.astype(np.int64), "people": people, "_known": known.astype(np.int64)}
+        return pa.table({"polygon_id": zone["polygon_id"], **{c: pa.array(v) for c, v in out.items()}}).filter(pa.array(met > 0))
+
+    counts = [StructField(c, LongType()) for c in ("met", "intersecting", "invalid")]
+    kind = StructType([zones.schema["polygon_id"], *counts, StructField("people", DoubleType()), StructField("_known", LongType())])
+    left, right = left.repartition(tasks, *key), right.repartition(tasks, *key)
+    parts = left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(summed, kind)
+    total = parts.groupBy("polygon_id").agg(*[F.sum(c).alias(c) for c in ("met", "intersecting", "invalid", "people", "_known")])
+    return total.select("polygon_id", "met", "intersecting", "invalid", F.when(F.col("_known") > 0, F.col("people")).alias("people"))
+
+
 def access_by_threshold(df: DataFrame, group: list[str], minutes: str, people: str, times: list[int]) -> DataFrame:
     """People within each time, and those whose time is not known, as columns."""
     columns = [F.sum(F.when(F.col(minutes) <= t, F.col(people)).otherwise(0)).alias(f"within_{t}") for t in times]

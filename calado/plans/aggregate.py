@@ -87,8 +87,7 @@ def _(t, zones, points):
     from calado.plans.join import diamonds
 
     features = shapes(points, (4, 0), (0, 4), (-4, 0), (0, -4))
-    cut = A.cut_features(features, diamonds(zones).withColumn("rings", F.array("ring")), "id", "w", 60.0)
-    return A.area_catchment(cut.withColumn("cut_area", F.when(F.col("cut_area") > 1e-9, F.col("cut_area")).otherwise(0.0)), ["polygon_id"], "area", "cut_area", "w")
+    return A.area_catchment_of(features, diamonds(zones).withColumn("rings", F.array("ring")), "w", 60.0, 1e-9)
 
 
 @query("A04_union_catchment", "SELECT zone % 10 AS grp, sum(w) AS people, count(*) AS features FROM (SELECT DISTINCT zone % 10 AS zone, id, w FROM zones z JOIN points p ON power(p.x - z.x, 2) + power(p.y - z.y, 2) <= 3600) GROUP BY zone", zones=CIRCLE, points=POINTS)

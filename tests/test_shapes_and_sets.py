@@ -132,3 +132,36 @@ def test_k_nearest_with_ties(spark):
         want = [(p, n + 1, q) for p, x, y in a if x is not None and x == x for n, (_, q) in enumerate(sorted((math.hypot(x - u, y - v), q) for q, u, v in b if u is not None)[:k])]
         assert got == sorted(want)
     assert joins.k_nearest(A, B.limit(0), "p", "q", 3, 2.0).collect() == [] == joins.k_nearest(A.limit(0), B, "p", "q", 3, 2.0).collect()
+
+
+def test_area_catchment_without_pairs(spark):
+    """Equals the sums over all pairs: concave and holed shapes, narrow zones, copies, features without area or weight, and one far larger than the tiles."""
+    rng = random.Random(11)
+    box = lambda x0, y0, x1, y1: [(x0, y0), (x1, y0), (x1, y1), (x0, y1)]
+    features = [(i, [ring(rng, rng.uniform(0, 60), rng.uniform(0, 60), rng.uniform(1, 3), 6)], None if i % 7 == 0 else float(i)) for i in range(300)]
+    features += [(400 + i, [box(10.0, 10.0, 14.0, 14.0), box(11.0, 11.0, 13.0, 13.0)[::-1]], 2.0) for i in range(20)]
+    features += [(500, [box(5.0, 5.0, 5.0, 5.0)], 9.0), (501, [box(-50.0, -50.0, 90.0, 80.0)], 1000.0), (502, [[(20.0, 0.0), (20.0, 30.0)]], 4.0)]
+    zones = [(i, [ring(rng, cx := rng.uniform(0, 60), cy := rng.uniform(0, 60), 25, 9), ring(rng, cx, cy, 4, 5)]) for i in range(12)]
+    zones += [(20, [box(30.0, -20.0, 30.2, 70.0)]), (21, [box(-9.0, -9.0, 70.0, 70.0), box(12.0, 20.0, 40.0, 20.5)]), (22, [box(200.0, 0.0, 210.0, 9.0)]), (23, [box(0.0, 0.0, 12.0, 12.0), box(6.0, 6.0, 18.0, 18.0)])]
+    at = lambda rings: [[{"x": x, "y": y} for x, y in r] for r in rings]
+    A = spark.createDataFrame([(i, at(r), w) for i, r, w in features], f"id int, rings {RINGS}, w double")
+    B = spark.createDataFrame([(i, at(r)) for i, r in zones], f"polygon_id int, rings {RINGS}")
+    cut = aggregates.cut_features(A, B, "id", "w", 10.0).withColumn("cut_area", F.when(F.col("cut_area") > 1e-9, F.col("cut_area")).otherwise(0.0))
+    want = {r["polygon_id"]: r for r in aggregates.area_catchment(cut, ["polygon_id"], "area", "cut_area", "w").collect()}
+    for width in (3.0, 25.0):
+        found = aggregates.area_catchment_of(A, B, "w", width)
+        got = {r["polygon_id"]: r for r in found.collect()}
+        assert set(got) == set(want) and 22 not in got
+        for k, r in want.items():
+            assert got[k][1:4] == r[1:4] and got[k]["people"] == pytest.approx(r["people"], rel=1e-9), k
+    alone = aggregates.area_catchment_of(A.where("w IS NULL"), B.where("polygon_id = 21"), "w", 9.0).first()
+    assert alone["people"] is None and alone["intersecting"] == 43 == alone["met"]
+    assert aggregates.area_catchment_of(A.limit(0), B, "w", 9.0).collect() == [] == aggregates.area_catchment_of(A, B.limit(0), "w", 9.0).collect()
+
+
+def test_area_catchment_query_makes_no_pairs(spark):
+    """One row a zone and block comes from the tiles: the plan has no row for a feature and a zone."""
+    from calado.plans import registry
+
+    plan = registry.queries()["A03_area_catchment"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "CoGroup" in plan and "cut_area" not in plan
