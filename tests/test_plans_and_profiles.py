@@ -67,6 +67,23 @@ def test_request_plans_keep_both_budgets(spark):
         selection.plan_requests(df, "Dim1", list(codes), "Dim2", 10, 30, "https://h/q?").collect()
 
 
+def test_many_requests_are_planned_in_one_pass(spark):
+    """Hundreds of requests of different sizes, some empty in a dimension, one with a null code, none with a round of its own."""
+    rng = random.Random(12)
+    asked = {k: (["a", "b&c"][: 1 + k % 2], [f"p {i}" for i in range(rng.randrange(1, 30))], [f"x{i * 7}" for i in range(0 if k % 90 == 5 else rng.randrange(1, 12))]) for k in range(700)}
+    df = spark.createDataFrame([(k, *v) for k, v in asked.items()], "request int, Dim1 array<string>, Dim2 array<string>, Dim3 array<string>").coalesce(1)
+    plan = selection.plan_requests(df, "Dim1", ["Dim2", "Dim3"], "Dim3", 12, 70, "https://h/q?")
+    assert "MapInArrow" in plan._jdf.queryExecution().optimizedPlan().toString()
+    got = {}
+    for r in plan.collect():
+        got.setdefault(r["request"], []).append((r["Dim1"], tuple(r["Dim2"]), tuple(r["Dim3"]), r["cells"], r["length"]))
+    assert set(got) == set(asked)
+    for k, (period, two, three) in asked.items():
+        assert sorted(got[k]) == plain_plan(period, {"Dim2": two, "Dim3": three}, "Dim3", 12, 70, "https://h/q?"), k
+    empty = spark.createDataFrame([(1, ["a"], ["p", None, "q"], ["x"])], df.schema)
+    assert sorted(r["cells"] for r in selection.plan_requests(empty, "Dim1", ["Dim2", "Dim3"], "Dim2", 1, 70, "https://h/q?").collect()) == [1, 1, 1]
+
+
 def test_lazy_cover_is_the_plain_one(spark):
     rng = random.Random(2)
     sets = {i: {rng.randrange(60) for _ in range(rng.randrange(1, 14))} for i in range(50)} | {90: set(range(9)), 91: set(range(9))}
