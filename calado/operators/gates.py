@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
+from calado.functions import printed
 from calado.functions.geometry import segment_distance
 from calado.functions.text import NUMBER, fold
+from calado.operators.storage import checkpointed
 
 # First bytes, in hex, of known formats.
 SIGNATURES = {"xls": "D0CF11E0A1B11AE1", "avro": "4F626A01", "pdf": "255044462D", "zip": "504B0304", "gzip": "1F8B"}
@@ -117,8 +124,17 @@ def table_candidate_pages(lines: DataFrame, page: list[str], text: str = "text")
     return out.where((F.col("number_lines") >= 4) | (F.col("headings") > 0))
 
 
+def _printed_cells(text: str) -> Column:
+    """The cells of a printed line, array of structs (start, end, said): what two or more blanks, a tab or a bar part."""
+    pieces = F.regexp_extract_all(F.replace(F.col(text), F.lit("\t"), F.lit("    ")), F.lit(r"( {2,}| *\| *|(?:(?! {2}| *\|)[^|])+)"), 1)
+    empty = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int,said:string>>").alias("cells"))
+    cell = lambda a, p: F.array(F.struct(a["at"].alias("start"), (a["at"] + F.char_length(F.rtrim(p))).alias("end"), F.trim(p).alias("said")))
+    step = lambda a, p: F.struct((a["at"] + F.char_length(p)).alias("at"), F.when(F.trim(p).isin("", "|"), a["cells"]).otherwise(F.concat(a["cells"], cell(a, p))).alias("cells"))
+    return F.aggregate(pieces, empty, step)["cells"]
+
+
 def tables_from_lines(
-    lines: DataFrame, page: list[str], line: str = "line_no", text: str = "text", least_rows: int = 2, least_columns: int = 2, least_cells: int = 4, spanning: float = 0.25
+    lines: DataFrame, page: list[str], line: str = "line_no", text: str = "text", least_rows: int = 2, least_columns: int = 2, least_cells: int = 4, spanning: float = 0.25, most_lines: int = 16_384
 ) -> DataFrame:
     """(page, table_no, row_no, column_no, text): all cells, empty ones too, of the tables that a page's lines lay out.
 
@@ -126,14 +142,61 @@ def tables_from_lines(
     between are a table's rows. Its columns are where more than ``spanning`` of its rows have text, character by character, so the gaps they
     share part columns and a heading across several does not join them; a cell goes to the first column that it is not right of, and cells of
     a row that meet in one are joined by a blank. Tables below ``least_rows``, ``least_columns`` or ``least_cells`` filled cells are none. Rows,
-    columns and tables count from 0. A page is one key of the windows.
+    columns and tables count from 0. A page's lines are shuffled once and its tables found in arrays; pages of over ``most_lines`` lines take windows, of which a page is one key.
     """
+    limits = (page, line, text, least_rows, least_columns, least_cells, spanning)
+    of_page = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_p_{c}")) for c in page])
+    many = lines.groupBy(*page).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > most_lines).select(*[F.col(c).alias(f"_p_{c}") for c in page])
+    many = checkpointed(many)
+    if many.isEmpty():
+        return _tables_in_arrays(lines, *limits)
+    # A struct of its columns names a page, so that one without a name meets itself in joins.
+    long = lines.join(many, of_page, "left_semi").select(F.struct(*page).alias("_page"), line, text)
+    by_windows = _tables_by_windows(long, ["_page"], *limits[1:]).select("_page.*", "table_no", "row_no", "column_no", "text")
+    return by_windows.unionByName(_tables_in_arrays(lines.join(many, of_page, "left_anti"), *limits))
+
+
+def _tables_in_arrays(lines: DataFrame, page: list[str], line: str, text: str, *limits: float) -> DataFrame:
+    """``tables_from_lines`` of pages whose lines come in order, some thousand lines at once; a page's last lines wait for the rest of it."""
+    rows = lines.where(F.col(text).isNotNull()).select(*page, F.col(line).alias("_line"), F.col(text).alias("_text")).repartition(*page).sortWithinPartitions(*page, "_line")
+    counts = [StructField(c, IntegerType()) for c in ("table_no", "row_no", "column_no")]
+    kind = StructType([*[rows.schema[c] for c in page], *counts, StructField("text", StringType())])
+
+    def first_lines(part: pa.RecordBatch) -> np.ndarray:
+        new = np.zeros(len(part), bool)
+        new[:1] = True
+        for c in page:
+            a, b = part[c][1:], part[c][:-1]
+            differ = pc.or_(pc.fill_null(pc.not_equal(a, b), False), pc.not_equal(a.is_null(), b.is_null()))
+            new[1:] |= differ.to_numpy(zero_copy_only=False)
+        return new
+
+    def found(part: pa.RecordBatch, new: np.ndarray) -> pa.RecordBatch:
+        at, *numbers, said = printed.tables(new, part["_line"].to_numpy(zero_copy_only=False), part["_text"], *limits)
+        keys = part.select(page).take(pa.array(at))
+        return pa.RecordBatch.from_arrays([*keys.columns, *[pa.array(n, pa.int32()) for n in numbers], said], names=kind.names)
+
+    def laid_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting = None
+        for batch in batches:
+            if not len(batch):
+                continue
+            part = batch if waiting is None else pa.concat_batches([waiting, batch])
+            new = first_lines(part)
+            whole = int(np.flatnonzero(new)[-1])
+            waiting = part.slice(whole)
+            if whole:
+                yield found(part.slice(0, whole), new[:whole])
+        if waiting is not None:
+            yield found(waiting, first_lines(waiting))
+
+    return rows.mapInArrow(laid_out, kind)
+
+
+def _tables_by_windows(lines: DataFrame, page: list[str], line: str, text: str, least_rows: int, least_columns: int, least_cells: int, spanning: float) -> DataFrame:
+    """``tables_from_lines`` by windows, for pages of any length."""
     key = [*page, "_island"]
-    pieces = F.regexp_extract_all(F.replace(F.col(text), F.lit("\t"), F.lit("    ")), F.lit(r"( {2,}| *\| *|(?:(?! {2}| *\|)[^|])+)"), 1)
-    empty = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int,said:string>>").alias("cells"))
-    cell = lambda a, p: F.array(F.struct(a["at"].alias("start"), (a["at"] + F.char_length(F.rtrim(p))).alias("end"), F.trim(p).alias("said")))
-    step = lambda a, p: F.struct((a["at"] + F.char_length(p)).alias("at"), F.when(F.trim(p).isin("", "|"), a["cells"]).otherwise(F.concat(a["cells"], cell(a, p))).alias("cells"))
-    rows = lines.select(*page, F.col(line).alias("_line"), F.aggregate(pieces, empty, step)["cells"].alias("_cells")).where(F.size("_cells") > 1)
+    rows = lines.select(*page, F.col(line).alias("_line"), _printed_cells(text).alias("_cells")).where(F.size("_cells") > 1)
     rows = rows.withColumn("_island", F.col("_line") - F.row_number().over(Window.partitionBy(*page).orderBy("_line")))
 
     ends = F.explode(F.flatten(F.transform("_cells", lambda c: F.array(F.struct(c["start"].alias("at"), F.lit(1).alias("d")), F.struct(c["end"].alias("at"), F.lit(-1).alias("d"))))))

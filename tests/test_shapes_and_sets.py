@@ -165,3 +165,23 @@ def test_area_catchment_query_makes_no_pairs(spark):
 
     plan = registry.queries()["A03_area_catchment"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert "CoGroup" in plan and "cut_area" not in plan
+
+
+def test_printed_pages_in_arrays_as_by_windows(spark):
+    """Random pages of blanks, bars, tabs and letters of several bytes, empty and null lines, gaps between lines and a page without a name: found in arrays, over
+    several batches, as by windows."""
+    rng = random.Random(13)
+    parts = ["a", "é", "日本", "x y", " ", "  ", "   ", "|", " | ", "\t", "12,5", "𝛼", "\n"]
+    rows = [(None if p == 7 else f"p{p % 60}", p // 60 * 1000 + i * (2 if rng.random() < 0.03 else 1), None if rng.random() < 0.02 else "".join(rng.choices(parts, k=rng.randrange(0, 12)))) for p in range(120) for i in range(rng.randrange(1, 25))]
+    rows = list({r[:2]: r for r in rows}.values())
+    df = spark.createDataFrame(rows, "page string, line_no int, text string").repartition(5)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "50")
+    try:
+        for kw in ({}, {"least_rows": 3, "least_columns": 3, "spanning": 0.6}, {"least_rows": 1, "least_columns": 1, "least_cells": 1, "spanning": 0.0}):
+            found = gates.tables_from_lines(df, ["page"], **kw)
+            assert "Window" not in found._jdf.queryExecution().optimizedPlan().toString()
+            got = sorted(map(tuple, found.collect()), key=str)
+            assert got == sorted(map(tuple, gates.tables_from_lines(df, ["page"], most_lines=0, **kw).collect()), key=str) != []
+            assert got == sorted(map(tuple, gates.tables_from_lines(df, ["page"], most_lines=20, **kw).collect()), key=str)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
