@@ -103,7 +103,7 @@ def regular_samples(runs: DataFrame, order: list[str], per_run: int) -> DataFram
         for rows in batches:
             schema = rows.schema
             first = -seen % step
-            kept += [(seen + first + i * step, row) for i, row in enumerate(rows.take(list(range(first, rows.num_rows, step))).to_pylist())]
+            kept += [(seen + first + i * step, row) for i, row in enumerate(rows.take(pa.array(range(first, rows.num_rows, step), pa.int64())).to_pylist())]
             seen += rows.num_rows
             while len(kept) > 2 * per_run:
                 step *= 2

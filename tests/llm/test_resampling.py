@@ -81,6 +81,16 @@ def test_samples_are_regular(spark):
     assert [r["k"] for r in found] == list(range(0, 1000, 64)) and {r["_step"] for r in found} == {64}
 
 
+def test_samples_of_several_batches(spark):
+    """A run's last batch may be shorter than the step, so that it gives no sample."""
+    rows = spark.range(0, 20_001, 1, 1).withColumnRenamed("id", "k")
+    assert [r["k"] for r in R.regular_samples(rows, ["k"], 64).collect()] == list(range(0, 20_001, 256))
+    text = "some words of a text that repeats " * 4
+    docs = spark.range(0, 20_001, 1, 1).select(F.col("id").alias("doc_id"), F.lit(text).alias("text"))
+    ranks = [r["rank"] for r in R.importance_ranks(docs, docs.limit(5), percent=50, segments=3).select("rank").collect()]
+    assert sorted(x for x in ranks if x) == list(range(1, 10_001)) and len(ranks) == 20_001
+
+
 def test_edges(spark):
     long = "Word " * 400_000
     docs = [(None, None, 1, "a"), (1, "", 2, "b"), (2, "?!", 3, "c"), (3, long, 4, "d"), (3, long, 4, "d"), (None, long, 5, "e")]
