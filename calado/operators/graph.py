@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StringType, StructField, StructType
 
 from calado.functions.geometry import segment_distance
+from calado.functions.routes import Lattice, Names, least_linked
 from calado.operators.storage import checkpointed, deleted, stored
 
 #: Steps to the neighbours of a lattice cell.
@@ -111,9 +115,51 @@ def _far_share(nodes: Column, other: Column, far: float) -> Column:
     return F.coalesce(F.size(F.filter(middle, lambda n: away(n) >= far)) / F.nullif(F.size(middle), F.lit(0)), F.lit(0.0))
 
 
+def lattice_parts(edges: DataFrame, tile: int = 256) -> DataFrame:
+    """(node, part): the least node, by name, of those that edges (a, b) in any direction link with each other.
+
+    Nodes are named ``x,y``. Squares of ``tile`` x ``tile`` cells are linked in one task each; only their parts that share a node meet in rounds.
+    """
+    x, y = _place(F.col("a"))
+    tiles = edges.select("a", "b", F.floor(x / tile).alias("_tx"), F.floor(y / tile).alias("_ty"))
+
+    def linked(group: pa.Table) -> pa.Table:
+        own = Names(group["a"], group["b"])
+        least = least_linked(own.numbers(group["a"]), own.numbers(group["b"]), len(own.names))
+        return pa.table({"node": own.names, "part": own.names.take(pa.array(least))})
+
+    held, path = stored(tiles.groupBy("_tx", "_ty").applyInArrow(linked, "node string, part string"))
+    shared = held.groupBy("node").agg(F.array_sort(F.collect_set("part")).alias("_p")).where(F.size("_p") > 1)
+    links, kept = stored(shared.select(F.explode(F.slice("_p", F.lit(2), F.size("_p") - 1)).alias("u"), F.element_at("_p", 1).alias("v")).distinct())
+    if links.limit(1).count():
+        roots = _roots(links, kept)
+        held = held.join(roots.select(F.col("u").alias("part"), "v"), "part", "left").select("node", F.coalesce("v", "part").alias("part"))
+    out = stored(held.groupBy("node").agg(F.min("part").alias("part")))[0]
+    deleted(edges.sparkSession, path)
+    return out
+
+
+def _roots(links: DataFrame, path: str) -> DataFrame:
+    """(u, v): the least name v that links (u, v), v < u, lead u to, by large-star and small-star rounds; ``links`` are stored at ``path``."""
+    state = None
+    while True:
+        both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        least = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("n"), F.least("u", "m").alias("m"))
+        large = both.join(least, F.col("u") == F.col("n")).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        low = large.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("n"), "m")
+        small = large.join(low, F.col("u") == F.col("n")).select(F.col("v").alias("u"), F.col("m").alias("v"))
+        nxt, new = stored(small.unionByName(low.select(F.col("n").alias("u"), F.col("m").alias("v"))).where("u <> v").distinct())
+        deleted(links.sparkSession, path)
+        links, path = nxt, new
+        now = tuple(links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first())
+        if now == state:
+            return links
+        state = now
+
+
 def alternatives(
     edges: dict[str, DataFrame], queries: DataFrame, k: int = 3, attempts: int = 24, toll: float = 1.0, rise: float = 1.25, max_jaccard: float = 0.68, max_length: float = 1.48,
-    far: float = 2.0, min_far: float = 0.19,
+    far: float = 2.0, min_far: float = 0.19, most_nodes: int = 1 << 17,
 ) -> DataFrame:
     """Up to ``k`` spatially distinct paths per query: (q, variant, nodes, cost, jaccard, far_share).
 
@@ -122,13 +168,58 @@ def alternatives(
     every path accepted so far. An attempt is accepted if the Jaccard of its nodes with each accepted path is at most
     ``max_jaccard``, at least ``min_far`` of its middle lies ``far`` cells from each, and its length is at most ``max_length`` times
     the first. Attempts between two acceptances do not depend on each other, so all that are left run together and the first good
-    one of each query counts; then those after it run again with its tolls. Nodes are named ``x,y``.
+    one of each query counts; then those after it run again with its tolls. Nodes are named ``x,y``; an edge without a cost is none.
+
+    A query needs only the part of the lattice that hangs together with its start, so parts of up to ``most_nodes`` nodes are dealt to groups of some
+    thousand nodes, each of which is searched with all its queries in arrays, in one pass. Larger parts take rounds of joins (``shortest_paths``).
     """
     names = list(edges)
     priced = None
     for name in names:
-        one = edges[name].select(F.lit(name).alias("mode"), "a", "b", "cost")
+        one = edges[name].select(F.lit(name).alias("mode"), "a", "b", "cost").where("a IS NOT NULL AND b IS NOT NULL AND cost IS NOT NULL AND NOT isnan(cost)")
         priced = one if priced is None else priced.unionByName(one)
+    spark, limits = queries.sparkSession, (max_jaccard, max_length, far, min_far)
+    wide, path = stored(priced.groupBy("a", "b").agg(*[F.min(F.when(F.col("mode") == name, F.col("cost"))).cast("double").alias(f"cost_{i}") for i, name in enumerate(names)]))
+    parts = lattice_parts(wide)
+    sizes = parts.groupBy("part").agg(F.count(F.lit(1)).alias("_n"))
+    large = checkpointed(sizes.where(F.col("_n") > most_nodes).select("part"))
+    n = math.ceil((parts.count() or 1) / 8192)
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(n, 10_000))
+    group = F.pmod(F.xxhash64("part"), F.lit(n)).cast("int").alias("_g")
+    found = None
+    rounds = bool(large.limit(1).count())
+    if rounds:
+        parts = parts.join(large.withColumn("_large", F.lit(True)), "part", "left")
+        far_on = parts.where("_large").select("node")
+        left = queries.join(far_on, F.col("start") == F.col("node"), "left_semi")
+        found = _alternatives_in_rounds(priced.join(far_on, F.col("a") == F.col("node"), "left_semi"), names, left, k, attempts, toll, rise, *limits)
+        parts, queries = parts.where("_large IS NULL").drop("_large"), queries.join(far_on, F.col("start") == F.col("node"), "left_anti")
+    asked = queries.where("q IS NOT NULL AND start IS NOT NULL AND end IS NOT NULL").select("q", "start", "end")
+    asked = asked.join(parts.withColumnRenamed("node", "start"), "start", "left").withColumn("part", F.coalesce("part", "start")).select("q", "start", "end", group)
+    held = wide.join(parts.select(F.col("node").alias("a"), "part"), "a").select("a", "b", *[f"cost_{i}" for i in range(len(names))], group)
+    turn = [*range(1, len(names)), 0]
+    tries = [(turn[i % len(turn)], toll + rise * (i // len(turn))) for i in range(attempts)]
+    double = [StructField(c, DoubleType()) for c in ("cost", "jaccard", "far_share")]
+    kind = StructType([StructField("q", queries.schema["q"].dataType), StructField("variant", IntegerType()), StructField("nodes", ArrayType(StringType())), *double])
+
+    def searched(own: pa.Table, wanted: pa.Table) -> pa.Table:
+        lattice = Lattice(own, wanted, len(names))
+        paths = lattice.alternatives(lattice.numbers(wanted["start"]), lattice.numbers(wanted["end"]), k, tries, *limits)
+        rows = [(i, v, lattice.names.take(pa.array(p)).to_pylist(), *rest) for i, one in enumerate(paths) for v, (p, *rest) in enumerate(one)]
+        at, variant, nodes, *rest = zip(*rows, strict=True) if rows else ([],) * 6
+        kinds = (pa.int32(), pa.list_(pa.string()), pa.float64(), pa.float64(), pa.float64())
+        return pa.table([wanted["q"].take(pa.array(at, pa.int64())), *[pa.array(c, t) for c, t in zip((variant, nodes, *rest), kinds, strict=True)]], names=kind.names)
+
+    both = [df.repartition(tasks, "_g").groupBy("_g") for df in (held, asked)]
+    out, _ = stored(both[0].cogroup(both[1]).applyInArrow(searched, kind))
+    deleted(spark, path)
+    return out.unionByName(found) if rounds else out
+
+
+def _alternatives_in_rounds(
+    priced: DataFrame, names: list[str], queries: DataFrame, k: int, attempts: int, toll: float, rise: float, max_jaccard: float, max_length: float, far: float, min_far: float
+) -> DataFrame:
+    """``alternatives`` on parts of any size: rounds of joins for all queries together."""
     priced = checkpointed(priced)
     lengths = priced.where(F.col("mode") == names[0]).select(F.col("a").alias("node"), F.col("b").alias("_to"), F.col("cost").alias("_c"))
     turn = names[1:] + names[:1]
