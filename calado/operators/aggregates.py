@@ -15,7 +15,7 @@ from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from calado.functions import areas
 from calado.functions.polygons import area, edges, inner_point, overlap_area
-from calado.operators.joins import bbox_join, cell_join, covers_join, within_distance
+from calado.operators.joins import bbox_join, by_count, cell_join, covers_join, within_distance
 from calado.operators.storage import checkpointed
 
 
@@ -56,7 +56,7 @@ def catchment(zones: DataFrame, points: DataFrame, zone: list[str], key: str, we
     once = checkpointed(once)
     places = checkpointed(_places(once.where("_n = 1"), weight))
     # Features of several places are few; they meet the centres themselves.
-    again = rows.join(once.where("_n > 1").select(F.col(key).alias("_k"), F.col(weight).alias("_w")), F.col(key).eqNullSafe(F.col("_k")) & F.col(weight).eqNullSafe(F.col("_w"))).select(*rows.columns)
+    again = rows.join(by_count(once.where("_n > 1").select(F.col(key).alias("_k"), F.col(weight).alias("_w"))), F.col(key).eqNullSafe(F.col("_k")) & F.col(weight).eqNullSafe(F.col("_w"))).select(*rows.columns)
     spaced = zones.select(*zone, F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y")).where("x IS NOT NULL AND y IS NOT NULL AND NOT isnan(x) AND NOT isnan(y)")
     centres = checkpointed(spaced.distinct().repartition(tasks))
     near = within_distance(centres, again, r).select(*zone, key, weight).distinct()
@@ -81,9 +81,8 @@ def catchment(zones: DataFrame, points: DataFrame, zone: list[str], key: str, we
         whole = checkpointed(whole.distinct())
         taken = whole.select(*[F.col(c).alias(f"_z{i}") for i, c in enumerate(zone)], F.col("_cx").alias("_tx"), F.col("_cy").alias("_ty"))
         same = [F.col(c).eqNullSafe(F.col(f"_z{i}")) for i, c in enumerate(zone)]
-        cut = cut.join(taken, reduce(lambda a, b: a & b, same, (F.col("_cx") == F.col("_tx")) & (F.col("_cy") == F.col("_ty"))), "left_anti")
-    small = cells.limit(200_001).count() <= 200_000
-    by_cell = whole.join(F.broadcast(cells) if small else cells, ["_cx", "_cy"]).select(*zone, "features", "people", "unknown")
+        cut = cut.join(by_count(taken), reduce(lambda a, b: a & b, same, (F.col("_cx") == F.col("_tx")) & (F.col("_cy") == F.col("_ty"))), "left_anti")
+    by_cell = whole.join(by_count(cells), ["_cx", "_cy"]).select(*zone, "features", "people", "unknown")
     met = cell_join(cut, located).where(F.pow(F.col("_x") - F.col("x"), 2) + F.pow(F.col("_y") - F.col("y"), 2) <= r * r)
     met = met.dropDuplicates([*zone, "x", "y"]) if many else met
     return _added(by_cell.unionByName(met.select(*by_cell.columns)).unionByName(several), zone)
