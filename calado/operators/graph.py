@@ -12,6 +12,7 @@ from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StringType, St
 
 from calado.functions.geometry import segment_distance
 from calado.functions.routes import Lattice, Names, least_linked
+from calado.operators.joins import by_count
 from calado.operators.storage import checkpointed, deleted, stored
 
 #: Steps to the neighbours of a lattice cell.
@@ -56,7 +57,7 @@ def lattice(cells: DataFrame, mode: str, steps: list[tuple[int, int]] = EIGHT) -
     short = 1 + 0.0007 * F.col("_r") + 0.0002 * rise
     near_road = 1 + 0.004 * F.col("_r") + 0.001 * rise + F.when(F.col("_road").isNotNull(), 0.0004 * F.least("_road", F.lit(4000.0))).otherwise(0.0)
     cost = {"distance": length, "relief": relief, "terrain": terrain, "balanced": (relief + terrain) / 2, "short": short, "road": near_road}[mode]
-    return left.join(right, ["bx", "by"]).select(node_id(F.col("x"), F.col("y")).alias("a"), node_id(F.col("bx"), F.col("by")).alias("b"), cost.alias("cost"))
+    return left.join(by_count(right), ["bx", "by"]).select(node_id(F.col("x"), F.col("y")).alias("a"), node_id(F.col("bx"), F.col("by")).alias("b"), cost.alias("cost"))
 
 
 def shortest_paths(edges: DataFrame, queries: DataFrame, rounds: int = 10_000, by: tuple[str, ...] = (), tolls: DataFrame | None = None) -> DataFrame:
@@ -133,7 +134,7 @@ def lattice_parts(edges: DataFrame, tile: int = 256) -> DataFrame:
     links, kept = stored(shared.select(F.explode(F.slice("_p", F.lit(2), F.size("_p") - 1)).alias("u"), F.element_at("_p", 1).alias("v")).distinct())
     if links.limit(1).count():
         roots = _roots(links, kept)
-        held = held.join(roots.select(F.col("u").alias("part"), "v"), "part", "left").select("node", F.coalesce("v", "part").alias("part"))
+        held = held.join(by_count(roots.select(F.col("u").alias("part"), "v")), "part", "left").select("node", F.coalesce("v", "part").alias("part"))
     out = stored(held.groupBy("node").agg(F.min("part").alias("part")))[0]
     deleted(edges.sparkSession, path)
     return out
@@ -145,9 +146,9 @@ def _roots(links: DataFrame, path: str) -> DataFrame:
     while True:
         both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("n"), F.least("u", "m").alias("m"))
-        large = both.join(least, F.col("u") == F.col("n")).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = both.join(least.hint("merge"), F.col("u") == F.col("n")).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("n"), "m")
-        small = large.join(low, F.col("u") == F.col("n")).select(F.col("v").alias("u"), F.col("m").alias("v"))
+        small = large.join(low.hint("merge"), F.col("u") == F.col("n")).select(F.col("v").alias("u"), F.col("m").alias("v"))
         nxt, new = stored(small.unionByName(low.select(F.col("n").alias("u"), F.col("m").alias("v"))).where("u <> v").distinct())
         deleted(links.sparkSession, path)
         links, path = nxt, new
@@ -190,13 +191,13 @@ def alternatives(
     rounds = bool(large.limit(1).count())
     if rounds:
         parts = parts.join(large.withColumn("_large", F.lit(True)), "part", "left")
-        far_on = parts.where("_large").select("node")
+        far_on = by_count(parts.where("_large").select("node"))
         left = queries.join(far_on, F.col("start") == F.col("node"), "left_semi")
         found = _alternatives_in_rounds(priced.join(far_on, F.col("a") == F.col("node"), "left_semi"), names, left, k, attempts, toll, rise, *limits)
         parts, queries = parts.where("_large IS NULL").drop("_large"), queries.join(far_on, F.col("start") == F.col("node"), "left_anti")
     asked = queries.where("q IS NOT NULL AND start IS NOT NULL AND end IS NOT NULL").select("q", "start", "end")
-    asked = asked.join(parts.withColumnRenamed("node", "start"), "start", "left").withColumn("part", F.coalesce("part", "start")).select("q", "start", "end", group)
-    held = wide.join(parts.select(F.col("node").alias("a"), "part"), "a").select("a", "b", *[f"cost_{i}" for i in range(len(names))], group)
+    asked = asked.join(by_count(parts.withColumnRenamed("node", "start")), "start", "left").withColumn("part", F.coalesce("part", "start")).select("q", "start", "end", group)
+    held = wide.join(by_count(parts.select(F.col("node").alias("a"), "part")), "a").select("a", "b", *[f"cost_{i}" for i in range(len(names))], group)
     turn = [*range(1, len(names)), 0]
     tries = [(turn[i % len(turn)], toll + rise * (i // len(turn))) for i in range(attempts)]
     double = [StructField(c, DoubleType()) for c in ("cost", "jaccard", "far_share")]

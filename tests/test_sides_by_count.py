@@ -6,7 +6,7 @@ import math
 
 import pytest
 
-from calado.operators import aggregates, joins
+from calado.operators import aggregates, graph, joins
 
 
 @pytest.mark.parametrize("most", [200_000, 0])
@@ -26,3 +26,15 @@ def test_what_a_catchment_sends_through_the_driver(spark, tmp_path, monkeypatch,
         if near:
             want[z["zone"]] = (len(near), sum(w for w in near if w is not None), near.count(None))
     assert {r["zone"]: (r["features"], r["people"], r["unknown"]) for r in got.collect()} == want
+
+
+def test_a_lattice_sends_its_nodes_by_count(spark, tmp_path, monkeypatch):
+    """Before, the nodes of any lattice in a small file were sent."""
+    spark.range(90).selectExpr("id % 9 AS x", "id DIV 9 AS y", "CAST(id % 7 AS DOUBLE) AS z", "CAST(id % 5 AS DOUBLE) AS relief").write.parquet(f"{tmp_path}/cells")
+    cells = spark.read.parquet(f"{tmp_path}/cells")
+    few = graph.lattice(cells, "distance")
+    monkeypatch.setattr(joins.by_count, "__defaults__", (50,))
+    many = graph.lattice(cells, "distance")
+    plans = [df._jdf.queryExecution().executedPlan().toString() for df in (few, many)]
+    assert "BuildRight" in plans[0] and "BuildLeft" not in plans[0] and "Broadcast" not in plans[1]
+    assert sorted(map(tuple, few.collect())) == sorted(map(tuple, many.collect()))
